@@ -1 +1,4 @@
+"""Registered queries over the driver's tables, each with its oracle SQL."""
 
+QUERIES: dict = {}
+ORACLE_SQL: dict = {}
