@@ -1,12 +1,16 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word's vector is the mean of the vectors of its hashed character n-grams and of the word itself; a text's vector is the
-mean over its words; a two-class softmax reads it. Embeddings and softmax are trained together by Adam on a bounded
-sample of the labelled rows (``SAMPLE`` of each class, by seeded hash, whole texts). Misspelt words share n-grams with the
-words that were trained.
+A word's vector is the mean of the vectors of its hashed character n-grams and of the word itself. A text is read in windows of
+``WINDOW`` words; a window's vector is the mean over its words, a two-class softmax reads it, and the text's score is that of
+its worst window, so that a long text doesn't dilute what one passage says. Misspelt words share n-grams with the words that
+were trained.
 
-As all of it is linear before the softmax, a bucket acts on the logit by one number, so the model that goes to the
-executors is ``BUCKETS`` floats, whatever the corpus.
+Embeddings and softmax are trained together by Adam on a bounded sample of the labelled rows: at most ``SAMPLE`` of each class
+by seeded hash, of ``TRAIN_WORDS`` words or fewer. First on whole texts, then on the window of each text that the model of the
+round before holds to be the worst. Scoring reads every whole text.
+
+All of it is linear before the softmax, so a bucket acts on the logit by one number: what goes to the executors is ``BUCKETS``
+floats, whatever the corpus.
 
 Texts without words (null, empty) are scored by the bias, as a text of no evidence. Repeated rows get the same score. Labels
 that are null, or without a row in the documents, are not used; without both classes every text scores the share of class 1.
@@ -15,25 +19,27 @@ that are null, or without a row in the documents, are not used; without both cla
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fringeline.llm.common import ascii_words
 
 BUCKETS = 1 << 16
-DIM = 8
-NGRAMS = (3, 4)
-SAMPLE = 1_500
-STEPS = 150
+DIM = 4
+NGRAMS = (3, 4, 5)
+WINDOW = 24
+SAMPLE = 1_200
+TRAIN_WORDS = 2_000
+ROUNDS = (40, 60, 60)
 RATE = 0.05
+DECAY = 1e-5
 SEED = 11
 FOLDS = 5
 _KEPT_WORDS = 1_000_000
+_SCALE = 20.0  # means over many words are small; this keeps the steps of Adam in range
 
 
 def subwords(word: bytes) -> list[int]:
@@ -45,60 +51,89 @@ def subwords(word: bytes) -> list[int]:
     return out
 
 
-def features(text: bytes) -> tuple[list[int], list[float]]:
-    """Buckets and weights of a text's averaged bag."""
-    words = Counter(ascii_words(text))
-    total, bag = sum(words.values()), {}
-    for word, n in words.items():
-        own = subwords(word)
-        part = n / total / len(own)
-        for b in own:
-            bag[b] = bag.get(b, 0.0) + part
-    return list(bag), list(bag.values())
+class Bags:
+    """Rows of weighted members, as sorted arrays: products with a matrix and with its transpose."""
+
+    def __init__(self, rows: np.ndarray, cols: np.ndarray, weights: np.ndarray, n_rows: int, n_cols: int):
+        order = np.argsort(rows, kind="stable")
+        self.rows, self.cols, self.weights = rows[order], cols[order], weights[order].astype(np.float32)[:, None]
+        self.n_rows, self.n_cols = n_rows, n_cols
+        self.row_at = np.flatnonzero(np.diff(self.rows, prepend=-1))
+        self.by_col = np.argsort(self.cols, kind="stable")
+        self.col_at = np.flatnonzero(np.diff(self.cols[self.by_col], prepend=-1))
+
+    def dot(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n_rows, x.shape[1]), np.float32)
+        if len(self.rows):
+            out[self.rows[self.row_at]] = np.add.reduceat(x[self.cols] * self.weights, self.row_at)
+        return out
+
+    def dot_t(self, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.n_cols, x.shape[1]), np.float32)
+        if len(self.rows):
+            out[self.cols[self.by_col][self.col_at]] = np.add.reduceat(x[self.rows[self.by_col]] * self.weights[self.by_col], self.col_at)
+        return out
 
+    def only(self, keep: np.ndarray) -> "Bags":
+        """The given rows, renumbered in their order."""
+        place = np.full(self.n_rows, -1)
+        place[keep] = np.arange(len(keep))
+        own = place[self.rows] >= 0
+        return Bags(place[self.rows[own]], self.cols[own], self.weights[own, 0], len(keep), self.n_cols)
 
-@F.pandas_udf(T.StructType([T.StructField("bucket", T.ArrayType(T.IntegerType())), T.StructField("weight", T.ArrayType(T.FloatType()))]))
-def features_udf(text: pd.Series) -> pd.DataFrame:
-    rows = [features((t or "").encode()) for t in text]
-    return pd.DataFrame({"bucket": [r[0] for r in rows], "weight": [r[1] for r in rows]})
+
+def _adam(par: list[np.ndarray], words: Bags, bags: Bags, y: np.ndarray, steps: int) -> None:
+    """Train embeddings, softmax weights and bias in place; classes weigh the same."""
+    first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
+    target = np.stack([1 - y, y], axis=1)
+    weight = (target / target.sum(axis=0)).sum(axis=1, keepdims=True) / 2
+    for step in range(1, steps + 1):
+        h = bags.dot(words.dot(par[0])) * _SCALE
+        z = h @ par[1] + par[2]
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        d = ((p / p.sum(axis=1, keepdims=True) - target) * weight).astype(np.float32)
+        back = words.dot_t(bags.dot_t(d @ par[1].T)) * _SCALE
+        for i, g in enumerate((back + DECAY * par[0], h.T @ d + DECAY * par[1], d.sum(axis=0))):
+            first[i] = 0.9 * first[i] + 0.1 * g
+            second[i] = 0.999 * second[i] + 0.001 * g * g
+            par[i] -= (RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-9)).astype(np.float32)
 
 
-def train(bags: list[tuple[list[int], list[float]]], labels: list[int]) -> tuple[np.ndarray, float]:
+def train(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float]:
     """(logit of each bucket, bias) after joint training of embeddings and softmax."""
     y = np.array(labels, dtype=np.float32)
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
         return np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    size = np.array([len(b) for b, _ in bags])
-    rows = np.repeat(np.arange(len(bags)), size)
-    used, cols = np.unique(np.concatenate([np.array(b, dtype=np.int64) for b, _ in bags]), return_inverse=True)
-    vals = np.concatenate([np.array(w, dtype=np.float32) for _, w in bags])[:, None] * 100  # averages over words are small
-    order = np.argsort(cols, kind="stable")
-    row_start, full = np.flatnonzero(np.diff(rows, prepend=-1)), np.flatnonzero(size)
-    col_start = np.flatnonzero(np.diff(cols[order], prepend=-1))
+    vocabulary: dict[bytes, int] = {}
+    ids = [[vocabulary.setdefault(w, len(vocabulary)) for w in ascii_words(t)] for t in texts]
+    own = [subwords(w) for w in vocabulary]
+    size = np.array([len(s) for s in own] or [0])
+    used, cols = np.unique(np.concatenate([np.array(s, np.int64) for s in own]) if own else np.zeros(0, np.int64), return_inverse=True)
+    words = Bags(np.repeat(np.arange(len(own)), size[: len(own)]), cols, np.repeat(1 / np.maximum(size, 1), size)[: len(cols)], len(own), len(used))
+
+    flat = np.array([i for doc in ids for i in doc], np.int64)
+    lengths = np.array([len(doc) for doc in ids])
+    doc = np.repeat(np.arange(len(ids)), lengths)
+    whole = Bags(doc, flat, 1 / lengths[doc], len(ids), len(own))
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    _, win = np.unique(doc * (1 << 32) + place // WINDOW, return_inverse=True)
+    win_size = np.bincount(win)
+    win_doc = np.zeros(len(win_size), np.int64)
+    win_doc[win] = doc
+    windows = Bags(win, flat, 1 / np.maximum(win_size[win], WINDOW // 2), len(win_size), len(own))
+
     rng = np.random.default_rng(SEED)
     par = [rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32), rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)]
-    first, second = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
-    target = np.stack([1 - y, y], axis=1)
-    weight = (target / target.sum(axis=0)).sum(axis=1, keepdims=True) * len(y) / 2 / len(y)
-    for step in range(1, STEPS + 1):
-        emb, soft, bias = par
-        h = np.zeros((len(bags), DIM), np.float32)
-        h[full] = np.add.reduceat(emb[cols] * vals, row_start)
-        z = h @ soft + bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        p /= p.sum(axis=1, keepdims=True)
-        d = (p - target) * weight
-        dh = d @ soft.T
-        grads = [np.add.reduceat(dh[rows[order]] * vals[order], col_start) + 1e-4 * emb, h.T @ d + 1e-4 * soft, d.sum(axis=0)]
-        for i, g in enumerate(grads):
-            first[i] = 0.9 * first[i] + 0.1 * g
-            second[i] = 0.999 * second[i] + 0.001 * g * g
-            par[i] = (par[i] - RATE * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    emb, soft, bias = par
+    _adam(par, words, whole, y, ROUNDS[0])
+    for steps in ROUNDS[1:]:
+        z = windows.dot(words.dot(par[0])) @ (par[1][:, 1] - par[1][:, 0])
+        order = np.lexsort((-z, win_doc))
+        top = order[np.flatnonzero(np.diff(win_doc[order], prepend=-1))]  # each text's worst window
+        _adam(par, words, windows.only(top), y[win_doc[top]], steps)
     logit = np.zeros(BUCKETS, np.float32)
-    logit[used] = 100 * (emb @ (soft[:, 1] - soft[:, 0]))
-    return logit, float(bias[1] - bias[0])
+    logit[used] = _SCALE * (par[0] @ (par[1][:, 1] - par[1][:, 0]))
+    return logit, float(par[2][1] - par[2][0])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -107,14 +142,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
-    """Train on at most ``SAMPLE`` labelled rows of each class, chosen by seeded hash outside the held-out fold."""
+    """Train on the bounded sample, outside the held-out fold."""
     known = labels.filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
     parts = [known.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(SAMPLE) for t in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # SAMPLE rows of each class at most
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "toxic", features_udf(F.coalesce("text", F.lit(""))).alias("f")).select("doc_id", "toxic", "f.bucket", "f.weight")
-    got = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    return train(list(zip(got["bucket"], got["weight"])), got["toxic"].tolist())
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.size(F.split(F.coalesce("text", F.lit("")), " ")) <= TRAIN_WORDS)
+    got = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates(["doc_id"]).collect()
+    got.sort(key=lambda r: r.doc_id)
+    return train([r.text.encode() for r in got], [r.toxic for r in got])
 
 
 class Scorer:
@@ -124,16 +161,18 @@ class Scorer:
         self.logit, self.bias, self.kept = logit.tolist(), bias, {}
 
     def score(self, text: bytes) -> float:
-        words, total, kept, logit = ascii_words(text), 0.0, self.kept, self.logit
-        for word in words:
-            s = kept.get(word)
-            if s is None:
-                own = subwords(word)
-                s = kept[word] = sum(logit[b] for b in own) / len(own)
-            total += s
+        words, kept, logit = ascii_words(text), self.kept, self.logit
+        for word in set(words).difference(kept):
+            own = subwords(word)
+            kept[word] = sum(logit[b] for b in own) / len(own)
+        z = self.bias
+        if words:
+            values = np.array([kept[w] for w in words])
+            start = np.arange(0, len(words), WINDOW)
+            size = np.minimum(WINDOW, len(words) - start)
+            z += float((np.add.reduceat(values, start) / np.maximum(size, WINDOW // 2)).max())
         if len(kept) > _KEPT_WORDS:
             kept.clear()
-        z = self.bias + (total / len(words) if words else 0.0)
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
