@@ -19,6 +19,7 @@ that are null, or without a row in the documents, are not used; without both cla
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,12 @@ NGRAMS = (3, 4, 5)
 WINDOW = 24
 SAMPLE = 1_200
 TRAIN_WORDS = 2_000
-ROUNDS = (40, 60, 60)
+SUPPORT = 3
+#: Steps on whole texts, then on the worst windows: one of a text of class 1, HARD of a text of class 0.
+ROUNDS = (40, 30, 30, 30, 60)
+HARD = 4
 RATE = 0.05
-DECAY = 1e-5
+DECAY = 1e-4
 SEED = 11
 FOLDS = 5
 _KEPT_WORDS = 1_000_000
@@ -105,8 +109,11 @@ def train(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float]:
     share = float(y.mean()) if len(y) else 0.0
     if not 0 < share < 1:
         return np.zeros(BUCKETS, np.float32), float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-    vocabulary: dict[bytes, int] = {}
-    ids = [[vocabulary.setdefault(w, len(vocabulary)) for w in ascii_words(t)] for t in texts]
+    split = [ascii_words(t) for t in texts]
+    shared = Counter(w for words in split for w in set(words))
+    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in shared.items() if n >= SUPPORT))}
+    # a rare word has no vector of its own in training, but counts among the words that are averaged
+    ids = [[vocabulary.get(w, -1) for w in words] for words in split]
     own = [subwords(w) for w in vocabulary]
     size = np.array([len(s) for s in own] or [0])
     used, cols = np.unique(np.concatenate([np.array(s, np.int64) for s in own]) if own else np.zeros(0, np.int64), return_inverse=True)
@@ -115,13 +122,14 @@ def train(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float]:
     flat = np.array([i for doc in ids for i in doc], np.int64)
     lengths = np.array([len(doc) for doc in ids])
     doc = np.repeat(np.arange(len(ids)), lengths)
-    whole = Bags(doc, flat, 1 / lengths[doc], len(ids), len(own))
+    known = flat >= 0
+    whole = Bags(doc[known], flat[known], 1 / lengths[doc[known]], len(ids), len(own))
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     _, win = np.unique(doc * (1 << 32) + place // WINDOW, return_inverse=True)
     win_size = np.bincount(win)
     win_doc = np.zeros(len(win_size), np.int64)
     win_doc[win] = doc
-    windows = Bags(win, flat, 1 / np.maximum(win_size[win], WINDOW // 2), len(win_size), len(own))
+    windows = Bags(win[known], flat[known], 1 / np.maximum(win_size[win[known]], WINDOW // 2), len(win_size), len(own))
 
     rng = np.random.default_rng(SEED)
     par = [rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32), rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)]
@@ -129,7 +137,9 @@ def train(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float]:
     for steps in ROUNDS[1:]:
         z = windows.dot(words.dot(par[0])) @ (par[1][:, 1] - par[1][:, 0])
         order = np.lexsort((-z, win_doc))
-        top = order[np.flatnonzero(np.diff(win_doc[order], prepend=-1))]  # each text's worst window
+        first = np.maximum.accumulate(np.where(np.diff(win_doc[order], prepend=-1) != 0, np.arange(len(order)), 0))
+        rank = np.arange(len(order)) - first
+        top = order[rank < np.where(y[win_doc[order]] == 1, 1, HARD)]  # the worst windows of each text
         _adam(par, words, windows.only(top), y[win_doc[top]], steps)
     logit = np.zeros(BUCKETS, np.float32)
     logit[used] = _SCALE * (par[0] @ (par[1][:, 1] - par[1][:, 0]))
