@@ -1,4 +1,11 @@
 """Registered queries over the driver's tables, each with its oracle SQL."""
 
+from __future__ import annotations
+
+from fringeline.plans import catalogue, networks, raster, scalar, spatial
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+for _part in (scalar, catalogue, spatial, networks, raster):
+    QUERIES |= _part.QUERIES
+    ORACLE_SQL |= _part.ORACLE_SQL
