@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fringeline.storage import written as written
+
 #: White space of the contracts: ASCII only, which is also what bytes.split() cuts at.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
@@ -21,41 +20,10 @@ def ascii_words(text: bytes) -> list[bytes]:
     return text.lower().translate(_WORD_TABLE).split()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one is set only in local mode where none is set."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if not folder:
-            if not sc.master.startswith("local[") and sc.master != "local":
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir()
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back.
-
-    This cuts the lineage: a lost executor costs a re-read and no recomputation.
-    """
-    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spare_name(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not use, compared without case as Spark does."""
-    used = {c.lower() for c in df.columns}
-    while name.lower() in used:
-        name += "_"
-    return name
-
-
 def joined_hash(items: Column) -> Column:
     """Lower-case hex SHA-256 of an array of strings, comma-joined."""
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
