@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
-BY_FRAME = Window.partitionBy("frame").orderBy("epoch")
+def by_frame() -> WindowSpec:
+    return Window.partitionBy("frame").orderBy("epoch")
 
 
 def nearest_later(epochs: DataFrame, k: int) -> DataFrame:
     """Each epoch paired with the next ``k`` of its frame."""
-    later = F.filter(F.array(*[F.lead("epoch", i).over(BY_FRAME) for i in range(1, k + 1)]), lambda x: x.isNotNull())
+    later = F.filter(F.array(*[F.lead("epoch", i).over(by_frame()) for i in range(1, k + 1)]), lambda x: x.isNotNull())
     return epochs.select("frame", F.col("epoch").alias("epoch1"), later.alias("l")).select("frame", "epoch1", F.explode("l").alias("epoch2"))
 
 
@@ -29,7 +31,7 @@ def network_gaps(epochs: DataFrame, pairs: DataFrame) -> DataFrame:
     steps = pairs.select("frame", F.col("epoch1").alias("epoch"), F.lit(1).alias("d")).unionByName(pairs.select("frame", F.col("epoch2").alias("epoch"), F.lit(-1).alias("d")))
     steps = steps.groupBy("frame", "epoch").agg(F.sum("d").alias("d"))
     rows = epochs.select("frame", "epoch").distinct().join(steps, ["frame", "epoch"], "left")
-    rows = rows.withColumns({"open": F.sum(F.coalesce("d", F.lit(0))).over(BY_FRAME), "stop": F.lead("epoch").over(BY_FRAME)})
+    rows = rows.withColumns({"open": F.sum(F.coalesce("d", F.lit(0))).over(by_frame()), "stop": F.lead("epoch").over(by_frame())})
     return rows.filter("stop is not null and open = 0").select("frame", F.col("epoch").alias("start"), "stop")
 
 
@@ -45,8 +47,8 @@ def merge_intervals(rows: DataFrame, margin_days: int) -> DataFrame:
 
 def cluster_epochs(epochs: DataFrame, days: int) -> DataFrame:
     """Runs of epochs that follow each other within ``days``: (frame, start, stop, n). The last run is given too."""
-    gap = F.datediff("epoch", F.lag("epoch").over(BY_FRAME))
-    runs = epochs.withColumn("run", F.sum(F.when(gap.isNull() | (gap > days), 1).otherwise(0)).over(BY_FRAME))
+    gap = F.datediff("epoch", F.lag("epoch").over(by_frame()))
+    runs = epochs.withColumn("run", F.sum(F.when(gap.isNull() | (gap > days), 1).otherwise(0)).over(by_frame()))
     return runs.groupBy("frame", "run").agg(F.min("epoch").alias("start"), F.max("epoch").alias("stop"), F.count("*").alias("n")).drop("run")
 
 
@@ -127,8 +129,8 @@ def linear_in_time(calendar: DataFrame, series: DataFrame) -> DataFrame:
     """The same by linear interpolation between the values before and after; null outside them."""
     every = calendar.select("frame", "epoch").unionByName(series.select("frame", "epoch")).distinct().join(series, ["frame", "epoch"], "left")
     point = F.when(F.col("value").isNotNull(), F.struct("epoch", "value"))
-    back = F.last(point, ignorenulls=True).over(BY_FRAME.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(point, ignorenulls=True).over(BY_FRAME.rowsBetween(0, Window.unboundedFollowing))
+    back = F.last(point, ignorenulls=True).over(by_frame().rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first(point, ignorenulls=True).over(by_frame().rowsBetween(0, Window.unboundedFollowing))
     rows = every.withColumns({"a": back, "b": ahead})
     share = F.datediff("epoch", "a.epoch") / F.datediff("b.epoch", "a.epoch")
     value = F.when(F.col("a.epoch") == F.col("b.epoch"), F.col("a.value")).otherwise(F.col("a.value") + share * (F.col("b.value") - F.col("a.value")))
@@ -151,7 +153,7 @@ def rereference(series: DataFrame, until: Column | None = None) -> DataFrame:
 
 def revisit_forecast(epochs: DataFrame, event: Column, step_days: int = 6, recent: int = 5) -> DataFrame:
     """Per frame: last epoch, worst of the recent gaps, next possible, next expected, and first possible at or after the event."""
-    rows = last_epochs(epochs.withColumn("gap", F.datediff("epoch", F.lag("epoch").over(BY_FRAME))), recent)
+    rows = last_epochs(epochs.withColumn("gap", F.datediff("epoch", F.lag("epoch").over(by_frame()))), recent)
     s = rows.groupBy("frame").agg(F.max("epoch").alias("last"), F.max("gap").alias("worst"))
     steps = F.greatest(F.ceil(F.datediff(event, "last") / step_days), F.lit(1)).cast("int")
     return s.select("frame", "last", "worst", F.date_add("last", step_days).alias("next_possible"), F.date_add(F.col("last"), F.coalesce("worst", F.lit(step_days))).alias("next_expected"), F.date_add(F.col("last"), steps * step_days).alias("after_event"))

@@ -10,7 +10,9 @@ from fringeline.plans.views import table, view
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
-DAY = F.col("acq_date").cast("string").alias("acq_date")
+def _day():
+    return F.col("acq_date").cast("string").alias("acq_date")
+
 
 
 def _v(spark, sf_dir, *names):
@@ -36,7 +38,7 @@ def c02_key_lookup(spark, sf_dir):
 
 @query("SELECT fid, CAST(acq_date AS VARCHAR) AS acq_date, pol FROM @files WHERE acq_date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30' AND pol IN ('VV', 'HH')")
 def c03_period_pol(spark, sf_dir):
-    return C.co_polarised(view(spark, sf_dir, "files"), "1996-01-01", "1997-06-30").select("fid", DAY, "pol")
+    return C.co_polarised(view(spark, sf_dir, "files"), "1996-01-01", "1997-06-30").select("fid", _day(), "pol")
 
 
 @query("SELECT polyid, polyid_name FROM @frames WHERE polyid_name LIKE '004D%' OR polyid_name LIKE '006D%'")
@@ -59,7 +61,7 @@ def c06_blacklist(spark, sf_dir):
 @query("SELECT fid, CAST(acq_date AS VARCHAR) AS acq_date FROM @files WHERE acq_date >= DATE '1998-01-01' OR strftime(acq_date, '%Y-%m') = '1996-06'")
 def c07_date_slice(spark, sf_dir):
     d = F.col("acq_date")
-    return view(spark, sf_dir, "files").filter((d >= F.lit("1998-01-01").cast("date")) | (F.date_format(d, "yyyy-MM") == "1996-06")).select("fid", DAY)
+    return view(spark, sf_dir, "files").filter((d >= F.lit("1998-01-01").cast("date")) | (F.date_format(d, "yyyy-MM") == "1996-06")).select("fid", _day())
 
 
 @query("SELECT l_orderkey, l_linenumber, CASE WHEN abs(l_tax) < 0.06 AND abs(l_discount) < 0.08 THEN l_tax END AS azimuth, CASE WHEN abs(l_tax) < 0.06 AND abs(l_discount) < 0.08 THEN l_discount END AS range_ FROM lineitem")
@@ -100,7 +102,7 @@ def d02_burst_frames(spark, sf_dir):
 @query("SELECT DISTINCT polyid, fid, CAST(acq_date AS VARCHAR) AS acq_date FROM @frame_bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid) WHERE acq_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' AND pol IN ('VV', 'HH')")
 def d03_frame_files(spark, sf_dir):
     fb, lb, fi = _v(spark, sf_dir, "frame_bursts", "file_bursts", "files")
-    return C.frame_files(fb, lb, C.co_polarised(fi, "1996-01-01", "1996-03-31")).select("polyid", "fid", DAY)
+    return C.frame_files(fb, lb, C.co_polarised(fi, "1996-01-01", "1996-03-31")).select("polyid", "fid", _day())
 
 
 @query("""WITH f AS (SELECT user_id AS polyid, event_id AS fid, ts AS acq_ts, event_id % 2 AS sat FROM events),
@@ -116,7 +118,7 @@ def d04_files_near_midnight(spark, sf_dir):
 
 @query("SELECT DISTINCT polyid, CAST(acq_date AS VARCHAR) AS acq_date, bid FROM @frame_bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid)")
 def d05_acquired_bursts(spark, sf_dir):
-    return C.acquired_bursts(*_v(spark, sf_dir, "frame_bursts", "file_bursts", "files")).select("polyid", DAY, "bid")
+    return C.acquired_bursts(*_v(spark, sf_dir, "frame_bursts", "file_bursts", "files")).select("polyid", _day(), "bid")
 
 
 @query("""WITH a AS (SELECT DISTINCT polyid, acq_date, bid FROM @frame_bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid)),
@@ -126,7 +128,7 @@ def d05_acquired_bursts(spark, sf_dir):
     SELECT polyid, CAST(acq_date AS VARCHAR) AS acq_date, CAST(sum(expected) AS BIGINT) AS expected, CAST(sum(acquired) AS BIGINT) AS acquired, CAST(sum(expected) - sum(acquired) AS BIGINT) AS missing, bool_or(hole) AS interior_missing FROM s GROUP BY 1, 2""")
 def d14_missing_bursts(spark, sf_dir):
     fb, lb, fi, b = _v(spark, sf_dir, "frame_bursts", "file_bursts", "files", "bursts")
-    return C.completeness(fb, b, C.acquired_bursts(fb, lb, fi)).select("polyid", DAY, "expected", "acquired", "missing", "interior_missing")
+    return C.completeness(fb, b, C.acquired_bursts(fb, lb, fi)).select("polyid", _day(), "expected", "acquired", "missing", "interior_missing")
 
 
 @query("""WITH k AS (SELECT DISTINCT bid FROM @frame_bursts WHERE bid % 3 <> 1) SELECT b.bid, CASE WHEN EXISTS (SELECT 1 FROM k WHERE k.bid = b.bid) THEN b.bid WHEN EXISTS (SELECT 1 FROM k WHERE k.bid = b.bid + 1) THEN b.bid + 1 ELSE b.bid - 1 END AS matched
@@ -188,7 +190,7 @@ def d26_volcano_clips(spark, sf_dir):
 @query("SELECT DISTINCT CAST(acq_date AS VARCHAR) AS acq_date FROM @files UNION SELECT DISTINCT CAST(epoch AS VARCHAR) FROM @epochs")
 def e01_distinct_epochs(spark, sf_dir):
     f, e = _v(spark, sf_dir, "files", "epochs")
-    return f.select(DAY).union(e.select(F.col("epoch").cast("string"))).distinct()
+    return f.select(_day()).union(e.select(F.col("epoch").cast("string"))).distinct()
 
 
 @query("SELECT polyid, round(min(lon1), 3) + 0.0 AS lon1, round(max(lon2), 3) + 0.0 AS lon2, round(min(lat1), 3) + 0.0 AS lat1, round(max(lat2), 3) + 0.0 AS lat2 FROM @frame_bursts JOIN @bursts USING (bid) GROUP BY polyid")
