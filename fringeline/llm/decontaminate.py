@@ -4,8 +4,8 @@
    words that are broadcast have a fixed bound at any benchmark size.
 2. A pass over all documents counts the benchmark's words. Every window's ``ANCHORS`` rarest words become its
    anchors.
-3. A second pass writes the postings of all anchor words: document, position, the item position that it stands for,
-   and how far the item's words agree to the left and right of it (at most a window).
+3. A second pass writes the postings of anchor words, for the windows of which a document has every anchor word: document,
+   position, the item position that it stands for, and how far the item's words agree to the left and right of it (at most a window).
 4. Postings are offset-adjusted (position minus item position) and intersected from the rarest word: a window is a
    candidate on a diagonal where all its anchors stand. The agreement around the rarest anchor then verifies
    the window word by word. Windows whose anchors are near each other, but which are not exact, are proximity matches.
@@ -57,8 +57,19 @@ def _windows(words: list[bytes], rarity, window: int, anchors: int) -> list[tupl
     ] if words else []
 
 
-def _postings(items: dict[int, list[bytes]], anchored: dict[bytes, list[tuple[int, int]]], window: int):
-    """items: words by item number. anchored: word -> (item number, item position)."""
+def _postings(items: dict[int, list[bytes]], anchors: list[tuple[int, list[int]]], window: int):
+    """items: words by item number. anchors: (item number, anchor positions) of each window.
+
+    A document's postings are written for the windows of which it holds every anchor word; without one of
+    them a window can match neither exactly nor nearly.
+    """
+    windows_of: dict[bytes, list[int]] = defaultdict(list)
+    needed = []
+    for n, (item, at) in enumerate(anchors):
+        own = {items[item][a] for a in at}
+        needed.append(len(own))
+        for word in own:
+            windows_of[word].append(n)
 
     def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,8 +77,15 @@ def _postings(items: dict[int, list[bytes]], anchored: dict[bytes, list[tuple[in
             rows: list[tuple[int, int, int, int, int, int]] = []
             for row, text in enumerate(_texts(batch)):
                 words = ascii_words(text or b"")
-                for pos in [i for i, w in enumerate(words) if w in anchored]:
-                    for item, at in anchored[words[pos]]:
+                met = Counter(n for w in windows_of.keys() & set(words) for n in windows_of[w])
+                wanted: dict[bytes, set[tuple[int, int]]] = defaultdict(set)
+                for n, k in met.items():
+                    if k == needed[n]:
+                        item, at = anchors[n]
+                        for a in at:
+                            wanted[items[item][a]].add((item, a))
+                for pos in [i for i, w in enumerate(words) if w in wanted] if wanted else ():
+                    for item, at in wanted[words[pos]]:
                         own = items[item]
                         left = right = 0
                         while left < min(at, pos, window - 1) and own[at - left - 1] == words[pos - left - 1]:
@@ -117,15 +135,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_w
         counted = docs.mapInArrow(_counts(frozenset(w for ws in items.values() for w in ws)), "word binary, n long")
         count = {bytes(r.word): r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}  # at most the block's words
         windows = {i: _windows(words, lambda w: count.get(w, 0), window, ANCHORS) for i, words in items.items()}
-        anchored = defaultdict(set)
-        for i, ws in windows.items():
-            for _, _, at in ws:
-                if all(items[i][a] in count for a in at):
-                    for a in at:
-                        anchored[items[i][a]].add((i, a))
-        if not anchored:
+        # a word that no document has rules its windows out
+        anchors = [(i, at) for i, ws in windows.items() for _, _, at in ws if all(items[i][a] in count for a in at)]
+        if not anchors:
             continue
-        postings = written(docs.mapInArrow(_postings(items, {w: sorted(x) for w, x in anchored.items()}, window), f"doc_id {kind}, item int, item_pos int, pos int, left int, right int"))
+        postings = written(docs.mapInArrow(_postings(items, anchors, window), f"doc_id {kind}, item int, item_pos int, pos int, left int, right int"))
         table = spark.createDataFrame(
             [(i, block[i][0], s, n, at) for i, ws in windows.items() for s, n, at in ws],
             "item int, item_id string, win_start int, length int, anchors array<int>",
