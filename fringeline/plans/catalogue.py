@@ -70,9 +70,9 @@ def c08_outlier_mask(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(ok, F.col("l_tax")).alias("azimuth"), F.when(ok, F.col("l_discount")).alias("range_"))
 
 
-@query('SELECT "row", col, strftime(epoch, \'%Y-%m-%d\') AS epoch, CASE WHEN coh > 0.6 OR mag / 100000 > 0.25 THEN round(pha, 6) END AS pha FROM @pixels')
+@query('SELECT "row", col, strftime(epoch, \'%Y-%m-%d\') AS epoch, CASE WHEN round(coh, 6) > 0.6 OR round(mag / 100000, 6) > 0.25 THEN round(pha, 6) END AS pha FROM @pixels')
 def c09_coherence_mask(spark, sf_dir):
-    keep = (F.col("coh") > 0.6) | (F.col("mag") / 100000 > 0.25)
+    keep = (F.round("coh", 6) > 0.6) | (F.round(F.col("mag") / 100000, 6) > 0.25)
     return view(spark, sf_dir, "pixels").select("row", "col", F.date_format("epoch", "yyyy-MM-dd").alias("epoch"), F.when(keep, F.round("pha", 6)).alias("pha"))
 
 
@@ -184,7 +184,7 @@ def d20_event_report(spark, sf_dir):
 @query("SELECT DISTINCT n.n_nationkey AS clip, v.volc_id FROM @volcanoes v JOIN customer c ON c.c_custkey = v.volc_id JOIN nation n ON n.n_nationkey = c.c_nationkey")
 def d26_volcano_clips(spark, sf_dir):
     v, c, n = view(spark, sf_dir, "volcanoes"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return v.join(c, v["volc_id"] == c["c_custkey"]).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("clip"), "volc_id").distinct()
+    return v.join(c, v["volc_id"] == c["c_custkey"]).join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("clip"), "volc_id").distinct()
 
 
 @query("SELECT DISTINCT CAST(acq_date AS VARCHAR) AS acq_date FROM @files UNION SELECT DISTINCT CAST(epoch AS VARCHAR) FROM @epochs")

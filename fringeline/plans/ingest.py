@@ -137,10 +137,10 @@ def a11_event_report(spark, sf_dir):
     return spark.read.option("header", True).option("sep", ";").schema(q.schema).csv(path)
 
 
-@query("SELECT strftime(epoch, '%Y-%m') AS epoch, count(*) AS n, CAST(sum(round(coh / 2 * 255)) AS BIGINT) AS bytes FROM @pixels GROUP BY 1")
+@query("SELECT strftime(epoch, '%Y-%m') AS epoch, count(*) AS n, CAST(sum(round(round(coh, 6) / 2 * 255)) AS BIGINT) AS bytes FROM @pixels GROUP BY 1")
 def a12_pixel_cube(spark, sf_dir):
     path = _folder(spark)
-    p = view(spark, sf_dir, "pixels").select(F.lit("f1").alias("frame"), F.date_format("epoch", "yyyy-MM").alias("epoch"), "row", "col", (F.col("coh") / 2).alias("coh"), F.lit(1).alias("n_inputs"))
+    p = view(spark, sf_dir, "pixels").select(F.lit("f1").alias("frame"), F.date_format("epoch", "yyyy-MM").alias("epoch"), "row", "col", (F.round("coh", 6) / 2).alias("coh"), F.lit(1).alias("n_inputs"))
     writers.pixel_cube(p.repartition("epoch"), path)
     c = spark.read.option("inferSchema", True).parquet(path)
     return c.groupBy(F.date_format("epoch", "yyyy-MM").alias("epoch")).agg(F.count("*").alias("n"), F.sum("coh").alias("bytes"))

@@ -225,9 +225,9 @@ def b33_properties(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long").alias("p")).select("event_id", "p.k")
 
 
-@query('SELECT "row", col, strftime(epoch, \'%Y-%m-%d\') AS epoch, CAST(CASE WHEN mag > 30000 AND coh > 0.3 THEN 1 ELSE 0 END AS BIGINT) AS mask FROM @pixels')
+@query('SELECT "row", col, strftime(epoch, \'%Y-%m-%d\') AS epoch, CAST(CASE WHEN round(mag, 4) > 30000 AND round(coh, 6) > 0.3 THEN 1 ELSE 0 END AS BIGINT) AS mask FROM @pixels')
 def b34_mask(spark, sf_dir):
-    land, coherent = (F.col("mag") > 30000).cast("long"), (F.col("coh") > 0.3).cast("long")
+    land, coherent = (F.round("mag", 4) > 30000).cast("long"), (F.round("coh", 6) > 0.3).cast("long")
     return view(spark, sf_dir, "pixels").select("row", "col", F.date_format("epoch", "yyyy-MM-dd").alias("epoch"), (land * coherent).alias("mask"))
 
 
