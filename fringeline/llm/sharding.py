@@ -52,15 +52,21 @@ def hypergeometric(u: Column, total: Column, good: Column, drawn: Column) -> Col
     values = F.sequence(low, high)
     mass = F.aggregate(values, start, lambda acc, x: F.struct(following(acc["w"], x).alias("w"), (acc["sum"] + acc["w"]).alias("sum")))["sum"]
     first = F.struct(one.alias("w"), F.lit(0.0).alias("sum"), low.alias("at"))
-    found = F.aggregate(
-        values,
-        first,
-        lambda acc, x: F.struct(
-            following(acc["w"], x).alias("w"),
-            (acc["sum"] + acc["w"]).alias("sum"),
-            F.when(acc["sum"] <= u * mass, x).otherwise(acc["at"]).alias("at"),
-        ),
-    )["at"]
+
+    def place(wanted: Column) -> Column:
+        """The last value whose weights before it sum to ``wanted`` at most."""
+        return F.aggregate(
+            values,
+            first,
+            lambda acc, x: F.struct(
+                following(acc["w"], x).alias("w"),
+                (acc["sum"] + acc["w"]).alias("sum"),
+                F.when(acc["sum"] <= wanted, x).otherwise(acc["at"]).alias("at"),
+            ),
+        )["at"]
+
+    # a one-row transform, so that the mass is summed once and not again for each value
+    found = F.get(F.transform(F.array(u * mass), place), F.lit(0))
     return F.when(low >= high, low).otherwise(found)
 
 
