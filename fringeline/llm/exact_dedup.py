@@ -1,7 +1,7 @@
 """Exact deduplication against an immutable snapshot, screened by static binary-fuse filters.
 
 * Texts are equal if they are identical after every run of ASCII white space became one space. Their digest is the
-  SHA-256 of that in UTF-8; its first eight bytes are the filter key.
+  SHA-256 of that in UTF-8; 60 bits of it are the filter key.
 * A snapshot never changes, so its distinct keys get static filters, one for each key range of about ``FILTER_KEYS``.
   The filters are a table, joined by range and never broadcast.
 * Distinct incoming keys are screened. What a filter rejects is surely new and meets only its own batch. What passes joins

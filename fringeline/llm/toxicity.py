@@ -6,7 +6,7 @@ it, and the text's score is that of its worst window, so that a long text doesn'
 were trained.
 
 Embeddings and softmax are trained together by Adam on a bounded sample of the labelled rows: at most ``SAMPLE`` of each class
-by seeded hash, of ``TRAIN_WORDS`` words or fewer. First on whole texts, then on the window of each text that the model of the
+by seeded hash, of ``TRAIN_BYTES`` bytes or fewer. First on whole texts, then on the window of each text that the model of the
 round before holds to be the worst. Scoring reads every whole text.
 
 All of it is linear before the softmax, so a bucket acts on the logit by one number: what goes to the executors is ``BUCKETS``
@@ -33,7 +33,7 @@ DIM = 4
 NGRAMS = (3, 4, 5)
 WINDOW = 24
 SAMPLE = 1_200
-TRAIN_WORDS = 2_000
+TRAIN_BYTES = 16_000
 SUPPORT = 3
 #: Steps on whole texts, then on the worst windows: one of a text of class 1, HARD of a text of class 0.
 ROUNDS = (40, 40, 40, 40, 120)
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
     parts = [known.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(SAMPLE) for t in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # SAMPLE rows of each class at most
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.size(F.split(F.coalesce("text", F.lit("")), " ")) <= TRAIN_WORDS)
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
     got = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates(["doc_id"]).collect()
     got.sort(key=lambda r: r.doc_id)
     return train([r.text.encode() for r in got], [r.toxic for r in got])
