@@ -109,6 +109,14 @@ def annual_velocity(series: DataFrame, by: list[str], frame: str, value: str, bu
     return velocity(series.withColumn("year", near).join(years, "year", "left_semi"), [*by, frame, "year"], value)
 
 
+def period_velocity(series: DataFrame, periods: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Velocity in each period (period, start, stop). The month is the equi key; a period is listed under each of its months."""
+    month = F.trunc("epoch", "month")
+    p = periods.withColumn("__m", F.explode(F.sequence(F.trunc("start", "month"), F.trunc("stop", "month"), F.expr("interval 1 month"))))
+    rows = series.withColumn("__m", month).join(p, "__m").filter(F.col("epoch").between(F.col("start"), F.col("stop")))
+    return velocity(rows, [*by, "period"], value)
+
+
 def dilution(look: DataFrame, by: list[str]) -> DataFrame:
     """Dilution of precision of up, east and north from the looks at a point."""
     i, h = F.radians("inc"), F.radians("heading")

@@ -173,3 +173,16 @@ def latest_processing(files: DataFrame) -> DataFrame:
     prefix = F.expr("substring(name, 1, char_length(name) - 9)")
     w = Window.partitionBy("date", prefix).orderBy("name")
     return files.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+
+
+def max_post_days(magnitude: Column, revisit_days: Column) -> Column:
+    """Days after an earthquake for which its frames are followed: a number of acquisitions by magnitude, times the revisit time.
+
+    Fixed values: 3 below 6, 5 below 6.5, 7 below 7, 9 below 7.5, 5 below 8, then 13; 100 for a placeholder of magnitude 0.
+    """
+    steps = F.when(magnitude == 0, 100).when(magnitude < 6, 3).when(magnitude < 6.5, 5).when(magnitude < 7, 7).when(magnitude < 7.5, 9).when(magnitude < 8, 5).otherwise(13)
+    return steps * revisit_days
+
+
+def days_since_last(epochs: DataFrame, today: Column) -> DataFrame:
+    return epochs.groupBy("frame").agg(F.datediff(today, F.max("epoch")).alias("days"))

@@ -51,14 +51,14 @@ def seasonal_coherence(pairs: DataFrame, value: str = "coh", class_days: int = 1
     return rows.groupBy("row", "col", "class", "season").agg(F.avg(valid(value)).alias("mean"), F.count_distinct("epoch1", "epoch2").alias("pairs")).filter("pairs > 1")
 
 
-def multilook(pixels: DataFrame, looks: int, rows: int, cols: int, by: list[str], mag: str = "mag", pha: str = "pha", coh: str = "coh") -> DataFrame:
+def multilook(pixels: DataFrame, looks: int, rows: int, cols: int, by: list[str], mag: str = "mag", pha: str = "pha", coh: str = "coh", also: tuple[Column, ...] = ()) -> DataFrame:
     """Complex mean of looks x looks cells: phase, mean coherence, valid count; partial cells at the end are trimmed, and a cell with
-    fewer than four fifths valid is masked."""
+    fewer than four fifths valid is masked. ``also`` are further aggregates, such as the maximum of a mask or the mean height."""
     keep = (F.col("row") < rows - rows % looks) & (F.col("col") < cols - cols % looks)
     ok = F.col(pha).isNotNull() & valid(coh).isNotNull()
     re, im = (F.when(ok, F.col(mag) * f(F.col(pha))) for f in (F.cos, F.sin))
     cells = pixels.filter(keep).groupBy(*by, F.floor(F.col("row") / looks).alias("row"), F.floor(F.col("col") / looks).alias("col"))
-    out = cells.agg(F.avg(re).alias("re"), F.avg(im).alias("im"), F.avg(F.when(ok, F.col(coh))).alias("coh"), F.count_if(ok).alias("n"))
+    out = cells.agg(F.avg(re).alias("re"), F.avg(im).alias("im"), F.avg(F.when(ok, F.col(coh))).alias("coh"), F.count_if(ok).alias("n"), *also)
     return out.withColumns({"pha": F.when(F.col("n") >= looks * looks * 0.8, F.atan2("im", "re")), "masked": F.col("n") < looks * looks * 0.8})
 
 

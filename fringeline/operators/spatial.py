@@ -146,3 +146,11 @@ def adjacent_overlaps(bursts: DataFrame) -> DataFrame:
     rows = bursts.withColumns({"next": F.lead("bid").over(w), **{f"n_{c}": F.lead(c).over(w) for c in BOX}})
     box = {"lon1": F.greatest("lon1", "n_lon1"), "lon2": F.least("lon2", "n_lon2"), "lat1": F.greatest("lat1", "n_lat1"), "lat2": F.least("lat2", "n_lat2")}
     return rows.filter("next is not null").withColumns({f"o_{c}": e for c, e in box.items()}).filter("o_lon1 <= o_lon2 and o_lat1 <= o_lat2").select("bid", "next", *[F.col(f"o_{c}").alias(c) for c in BOX])
+
+
+def not_contained(boxes: DataFrame, others: DataFrame, key: str, other: str, size: float = 1.0) -> DataFrame:
+    """Boxes that lie in no other box (of another id, where both tables are the same)."""
+    pairs = boxes_overlap(boxes.select(key, *BOX), others.select(F.col(other).alias("__other"), *BOX), size)
+    inside = (F.col("lon1") >= F.col("r_lon1")) & (F.col("lon2") <= F.col("r_lon2")) & (F.col("lat1") >= F.col("r_lat1")) & (F.col("lat2") <= F.col("r_lat2"))
+    hit = pairs.filter(inside if key != other else inside & (F.col(key) != F.col("__other"))).select(key).distinct()
+    return boxes.join(hit, key, "left_anti")

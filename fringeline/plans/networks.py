@@ -210,3 +210,13 @@ def f14_start_dates(spark, sf_dir):
 def f15_rereference(spark, sf_dir):
     s = N.rereference(_series(spark, sf_dir), F.lit("2024-01-10").cast("date"))
     return _days(s, "epoch").select("frame", "epoch", (F.round("value", 6) + F.lit(0.0)).alias("value"))
+
+
+@query("SELECT id, CAST(6 * CASE WHEN round(magnitude, 1) < 6 THEN 3 WHEN round(magnitude, 1) < 6.5 THEN 5 WHEN round(magnitude, 1) < 7 THEN 7 WHEN round(magnitude, 1) < 7.5 THEN 9 WHEN round(magnitude, 1) < 8 THEN 5 ELSE 13 END AS BIGINT) AS days FROM @quakes")
+def f09_max_post_days(spark, sf_dir):
+    return view(spark, sf_dir, "quakes").select("id", N.max_post_days(F.round("magnitude", 1), F.lit(6)).cast("long").alias("days"))
+
+
+@query("SELECT frame, CAST(DATE '2024-03-01' - max(epoch) AS BIGINT) AS days FROM @epochs GROUP BY frame")
+def f09_days_since_last(spark, sf_dir):
+    return N.days_since_last(_e(spark, sf_dir), F.lit("2024-03-01").cast("date")).withColumn("days", F.col("days").cast("long"))

@@ -59,11 +59,11 @@ def e08_stack_median(spark, sf_dir):
     return _r(_pix(spark, sf_dir).groupBy("row", "col").agg(F.median(R.valid("mag")).alias("median"), F.count(R.valid("mag")).alias("n")), "median")
 
 
-@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked
+@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(max(mag), 4) AS hgt
     FROM (SELECT *, CASE WHEN coh IS NOT NULL THEN mag * cos(pha) END AS re, CASE WHEN coh IS NOT NULL THEN mag * sin(pha) END AS im FROM {_PX} p) WHERE "row" < 39 AND col < 24 GROUP BY 1, 2, 3""")
 def e09_multilook(spark, sf_dir):
-    m = R.multilook(_pix(spark, sf_dir), 3, 40, 25, ["epoch"])
-    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked"), "re", "im", digits=4), "coh")
+    m = R.multilook(_pix(spark, sf_dir), 3, 40, 25, ["epoch"], also=(F.max("mag").alias("hgt"),))
+    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", "hgt"), "re", "im", "hgt", digits=4), "coh")
 
 
 @query("""WITH s AS (SELECT "row", col, avg(mag) AS mag, avg(pha) AS pha, min(coh) AS k FROM @pixels GROUP BY 1, 2), z AS (SELECT "row", col, mag * cos(pha) AS a, mag * sin(pha) AS b, mag / 2 * cos(pha + k) AS c, mag / 2 * sin(pha + k) AS d FROM s)
@@ -289,3 +289,12 @@ def e33_electron_slope(spark, sf_dir):
 def e24_huber_slope(spark, sf_dir):
     p = _pix(spark, sf_dir).select("epoch", F.floor(F.col("row") / 10).alias("block"), (F.col("mag") / 1000).alias("hgt"), "pha")
     return _r(L.huber_slope(p, ["epoch", "block"], "hgt", "pha").withColumn("epoch", F.col("epoch").cast("string")), "slope", "intercept", digits=4)
+
+
+@query(f"""WITH t AS (SELECT * FROM (VALUES ('a', DATE '1995-03-10', DATE '1996-08-20'), ('b', DATE '1996-01-01', DATE '1998-12-31')) v(period, start, stop))
+    SELECT "row", period, round(regr_slope(pha, (epoch - DATE '2000-01-01') / 365.25), 4) AS vel, count(pha) AS n FROM {_PX} p JOIN t ON p.epoch BETWEEN t.start AND t.stop GROUP BY 1, 2""")
+def e27_period_velocity(spark, sf_dir):
+    t = spark.createDataFrame([("a", "1995-03-10", "1996-08-20"), ("b", "1996-01-01", "1998-12-31")], "period string, start string, stop string")
+    t = t.select("period", F.to_date("start").alias("start"), F.to_date("stop").alias("stop"))
+    v = L.period_velocity(_pix(spark, sf_dir), t, ["row"], "pha")
+    return _r(v.select("row", "period", "vel", "n"), "vel", digits=4)

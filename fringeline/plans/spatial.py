@@ -119,3 +119,9 @@ def d34_match_points(spark, sf_dir):
 def e34_burst_list(spark, sf_dir):
     b, f = _v(spark, sf_dir, "bursts", "frames")
     return S.boxes_overlap(b.select("bid", "relorb", "iw", *S.BOX), f.select("polyid", *S.BOX)).groupBy("polyid", "relorb", "iw").agg(F.count("*").alias("n"))
+
+
+@query("SELECT bid FROM @bursts b WHERE NOT EXISTS (SELECT 1 FROM @frames f WHERE b.lon1 >= f.lon1 AND b.lon2 <= f.lon2 AND b.lat1 >= f.lat1 AND b.lat2 <= f.lat2)")
+def e22_not_contained(spark, sf_dir):
+    b, f = _v(spark, sf_dir, "bursts", "frames")
+    return S.not_contained(b, f, "bid", "polyid").select("bid")
