@@ -90,10 +90,11 @@ def d28_nearest_pixel(spark, sf_dir):
     return p.select("bid", F.col("row").alias("row_"), F.col("col").alias("col_"))
 
 
-@query("""WITH w AS (SELECT bid, lon1, lon2, lat1, lat2, lead(bid) OVER o AS nb, lead(lon1) OVER o AS a1, lead(lon2) OVER o AS a2, lead(lat1) OVER o AS b1, lead(lat2) OVER o AS b2 FROM @bursts WINDOW o AS (PARTITION BY relorb % 3, iw ORDER BY tanx, bid))
+@query("""WITH w AS (SELECT bid, lon1, lon2, lat1, lat2, lead(bid) OVER o AS nb, lead(lon1) OVER o AS a1, lead(lon2) OVER o AS a2, lead(lat1) OVER o AS b1, lead(lat2) OVER o AS b2 FROM (SELECT bid, relorb, iw, tanx, lon - 60 AS lon1, lon + 60 AS lon2, lat - 40 AS lat1, lat + 40 AS lat2 FROM @bursts) WINDOW o AS (PARTITION BY relorb % 3, iw ORDER BY tanx, bid))
     SELECT bid, nb AS next, round(greatest(lon1, a1), 6) AS lon1, round(least(lon2, a2), 6) AS lon2 FROM w WHERE nb IS NOT NULL AND greatest(lon1, a1) <= least(lon2, a2) AND greatest(lat1, b1) <= least(lat2, b2)""")
 def d29_adjacent_overlap(spark, sf_dir):
-    b = view(spark, sf_dir, "bursts").withColumn("relorb", F.col("relorb") % 3)
+    wide = {"lon1": F.col("lon") - 60, "lon2": F.col("lon") + 60, "lat1": F.col("lat") - 40, "lat2": F.col("lat") + 40}
+    b = view(spark, sf_dir, "bursts").withColumns({"relorb": F.col("relorb") % 3, **wide})
     return S.adjacent_overlaps(b).select("bid", "next", F.round("lon1", 6).alias("lon1"), F.round("lon2", 6).alias("lon2"))
 
 
