@@ -56,3 +56,20 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license)}
+
+#: Where SQL can express a query; the others are tested against plain Python versions.
+ORACLE_SQL = {
+    "op7_chat": r"""WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+          UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n, count(*) OVER (PARTITION BY conv_id) AS total,
+          length('<turn ' || role || '>') + 1 + length(regexp_replace(text, '<(\\*)(/?turn)', '<\\\1\2', 'g')) + length('</turn>') + 1 AS chars FROM c),
+        q AS (SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS prefix FROM p)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+          CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+          sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+          CAST(sum(prefix) FILTER (WHERE role = 'assistant' OR n = total) AS BIGINT) AS formatted_chars
+        FROM q GROUP BY conv_id""",
+    "op9_exact_dedup": r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS flat FROM documents),
+        g AS (SELECT flat, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY flat)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(flat) AS text_sha256 FROM t JOIN g USING (flat)""",
+}

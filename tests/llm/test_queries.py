@@ -8,7 +8,7 @@ import pytest
 from tests.llm import brute
 
 pytest.importorskip("fringeline.llm")
-from fringeline.llm.queries import QUERIES  # noqa: E402
+from fringeline.llm.queries import ORACLE_SQL, QUERIES  # noqa: E402
 
 
 def table(sf_dir, name, cols):
@@ -128,3 +128,13 @@ def test_op10(spark, sf_dir, docs):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.licenses(texts[r.doc_id])
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
         assert r.score == 1 or not r.n_base
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_oracle_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    found = con.sql(ORACLE_SQL[name])
+    ours = QUERIES[name](spark, sf_dir)
+    assert sorted(map(str, map(tuple, ours.select(*found.columns).collect()))) == sorted(map(str, found.fetchall()))
