@@ -13,6 +13,10 @@ variants meet in one bucket, and the whole fingerprints are verified there.
   than two chunks, and all pairs of chunks are still compared.
 * Links are joined to components by alternating large and small stars; every round is written to the shared folder.
 
+The pipeline's stage (``keep_one``) has a wider rule, a Jaccard similarity of 0.8 of five-word shingles, which lies about ten bits
+apart: no segment of a 64-bit fingerprint finds that. Its candidates share a band of MinHash values, and every link is verified
+on the two sets of shingles.
+
 Null texts count as empty. A text without words has fingerprint 0, linked like any other. Rows with the
 same ``doc_id`` each get a result row; a null ``doc_id`` takes part in links and never names a component
 that has another id.
@@ -43,6 +47,17 @@ BUCKET_ROWS = 100_000
 SMALL_BUCKET = 48
 _CHUNK = 1 << 16
 
+#: The pipeline's stage has a rule of its own: near copies share SIMILARITY of their sets of STAGE_WORDS-word shingles.
+STAGE_WORDS = 5
+SIMILARITY = 0.8
+#: Minima of BANDS * BAND_ROWS hash functions; at a similarity of 0.8 a pair shares no band's key once in 2,800 times.
+BANDS, BAND_ROWS = 20, 5
+#: Sets of a bucket that are paired one by one; a larger bucket is searched in chunks of up to TILE_ROWS sets.
+PAIR_ROWS = 32
+TILE_ROWS = 2_000
+_FACTORS, _OFFSETS = np.random.default_rng(HASH_SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
+_FACTORS |= np.uint64(1)
+
 _SEGMENT_OF = [next(i for i, (a, n) in enumerate(SEGMENTS) if a <= b < a + n) for b in range(64)]
 _SEGMENT_MASK = [((1 << n) - 1) << a for a, n in SEGMENTS]
 _MASKS = [_SEGMENT_MASK[_SEGMENT_OF[b]] & ~(1 << b) for b in range(64)]
@@ -226,11 +241,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, component_id) for every row: the component's smallest id, by links of MAX_BITS or fewer bits."""
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp")))
+def _named(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Rows (doc_id, fp) with links between values of fp -> (doc_id, fp, component_id), the component's smallest id."""
     prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    roots = written(components(links(prints.select("fp"))).withColumnRenamed("node", "fp"))
+    roots = written(components(edges).withColumnRenamed("node", "fp"))
     named = prints.join(roots, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
     # Only fingerprints with a link (or at the root of some) need their component's smallest id looked up.
     hubs = roots.select("root").distinct()
@@ -241,7 +255,125 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, fp, component_id) for every row: the component's smallest id, by links of MAX_BITS or fewer bits."""
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp")))
+    return _named(rows, links(rows.select("fp").distinct()))
+
+
+def shingle_set(text: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the STAGE_WORDS-word shingles of one UTF-8 text."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    flat = b" ".join(words)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[: max(1, len(words) - STAGE_WORDS + 1)].tolist()
+    ends, digest = ends[min(STAGE_WORDS, len(words)) - 1 :].tolist(), xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(flat[a:b], HASH_SEED) for a, b in zip(starts, ends)], np.uint64))
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """A key for each band of BAND_ROWS minima; two sets share one with probability 1 - (1 - J ** BAND_ROWS) ** BANDS."""
+    if not len(shingles):
+        return np.zeros(0, np.int64)
+    low = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
+    for i in range(0, len(shingles), 1024):
+        np.minimum(low, (shingles[i : i + 1024, None] * _FACTORS + _OFFSETS).min(axis=0), out=low)
+    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(low.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
+
+
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("shingles", T.BinaryType())]))
+def shingled_udf(text: pd.Series) -> pd.DataFrame:
+    sets = [shingle_set((t or "").encode()) for t in text]
+    return pd.DataFrame({"fp": [_signed(xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED)) for s in sets], "bands": [band_keys(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+
+
+@F.pandas_udf(T.DoubleType())
+def similarity_udf(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Jaccard similarity of two sets of hashes."""
+
+    def of(a: bytes, b: bytes) -> float:
+        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both / max(1, len(x) + len(y) - both)
+
+    return pd.Series([of(a, b) for a, b in zip(left, right)], dtype="float64")
+
+
+def _search_sets(fp: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """As _search, by similarity of sets: an edge from every linked member to the smallest of its component.
+
+    Sizes of all intersections come from products of 0-1 matrices over the hashes that two sets or more hold.
+    """
+    order = np.argsort(fp, kind="stable")
+    fp, sets = fp[order], [sets[i] for i in order]
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, col, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    own = seen[col] > 1
+    col, owner = (np.cumsum(seen > 1) - 1)[col[own]], owner[own]
+    by = np.argsort(col, kind="stable")
+    col, owner = col[by], owner[by]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int(col[-1]) + 1 if len(col) else 0, 1024):
+        lo, hi = np.searchsorted(col, (start, start + 1024))
+        x = np.zeros((len(sets), 1024), np.float32)
+        x[owner[lo:hi], col[lo:hi] - start] = 1
+        for i in range(0, len(sets), 512):
+            both[i : i + 512] += x[i : i + 512] @ x.T
+    rest, left, right = np.arange(len(sets)), [], []
+    while len(rest) > 1:
+        root, rest = rest[0], rest[1:]
+        queue = [root]
+        while queue and len(rest):
+            i = queue.pop()
+            n = both[i, rest].astype(np.float64)
+            near = n / (size[i] + size[rest] - n) >= SIMILARITY
+            if near.any():
+                found, rest = rest[near], rest[~near]
+                left.extend(fp[found].tolist())
+                right.extend([int(fp[root])] * len(found))
+                queue.extend(found)
+    return left, right
+
+
+def _set_links(group: pd.DataFrame) -> pd.DataFrame:
+    a, b = _search_sets(group["fp"].to_numpy(), [np.frombuffer(s, np.uint64) for s in group["shingles"]])
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def similar_links(rows: DataFrame, pair_rows: int = PAIR_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Edges (a, b) that connect the sets ``fp`` of a similarity of SIMILARITY or more, among those that share a band's key.
+
+    rows: (fp, bands, shingles). Sets of a small bucket are paired; a larger one is searched with removal, in tiles of chunks
+    of ``tile_rows`` sets at most, all pairs of which are compared.
+    """
+    index = rows.groupBy("fp").agg(F.first("bands").alias("bands")).select("fp", F.explode("bands").alias("key"))
+    index = written(index)
+    sizes = index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(index.join(sizes, "key").select("key", "fp", "n"))
+    sets = written(rows.select("fp", "shingles").join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
+    small = shared.filter(F.col("n") <= pair_rows)
+    pairs = small.select("key", F.col("fp").alias("a")).join(small.select("key", F.col("fp").alias("b")), "key").filter("a > b").select("a", "b").distinct()
+    one, two = (sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    found = pairs.join(one, "a").join(two, "b").filter(similarity_udf("sa", "sb") >= SIMILARITY).select("a", "b")
+    c, j, n = F.col("c"), F.col("j"), F.col("chunks")
+    large = (
+        shared.filter(F.col("n") > pair_rows)
+        .withColumn("chunks", F.ceil(F.col("n") / tile_rows).cast("int"))
+        .withColumn("c", F.pmod(F.xxhash64("fp"), n).cast("int"))
+        .withColumn("j", F.explode(F.sequence(F.lit(0), n - 1)))
+        .select("key", (F.least(c, j) * n + F.greatest(c, j)).cast("int").alias("tile"), "fp")
+    )
+    return found.union(large.join(sets, "fp").groupBy("key", "tile").applyInPandas(_set_links, "a long, b long"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are near copies of a row with a smaller id; rows without an id stay."""
-    other = near_duplicates(docs, id_col, text_col).filter("doc_id != component_id").select(F.col("doc_id").alias("__drop")).distinct()
+    """``docs`` without the rows that are near copies of a row with a smaller id; rows without an id stay.
+
+    Near copies are linked by a similarity of SIMILARITY or more of their sets of STAGE_WORDS-word shingles.
+    """
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), shingled_udf(F.col(text_col)).alias("s")).select("doc_id", "s.*"))
+    other = _named(rows.select("doc_id", "fp"), similar_links(rows)).filter("doc_id != component_id").select(F.col("doc_id").alias("__drop")).distinct()
     return docs.join(other, docs[id_col] == other["__drop"], "left_anti")
