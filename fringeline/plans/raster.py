@@ -19,7 +19,7 @@ def _pix(spark, sf_dir):
 
 def _grid(spark, sf_dir):
     """v_grid: embeddings as one grid, in hundredths so that both engines add the same integers."""
-    e = table(spark, sf_dir, "embeddings").filter("vec_id < 500")
+    e = table(spark, sf_dir, "embeddings")
     g = e.select(F.col("vec_id").alias("row"), F.posexplode("embedding").alias("col", "v"))
     return g.select("row", F.col("col").cast("long").alias("col"), F.round(F.col("v").cast("double") * 1000).cast("long").alias("value"))
 
