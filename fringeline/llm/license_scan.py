@@ -3,7 +3,7 @@
 Texts are lower-cased (A-Z) and cut into words. Base phrases are places where a phrase's words stand consecutively.
 The fuzzy search allows a notice ``errors`` edits: it is cut into errors + 1 seeds, of which one must stand unchanged
 (pigeonhole); one pass of an automaton over all seeds finds them, and the regex library's bounded-error matching verifies
-the text around each seed and gives the span of the best match.
+the text around each seed and gives the span of the best match, then of the best ones on both sides of it, and so on.
 
 Null texts are empty: no words, score 0. Repeated rows get the same result. There is no shuffle.
 """
@@ -64,7 +64,7 @@ def engine():
 
 
 def _fuzzy(flat: str) -> list[tuple[int, int, int, int]]:
-    """(notice, start, end, edits) in the flat text; one for each region of seeds."""
+    """(notice, start, end, edits) in the flat text; the best match of each region of seeds and those beside it."""
     automaton, verify = engine()
     regions: dict[int, list[list[int]]] = {}
     for last, (length, uses) in automaton.iter(flat):
@@ -80,8 +80,14 @@ def _fuzzy(flat: str) -> list[tuple[int, int, int, int]]:
     out = []
     for i, own in regions.items():
         for start, end in own:
-            for m in verify[i].finditer(flat, max(0, start), min(len(flat), end)):
-                out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+            # the best match of a region hides worse ones before it, so both sides of it are searched as well
+            parts = [(max(0, start), min(len(flat), end))]
+            while parts:
+                left, right = parts.pop()
+                m = verify[i].search(flat, left, right) if right > left else None
+                if m:
+                    out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
+                    parts += [(left, m.start()), (m.end(), right)]
     return out
 
 

@@ -5,7 +5,7 @@ import random
 import pytest
 
 pytest.importorskip("fringeline.llm")
-from fringeline.llm import simhash  # noqa: E402
+from fringeline.llm import license_scan, simhash  # noqa: E402
 from fringeline.llm.common import written  # noqa: E402
 
 
@@ -29,3 +29,9 @@ def test_near_copies_by_five_word_similarity(spark, pair_rows, tile_rows):
     found = {max(of[r.a], of[r.b]) for r in simhash.similar_links(sets, pair_rows, tile_rows).collect()}
     assert found == {d for d, j in want.items() if j >= 0.8}
     assert {d for d, in df.select("doc_id").collect()} - {r.doc_id for r in simhash.keep_one(df).collect()} == found
+
+
+def test_license_occurrences_beside_a_better_one():
+    text = "mozila public license mozilla public license mozilla publik licence and mozilla public license"
+    found = [(m["start"], m["end"], m["edits"]) for m in license_scan.scan(text)[-1] if m["label"] == "mpl"]
+    assert found == [(0, 21, 1), (22, 44, 0), (45, 67, 2), (72, 94, 0)]
