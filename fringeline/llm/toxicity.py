@@ -1,12 +1,12 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word's vector is the mean of the vectors of its hashed character n-grams and of the word itself. A text is read in windows of
-``WINDOW`` words; a window's vector is the mean over its distinct words (missing ones count as zero), a two-class softmax reads
+A word's vector is the mean of the vectors of its hashed character n-grams and of the word itself. A text is read in all windows of
+``WINDOW`` words, or in one if it is shorter; a window's vector is the mean over its distinct words (missing ones count as zero), a two-class softmax reads
 it, and the text's score is that of its worst window, so that a long text doesn't dilute what one passage says. Misspelt words share n-grams with the words that
 were trained.
 
-Embeddings and softmax are trained together by Adam on a bounded sample of the labelled rows: at most ``SAMPLE`` of each class
-by seeded hash, of ``TRAIN_BYTES`` bytes or fewer. First on whole texts, then on the window of each text that the model of the
+Embeddings and softmax are trained together by Adam on a bounded sample of the labelled rows: of those of
+``TRAIN_BYTES`` bytes or fewer, at most ``SAMPLE`` of each class by seeded hash. First on whole texts, then on the window of each text that the model of the
 round before holds to be the worst. Scoring reads every whole text.
 
 All of it is linear before the softmax, so a bucket acts on the logit by one number: what goes to the executors is ``BUCKETS``
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -125,24 +126,45 @@ def train(texts: list[bytes], labels: list[int]) -> tuple[np.ndarray, float]:
     known = flat >= 0
     whole = Bags(doc[known], flat[known], 1 / lengths[doc[known]], len(ids), len(own))
     place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    _, win = np.unique(doc * (1 << 32) + place // WINDOW, return_inverse=True)
-    win_size = np.bincount(win)
-    win_doc = np.zeros(len(win_size), np.int64)
-    win_doc[win] = doc
-    # a window is its distinct words over WINDOW places, so neither repeats nor a short last window weigh more
-    pairs = np.unique(win[known].astype(np.int64) * max(1, len(own)) + flat[known])
-    windows = Bags(pairs // max(1, len(own)), pairs % max(1, len(own)), np.full(len(pairs), 1 / WINDOW), len(win_size), len(own))
+    begin = np.cumsum(lengths) - lengths
+    first_at, spot = np.repeat(begin, lengths), np.arange(len(flat))
+    place = spot - first_at
+    opens = place <= np.maximum(lengths - WINDOW, 0)[doc]
+    # a word counts in the windows that begin behind its last occurrence in the text
+    order = np.lexsort((spot, flat, doc))
+    before = np.full(len(flat), -1)
+    same = (doc[order][1:] == doc[order][:-1]) & (flat[order][1:] == flat[order][:-1])
+    before[order[1:][same]] = order[:-1][same]
+    low = np.maximum(np.maximum(first_at, spot - WINDOW + 1), before + 1)
+    half = np.unique(doc * (1 << 32) + place // (WINDOW // 2), return_inverse=True)[1]
+
+    def worst(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place, text) of the worst window of each text; HARD of a text of class 0, begun in different halves of a window."""
+        v = np.where(known, np.append(value, 0.0)[flat], 0.0)
+        step = np.bincount(low, v, len(flat) + 1) - np.bincount(spot + 1, v, len(flat) + 1)
+        z = np.cumsum(step)[:-1] / np.minimum(WINDOW, lengths)[doc]
+        start = spot[opens][np.lexsort((-z[opens], half[opens]))]
+        start = start[np.diff(half[start], prepend=-1) != 0]
+        start = start[np.lexsort((-z[start], doc[start]))]
+        rank = np.arange(len(start)) - np.maximum.accumulate(np.where(np.diff(doc[start], prepend=-1) != 0, np.arange(len(start)), 0))
+        start = start[rank < np.where(y[doc[start]] == 1, 1, HARD)]
+        return start, doc[start]
+
+    def bags_of(start: np.ndarray) -> Bags:
+        """A window is its distinct words over WINDOW places, or over the places of a shorter text."""
+        size = np.minimum(WINDOW, lengths[doc[start]])
+        row = np.repeat(np.arange(len(start)), size)
+        at = np.repeat(start, size) + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        pairs = np.unique(row[known[at]] * max(1, len(own)) + flat[at[known[at]]])
+        row = pairs // max(1, len(own))
+        return Bags(row, pairs % max(1, len(own)), 1 / size[row], len(start), len(own))
 
     rng = np.random.default_rng(SEED)
     par = [rng.normal(0, 0.1, (len(used), DIM)).astype(np.float32), rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)]
     _adam(par, words, whole, y, ROUNDS[0])
     for steps in ROUNDS[1:]:
-        z = windows.dot(words.dot(par[0])) @ (par[1][:, 1] - par[1][:, 0])
-        order = np.lexsort((-z, win_doc))
-        first = np.maximum.accumulate(np.where(np.diff(win_doc[order], prepend=-1) != 0, np.arange(len(order)), 0))
-        rank = np.arange(len(order)) - first
-        top = order[rank < np.where(y[win_doc[order]] == 1, 1, HARD)]  # the worst windows of each text
-        _adam(par, words, windows.only(top), y[win_doc[top]], steps)
+        start, text = worst((words.dot(par[0]) @ (par[1][:, 1] - par[1][:, 0])).astype(np.float64))
+        _adam(par, words, bags_of(start), y[text], steps)
     logit = np.zeros(BUCKETS, np.float32)
     logit[used] = _SCALE * (par[0] @ (par[1][:, 1] - par[1][:, 0]))
     return logit, float(par[2][1] - par[2][0])
@@ -156,11 +178,12 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     """Train on the bounded sample, outside the held-out fold."""
     known = labels.filter("toxic in (0, 1)").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    short = docs.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
+    known = known.join(short.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64(F.col("doc_id").cast("string"), F.lit(SEED))
     parts = [known.filter(F.col("toxic") == t).orderBy(order, "doc_id").limit(SAMPLE) for t in (0, 1)]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # SAMPLE rows of each class at most
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").filter(F.octet_length(F.coalesce("text", F.lit(""))) <= TRAIN_BYTES)
+    rows = short.select("doc_id", "text").join(chosen, "doc_id")
     got = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic").dropDuplicates(["doc_id"]).collect()
     got.sort(key=lambda r: r.doc_id)
     return train([r.text.encode() for r in got], [r.toxic for r in got])
@@ -179,7 +202,14 @@ class Scorer:
             kept[word] = sum(logit[b] for b in own) / len(own)
         z = self.bias
         if words:
-            z += max(sum(kept[w] for w in set(words[i : i + WINDOW])) for i in range(0, len(words), WINDOW)) / WINDOW
+            # a word counts in the windows that begin behind its last occurrence; sums of windows as running differences
+            n, last, step = len(words), {}, [0.0] * (len(words) + 1)
+            for j, w in enumerate(words):
+                v = kept[w]
+                step[max(last.get(w, -1) + 1, j - WINDOW + 1)] += v
+                step[j + 1] -= v
+                last[w] = j
+            z += max(accumulate(step[: max(1, n - WINDOW + 1)])) / min(WINDOW, n)
         if len(kept) > _KEPT_WORDS:
             kept.clear()
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))

@@ -5,7 +5,7 @@ import random
 import pytest
 
 pytest.importorskip("fringeline.llm")
-from fringeline.llm import license_scan, simhash  # noqa: E402
+from fringeline.llm import license_scan, simhash, toxicity  # noqa: E402
 from fringeline.llm.common import written  # noqa: E402
 
 
@@ -35,3 +35,38 @@ def test_license_occurrences_beside_a_better_one():
     text = "mozila public license mozilla public license mozilla publik licence and mozilla public license"
     found = [(m["start"], m["end"], m["edits"]) for m in license_scan.scan(text)[-1] if m["label"] == "mpl"]
     assert found == [(0, 21, 1), (22, 44, 0), (45, 67, 2), (72, 94, 0)]
+
+
+def test_toxic_passage_scores_alike_wherever_it_stands():
+    import numpy as np
+
+    logit = np.zeros(toxicity.BUCKETS, np.float32)
+    for b in {b for w in (b"utter", b"blockhead", b"dolt") for b in toxicity.subwords(w)}:
+        logit[b] = 40
+    scorer = toxicity.Scorer(logit, -4.0)
+    alone = scorer.score(b"utter blockhead dolt")
+    texts = [" ".join(["0"] * k + ["utter", "blockhead", "dolt"] + ["0"] * (60 - k)).encode() for k in range(61)]
+    scores = [scorer.score(t) for t in texts]
+    assert max(scores) - min(scores) < 1e-9 and 0.5 < max(scores) <= alone
+
+
+def test_rolling_windows_are_of_distinct_words():
+    import numpy as np
+
+    rng = random.Random(7)
+    scorer = toxicity.Scorer(np.random.default_rng(1).normal(0, 1, toxicity.BUCKETS), 0.1)
+    for n in (1, 5, 23, 24, 25, 80):
+        words = [rng.choice("abcdefghijklmnop").encode() * 3 for _ in range(n)]
+        got = scorer.score(b" ".join(words))
+        best = max(sum(scorer.kept[w] for w in set(words[i : i + 24])) for i in range(max(1, n - 23))) / min(24, n)
+        assert abs(got - 1 / (1 + np.exp(-0.1 - best))) < 1e-9
+
+
+def test_long_rows_do_not_use_up_the_training_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "SAMPLE", 5)
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: seen.append((len(texts), sum(labels))))
+    rows = [(i, ("long " * 4000 if i % 4 else "short") + str(i), i % 2 if i % 4 else i // 4 % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    toxicity.fit(docs.drop("toxic"), docs.drop("text"))
+    assert seen == [(10, 5)]
