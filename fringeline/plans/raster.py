@@ -206,7 +206,7 @@ def f21_gauss_smooth(spark, sf_dir):
     AND pow(a."row" - b."row", 2) + pow(a.col - b.col, 2) <= 4 WHERE a.value IS NULL AND b.value IS NOT NULL) SELECT g."row", g.col, coalesce(g.value, n.value) AS value FROM g LEFT JOIN n ON n."row" = g."row" AND n.col = g.col AND n.z = 1""")
 def f22_fill_nearest(spark, sf_dir):
     g = _grid(spark, sf_dir).withColumn("value", F.when(F.col("value") % 3 != 0, F.col("value")))
-    return R.fill_nearest(g, [], "value", 2).select("row", "col", "value")
+    return R.fill_nearest(g, [], "value", 2, grow=False).select("row", "col", "value")
 
 
 @query()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fringeline import plans
+from fringeline.operators import raster as R
 
 GRID = ["f16_gradient", "f17_residues", "f18_variance_coherence", "f19_moving_median", "f19_block_median", "f20_mode_median", "f21_gauss_smooth", "f22_fill_nearest", "f23_islands", "f24_resample"]
 
@@ -28,3 +29,13 @@ def test_moving_median_beyond_the_first_rows(spark, tall):
     for r in plans.QUERIES["f19_moving_median"](spark, tall).collect():
         near = sorted(grid[k] for i in (-1, 0, 1) for j in (-1, 0, 1) if (k := (r.row + i, r.col + j)) in grid)
         assert r.n == len(near) and r.median == (near[len(near) // 2] + near[(len(near) - 1) // 2]) / 2
+
+
+def test_wide_holes_are_filled_by_the_nearest(spark):
+    ok = {(0, 0): 1, (0, 11): 2, (9, 4): 3}
+    cells = [("f", r, c, ok.get((r, c))) for r in range(10) for c in range(12)] + [("empty", 0, 0, None)]
+    out = R.fill_nearest(spark.createDataFrame(cells, "frame string, row long, col long, value long"), ["frame"], "value", 2).collect()
+    assert len(out) == len(cells)
+    for r in out:
+        want = min((((r.row - a) ** 2 + (r.col - b) ** 2, a, b), v) for (a, b), v in ok.items())[1]
+        assert r.value == (want if r.frame == "f" else None)
