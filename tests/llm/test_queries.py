@@ -28,12 +28,14 @@ def test_op2(spark, sf_dir, docs):
     texts = dict(docs)
     rows = QUERIES["op2_pii"](spark, sf_dir).collect()
     assert len(rows) == len(docs)
+    terms = brute.pii_terms(docs)
+    assert sum(map(len, terms.values())) > 100
     for r in rows:
         counts, digest, spans = brute.pii(texts[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts and r.base_sha256 == digest
-        told = [s.split(":") for s in r.spans.split(",") if s]
-        assert [(k, int(a), int(b)) for k, a, b in told if k != "term"] == spans
-        assert sum(k == "term" for k, _, _ in told) == r.n_term
+        own = sorted([(a, list(brute.KINDS).index(k), k, b) for k, a, b in spans] + [(a, 4, "term", b) for a, b, _ in terms[r.doc_id]])
+        assert r.spans == ",".join(f"{k}:{a}:{b}" for a, _, k, b in own)
+        assert (r.n_term, r.n_removed) == (len(terms[r.doc_id]), sum(not put for *_, put in terms[r.doc_id]))
 
 
 def test_op3(spark, sf_dir, docs):
