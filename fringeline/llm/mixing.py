@@ -5,11 +5,13 @@
 2. A source's whole repeats come first. The remaining budget is fitted on the histogram: every length class gives its
    even share, the rest is given out from the longest class down until a bounded budget is left, and a
    bounded-knapsack dynamic program over that budget picks how many documents of each length are added.
-3. Of each class that many documents are selected, by seeded hash. The hash at which a class is cut is found by
-   ranking within hash ranges of about ``RANGE_ROWS`` rows, so one class may hold any share of the rows.
+3. Of each class exactly that many documents are selected, by seeded hash of id and text. The hash at which a class is cut is
+   found by ranking distinct hashes within hash ranges of about ``RANGE_ROWS`` rows, so one class may hold any share of the
+   rows. Rows of the same id and text share a hash; where a class is cut among them, ``report`` ranks them by row number in the same
+   way, and ``mixed`` lets one of them stand for all, as often as they are taken together.
 
-Null texts have no words and are taken zero words. Rows with one ``doc_id`` in one class have one hash; they
-are selected together. No document is taken more than ``MAX_REPEATS`` times.
+Null texts have no words and are taken zero words. No document is taken more than ``MAX_REPEATS`` times. Null and repeated ids are
+documents like others.
 """
 
 from __future__ import annotations
@@ -30,16 +32,20 @@ RANGE_ROWS = 5_000
 KNAPSACK_WORDS = 1 << 17
 #: Words by which the program may look beyond the budget for a nearer sum.
 OVER_WORDS = 4_096
-#: Rows of the class table up to which it is broadcast (under 100 bytes a row).
-BROADCAST_ROWS = 500_000
+#: Rows of the class table up to which it is broadcast: 64 MB at the 256 bytes that a row of it takes in memory.
+BROADCAST_ROWS = 250_000
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(NOT_SPACE)), F.lit(0)).cast("long")
 
 
-def _order_hash(doc_id: Column) -> Column:
-    return F.xxhash64(doc_id.cast("string"), F.lit(SEED))
+def _order_hash(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(doc_id.cast("string"), text, F.lit(SEED))
+
+
+def _small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE) -> DataFrame:
@@ -82,15 +88,31 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         more = min(int(counts[i] - take[i]), (left - KNAPSACK_WORDS // 2) // int(lengths[i]))
         take[i] += max(0, more)
         left -= max(0, more) * int(lengths[i])
-    if not 0 < left <= KNAPSACK_WORDS:
-        return take
-    # Bounded knapsack: chunks of 1, 2, 4, ... documents of a length; the first chunk that reached each sum.
-    end = left + OVER_WORDS
+    if left > 0:
+        take += _knapsack(lengths, counts - take, left)
+    # one document more may come nearer, though it is longer than what is left
+    left = budget - int((lengths * take).sum())
+    spare = np.flatnonzero((counts > take) & (lengths > 0))
+    if left > 0 and len(spare):
+        best = spare[np.argmin(np.abs(lengths[spare] - left))]
+        take[best] += abs(int(lengths[best]) - left) < left
+    return take
+
+
+def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Bounded knapsack: how many of each length to take for the sum nearest to ``budget``.
+
+    A budget above KNAPSACK_WORDS, where only documents of such lengths are left, is fitted on lengths scaled down to the table.
+    """
+    scale = -(-budget // KNAPSACK_WORDS)
+    lengths, budget = np.where(lengths > 0, np.maximum(1, np.rint(lengths / scale).astype(np.int64)), 0), budget // scale
+    take, end = np.zeros_like(counts), budget + OVER_WORDS
+    # chunks of 1, 2, 4, ... documents of a length; the first chunk that reached each sum
     chunks, reach, by = [], np.zeros(end + 1, bool), np.full(end + 1, -1, np.int64)
     reach[0] = True
-    for i in np.flatnonzero((lengths > 0) & (lengths <= end) & (counts > take)):
-        spare, size = min(int(counts[i] - take[i]), end // int(lengths[i])), 1
-        while spare and not reach[left]:
+    for i in np.flatnonzero((lengths > 0) & (lengths <= end) & (counts > 0)):
+        spare, size = min(int(counts[i]), end // int(lengths[i])), 1
+        while spare and not reach[budget]:
             size = min(size, spare)
             step = size * int(lengths[i])
             if step <= end:
@@ -102,10 +124,10 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
                 chunks.append((i, size, step))
             spare -= size
             size *= 2
-        if reach[left]:
+        if reach[budget]:
             break
     sums = np.flatnonzero(reach)
-    at = int(sums[np.argmin(np.abs(sums - left))])
+    at = int(sums[np.argmin(np.abs(sums - budget))])
     while at:
         i, size, step = chunks[by[at]]
         take[i] += size
@@ -123,10 +145,31 @@ def _fit_source(group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(whole=np.int32(whole), take=take)
 
 
+def _nth(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (*keys, x) with a weight each, wanted (*keys, nth, n) -> (*keys, cut, more, tied): the x at which the weights, in order of
+    x, sum to ``nth``; of the ``tied`` weight at that x ``more`` is wanted. x is a hash; ranges of it are counted, and rows are
+    ranked within the one that holds the place."""
+    w = wanted.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "nth", F.ceil(F.col("n") / RANGE_ROWS).cast("long").alias("ranges"))
+    on = [F.col(k).eqNullSafe(F.col(f"k{i}")) for i, k in enumerate(keys)]
+    piece = F.floor((F.col("x") / float(1 << 63) + 1.0) / 2.0 * F.col("ranges")).cast("long")
+    ranged = rows.join(_small(w), on).groupBy(*keys, "x", "nth", piece.alias("piece")).agg(F.sum("weight").alias("weight"))
+    upto = F.sum("rows").over(Window.partitionBy(*keys).orderBy("piece"))
+    ranges = ranged.groupBy(*keys, "piece", "nth").agg(F.sum("weight").alias("rows")).withColumn("upto", upto)
+    holds = written(
+        ranges.filter((F.col("upto") >= F.col("nth")) & (F.col("upto") - F.col("rows") < F.col("nth")))
+        .select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col("piece").alias("p"), (F.col("nth") - F.col("upto") + F.col("rows")).alias("rest"))
+    )
+    within = F.sum("weight").over(Window.partitionBy(*keys, "piece").orderBy("x"))
+    found = ranged.join(_small(holds), [*on, F.col("piece") == F.col("p")]).select(*keys, "x", "weight", "rest", within.alias("within"))
+    found = found.filter((F.col("within") >= F.col("rest")) & (F.col("within") - F.col("weight") < F.col("rest")))
+    return found.select(*keys, F.col("x").alias("cut"), (F.col("rest") - F.col("within") + F.col("weight")).alias("more"), F.col("weight").alias("tied"))
+
+
 def class_table(rows: DataFrame) -> DataFrame:
-    """rows (source, size, h) -> (source, source_size, target, size, whole, cut), one row for each class.
+    """rows (source, size, h) -> (source, source_size, target, size, whole, cut, more, tied), one row for each class. Written.
 
-    Each document of a class is taken ``whole`` times, and once more if its hash is at most ``cut``.
+    Each document of a class is taken ``whole`` times, and once more if its hash is below ``cut``; so are ``more`` of the ``tied``
+    documents whose hash is ``cut``.
     """
     classes = written(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = source_targets(classes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))).withColumnRenamed("source", "s")
@@ -136,59 +179,68 @@ def class_table(rows: DataFrame) -> DataFrame:
         .groupBy("source")
         .applyInPandas(_fit_source, "source string, size long, n long, source_size long, target double, whole int, take long")
     )
-    # The take-th smallest hash of a class: count its hash ranges, then rank within the one that holds the cut.
-    some = fitted.filter((F.col("take") > 0) & (F.col("take") < F.col("n"))).select(
-        F.col("source").alias("s"), F.col("size").alias("z"), "take", F.ceil(F.col("n") / RANGE_ROWS).cast("long").alias("ranges")
-    )
-    some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some
-    piece = F.floor((F.col("h") / float(1 << 63) + 1.0) / 2.0 * F.col("ranges")).cast("long")
-    ranged = rows.join(some, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).select("source", "size", "h", "take", piece.alias("piece"))
-    ranges = ranged.groupBy("source", "size", "piece", "take").agg(F.count("*").alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy("source", "size").orderBy("piece"))
-    holds = written(
-        ranges.withColumn("upto", upto)
-        .filter((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("rows") < F.col("take")))
-        .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("piece").alias("p"), (F.col("take") - F.col("upto") + F.col("rows")).alias("nth"))
-    )
-    at = F.row_number().over(Window.partitionBy("source", "size", "piece").orderBy("h"))
-    cuts = (
-        ranged.join(holds, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("piece") == F.col("p")))
-        .select("source", "size", "piece", "h", "nth", at.alias("at"))
-        .filter("at = nth")
-        .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("h").alias("cut"))
-    )
+    some = fitted.filter((F.col("take") > 0) & (F.col("take") < F.col("n"))).select("source", "size", F.col("take").alias("nth"), "n")
+    cuts = _nth(rows.select("source", "size", F.col("h").alias("x"), F.lit(1).cast("long").alias("weight")), some, ["source", "size"]).withColumnsRenamed({"source": "s", "size": "z"})
+    joined = fitted.join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
     none, every = F.lit(-(1 << 63)), F.lit((1 << 63) - 1)
     cut = F.when(F.col("take") <= 0, none).when(F.col("take") >= F.col("n"), every).otherwise(F.col("cut"))
-    return fitted.join(cuts, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left").select("source", "source_size", "target", "size", "whole", cut.alias("cut"))
+    # at the ends of the range all rows of the hash share its fate
+    more, tied = (F.when(F.col("take") <= 0, zero).when(F.col("take") >= F.col("n"), 1).otherwise(F.col(c)).cast("long") for c, zero in (("more", 0), ("tied", 1)))
+    return written(joined.select("source", "source_size", "target", "size", "whole", cut.alias("cut"), more.alias("more"), tied.alias("tied")))
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with __size, __source_size, __target and __repeats (how often the mix takes the row).
+def _classed(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """rows (source, size, h, ...) with the columns of their class."""
+    t = table.withColumnsRenamed({"source": "s", "size": "z"})
+    return rows.join(_small(t), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
 
-    The class table has a row for each source and length; up to BROADCAST_ROWS rows it is broadcast and no text is
-    shuffled, beyond that it is joined by a shuffle.
-    """
-    h = _order_hash(F.col("doc_id"))
-    rows = written(docs.select(F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), h.alias("h")))
-    table = written(class_table(rows).toDF("__s", "__source_size", "__target", "__z", "__whole", "__cut"))
-    table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    sized = docs.withColumns({"__size": word_count(F.col("text")), "__h": h})
-    return (
-        sized.join(table, F.col("source").cast("string").eqNullSafe(F.col("__s")) & (F.col("__size") == F.col("__z")), "left")
-        .withColumn("__repeats", F.col("__whole") + (F.col("__h") <= F.col("__cut")).cast("int") * (F.col("__whole") < MAX_REPEATS).cast("int"))
-        .drop("__s", "__z", "__whole", "__cut", "__h")
-    )
+
+def _repeats(at_cut: Column) -> Column:
+    """How often a row is taken; ``at_cut`` says whether one whose hash is the cut is among those taken once more."""
+    once = (F.col("h") < F.col("cut")) | ((F.col("h") == F.col("cut")) & at_cut)
+    return F.col("whole") + once.cast("int") * (F.col("whole") < MAX_REPEATS).cast("int")
+
+
+def _measured(docs: DataFrame, *more: Column) -> DataFrame:
+    text = F.col("text")
+    return docs.select(*more, F.col("source").cast("string").alias("source"), word_count(text).alias("size"), _order_hash(F.col("doc_id"), text).alias("h"))
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    return repeats(docs.select("doc_id", "source", "text")).select(
-        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), (F.col("__size") * F.col("__repeats")).alias("taken")
-    )
+    rows = written(_measured(docs, F.col("doc_id"), F.monotonically_increasing_id().alias("number")))
+    table = class_table(rows)
+    found = _classed(rows, table)
+    # classes that are cut among rows of the same id and text: those are ranked by a hash of their row's number
+    parted = table.filter((F.col("more") > 0) & (F.col("more") < F.col("tied")))
+    if not parted.limit(1).count():
+        taken = _repeats(F.col("more") > 0)
+    else:
+        keys, x = ["source", "size", "h"], F.xxhash64("number", F.lit(SEED))
+        wanted = parted.select("source", "size", F.col("cut").alias("h"), F.col("more").alias("nth"), F.col("tied").alias("n"))
+        last = written(_nth(rows.select(*keys, x.alias("x"), F.lit(1).cast("long").alias("weight")), wanted, keys).select("source", "size", F.col("cut").alias("last")))
+        last = last.withColumnsRenamed({"source": "s", "size": "z"})
+        found = found.join(_small(last), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")), "left")
+        taken = _repeats((F.col("more") > 0) & (F.col("last").isNull() | (x <= F.col("last"))))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * taken).alias("taken"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` as the mix takes them: rows repeated or left out; rows without words carry no weight and stay once."""
-    times = F.when(F.col("__size") == 0, F.lit(1)).otherwise(F.col("__repeats"))
-    found = repeats(docs).withColumn("__times", times).filter("__times > 0")
-    return found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*[found[c] for c in docs.columns])
+    """``docs`` as the mix takes them: rows repeated or left out; rows without words carry no weight and stay once.
+
+    The class table has a row for each source and length; up to BROADCAST_ROWS rows it is broadcast and no text is
+    shuffled, beyond that it is joined by a shuffle.
+    """
+    # a struct of all columns, so that none of the caller's names can clash
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    sized = packed.select("row", F.col("row.source").alias("source"), F.col("row.text").alias("text"), F.col("row.doc_id").alias("doc_id"))
+    table = class_table(written(_measured(sized)))
+    found = _classed(_measured(sized, F.col("row")), table)
+    parted = (F.col("h") == F.col("cut")) & (F.col("more") > 0) & (F.col("more") < F.col("tied"))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(_repeats(F.col("more") > 0))
+    out = found.filter(~parted).select("row", times.cast("long").alias("times"))
+    if table.filter((F.col("more") > 0) & (F.col("more") < F.col("tied"))).limit(1).count():
+        one = found.filter(parted & (F.col("size") > 0)).groupBy("source", "size", "h", "whole", "more").agg(F.first("row").alias("row"), F.count("*").alias("n"))
+        out = out.unionByName(one.select("row", (F.col("n") * F.col("whole") + F.when(F.col("whole") < MAX_REPEATS, F.col("more")).otherwise(0)).alias("times")))
+        out = out.unionByName(found.filter(parted & (F.col("size") == 0)).select("row", F.lit(1).cast("long").alias("times")))
+    return out.filter("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
