@@ -9,7 +9,8 @@
 
 The law is ``rows``: shard counts differ by one at most. Given the hashes, reruns agree at any partitioning of the input.
 Groups of equal texts are not kept together. Null texts count 8 bytes and have the checksum of an empty text.
-Repeated rows each get a place of their own.
+Repeated rows each get a place of their own: they are counted, the count is written out as numbers, and a row is dealt by its
+hash and number, so that copies spread over blocks however many there are.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ SHARDS = 24
 SEED = 7
 #: Rows of a block, and of a range within a shard, about.
 BLOCK_ROWS = 4_096
+#: Copies of a row that are numbered by a window; of more, one row stands for all.
+COPIES = 1_000
 _DEVIATIONS = 12
 
 
@@ -137,6 +140,18 @@ def assign(rows: DataFrame, key: list[str], shards: int = SHARDS, seed: int = SE
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Every row of a narrow table with its number among its copies, 0, 1, ...; rows are counted first, then written out again."""
+    counts = written(rows.groupBy(*rows.columns).agg(F.count("*").alias("__n")))
+    few = counts.filter(F.col("__n") <= COPIES).withColumn("__from", F.lit(0).cast("long"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1, F.lit(COPIES).cast("long")))
+    many = counts.filter(F.col("__n") > COPIES).withColumn("__from", chunk)
+    if many.limit(1).count():  # chunks of a large count go to different tasks
+        few = few.unionByName(many.repartition("__from", *rows.columns))
+    last = F.least(F.col("__from") + COPIES, F.col("__n")) - 1
+    return few.withColumn("copy", F.explode(F.sequence(F.col("__from"), last))).drop("__n", "__from")
+
+
 def measured(docs: DataFrame) -> DataFrame:
     """(doc_id, size, text_crc32)"""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -145,26 +160,37 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    placed = assign(written(measured(docs)), ["doc_id", "text_crc32"], shards)
+    placed = assign(written(numbered(measured(docs))), ["doc_id", "text_crc32", "size", "copy"], shards)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "__crc": F.crc32(text), "__bytes": (F.octet_length(text) + 8).cast("long")})
+def _row_hashes(docs: DataFrame) -> list[Column]:
+    """Two hashes of all columns, 96 bits together; maps, which have no hash, are hashed as JSON."""
+    cols = [F.to_json(F.struct(docs[c])) if "map<" in kind or kind == "variant" else docs[c] for c, kind in docs.dtypes]
+    return [F.xxhash64(F.lit(SEED), *cols), F.hash(F.lit(SEED), *cols)]
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` with shard and slot (shard_new and slot_new if it has such columns).
 
-    Places are drawn on keys alone; then one shuffle carries the texts to them. Repeated rows share a key, which holds all
-    their places, and take them in turn.
+    Places are drawn on hashes of rows alone; then one shuffle carries the texts to them. Copies of a row (equal in all columns) share a
+    hash, which holds all their places; they take them in turn. Where there are more than COPIES of a row, it is carried once.
     """
-    key = ["__id", "__crc", "__bytes"]
-    placed = assign(written(_keyed(docs).select(*key)), key, shards)
-    places = placed.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("__places"))
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-    out = _keyed(docs).withColumn("__nth", nth).join(places, key).withColumn("__place", F.get("__places", F.col("__nth") - 1))
     used = {c.lower() for c in docs.columns}
     shard, slot = (n if n not in used else f"{n}_new" for n in ("shard", "slot"))
-    return out.select(*[out[c] for c in docs.columns], F.col("__place.shard").alias(shard), F.col("__place.slot").alias(slot))
+    a, b = _row_hashes(docs)
+    # a struct of all columns, so that none of the caller's names can clash
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), a.alias("a"), b.alias("b"))
+    placed = written(assign(written(numbered(docs.select(a.alias("a"), b.alias("b")))), ["a", "b", "copy"], shards))
+    sizes = placed.groupBy("a", "b").agg(F.max("copy").alias("last"))
+    hot = written(sizes.filter(F.col("last") >= COPIES).select("a", "b"))
+    any_hot = bool(hot.limit(1).count())
+    few = placed.join(hot, ["a", "b"], "left_anti") if any_hot else placed
+    places = few.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("places"))
+    nth = F.row_number().over(Window.partitionBy("a", "b").orderBy(F.lit(0)))
+    usual = packed.join(hot, ["a", "b"], "left_anti") if any_hot else packed
+    out = usual.withColumn("nth", nth).join(places, ["a", "b"]).select("row", F.get("places", F.col("nth") - 1).alias("place"))
+    if any_hot:
+        one = written(packed.join(hot, ["a", "b"], "left_semi").groupBy("a", "b").agg(F.first("row").alias("row")))
+        out = out.unionByName(placed.join(one, ["a", "b"]).select("row", F.struct("shard", "slot").alias("place")))
+    return out.select("row.*", F.col("place.shard").alias(shard), F.col("place.slot").alias(slot))
