@@ -221,16 +221,17 @@ def links(fingerprints: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components: (node, root) with the smallest node as root, for nodes that have an edge.
 
-    Alternating large and small stars; hubs are reduced before they are shuffled, and joins back to them are
-    plain equi-joins that adaptive execution can split.
+    Alternating large and small stars; hubs are reduced before they are shuffled, and their minima are written before
+    they are joined back, so that both sides of the join are plain exchanges, which adaptive execution can split.
     """
     edges = written(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     for _ in range(max_rounds):
         both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = written(large)
+        low = written(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
         edges = written(small.filter("a != b").distinct())
         # wide sums, as these are hashes
@@ -241,24 +242,26 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _named(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Rows (doc_id, fp) with links between values of fp -> (doc_id, fp, component_id), the component's smallest id."""
-    prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+def _named(rows: DataFrame, edges: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows (..., fp) with links between values of fp -> with least, the smallest struct of ``order`` in the component. Written minima."""
+    prints = written(rows.groupBy("fp").agg(F.min(F.struct(*order)).alias("own")))
     roots = written(components(edges).withColumnRenamed("node", "fp"))
-    named = prints.join(roots, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
-    # Only fingerprints with a link (or at the root of some) need their component's smallest id looked up.
+    named = prints.join(roots, "fp", "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
+    # Only fingerprints with a link (or at the root of some) need their component's smallest row looked up.
     hubs = roots.select("root").distinct()
-    part = written(named.join(hubs, "root", "left_semi").select("fp", "root", "least_id"))
-    least = part.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    found = part.join(least, "root").select("fp", "component_id")
-    labels = prints.join(found, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+    part = written(named.join(hubs, "root", "left_semi"))
+    least = written(part.groupBy("root").agg(F.min("own").alias("least")))
+    found = written(part.join(least, "root").select("fp", "least"))
+    labels = written(prints.join(found, "fp", "left").select("fp", F.coalesce("least", "own").alias("least")))
+    return rows.join(labels, "fp")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) for every row: the component's smallest id, by links of MAX_BITS or fewer bits."""
     rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_udf(F.col(text_col)).alias("fp")))
-    return _named(rows, links(rows.select("fp").distinct()))
+    # ids before none
+    named = _named(rows, links(rows.select("fp").distinct()), [F.col("doc_id").isNull().alias("none"), F.col("doc_id")])
+    return named.select("doc_id", "fp", F.col("least.doc_id").alias("component_id"))
 
 
 def shingle_set(text: bytes) -> np.ndarray:
@@ -351,7 +354,7 @@ def similar_links(rows: DataFrame, pair_rows: int = PAIR_ROWS, tile_rows: int =
     """
     index = rows.groupBy("fp").agg(F.first("bands").alias("bands")).select("fp", F.explode("bands").alias("key"))
     index = written(index)
-    sizes = index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = written(index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     shared = written(index.join(sizes, "key").select("key", "fp", "n"))
     sets = written(rows.select("fp", "shingles").join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
     small = shared.filter(F.col("n") <= pair_rows)
@@ -370,10 +373,22 @@ def similar_links(rows: DataFrame, pair_rows: int = PAIR_ROWS, tile_rows: int =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that are near copies of a row with a smaller id; rows without an id stay.
+    """``docs`` with one row of each group of near copies: the one with the smallest id (rows without an id come last), then with
+    the smallest hash of its text. Of repeated rows (same id and text) any one stays.
 
-    Near copies are linked by a similarity of SIMILARITY or more of their sets of STAGE_WORDS-word shingles.
+    Near copies are linked by a similarity of SIMILARITY or more of their sets of STAGE_WORDS-word shingles. Rows are told apart by
+    id and text, so different texts under one id don't share their fate.
     """
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), shingled_udf(F.col(text_col)).alias("s")).select("doc_id", "s.*"))
-    other = _named(rows.select("doc_id", "fp"), similar_links(rows)).filter("doc_id != component_id").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(other, docs[id_col] == other["__drop"], "left_anti")
+    # a struct of all columns, so that none of the caller's names can clash
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", F.col("row")[id_col].alias("doc_id"), F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("print"))
+    rows = written(packed.select("doc_id", "print", shingled_udf(F.col("row")[text_col]).alias("s")).select("doc_id", "print", "s.*"))
+    keys = written(rows.groupBy("fp", "doc_id", "print").agg(F.count("*").alias("n")))
+    named = written(_named(keys, similar_links(rows), [F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("print")]))
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("print") == F.col("least.print"))
+    own, repeated = (named.filter(c).select(F.col("doc_id").alias("d"), F.col("print").alias("p")) for c in (~stays, stays & (F.col("n") > 1)))
+    same = lambda keys: packed["doc_id"].eqNullSafe(keys["d"]) & (packed["print"] == keys["p"])
+    left = packed.join(own, same(own), "left_anti")
+    if repeated.limit(1).count():
+        once = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "print"])
+        left = left.join(repeated, same(repeated), "left_anti").unionByName(once)
+    return left.select("row.*")

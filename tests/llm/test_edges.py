@@ -174,9 +174,31 @@ def test_mixing(spark, docs, empty):
     assert all(abs(x.taken - x.target) <= 5 for x in r), r
 
 
+def test_mixing_of_repeated_rows(spark):
+    """Rows without an id, or with the same one, are taken like others; so are repeated rows, one part of which the cut takes."""
+    for same in (False, True):
+        rows = [(None, "one two three" if same else f"one two w{i}", "a") for i in range(1000)] + [(7, f"w{0 if same else i} b", "b") for i in range(1000)]
+        rows += [(i, "x y z", "c") for i in range(500)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        got = mixing.report(df).groupBy("source_size").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.max(F.col("taken") / F.col("size")).alias("most")).collect()
+        assert len(got) == 3 and all(abs(r.taken - r.target) <= 3 and r.most <= 2 for r in got), got
+        mixed = mixing.mixed(df).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("words")).collect()
+        assert sorted(r.words for r in mixed) == sorted(r.taken for r in got)
+    extra = df.withColumns({"size": F.lit("s"), "h": F.lit("t"), "row": F.lit("u"), "__size": F.lit("v")})
+    assert {tuple(r) for r in mixing.mixed(extra).select("size", "h", "row", "__size").collect()} == {("s", "t", "u", "v")}
+
+
+def test_fit_of_long_documents():
+    import numpy as np
+
+    for lengths, counts, budget, off in [([100_000, 100_001, 100_002], [1, 1, 1], 150_000, 50_000), ([70_000], [5], 50_000, 20_000), ([300_000, 7], [3, 1], 500_000, 100_010), ([200_000, 210_001], [9, 9], 1_230_000, 20_000)]:
+        take = mixing.fit(np.array(lengths), np.array(counts), budget)
+        assert (take <= counts).all() and abs(int((np.array(lengths) * take).sum()) - budget) <= off
+
+
 def test_hot_class_is_cut_exactly(spark):
-    rows = spark.range(60_000).select(F.lit("s").alias("source"), F.lit(10).cast("long").alias("size"), mixing._order_hash(F.col("id")).alias("h"))
-    more = spark.range(20_000).select(F.lit("t").alias("source"), F.lit(7).cast("long").alias("size"), mixing._order_hash(F.col("id")).alias("h"))
+    rows = spark.range(60_000).select(F.lit("s").alias("source"), F.lit(10).cast("long").alias("size"), mixing._order_hash(F.col("id"), F.lit("")).alias("h"))
+    more = spark.range(20_000).select(F.lit("t").alias("source"), F.lit(7).cast("long").alias("size"), mixing._order_hash(F.col("id"), F.lit("")).alias("h"))
     both = rows.unionByName(more)
     t = mixing.class_table(both)
     got = both.join(t, ["source", "size"]).groupBy("source", "target").agg(F.sum(F.col("size") * (F.col("whole") + (F.col("h") <= F.col("cut")).cast("int") * (F.col("whole") < 2).cast("int"))).alias("taken")).collect()
@@ -281,3 +303,27 @@ def test_license(spark, docs, empty):
     assert got[1].labels == "mit" and 0 < got[1].score < 1 and got[2].labels == "apache-2" and got[3].labels == "" and got[4].n_base == 2 and (got[4].first_word, got[4].last_word) == (0, 3)
     hit = got[1].fuzzy[0]
     assert d.first().text[hit.start : hit.end].startswith("Permission is hereby") and hit.edits > 0
+
+
+def test_sharding_of_many_copies(spark, monkeypatch):
+    """Copies beyond the bound share one carried row; rows that differ in another column only keep it."""
+    monkeypatch.setattr(sharding, "COPIES", 50)
+    rows = [(None, "same", i % 2) for i in range(500)] + [(1, "t", 0), (1, "t", 1), (1, "t", 1)] + [(i, None, i) for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, copy long").withColumn("m", F.create_map(F.lit("k"), F.col("copy"))).withColumns({"a": F.lit(1), "__n": F.lit(2), "row": F.lit(3)})
+    out = sharding.sharded(df).collect()
+    assert sorted(((r.doc_id, r.text, r.copy, r.m["k"], r.a, r["__n"], r.row) for r in out), key=str) == sorted(((d, t, c, c, 1, 2, 3) for d, t, c in rows), key=str)
+    by = {}
+    for r in out:
+        by.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in by.values()) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    again = sharding.report(df.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, sharding.report(df.coalesce(1)).collect()))
+
+
+def test_near_copies_are_dropped_by_row(spark):
+    """One id with different texts: a copy of one text doesn't take the other with it; repeated rows leave one."""
+    t, u = ("%s one two three four five six seven eight nine ten eleven" % w for w in ("first", "a b c d e f g"))
+    df = spark.createDataFrame([(1, t), (5, t), (5, u), (5, u), (None, u), (None, "alone"), (9, None), (9, None), (8, "")], "doc_id long, text string").withColumns({"row": F.lit(1), "d": F.lit(2), "print": F.lit(3)})
+    out = simhash.keep_one(df)
+    assert out.columns == df.columns
+    assert sorted(((r.doc_id, r.text, r.row, r.d, r.print) for r in out.collect()), key=str) == sorted([(1, t, 1, 2, 3), (5, u, 1, 2, 3), (None, "alone", 1, 2, 3), (8, "", 1, 2, 3)], key=str)
