@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fringeline.storage import kept as kept
+from fringeline.storage import scratch as scratch
 from fringeline.storage import written as written
 
 #: White space of the contracts: ASCII only, which is also what bytes.split() cuts at.

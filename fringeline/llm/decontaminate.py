@@ -1,25 +1,32 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-1. The benchmark is the stated query set. It is read in blocks of at most ``BLOCK_WORDS`` words, so the
-   words that are broadcast have a fixed bound at any benchmark size.
-2. A pass over all documents counts the benchmark's words. Every window's ``ANCHORS`` rarest words become its
-   anchors.
-3. A second pass writes the postings of anchor words, for the windows of which a document has every anchor word: document,
-   position, the item position that it stands for, and how far the item's words agree to the left and right of it (at most a window).
-4. Postings are offset-adjusted (position minus item position) and intersected from the rarest word: a window is a
-   candidate on a diagonal where all its anchors stand. The agreement around the rarest anchor then verifies
-   the window word by word. Windows whose anchors are near each other, but which are not exact, are proximity matches.
-
-An item of fewer words than a window is one window; one without words has none. Null texts have no words.
-Documents are told apart by ``doc_id``; repeated rows get the same result. A null ``doc_id`` is a key of its own.
+1. ``build_index`` reads the documents once and stores the postings of every token. Documents are laid end to end in blocks of about
+   ``BLOCK_BYTES`` of text, with ``GAP`` empty places between them; a row of the index is a word in a block, with its
+   places in ascending order (four bytes each). A block's rows also give its documents and where they begin. The index knows nothing of
+   any benchmark, and serves any.
+2. The benchmark is the query set, a table like others: its words are joined with the index's counts, and each window of an
+   item gets its ``ANCHORS`` rarest words. Windows of an item with the same anchors are one search.
+3. The anchors' postings, and only those, are joined with the searches and meet in their block, where the lists less the anchors' positions
+   are intersected from the rarest word on. What is in all of them is a candidate; anchors that stand
+   within ``SLOP`` words of their places make a proximity match.
+4. The other words' postings are read for blocks with candidates, and the intersection goes on through all words of the
+   window: what is left is the exact phrase.
+
+A window is WINDOW consecutive words; an item of fewer words is one window; one without words has none. Null texts have no
+words. A row's hits are its own: rows are told apart by their place in the index, whatever their doc_id is.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,192 +34,226 @@ from fringeline.llm.common import ascii_words, joined_hash, written
 
 WINDOW = 10
 ANCHORS = 3
-#: Words of the benchmark that one block may hold; a longer item is a block of its own.
-BLOCK_WORDS = 200_000
 #: Words by which anchors of a proximity match may be off their places.
 SLOP = 8
-
-
-def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.binary()).to_pylist()
-
-
-def _counts(words: frozenset[bytes]):
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+BLOCK_BYTES = 16_000_000
+#: Places between two documents of a block; more than a window's words and SLOP together.
+GAP = 64
+#: Rows of a table of the benchmark up to which it is broadcast: 32 MB at the 320 bytes that one takes at most, words of 32 bytes.
+BROADCAST_ROWS = 100_000
+#: The index row under this word has the places where a block's documents begin.
+STARTS = b""
+
+
+def _small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def _block(number: int, texts: list[bytes]) -> tuple[list, list[int]]:
+    """((block, word, n, postings) of every word), words of every text."""
+    ids: defaultdict[bytes, int] = defaultdict(count().__next__)
+    tokens = [np.fromiter(map(ids.__getitem__, words), np.int64, len(words)) for words in map(ascii_words, texts)]
+    lengths = np.array([len(t) for t in tokens], np.int64)
+    starts = np.cumsum(lengths + GAP) - lengths - GAP
+    flat = np.concatenate(tokens)
+    at = np.arange(len(flat)) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
+    order = np.argsort(flat, kind="stable")
+    at, ends = at[order].astype("<u4"), np.cumsum(np.bincount(flat, minlength=len(ids))).tolist()
+    rows = [(number, STARTS, len(texts), starts.astype("<u4").tobytes())]
+    rows += [(number, w, b - a, at[a:b].tobytes()) for w, a, b in zip(ids, [0, *ends], ends)]
+    return rows, lengths.tolist()
+
+
+def _indexer(block_bytes: int, kind: pa.DataType):
+    names = ["block", "word", "n", "postings", "ord", "doc_id", "print", "n_words"]
+    types = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32(), kind, pa.int64(), pa.int64()]
+
+    def batch_of(cols: dict) -> pa.RecordBatch:
+        n = len(next(iter(cols.values())))
+        return pa.RecordBatch.from_arrays([cols[c].cast(t) if c in cols else pa.nulls(n, t) for c, t in zip(names, types)], names)
+
+    def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = count(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for text in _texts(batch):
-                total.update(filter(words.__contains__, ascii_words(text or b"")))
-        yield pa.RecordBatch.from_pydict({"word": pa.array(list(total), pa.binary()), "n": pa.array(list(total.values()), pa.int64())})
-
-    return counted
-
-
-def _windows(words: list[bytes], rarity, window: int, anchors: int) -> list[tuple[int, int, list[int]]]:
-    """(start, length, anchor positions, rarest first) of every window of one item."""
-    length = min(window, len(words))
-    return [
-        (s, length, sorted(range(s, s + length), key=lambda i: (rarity(words[i]), i))[:anchors])
-        for s in range(len(words) - length + 1)
-    ] if words else []
-
-
-def _postings(items: dict[int, list[bytes]], anchors: list[tuple[int, list[int]]], window: int):
-    """items: words by item number. anchors: (item number, anchor positions) of each window.
-
-    A document's postings are written for the windows of which it holds every anchor word; without one of
-    them a window can match neither exactly nor nearly.
-    """
-    windows_of: dict[bytes, list[int]] = defaultdict(list)
-    needed = []
-    for n, (item, at) in enumerate(anchors):
-        own = {items[item][a] for a in at}
-        needed.append(len(own))
-        for word in own:
-            windows_of[word].append(n)
-
-    def posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            rows: list[tuple[int, int, int, int, int, int]] = []
-            for row, text in enumerate(_texts(batch)):
-                words = ascii_words(text or b"")
-                met = Counter(n for w in windows_of.keys() & set(words) for n in windows_of[w])
-                wanted: dict[bytes, set[tuple[int, int]]] = defaultdict(set)
-                for n, k in met.items():
-                    if k == needed[n]:
-                        item, at = anchors[n]
-                        for a in at:
-                            wanted[items[item][a]].add((item, a))
-                for pos in [i for i, w in enumerate(words) if w in wanted] if wanted else ():
-                    for item, at in wanted[words[pos]]:
-                        own = items[item]
-                        left = right = 0
-                        while left < min(at, pos, window - 1) and own[at - left - 1] == words[pos - left - 1]:
-                            left += 1
-                        while right < min(len(own) - at, len(words) - pos, window) - 1 and own[at + right + 1] == words[pos + right + 1]:
-                            right += 1
-                        rows.append((row, item, at, pos, left, right))
-                if len(rows) > 50_000:
-                    yield _posting_batch(ids, rows)
-                    rows = []
-            yield _posting_batch(ids, rows)
-
-    return posted
-
-
-def _posting_batch(ids: pa.Array, rows: list[tuple[int, int, int, int, int, int]]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [()] * 6
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(cols[0], pa.int64())), *(pa.array(c, pa.int32()) for c in cols[1:])], ["doc_id", "item", "item_pos", "pos", "left", "right"])
-
-
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items as (id, words), streamed to the driver and handed on in blocks of bounded size."""
-    block, size = [], 0
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text").toLocalIterator():
-        words = ascii_words((row.text or "").encode())
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((row.i, words))
-        size += len(words)
-    if block:
-        yield block
-
-
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, item_id, start, length, exact): windows of the benchmark found in documents.
+            sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(sizes // block_bytes, prepend=0)).tolist()
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a < b:
+                    part, number = batch.slice(a, b - a), next(numbers)
+                    rows, lengths = _block(number, part.column("text").cast(pa.binary()).to_pylist())
+                    yield batch_of({c: pa.array(v) for c, v in zip(names, zip(*rows))})
+                    ones = pa.array(np.full(b - a, number))
+                    yield batch_of({"block": ones, "ord": pa.array(range(b - a)), "doc_id": part.column("doc_id"), "print": part.column("print"), "n_words": pa.array(lengths)})
+
+    return indexed
+
+
+def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The postings (block, word, n, postings) and the documents (block, ord, doc_id, print, n_words), in one table. Written."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("print"), text.alias("text"))
+    kind = rows.schema["doc_id"].dataType
+    schema = f"block long, word binary, n int, postings binary, ord int, doc_id {kind.simpleString()}, print long, n_words long"
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    return written(rows.mapInArrow(_indexer(block_bytes, to_arrow_type(kind)), schema))
+
+
+def documents_of(index: DataFrame) -> DataFrame:
+    return index.filter("word is null").select("block", "ord", "doc_id", "print", "n_words")
+
+
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = [ascii_words(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("item_id"), batch.column("item"), pa.array(words, pa.list_(pa.binary()))], ["item_id", "item", "words"])
+
+
+def _searches(window: int):
+    """Distinct sets of anchors of each item, with the windows that have them."""
+
+    def searched(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            out = []
+            for item_id, item, words, counts in part.itertuples(index=False):
+                length = min(window, len(words))
+                found: dict[tuple, list[int]] = defaultdict(list)
+                for s in range(len(words) - length + 1):
+                    # a word that no document has rules its windows out
+                    if min(counts[s : s + length]) > 0:
+                        found[tuple(sorted(range(s, s + length), key=lambda i: (counts[i], i))[:ANCHORS])].append(s)
+                out += [(item_id, item, list(at), [words[a] for a in at], starts, length) for at, starts in found.items()]
+            yield pd.DataFrame(out, columns=["item_id", "item", "anchors", "anchor_words", "starts", "length"])
+
+    return searched
+
+
+def searches(benchmark: DataFrame, index: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """Items (item_id, item, words), and searches (search, item_id, item, anchors, anchor_words, starts, length). Written."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), text.alias("text")).distinct()
+    items = named.select("item_id", F.xxhash64("item_id", "text").alias("item"), "text")
+    items = written(items.mapInArrow(_item_words, "item_id string, item long, words array<binary>").filter(F.size("words") > 0))
+    places = items.select("item_id", "item", F.posexplode("words").alias("pos", "word"))
+    wanted = written(places.select("word").distinct())
+    counts = written(index.filter("word is not null").select("word", "n").join(_small(wanted), "word").groupBy("word").agg(F.sum("n").alias("n")))
+    counted = places.join(counts, "word", "left").groupBy("item_id", "item").agg(F.array_sort(F.collect_list(F.struct("pos", "word", F.coalesce("n", F.lit(0)).cast("long").alias("n")))).alias("w"))
+    counted = counted.select("item_id", "item", F.transform("w", lambda w: w["word"]).alias("words"), F.transform("w", lambda w: w["n"]).alias("counts"))
+    found = counted.mapInPandas(_searches(window), "item_id string, item long, anchors array<int>, anchor_words array<binary>, starts array<int>, length int")
+    return items, written(found.withColumn("search", F.monotonically_increasing_id()))
+
+
+def _has(sorted_list: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(sorted_list, values)
+    at[at == len(sorted_list)] = 0
+    return sorted_list[at] == values if len(sorted_list) else np.zeros(len(values), bool)
+
+
+def _within(sorted_list: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether a member is within SLOP of each value."""
+    return np.searchsorted(sorted_list, values - SLOP) < np.searchsorted(sorted_list, values + SLOP, "right")
+
+
+def _intersected(block: pd.DataFrame) -> pd.DataFrame:
+    """One block's anchor postings (word, postings, search, role, pos) -> (block, search, ord, at, delta, exact)."""
+    lists: dict[int, dict[int, tuple[int, np.ndarray]]] = defaultdict(dict)
+    starts, out = None, []
+    for word, postings, found, roles, pos in zip(block["word"], block["postings"], block["search"], block["role"], block["pos"]):
+        places = np.frombuffer(postings, "<u4").astype(np.int64)
+        if word == STARTS:
+            starts = places
+        else:
+            for s, r, p in zip(found.tolist(), roles.tolist(), pos.tolist()):
+                lists[s][r >> 8] = (p, places, r & 255)
+    for search, own in lists.items():
+        if len(own) < next(iter(own.values()))[2]:
+            continue  # an anchor is missing in this block
+        pos, places, _ = own[0]
+        rest = [own[r] for r in range(1, len(own))]
+        near = places - pos
+        for p, other, _ in rest:
+            near = near[_within(other, near + p)]
+            if not len(near):
+                break
+        if not len(near):
+            continue
+        exact = np.ones(len(near), bool)
+        for p, other, _ in rest:
+            exact &= _has(other, near + p)
+        owner = np.searchsorted(starts, near + pos, "right") - 1
+        out.append(pd.DataFrame({"search": search, "ord": owner, "at": near - starts[owner], "delta": near, "exact": exact}))
+    found = pd.concat(out) if out else pd.DataFrame({"search": [], "ord": [], "at": [], "delta": [], "exact": []})
+    return found.assign(block=block["block"].iloc[0])[["block", "search", "ord", "at", "delta", "exact"]]
+
+
+def _verified(_, postings: pd.DataFrame, windows: pd.DataFrame) -> pd.DataFrame:
+    """Goes on with the intersection through all words of each candidate window."""
+    lists = {w: np.frombuffer(p, "<u4").astype(np.int64) for w, p in zip(postings["word"], postings["postings"])}
+    kept = []
+    for _, same in windows.groupby(["item", "win_start"]):
+        delta, words, first = same["delta"].to_numpy(np.int64), same["words"].iloc[0], int(same["win_start"].iloc[0])
+        ok = np.ones(len(delta), bool)
+        for i, w in enumerate(words):
+            ok &= _has(lists.get(bytes(w), np.zeros(0, np.int64)), delta + first + i)
+        kept.append(same[ok])
+    out = pd.concat(kept) if kept else windows
+    return out[["block", "ord", "item_id", "item", "win_start", "start", "length"]]
+
+
+def hits(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(block, ord, item_id, start, length, exact): windows of the benchmark found in the indexed documents. Written.
 
     ``start`` is a word position. Rows that aren't exact are proximity matches: all anchors of the window stand within
-    SLOP words of their places, yet the phrase isn't there. Written to the shared folder.
+    SLOP words of their places, yet the document doesn't hold the phrase.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = None
-    for block in _blocks(benchmark, block_words):
-        items = {i: words for i, (_, words) in enumerate(block)}
-        counted = docs.mapInArrow(_counts(frozenset(w for ws in items.values() for w in ws)), "word binary, n long")
-        count = {bytes(r.word): r.n for r in counted.groupBy("word").agg(F.sum("n").alias("n")).collect()}  # at most the block's words
-        windows = {i: _windows(words, lambda w: count.get(w, 0), window, ANCHORS) for i, words in items.items()}
-        # a word that no document has rules its windows out
-        anchors = [(i, at) for i, ws in windows.items() for _, _, at in ws if all(items[i][a] in count for a in at)]
-        if not anchors:
-            continue
-        postings = written(docs.mapInArrow(_postings(items, anchors, window), f"doc_id {kind}, item int, item_pos int, pos int, left int, right int"))
-        table = spark.createDataFrame(
-            [(i, block[i][0], s, n, at) for i, ws in windows.items() for s, n, at in ws],
-            "item int, item_id string, win_start int, length int, anchors array<int>",
-        )
-        hits = _intersect(postings, F.broadcast(table))  # a block has at most one window for each of its words
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        return spark.createDataFrame([], f"doc_id {kind}, item_id string, start int, length int, exact boolean")
-    return written(found)
-
-
-def _intersect(postings: DataFrame, windows: DataFrame) -> DataFrame:
-    """Offset-adjusted intersection; see the module's text."""
-    delta = (F.col("pos") - F.col("item_pos")).alias("delta")
-    lines = (
-        postings.select("doc_id", "item", delta, "item_pos", "left", "right")
-        .groupBy("doc_id", "item", "delta")
-        .agg(F.collect_set(F.struct("item_pos", "left", "right")).alias("at"))  # at most the item's positions
-        .withColumn("have", F.transform("at", lambda x: x["item_pos"]))
-    )
-    rarest, end = F.get(F.col("anchors"), F.lit(0)), F.col("win_start") + F.col("length") - 1
-    exact = (
-        lines.join(windows, "item")
-        .filter(F.size(F.array_except("anchors", "have")) == 0)
-        .filter(F.exists("at", lambda x: (x["item_pos"] == rarest) & (x["item_pos"] - x["left"] <= F.col("win_start")) & (x["item_pos"] + x["right"] >= end)))
-        .select("doc_id", "item_id", "item", "win_start", (F.col("delta") + F.col("win_start")).alias("start"), "length", F.lit(True).alias("exact"))
-    )
-    # Near: two grids of diagonals, each twice SLOP wide and SLOP apart, hold any two within SLOP.
-    cell = F.explode(F.array(F.floor(F.col("delta") / (2 * SLOP)) * 2, F.floor((F.col("delta") + SLOP) / (2 * SLOP)) * 2 + 1)).alias("cell")
-    near = (
-        postings.select("doc_id", "item", delta, "item_pos")
-        .select("doc_id", "item", "delta", "item_pos", cell)
-        .groupBy("doc_id", "item", "cell")
-        .agg(F.collect_set("item_pos").alias("have"), F.min("delta").alias("low"))
-        .filter(F.size("have") > 1)
-        .join(windows, "item")
-        .filter((F.size(F.array_except("anchors", "have")) == 0))
-        .groupBy("doc_id", "item", "item_id", "win_start", "length")
-        .agg(F.min("low").alias("low"))
-    )
-    found = exact.select("doc_id", "item", "win_start").distinct().withColumn("known", F.lit(True))
-    same = [near["doc_id"].eqNullSafe(found["doc_id"]), near["item"] == found["item"], near["win_start"] == found["win_start"]]
-    near = near.join(found, same, "left_anti").select("doc_id", "item_id", (F.col("low") + F.col("win_start")).alias("start"), "length", F.lit(False).alias("exact"))
-    return exact.select("doc_id", "item_id", "start", "length", "exact").unionByName(near)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words)"""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(ascii_words(t or b"")) for t in _texts(batch)], pa.int64())], ["doc_id", "n_words"])
-
-    return docs.select("doc_id", "text").mapInArrow(counted, f"doc_id {kind}, n_words long")
-
-
-def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    items, asked = searches(benchmark, index, window)
+    # what a word's postings are wanted for; the role also says how many anchors the search has
+    tag = F.posexplode(F.arrays_zip("anchors", "anchor_words")).alias("r", "a")
+    tags = asked.select("search", F.size("anchors").alias("k"), tag).select(F.col("a.anchor_words").alias("word"), "search", (F.col("r") * 256 + F.col("k")).alias("role"), F.col("a.anchors").alias("pos"))
+    tags = written(tags.groupBy("word").agg(F.collect_list("search").alias("search"), F.collect_list("role").alias("role"), F.collect_list("pos").alias("pos")))
+    postings = index.filter("word is not null").select("block", "word", "postings")
+    none = [F.array().cast(f"array<{t}>").alias(c) for c, t in (("search", "long"), ("role", "int"), ("pos", "int"))]
+    starts = postings.filter(F.octet_length("word") == 0).select("block", "word", "postings", *none)
+    wanted = postings.join(_small(tags), "word").select("block", "word", "postings", "search", "role", "pos").unionByName(starts)
+    found = wanted.groupBy("block").applyInPandas(_intersected, "block long, search long, ord int, at int, delta long, exact boolean")
+    found = written(found)
+    windows = asked.select("search", "item_id", "item", F.explode("starts").alias("win_start"), "length")
+    placed = found.join(_small(windows), "search").withColumn("start", F.col("at") + F.col("win_start"))
+    candidates = placed.filter("exact").join(_small(items.select("item", "words")), "item").select("block", "ord", "item_id", "item", "win_start", "start", "length", "delta", F.slice("words", F.col("win_start") + 1, F.col("length")).alias("words"))
+    candidates = written(candidates)
+    needed = candidates.select("block", F.explode("words").alias("word")).distinct()
+    lists = postings.join(written(needed), ["block", "word"], "left_semi")
+    schema = "block long, ord int, item_id string, item long, win_start int, start int, length int"
+    exact = written(lists.groupBy("block").cogroup(candidates.groupBy("block")).applyInPandas(_verified, schema))
+    key = ["block", "ord", "item", "win_start"]
+    near = placed.groupBy(*key, "item_id", "length").agg(F.min("start").alias("start")).join(exact.select(*key).distinct(), key, "left_anti")
+    both = exact.select("block", "ord", "item_id", "start", "length", F.lit(True).alias("exact")).unionByName(near.select("block", "ord", "item_id", "start", "length", F.lit(False).alias("exact")))
+    return written(both)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, item_id, start, length, exact), as hits() has them."""
+    index = build_index(docs, block_bytes)
+    return hits(index, benchmark, window).join(documents_of(index), ["block", "ord"]).select("doc_id", "item_id", "start", "length", "exact")
+
+
+def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near."""
-    found = matches(docs, benchmark, window)
-    by_start = found.filter("exact").groupBy("doc_id", "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
-    before = F.max("end").over(Window.partitionBy("doc_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
-    covered = by_start.withColumn("before", F.coalesce(before, F.col("start"))).groupBy("doc_id").agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "before"))).alias("n_hit"))
-    items = found.groupBy("doc_id").agg(
+    index = build_index(docs, block_bytes)
+    found = hits(index, benchmark, window)
+    key = ["block", "ord"]
+    by_start = found.filter("exact").groupBy(*key, "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
+    before = F.max("end").over(Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    covered = by_start.withColumn("before", F.coalesce(before, F.col("start"))).groupBy(*key).agg(F.sum(F.greatest(F.lit(0), F.col("end") - F.greatest("start", "before"))).alias("n_hit"))
+    items = found.groupBy(*key).agg(
         F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_id")))).alias("items"),
         F.count_distinct(F.when(~F.col("exact"), F.col("item_id"))).alias("n_near"),
     )
-    rows = word_counts(docs)
-    covered, items = covered.withColumnRenamed("doc_id", "c"), items.withColumnRenamed("doc_id", "i")
     none = F.array().cast("array<string>")
     return (
-        rows.join(covered, rows["doc_id"].eqNullSafe(covered["c"]), "left")
-        .join(items, rows["doc_id"].eqNullSafe(items["i"]), "left")
+        documents_of(index)
+        .join(covered, key, "left")
+        .join(items, key, "left")
         .select(
             "doc_id",
             "n_words",
@@ -225,7 +266,11 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` without those in which a whole window occurs; proximity matches stay."""
-    bad = matches(docs, benchmark, window).filter("exact").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__drop"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows in which a whole window occurs; proximity matches stay. Rows are told apart by id and text."""
+    index = build_index(docs, block_bytes)
+    bad = hits(index, benchmark, window).filter("exact").select("block", "ord").distinct()
+    bad = written(documents_of(index).join(bad, ["block", "ord"]).select(F.col("doc_id").alias("d"), F.col("print").alias("p")).distinct())
+    # a struct of all columns, so that none of the caller's names can clash
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("print", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    return rows.join(bad, F.col("row.doc_id").eqNullSafe(F.col("d")) & (F.col("print") == F.col("p")), "left_anti").select("row.*")
