@@ -24,7 +24,7 @@ that has another id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fringeline.llm.common import written
+from fringeline.llm.common import kept, scratch, written
 
 SHINGLE_WORDS = 4
 HASH_SEED = 42
@@ -52,9 +52,11 @@ STAGE_WORDS = 5
 SIMILARITY = 0.8
 #: Minima of BANDS * BAND_ROWS hash functions; at a similarity of 0.8 a pair shares no band's key once in 2,800 times.
 BANDS, BAND_ROWS = 20, 5
-#: Sets of a bucket that are paired one by one; a larger bucket is searched in chunks of up to TILE_ROWS sets.
-PAIR_ROWS = 32
+#: Sets that are compared in one task, in number and in shingles; more are cut into chunks, all pairs of which are compared.
 TILE_ROWS = 2_000
+TILE_SHINGLES = 2_000_000
+#: Rows of two numbers up to which they are broadcast: 64 MB at the 128 bytes that one takes in memory.
+BROADCAST_ROWS = 500_000
 _FACTORS, _OFFSETS = np.random.default_rng(HASH_SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
 _FACTORS |= np.uint64(1)
 
@@ -286,22 +288,20 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(low.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
 
 
-@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("shingles", T.BinaryType())]))
-def shingled_udf(text: pd.Series) -> pd.DataFrame:
-    sets = [shingle_set((t or "").encode()) for t in text]
-    return pd.DataFrame({"fp": [_signed(xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED)) for s in sets], "bands": [band_keys(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+def _set_key(s: np.ndarray) -> int:
+    return _signed(xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED))
 
 
-@F.pandas_udf(T.DoubleType())
-def similarity_udf(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Jaccard similarity of two sets of hashes."""
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("n_shingles", T.LongType())]))
+def banded_udf(text: pd.Series) -> pd.DataFrame:
+    sets = [shingle_set((t or "").encode()) for t in text]
+    return pd.DataFrame({"fp": [_set_key(s) for s in sets], "bands": [band_keys(s) for s in sets], "n_shingles": [len(s) for s in sets]})
 
-    def of(a: bytes, b: bytes) -> float:
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        return both / max(1, len(x) + len(y) - both)
 
-    return pd.Series([of(a, b) for a, b in zip(left, right)], dtype="float64")
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("shingles", T.BinaryType())]))
+def shingled_udf(text: pd.Series) -> pd.DataFrame:
+    sets = [shingle_set((t or "").encode()) for t in text]
+    return pd.DataFrame({"fp": [_set_key(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
 
 def _search_sets(fp: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
@@ -346,30 +346,42 @@ def _set_links(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def similar_links(rows: DataFrame, pair_rows: int = PAIR_ROWS, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges (a, b) that connect the sets ``fp`` of a similarity of SIMILARITY or more, among those that share a band's key.
+def similar_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Edges (a, b) that connect the sets ``fp`` of a similarity of SIMILARITY or more, among those that share a band's key. Written.
 
-    rows: (fp, bands, shingles). Sets of a small bucket are paired; a larger one is searched with removal, in tiles of chunks
-    of ``tile_rows`` sets at most, all pairs of which are compared.
+    rows: (fp, bands, n_shingles). sets_of: gives (fp, shingles) for a table of wanted fp. Sets that keys connect are a
+    cluster, which is searched with removal, each set being read once. A cluster above ``tile_rows`` sets or TILE_SHINGLES shingles
+    is searched key by key instead, in tiles of chunks of that size, all pairs of which are compared.
     """
-    index = rows.groupBy("fp").agg(F.first("bands").alias("bands")).select("fp", F.explode("bands").alias("key"))
-    index = written(index)
-    sizes = written(index.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    shared = written(index.join(sizes, "key").select("key", "fp", "n"))
-    sets = written(rows.select("fp", "shingles").join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"]))
-    small = shared.filter(F.col("n") <= pair_rows)
-    pairs = small.select("key", F.col("fp").alias("a")).join(small.select("key", F.col("fp").alias("b")), "key").filter("a > b").select("a", "b").distinct()
-    one, two = (sets.select(F.col("fp").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    found = pairs.join(one, "a").join(two, "b").filter(similarity_udf("sa", "sb") >= SIMILARITY).select("a", "b")
+    bands = written(rows.groupBy("fp").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
+    index = bands.select("fp", F.explode("bands").alias("key"))
+    sizes = written(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least")).filter("n > 1"))
+    shared = written(index.join(sizes, "key").select("key", "fp", "least"))
+    clusters = components(shared.select(F.col("fp").alias("a"), F.col("least").alias("b")))
+    clusters = written(clusters.unionByName(clusters.select(F.col("root").alias("node"), "root")).distinct().withColumnRenamed("node", "fp"))
+    sets = written(sets_of(clusters.select("fp")))
+    weight = (F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    many = (F.col("n") > tile_rows) | (F.col("shingles") > TILE_SHINGLES)
+    placed = clusters.join(bands.select("fp", "n_shingles"), "fp")
+    large = written(placed.groupBy("root").agg(*weight).filter(many).select("root"))
+    if not large.limit(1).count():
+        return written(clusters.join(sets, "fp").groupBy("root").applyInPandas(_set_links, "a long, b long").distinct())
+    found = clusters.join(_small(large), "root", "left_anti").join(sets, "fp").groupBy("root").applyInPandas(_set_links, "a long, b long")
+    dense = clusters.join(_small(large), "root", "left_semi").select("fp").join(bands.select("fp", "n_shingles"), "fp")
+    dense = written(shared.select("key", "fp").join(written(dense), "fp"))
+    parts = written(dense.groupBy("key").agg(*weight).select("key", F.ceil(F.greatest(F.col("n") / tile_rows, F.col("shingles") / TILE_SHINGLES)).cast("int").alias("chunks")))
     c, j, n = F.col("c"), F.col("j"), F.col("chunks")
-    large = (
-        shared.filter(F.col("n") > pair_rows)
-        .withColumn("chunks", F.ceil(F.col("n") / tile_rows).cast("int"))
+    tiles = (
+        dense.join(parts, "key")
         .withColumn("c", F.pmod(F.xxhash64("fp"), n).cast("int"))
         .withColumn("j", F.explode(F.sequence(F.lit(0), n - 1)))
         .select("key", (F.least(c, j) * n + F.greatest(c, j)).cast("int").alias("tile"), "fp")
     )
-    return found.union(large.join(sets, "fp").groupBy("key", "tile").applyInPandas(_set_links, "a long, b long"))
+    return written(found.union(tiles.join(sets, "fp").groupBy("key", "tile").applyInPandas(_set_links, "a long, b long")).distinct())
+
+
+def _small(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -377,17 +389,34 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     the smallest hash of its text. Of repeated rows (same id and text) any one stays.
 
     Near copies are linked by a similarity of SIMILARITY or more of their sets of STAGE_WORDS-word shingles. Rows are told apart by
-    id and text, so different texts under one id don't share their fate.
+    id and text, so different texts under one id don't share their fate. Only ids and hashes of rows that go are kept; the
+    tables made on the way are removed.
     """
     # a struct of all columns, so that none of the caller's names can clash
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", F.col("row")[id_col].alias("doc_id"), F.xxhash64(F.coalesce(F.col("row")[text_col], F.lit(""))).alias("print"))
-    rows = written(packed.select("doc_id", "print", shingled_udf(F.col("row")[text_col]).alias("s")).select("doc_id", "print", "s.*"))
-    keys = written(rows.groupBy("fp", "doc_id", "print").agg(F.count("*").alias("n")))
-    named = written(_named(keys, similar_links(rows), [F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("print")]))
-    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("print") == F.col("least.print"))
-    own, repeated = (named.filter(c).select(F.col("doc_id").alias("d"), F.col("print").alias("p")) for c in (~stays, stays & (F.col("n") > 1)))
-    same = lambda keys: packed["doc_id"].eqNullSafe(keys["d"]) & (packed["print"] == keys["p"])
-    left = packed.join(own, same(own), "left_anti")
+    text = F.col("row")[text_col]
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row", F.col("row")[id_col].alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("print"))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("doc_id").alias("d"), F.col("print").alias("p"))
+
+    def same(keys: DataFrame) -> Column:
+        return packed["doc_id"].eqNullSafe(keys["d"]) & (packed["print"] == keys["p"])
+
+    with scratch(docs.sparkSession):
+        rows = written(packed.select("doc_id", "print", banded_udf(text).alias("s")).select("doc_id", "print", "s.*"))
+        counts = written(rows.groupBy("fp", "doc_id", "print").agg(F.count("*").alias("n")))
+        order = [F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("print")]
+
+        def sets_of(wanted: DataFrame) -> DataFrame:
+            """One row of each wanted set is read again."""
+            one = written(counts.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(*order)).alias("r")).select(F.col("r.doc_id").alias("d"), F.col("r.print").alias("p")))
+            found = packed.join(_small(one), same(one), "left_semi").select(shingled_udf(text).alias("s")).select("s.*")
+            return found.groupBy("fp").agg(F.first("shingles").alias("shingles"))
+
+        named = written(_named(counts, similar_links(rows, sets_of), order))
+        stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("print") == F.col("least.print"))
+        own, repeated = kept(keys(named.filter(~stays))), kept(keys(named.filter(stays & (F.col("n") > 1))))
+    left = packed.join(_small(own), same(own), "left_anti")
     if repeated.limit(1).count():
         once = left.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "print"])
         left = left.join(repeated, same(repeated), "left_anti").unionByName(once)

@@ -44,6 +44,25 @@ def simhash(rows):
     return sorted((d, f"{p:016x}", least[root(i)]) for i, ((d, _), p) in enumerate(zip(rows, prints)))
 
 
+def near_copies(rows, words=5, similarity=0.8):
+    """rows: (doc_id, text). The smallest id of the group of each row, by links of sets of shingles."""
+    sets = []
+    for _, t in rows:
+        w = NOT_SPACE.findall(low(t))
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    least = {}
+    for (d, _), g in zip(rows, group):
+        least[g] = min(least.get(g, d), d)
+    return [least[g] for g in group]
+
+
 def luhn(s):
     total = 0
     for i, c in enumerate(reversed(s)):

@@ -152,7 +152,7 @@ def test_decontaminate(spark, docs, empty):
         assert [r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated] == want[r.doc_id], r
     assert decontaminate.report(empty, b).count() == 0 and decontaminate.report(docs, b.filter("false")).filter("contaminated").count() == 0
     assert decontaminate.clean(docs, b).columns == docs.columns
-    small = decontaminate.matches(docs, b, block_words=5).filter("exact")  # many blocks
+    small = decontaminate.matches(docs, b, block_bytes=40).filter("exact")  # many blocks
     assert sorted(map(str, small.collect())) == sorted(map(str, decontaminate.matches(docs, b).filter("exact").collect()))
 
 
