@@ -4,13 +4,14 @@
   SHA-256 of that in UTF-8; 60 bits of it are the filter key.
 * A snapshot never changes, so its distinct keys get static filters, one for each key range of about ``FILTER_KEYS``.
   The filters are a table, joined by range and never broadcast.
-* Distinct incoming keys are screened. What a filter rejects is surely new and meets only its own batch. What passes joins
-  the snapshot's exact bucket (the key), where the bytes are checked by the full digest and length.
+* Distinct incoming keys are screened. What a filter rejects is surely new and meets only its own batch.
+* What passes goes to the snapshot's exact bucket (the key). The normalised texts of these keys are read again on both sides, grouped by
+  their bytes, and joined by key and bytes; a digest that two different texts share there is an error.
 * Duplicates within the new batch are grouped separately, by digest, before anything is joined.
 
-Rows are pre-aggregated by digest everywhere, so a text that holds a third of all rows is one row in each join but the last,
-an equi-join of narrow rows that adaptive execution splits. Null texts are empty. Repeated rows count each. A null doc_id is
-kept only where its group has no other id.
+Of a group the row with the smallest doc_id stays; rows without an id come last; of repeated rows with that id, the first read
+stays. So exactly one row of each group is kept. Rows are pre-aggregated by digest everywhere, so a text that holds a third of all rows is
+one row in each join but the last, an equi-join of narrow rows with a written table, which adaptive execution splits. Null texts are empty.
 """
 
 from __future__ import annotations
@@ -27,21 +28,36 @@ from fringeline.llm.common import written
 FILTER_KEYS = 40_000
 #: Rows whose hashed id falls in this fold of ``FOLDS`` are the incoming batch of the query; the others are the snapshot.
 FOLDS = 4
+#: Keys up to which they are broadcast: 48 MB at the 96 bytes that one takes in memory.
+BROADCAST_KEYS = 500_000
 #: White space that isn't already one space: replacing only that gives the same text with far fewer replacements.
 _ODD_SPACE = r"\x20[\x20\x09-\x0D]+|[\x09-\x0D][\x20\x09-\x0D]*"
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
 
+def normalised(text: str = "text"):
+    return F.regexp_replace(F.coalesce(text, F.lit("")), _ODD_SPACE, " ")
+
+
+def _key(digest: str = "digest"):
+    return F.conv(F.substring(digest, 2, 15), 16, 10).cast("long")
+
+
 def digests(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, length, key) of every row."""
-    flat = F.regexp_replace(F.coalesce("text", F.lit("")), _ODD_SPACE, " ")
-    rows = docs.select("doc_id", flat.alias("flat")).select("doc_id", F.sha2(F.col("flat").cast("binary"), 256).alias("digest"), F.octet_length("flat").alias("length"))
-    return rows.withColumn("key", F.conv(F.substring("digest", 2, 15), 16, 10).cast("long"))
+    rows = docs.select("doc_id", normalised().alias("flat")).select("doc_id", F.sha2(F.col("flat").cast("binary"), 256).alias("digest"), F.octet_length("flat").alias("length"))
+    return rows.withColumn("key", _key())
 
 
 def groups(rows: DataFrame) -> DataFrame:
-    """(digest, length, key, least, n) of equal texts; counted before the shuffle."""
-    return rows.groupBy("digest", "length", "key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    """(digest, length, key, least, n) of equal texts; counted before the shuffle. ``least`` is the row that stays."""
+    return rows.groupBy("digest", "length", "key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "number")).alias("least"), F.count("*").alias("n"))
+
+
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, digest, flat): the distinct normalised texts, byte by byte, of the wanted keys."""
+    rows = docs.select(normalised().alias("flat")).withColumn("digest", F.sha2(F.col("flat").cast("binary"), 256)).withColumn("key", _key())
+    return rows.join(keys, "key", "left_semi").groupBy("key", "digest", "flat").agg(F.lit(True).alias("there")).drop("there")
 
 
 class BinaryFuse:
@@ -132,32 +148,33 @@ def screen(incoming: DataFrame, filters: DataFrame, ranges: int) -> DataFrame:
     return keys.groupBy("range").cogroup(filters.groupBy("range")).applyInPandas(_screen, "key long, maybe boolean")
 
 
-def combine(snapshot: DataFrame, incoming: DataFrame) -> DataFrame:
-    """groups() of a snapshot and of a new batch -> (digest, length, keep_id, group_size) of all."""
+def combine(snapshot: DataFrame, incoming: DataFrame, old_docs: DataFrame, new_docs: DataFrame) -> DataFrame:
+    """groups() of a snapshot and of a new batch, and their documents -> (digest, length, least, n) of all groups."""
     ranges = max(1, -(-max(snapshot.count(), incoming.count()) // FILTER_KEYS))
     filters = written(build_filters(snapshot, ranges))
-    screened = incoming.join(screen(incoming, filters, ranges), "key")
-    screened = written(screened)
-    new = screened.filter(~F.col("maybe")).select("digest", "length", "least", "n")
-    # exact buckets: same key, then the bytes by digest and length
-    old = snapshot.select("key", F.col("digest").alias("d"), F.col("length").alias("l"), F.col("least").alias("old_least"), F.col("n").alias("old_n"))
+    screened = written(incoming.join(screen(incoming, filters, ranges), "key"))
     maybe = screened.filter("maybe")
-    checked = maybe.join(old, (maybe["key"] == old["key"]) & (F.col("digest") == F.col("d")) & (F.col("length") == F.col("l")), "full")
-    both = checked.select(
-        F.coalesce("digest", "d").alias("digest"),
-        F.coalesce("length", "l").alias("length"),
-        F.least("least", "old_least").alias("least"),
-        (F.coalesce("n", F.lit(0)) + F.coalesce("old_n", F.lit(0))).alias("n"),
-    )
-    return new.unionByName(both).withColumnsRenamed({"least": "keep_id", "n": "group_size"})
+    # exact buckets: the texts of the keys that passed, on both sides
+    passed = maybe.select("key").distinct()
+    passed = F.broadcast(passed) if passed.count() <= BROADCAST_KEYS else passed
+    new, old = written(texts_of(new_docs, passed)), written(texts_of(old_docs, passed).withColumnsRenamed({"digest": "d", "flat": "f"}))
+    met = new.join(old, "key").filter((F.col("digest") == F.col("d")) | (F.col("flat") == F.col("f")))
+    sound = F.when(F.col("flat") == F.col("f"), F.lit(True)).otherwise(F.raise_error(F.lit("different texts share a digest")))
+    same = written(met.filter(sound).select("digest").distinct())
+    once = screened.join(same, "digest", "left_anti").select("digest", "length", "least", "n")
+    alone = snapshot.join(same, "digest", "left_anti").select("digest", "length", "least", "n")
+    both = maybe.select("digest", "length", "least", "n").unionByName(snapshot.select("digest", "length", "least", "n")).join(same, "digest", "left_semi")
+    both = both.groupBy("digest", "length").agg(F.min("least").alias("least"), F.sum("n").alias("n"))
+    return once.unionByName(alone).unionByName(both)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = written(digests(docs.select("doc_id", "text")))
+    docs = docs.select("doc_id", "text")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)) == 0
-    found = combine(written(groups(rows.filter(~batch))), written(groups(rows.filter(batch))))
-    found = written(found).withColumnsRenamed({"digest": "d", "length": "l"})
+    rows = written(digests(docs).withColumn("number", F.monotonically_increasing_id()))
+    found = written(combine(written(groups(rows.filter(~batch))), written(groups(rows.filter(batch))), docs.filter(~batch), docs.filter(batch)))
+    found = found.withColumnsRenamed({"digest": "d", "length": "l"})
     return rows.join(found, (F.col("digest") == F.col("d")) & (F.col("length") == F.col("l"))).select(
-        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256")
+        "doc_id", F.col("least.doc_id").alias("keep_id"), F.col("n").cast("long").alias("group_size"), (F.col("number") == F.col("least.number")).alias("kept"), F.col("digest").alias("text_sha256")
     )

@@ -280,6 +280,24 @@ def test_exact_dedup(spark, docs, empty):
     assert by[None].keep_id is None and by[None].kept and exact_dedup.report(empty).count() == 0
 
 
+def test_exact_dedup_keeps_one_row_a_group(spark):
+    """Repeated rows of the smallest id, groups within and across snapshot and batch, groups without ids."""
+    rows = [(1, "x y"), (1, "x  y"), (1, "x y"), (9, "x\ty")] + [(i, f"text {i % 50}") for i in range(100, 400)] + [(None, "nobody"), (None, "nobody"), (2, None), (3, "")]
+    out = exact_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert len(out) == len(rows)
+    by = {}
+    for r in out:
+        by.setdefault(r.text_sha256, []).append(r)
+    flat = {}
+    for d, t in rows:
+        flat.setdefault(brute.sha(brute.SPACE.sub(" ", t or "")), []).append(d)
+    assert set(by) == set(flat)
+    for digest, own in by.items():
+        least = min((d for d in flat[digest] if d is not None), default=None)
+        assert sum(r.kept for r in own) == 1 and {(r.keep_id, r.group_size) for r in own} == {(least, len(flat[digest]))}
+        assert [r.doc_id for r in own if r.kept] == [least]
+
+
 def test_binary_fuse():
     import numpy as np
 
