@@ -6,8 +6,10 @@ are held as one flat symbol array with sequence ids, and in every round each seq
 lowest rank, all sequences at once, until no pair is left. The surviving symbols are counted; a symbol
 outside the vocabulary counts its UTF-8 bytes.
 
-Where a merge could make a pair of the same or a lower rank, only a sequence's leftmost occurrence is merged
-in the round; otherwise all occurrences are. Both give the library's order of merges.
+In a round a sequence's occurrences of its lowest rank are merged from the left up to the first whose merge makes a pair of the same or
+a lower rank with what then stands beside it; that pair has its turn in the next round. This is the library's order of merges. Where
+all pairs of a run tie, as those of spaces do, a round would merge one pair only: a sequence above ``CHAIN`` symbols in which that
+happens is finished alone, by a heap of its pairs.
 
 Null texts are empty; an empty text has no tokens.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -27,6 +30,8 @@ MARK = "▁"
 KEPT = 400_000
 #: Pre-tokens above this many characters are merged on their own and not kept.
 LONG = 200
+#: Symbols of a sequence above which ties are merged by a heap instead of round by round.
+CHAIN = 64
 
 
 class RankMerger:
@@ -42,17 +47,16 @@ class RankMerger:
         scores = sorted({-s for p, s in pieces.items() if len(p) > 1})
         rank_of = {s: r for r, s in enumerate(scores)}
         self.ids = {p: i for i, p in enumerate(pieces)}
-        pairs, risky_of = {}, np.full(len(pieces), np.iinfo(np.int64).max)
+        pairs = {}
         for piece, score in pieces.items():
             for k in range(1, len(piece)):
                 a, b = self.ids.get(piece[:k]), self.ids.get(piece[k:])
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = (rank_of[-score], self.ids[piece])
-                    risky_of[[a, b]] = np.minimum(risky_of[[a, b]], rank_of[-score])
+        self.pairs = pairs
         self.keys = np.array(sorted(pairs), dtype=np.int64)
         self.ranks = np.array([pairs[k][0] for k in self.keys.tolist()], dtype=np.int64)
         self.merged = np.array([pairs[k][1] for k in self.keys.tolist()], dtype=np.int64)
-        self.risky = risky_of[self.merged] <= self.ranks
         inner = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
         self.joined = inner
         self.marks_inside = any(MARK in p.lstrip(MARK) for p in pieces)
@@ -68,6 +72,13 @@ class RankMerger:
         at = [i for i in range(1, len(token)) if token[i - 1 : i + 1] not in self.joined]
         return [token[a:b] for a, b in zip([0, *at], [*at, len(token)])]
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, the largest number where there is none; -1 stands for no symbol."""
+        pair = (left << 32) | right
+        at = np.searchsorted(self.keys, pair)
+        at[at == len(self.keys)] = 0
+        return np.where((left >= 0) & (right >= 0) & (self.keys[at] == pair), self.ranks[at], np.iinfo(np.int64).max)
+
     def count(self, tokens: list[str]) -> np.ndarray:
         """Surviving symbols of each pre-token."""
         out = np.zeros(len(tokens), np.int64)
@@ -95,18 +106,34 @@ class RankMerger:
             size = np.diff(np.concatenate((start, [len(who)])))
             best = np.repeat(np.minimum.reduceat(self.ranks[at], start), size)
             take = self.ranks[at] == best
-            where, at, who = where[take], at[take], who[take]
-            first = np.concatenate(([True], who[1:] != who[:-1]))
+            where, at, who, best = where[take], at[take], who[take], best[take]
             # runs of overlapping occurrences: every second one, from the left
-            lone = first | (np.concatenate(([0], np.diff(where))) != 1)
-            head = np.maximum.accumulate(np.where(lone, np.arange(len(where)), 0))
-            use = ((np.arange(len(where)) - head) % 2 == 0) & (first | ~self.risky[at])
-            risky_first = np.maximum.accumulate(np.where(first, np.arange(len(where)), 0))
-            use &= ~self.risky[at[risky_first]] | first
+            spot = np.arange(len(where))
+            lone = np.concatenate(([True], (who[1:] != who[:-1]) | (np.diff(where) != 1)))
+            use = (spot - np.maximum.accumulate(np.where(lone, spot, 0))) % 2 == 0
+            where, at, who, best = where[use], at[use], who[use], best[use]
+            # what stands beside each merged symbol when it is made: to the left the last merge may have changed it
+            made = self.merged[at]
+            side = np.concatenate(([-1], sym, [-1, -1]))
+            owned = np.concatenate(([-1], owner, [-1, -1]))
+            left = np.where(owned[where] == who, side[where], -1)
+            right = np.where(owned[where + 3] == who, side[where + 3], -1)
+            close = np.flatnonzero((np.diff(where) == 2) & (who[1:] == who[:-1])) + 1
+            left[close] = made[close - 1]
+            stops = np.minimum(self._ranks(left, made), self._ranks(made, right)) <= best
+            before = np.cumsum(stops) - stops
+            first = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1])))
+            use = before == np.repeat(before[first], np.diff(np.concatenate((first, [len(who)]))))
+            stuck = np.unique(who[~use])
             where, at = where[use], at[use]
             sym[where] = self.merged[at]
             keep = np.ones(len(sym), bool)
             keep[where + 1] = False
+            if len(stuck):
+                for i in stuck[np.bincount(owner[keep], minlength=len(tokens))[stuck] > CHAIN].tolist():
+                    a, b = np.searchsorted(owner, (i, i + 1))
+                    out[i] += self._finished(sym[a:b][keep[a:b]].tolist())
+                    keep[a:b] = False
             sym, owner = sym[keep], owner[keep]
             # sequences that merged nothing are finished
             live = np.zeros(len(tokens), bool)
@@ -118,6 +145,32 @@ class RankMerger:
         np.add.at(out, owner[sym >= 0], 1)
         return out
 
+    def _finished(self, sym: list[int]) -> int:
+        """Surviving symbols of one sequence: the lowest rank first, of equals the leftmost."""
+        pairs, n = self.pairs, len(sym)
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+
+        def ranked(i: int) -> tuple[int, int, int] | None:
+            j = after[i]
+            got = pairs.get(sym[i] << 32 | sym[j]) if j >= 0 and sym[i] >= 0 and sym[j] >= 0 else None
+            return (got[0], i, got[1]) if got else None
+
+        heap = [x for x in map(ranked, range(n)) if x]
+        heapify(heap)
+        while heap:
+            top = heappop(heap)
+            i = top[1]
+            if sym[i] < 0 or ranked(i) != top:
+                continue  # one of its symbols has gone
+            j = after[i]
+            sym[i], sym[j], after[i] = top[2], -2, after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            for k in (before[i], i):
+                if k >= 0 and (new := ranked(k)):
+                    heappush(heap, new)
+        return sum(s >= 0 for s in sym)
+
     def count_texts(self, texts: list[str]) -> list[int]:
         """Tokens of every text; texts are taken one at a time, so memory follows the longest."""
         out, wait, new = [], [], {}
