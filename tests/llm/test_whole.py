@@ -39,6 +39,71 @@ def test_license_occurrences_beside_a_better_one():
     assert found == [(0, 21, 1), (22, 44, 0), (45, 67, 2), (72, 94, 0)]
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def plain_notices(text):
+    """(label, first word, end word, edits): every stretch of words within the edits of a notice, by the rules of the scan."""
+    words, out = text.split(), []
+    for notice, label, errors, exact in license_scan.NOTICES:
+        own, taken = [], []
+        for i in range(len(words)):
+            for j in range(i + 1, min(len(words), i + len(notice.split()) + errors) + 1):
+                stretch = " ".join(words[i:j])
+                if abs(len(stretch) - len(notice)) <= errors and (n := edits(stretch, notice)) <= errors and (not exact or exact in words[i:j]):
+                    own.append((n, i, j))
+        for n, i, j in sorted(own):
+            if all(j <= a or b <= i for a, b in taken):
+                taken.append((i, j))
+                out.append((i, -j, n, label))
+    kept = []
+    for i, j, n, label in sorted(out):
+        if all(-j > b for _, _, b, _ in kept):
+            kept.append((label, i, -j, n))
+    return sorted(kept)
+
+
+def test_license_spans_as_by_brute_force():
+    rng = random.Random(8)
+    notices = [n for n, *_ in license_scan.NOTICES]
+    for _ in range(150):
+        words = []
+        while len(words) < 40:
+            text = rng.choice(notices) if rng.random() < 0.6 else "some words between"
+            for _ in range(rng.choice((0, 0, 1, 2))):
+                at = rng.randrange(len(text))
+                text = text[:at] + rng.choice(("", "z", text[at] + "z")) + text[at + 1 :]
+            words += text.split()
+        text = " ".join(words)
+        assert sorted((m["label"], m["first_word"], m["end_word"], m["edits"]) for m in license_scan.scan(text)[-1]) == plain_notices(text), text
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("apache license version 1.1", "apache-1"), ("under the mpl license", ""), ("creative commons attribution noncommercial", "cc-by-nc"), ("Creative Commons Attribution-ShareAlike", "cc-by-sa"),
+        ("gnu lesser general public license", "lgpl"), ("under teh MIT license; under the MIT license", "mit"), ("cc by nc", "cc-by-nc"),
+    ],
+)
+def test_license_names_are_told_apart(text, labels):
+    assert license_scan.scan(text)[5] == labels
+
+
+def test_long_texts_take_time_in_proportion():
+    import time
+
+    began = time.perf_counter()
+    assert license_scan.scan("cc by nc " * 300_000)[1:4] == (300_000, 0, 899_997)
+    assert len(license_scan.scan("gnu general public licence and " * 30_000)[-1]) == 30_000
+    assert time.perf_counter() - began < 30
+
+
 def test_toxic_passage_scores_alike_wherever_it_stands():
     import numpy as np
 
