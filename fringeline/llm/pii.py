@@ -204,6 +204,8 @@ def found_spans(docs: DataFrame) -> DataFrame:
         .join(told, "term")
         .distinct()
     )
+    # written, or the join below would be pushed under the one above and see every word of the corpus
+    places = written(places)
     # A base span is listed in the passages it touches and two before: a term is less than two passages long.
     cells = F.explode(F.sequence(F.floor(F.col("s.start") / PASSAGE_CHARS) - 2, F.floor((F.col("s.end") - 1) / PASSAGE_CHARS)))
     taken = based.select(F.col("doc_id").alias("d"), F.col("print").alias("p"), F.explode("spans").alias("s")).select("d", "p", F.col("s.start").alias("a"), F.col("s.end").alias("b"), cells.alias("cell"))
