@@ -41,6 +41,8 @@ BLOCK_BYTES = 16_000_000
 GAP = 64
 #: Rows of a table of the benchmark up to which it is broadcast: 32 MB at the 320 bytes that one takes at most, words of 32 bytes.
 BROADCAST_ROWS = 100_000
+#: Words of an item whose windows are verified together.
+PART_WORDS = 1_024
 #: The index row under this word has the places where a block's documents begin.
 STARTS = b""
 
@@ -187,17 +189,27 @@ def _intersected(block: pd.DataFrame) -> pd.DataFrame:
 
 
 def _verified(_, postings: pd.DataFrame, windows: pd.DataFrame) -> pd.DataFrame:
-    """Goes on with the intersection through all words of each candidate window."""
-    lists = {w: np.frombuffer(p, "<u4").astype(np.int64) for w, p in zip(postings["word"], postings["postings"])}
-    kept = []
-    for _, same in windows.groupby(["item", "win_start"]):
-        delta, words, first = same["delta"].to_numpy(np.int64), same["words"].iloc[0], int(same["win_start"].iloc[0])
-        ok = np.ones(len(delta), bool)
-        for i, w in enumerate(words):
-            ok &= _has(lists.get(bytes(w), np.zeros(0, np.int64)), delta + first + i)
-        kept.append(same[ok])
-    out = pd.concat(kept) if kept else windows
-    return out[["block", "ord", "item_id", "item", "win_start", "start", "length"]]
+    """Goes on with the intersection through all words of each candidate window. postings: (word, postings, item, pos)."""
+    lists: dict[int, dict[int, np.ndarray]] = defaultdict(dict)
+    for found, items, pos in zip(postings["postings"], postings["item"], postings["pos"]):
+        places = np.frombuffer(found, "<u4").astype(np.int64)
+        for i, p in zip(items.tolist(), pos.tolist()):
+            lists[i][p] = places
+    item, delta, first, length = (windows[c].to_numpy(np.int64) for c in ("item", "delta", "win_start", "length"))
+    ok, part = np.zeros(len(windows), bool), first // PART_WORDS
+    order = np.lexsort((part, item))
+    for own in np.split(order, np.flatnonzero((np.diff(item[order]) != 0) | (np.diff(part[order]) != 0)) + 1) if len(order) else ():
+        deltas, column = np.unique(delta[own], return_inverse=True)
+        have, base = lists[int(item[own[0]])], int(part[own[0]]) * PART_WORDS
+        begin, end = first[own] - base, first[own] - base + length[own]
+        # the words of this part of the item that stand on each diagonal, summed from its beginning
+        there = np.zeros((int(end.max()) + 1, len(deltas)), np.int32)
+        for p in range(len(there) - 1):
+            if base + p in have:
+                there[p + 1] = _has(have[base + p], deltas + base + p)
+        there = np.cumsum(there, axis=0)
+        ok[own] = there[end, column] - there[begin, column] == length[own]
+    return windows.loc[ok, ["block", "ord", "item_id", "item", "win_start", "start", "length"]]
 
 
 def hits(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -219,10 +231,12 @@ def hits(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     found = written(found)
     windows = asked.select("search", "item_id", "item", F.explode("starts").alias("win_start"), "length")
     placed = found.join(_small(windows), "search").withColumn("start", F.col("at") + F.col("win_start"))
-    candidates = placed.filter("exact").join(_small(items.select("item", "words")), "item").select("block", "ord", "item_id", "item", "win_start", "start", "length", "delta", F.slice("words", F.col("win_start") + 1, F.col("length")).alias("words"))
-    candidates = written(candidates)
-    needed = candidates.select("block", F.explode("words").alias("word")).distinct()
-    lists = postings.join(written(needed), ["block", "word"], "left_semi")
+    candidates = written(placed.filter("exact").select("block", "ord", "item_id", "item", "win_start", "start", "length", "delta"))
+    pos = F.explode(F.sequence("win_start", F.col("win_start") + F.col("length") - 1)).alias("pos")
+    needed = candidates.select("block", "item", "win_start", "length").distinct().select("block", "item", pos).distinct()
+    words = items.select("item", F.posexplode("words").alias("pos", "word"))
+    needed = needed.join(_small(words), ["item", "pos"]).groupBy("block", "word").agg(F.collect_list("item").alias("item"), F.collect_list("pos").alias("pos"))
+    lists = postings.join(written(needed), ["block", "word"])
     schema = "block long, ord int, item_id string, item long, win_start int, start int, length int"
     exact = written(lists.groupBy("block").cogroup(candidates.groupBy("block")).applyInPandas(_verified, schema))
     key = ["block", "ord", "item", "win_start"]
