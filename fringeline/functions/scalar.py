@@ -58,7 +58,7 @@ def relative_orbit(orbit: Column) -> Column:
     return F.pmod(orbit - 73, F.lit(CYCLE_ORBITS)) + 1
 
 
-def archive_path(name: Column, date: Column, base: str = "/neodc/sentinel1a/data/IW/L1_SLC") -> Column:
+def archive_path(name: Column, date: Column, base: str) -> Column:
     """Archive folder of a scene; the processor's version folder changed on 2019-06-25."""
     version = F.when(date >= F.lit("2019-06-25").cast("date"), F.lit("IPF_v3")).otherwise(F.lit("IPF_v2"))
     return F.concat_ws("/", F.lit(base), version, F.date_format(date, "yyyy"), F.date_format(date, "MM"), F.date_format(date, "dd"), F.concat(name, F.lit(".zip")))

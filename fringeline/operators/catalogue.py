@@ -57,15 +57,13 @@ def completeness(frame_bursts: DataFrame, bursts: DataFrame, acquired: DataFrame
     """Per frame and date: expected, acquired, missing, and whether a swath lacks a burst between present ones."""
     order = F.row_number().over(Window.partitionBy("polyid", "iw").orderBy("tanx", "bid"))
     ranked = frame_bursts.join(bursts.select("bid", "iw", "tanx"), "bid").withColumn("rank", order)
-    rows = acquired.select("polyid", "acq_date").distinct().join(ranked, "polyid").join(acquired.withColumn("has", F.lit(True)), ["polyid", "acq_date", "bid"], "left")
-    has = F.col("has").isNotNull()
-    swath = rows.groupBy("polyid", "acq_date", "iw").agg(
-        F.count("*").alias("expected"), F.count_if(has).alias("acquired"),
-        # ranks run without gaps, so a hole shows as a present range wider than the number present
-        (F.max(F.when(has, F.col("rank"))) - F.min(F.when(has, F.col("rank"))) + 1 > F.count_if(has)).alias("hole"),
-    )
-    total = swath.groupBy("polyid", "acq_date").agg(F.sum("expected").alias("expected"), F.sum("acquired").alias("acquired"), F.coalesce(F.bool_or("hole"), F.lit(False)).alias("interior_missing"))
-    return total.withColumn("missing", F.col("expected") - F.col("acquired"))
+    # ranks run without gaps, so a hole shows as a present range wider than the number present
+    swath = acquired.join(ranked.select("polyid", "bid", "iw", "rank"), ["polyid", "bid"]).groupBy("polyid", "acq_date", "iw").agg(
+        F.count("*").alias("acquired"), (F.max("rank") - F.min("rank") + 1 > F.count("*")).alias("hole")
+    )
+    total = swath.groupBy("polyid", "acq_date").agg(F.sum("acquired").alias("acquired"), F.bool_or("hole").alias("interior_missing"))
+    expected = ranked.groupBy("polyid").agg(F.count("*").alias("expected"))
+    return total.join(expected, "polyid").withColumn("missing", F.col("expected") - F.col("acquired"))
 
 
 def tolerant_match(wanted: DataFrame, known: DataFrame, on: str) -> DataFrame:

@@ -79,20 +79,27 @@ def surface_terms(degree: int, x: Column, y: Column) -> list[Column]:
     return [F.pow(x, F.lit(i)) * F.pow(y, F.lit(j)) for i in range(degree + 1) for j in range(degree + 1 - i)]
 
 
-def surface_deramp(pixels: DataFrame, value: str, degree: int, scale: float) -> DataFrame:
-    """Subtract a surface of the given degree from one grid. Only one row of sums reaches the driver."""
+def surface_deramp(pixels: DataFrame, by: list[str], value: str, degree: int, scale: float) -> DataFrame:
+    """Subtract a surface of the given degree from each grid; the systems are solved from one row of sums for each."""
     x, y = F.col("row") / scale, F.col("col") / scale
     t = surface_terms(degree, x, y)
     n = len(t)
     ok = F.col(value).isNotNull()
-    sums = pixels.agg(*[F.sum(F.when(ok, t[i] * t[j])) for i in range(n) for j in range(i, n)], *[F.sum(F.when(ok, t[i] * F.col(value))) for i in range(n)]).first()
-    a, at = np.zeros((n, n)), 0
-    for i in range(n):
-        for j in range(i, n):
-            a[i, j] = a[j, i] = sums[at] or 0.0
-            at += 1
-    coef = np.linalg.lstsq(a, np.array([v or 0.0 for v in sums[at:]]), rcond=None)[0]
-    return pixels.withColumn("deramped", F.col(value) - sum((F.lit(float(c)) * e for c, e in zip(coef[1:], t[1:])), F.lit(float(coef[0])) * t[0]))
+    pick = [(i, j) for i in range(n) for j in range(i, n)]
+    s = pixels.groupBy(*by).agg(*[F.sum(F.when(ok, t[i] * t[j])).alias(f"a{i}_{j}") for i, j in pick], *[F.sum(F.when(ok, t[i] * F.col(value))).alias(f"b{i}") for i in range(n)])
+
+    def solve(batches):
+        for p in batches:
+            a, b = np.zeros((len(p), n, n)), np.stack([p[f"b{i}"].to_numpy(float) for i in range(n)], axis=1)
+            for i, j in pick:
+                a[:, i, j] = a[:, j, i] = p[f"a{i}_{j}"].to_numpy(float)
+            coef = [np.linalg.lstsq(np.nan_to_num(m), np.nan_to_num(v), rcond=None)[0].tolist() for m, v in zip(a, b)]
+            yield pd.concat([p[by].reset_index(drop=True), pd.DataFrame({"__coef": coef})], axis=1)
+
+    kinds = ", ".join(f"{c} {pixels.schema[c].dataType.simpleString()}" for c in by)
+    solved = s.mapInPandas(solve, f"{kinds}, __coef array<double>")
+    surface = sum((F.get("__coef", F.lit(k)) * t[k] for k in range(1, n)), F.get("__coef", F.lit(0)) * t[0])
+    return pixels.join(solved, by).withColumn("deramped", F.col(value) - surface).drop("__coef")
 
 
 def velocity(series: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -147,34 +154,54 @@ def seasonal(series: DataFrame, by: list[str], value: str, std: str | None = Non
     return s.mapInPandas(solve, f"{kinds}, const double, rate double, sin double, cos double")
 
 
-def invert_network(pairs: DataFrame, by: list[str], outlier: float = 0.8 * np.pi) -> DataFrame:
+def invert_network(pairs: DataFrame, by: list[str], outlier: float = 0.8 * np.pi, blocks: int | None = None) -> DataFrame:
     """pairs (by, epoch1, epoch2, value) -> (by, epoch, value): series from a network by least squares, first epoch 0.
 
     Pairs whose residual exceeds ``outlier`` are dropped and the rest is solved again; epochs that the network doesn't tie
-    are null. A group is one pixel's pairs.
+    are null. Pixels are dealt to ``blocks`` by hash (by default 16 for each shuffle partition); in a block each distinct network is factored
+    once and solves all its pixels together, and only pixels with outliers are solved on their own.
     """
     kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in by)
+    blocks = blocks or 16 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def solved(a: np.ndarray, d: np.ndarray) -> np.ndarray | None:
+        """Solutions (epochs but the first, pixels) of one network."""
+        return np.linalg.lstsq(a, d, rcond=None)[0] if len(a) and np.linalg.matrix_rank(a) == a.shape[1] else None
 
     def invert(p: pd.DataFrame) -> pd.DataFrame:
-        epochs = np.unique(np.concatenate([p["epoch1"], p["epoch2"]]))
-        i, j = np.searchsorted(epochs, p["epoch1"]), np.searchsorted(epochs, p["epoch2"])
-        a = np.zeros((len(p), len(epochs)))
-        a[np.arange(len(p)), j] += 1
-        a[np.arange(len(p)), i] -= 1
-        a, d = a[:, 1:], p["value"].to_numpy(float)
-        keep, x = np.isfinite(d), np.full(len(epochs), np.nan)
-        for _ in range(2):
-            if np.linalg.matrix_rank(a[keep]) < a.shape[1]:
-                break
-            sol = np.linalg.lstsq(a[keep], d[keep], rcond=None)[0]
-            x = np.concatenate([[0.0], sol])
-            worse = keep & (np.abs(a @ sol - np.nan_to_num(d)) > outlier)
-            if not worse.any():
-                break
-            keep &= ~worse
-        return pd.DataFrame({**{c: [p[c].iloc[0]] * len(epochs) for c in by}, "epoch": epochs, "value": x})
-
-    return pairs.groupBy(*by).applyInPandas(invert, f"{kinds}, epoch date, value double")
+        p = p.sort_values([*by, "epoch1", "epoch2"], kind="stable")
+        value = p["value"].to_numpy(float)
+        pixel = p.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
+        starts = np.flatnonzero(np.diff(pixel, prepend=-1))
+        ends = [*starts[1:].tolist(), len(p)]
+        first, second = p["epoch1"].to_numpy(), p["epoch2"].to_numpy()
+        networks: dict[tuple, list[int]] = {}
+        for k, (s, e) in enumerate(zip(starts.tolist(), ends)):
+            networks.setdefault((tuple(first[s:e]), tuple(second[s:e]), tuple(np.isfinite(value[s:e]))), []).append(k)
+        out = []
+        for (one, two, finite), pixels in networks.items():
+            epochs = np.unique(np.array([*one, *two]))
+            a = np.zeros((len(one), len(epochs)))
+            a[np.arange(len(one)), np.searchsorted(epochs, np.array(two))] += 1
+            a[np.arange(len(one)), np.searchsorted(epochs, np.array(one))] -= 1
+            a, keep = a[:, 1:], np.array(finite)
+            d = np.stack([value[starts[k] : ends[k]] for k in pixels], axis=1)
+            x = np.full((len(epochs), len(pixels)), np.nan)
+            sol = solved(a[keep], d[keep])
+            if sol is not None:
+                x[0], x[1:] = 0.0, sol
+                worse = keep[:, None] & (np.abs(a @ sol - np.nan_to_num(d)) > outlier)
+                for c in np.flatnonzero(worse.any(axis=0)):
+                    own = keep & ~worse[:, c]
+                    again = solved(a[own], d[own, c])
+                    x[1:, c] = x[1:, c] if again is None else again
+            rows = p.iloc[starts[pixels]][by]
+            out.append(pd.DataFrame({**{c: np.repeat(rows[c].to_numpy(), len(epochs)) for c in by}, "epoch": np.tile(epochs, len(pixels)), "value": x.T.ravel()}))
+        return pd.concat(out)
+
+    block = F.pmod(F.xxhash64(*by), F.lit(blocks)).cast("int").alias("__block")
+    found = pairs.select(*by, "epoch1", "epoch2", "value", block).groupBy("__block").applyInPandas(lambda p: invert(p.drop(columns="__block")), f"{kinds}, epoch date, value double")
+    return found.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
 
 
 def huber_slope(pixels: DataFrame, by: list[str], x: str, y: str, delta: float = 1.345, rounds: int = 20) -> DataFrame:

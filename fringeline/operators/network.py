@@ -92,9 +92,18 @@ def pair_baselines(pairs: DataFrame, baselines: DataFrame) -> DataFrame:
     return out.withColumn("bperp", F.coalesce("b2", F.lit(0.0)) - F.coalesce("b1", F.lit(0.0))).drop("b1", "b2")
 
 
-def classify_pairs(pairs: DataFrame, events: DataFrame) -> DataFrame:
-    """pairs with acquisition times ts1, ts2, joined with events (frame, id, ts): pre, co or post; co spans the event."""
-    j = pairs.join(events.select("frame", "id", F.col("ts").alias("event_ts")), "frame")
+def classify_pairs(pairs: DataFrame, events: DataFrame, within_days: int) -> DataFrame:
+    """pairs with acquisition times ts1, ts2, joined with events (frame, id, ts): pre, co or post; co spans the event.
+
+    A pair before the event ends within ``within_days`` of it, one after it begins within them. The equi key is frame and stretch of
+    time; a pair is listed under the stretches that it and its margins touch, an event under its own.
+    """
+    size, margin = 86_400 * max(1, within_days), 86_400 * within_days
+    seconds = lambda c: F.col(c).cast("timestamp").cast("double")
+    e = events.select("frame", "id", F.col("ts").alias("event_ts")).withColumn("__t", F.floor(seconds("event_ts") / size))
+    p = pairs.withColumn("__t", F.explode(F.sequence(F.floor((seconds("ts1") - margin) / size), F.floor((seconds("ts2") + margin) / size))))
+    near = (seconds("event_ts") <= seconds("ts2") + margin) & (seconds("event_ts") >= seconds("ts1") - margin)
+    j = p.join(e, ["frame", "__t"]).filter(near).drop("__t")
     kind = F.when(F.col("ts2") <= F.col("event_ts"), "pre").when(F.col("ts1") > F.col("event_ts"), "post").otherwise("co")
     return j.withColumn("kind", kind)
 

@@ -53,10 +53,16 @@ def seasonal_coherence(pairs: DataFrame, value: str = "coh", class_days: int = 1
     return rows.groupBy("row", "col", "class", "season").agg(F.avg(valid(value)).alias("mean"), F.count_distinct("epoch1", "epoch2").alias("pairs")).filter("pairs > 1")
 
 
-def multilook(pixels: DataFrame, looks: int, rows: int, cols: int, by: list[str], mag: str = "mag", pha: str = "pha", coh: str = "coh", also: tuple[Column, ...] = ()) -> DataFrame:
+def multilook(pixels: DataFrame, looks: int, rows: int | None, cols: int, by: list[str], mag: str = "mag", pha: str = "pha", coh: str = "coh", also: tuple[Column, ...] = ()) -> DataFrame:
     """Complex mean of looks x looks cells: phase, mean coherence, valid count; partial cells at the end are trimmed, and a cell with
-    fewer than four fifths valid is masked. ``also`` are further aggregates, such as the maximum of a mask or the mean height."""
-    keep = (F.col("row") < rows - rows % looks) & (F.col("col") < cols - cols % looks)
+    fewer than four fifths valid is masked. ``also`` are further aggregates, such as the maximum of a mask or the mean height. Without a
+    number of rows the grid ends at its largest row."""
+    keep = F.col("col") < cols - cols % looks
+    if rows is None:
+        size = F.broadcast(pixels.agg((F.max("row") + 1).alias("__rows")))  # one row
+        pixels = pixels.join(size, F.col("row") < F.col("__rows") - F.col("__rows") % looks)
+    else:
+        keep = keep & (F.col("row") < rows - rows % looks)
     ok = F.col(pha).isNotNull() & valid(coh).isNotNull()
     re, im = (F.when(ok, F.col(mag) * f(F.col(pha))) for f in (F.cos, F.sin))
     cells = pixels.filter(keep).groupBy(*by, F.floor(F.col("row") / looks).alias("row"), F.floor(F.col("col") / looks).alias("col"))
@@ -259,6 +265,8 @@ def islands(pixels: DataFrame, by: list[str], max_rounds: int = 200) -> DataFram
         if sums == state:
             break
         state = sums
+    else:
+        raise RuntimeError("labels did not settle; raise max_rounds")
     sizes = now.groupBy(*by, "label").agg(F.count("*").alias("size"))
     return now.join(sizes, [*by, "label"])
 

@@ -75,11 +75,13 @@ def distance_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Colum
 
 def nearest_within(points: DataFrame, others: DataFrame, key: str, other: str, km: float) -> DataFrame:
     """(key, other, km): the nearest other point of every point, null beyond ``km``."""
-    # a degree of longitude is shorter towards the poles, so the square is as wide as the highest latitude asks for
-    scale = points.agg(F.max(F.abs("lat"))).first()[0] or 0.0
-    from math import cos, radians
-
-    near = points_within(points.select(key, "lon", "lat"), others.select(other, "lon", "lat"), km / KM_PER_DEGREE / max(0.05, cos(radians(min(89.0, scale)))))
+    # A degree of longitude is shorter towards the poles: a point looks as far to both sides as its own latitude asks for, and
+    # other points have one cell. Beyond 87 degrees the search goes no wider.
+    size = km / KM_PER_DEGREE
+    reach = F.lit(size) / F.cos(F.radians(F.least(F.abs("lat") + size, F.lit(87.0))))
+    around = lambda c, r: F.explode(F.sequence(F.floor((F.col(c) - r) / size), F.floor((F.col(c) + r) / size)))
+    p = points.select(key, "lon", "lat").withColumn("__x", around("lon", reach)).withColumn("__y", around("lat", F.lit(size)))
+    near = p.join(_with_point_cell(others.select(other, F.col("lon"), F.col("lat")), size).withColumnsRenamed({"lon": "r_lon", "lat": "r_lat"}), ["__x", "__y"])
     d = distance_km(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"))
     best = near.withColumn("km", d).filter(F.col("km") < km).groupBy(key).agg(F.min_by(other, F.struct("km", other)).alias(other), F.min("km").alias("km"))
     return points.select(key).join(best, key, "left")

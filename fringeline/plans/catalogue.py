@@ -93,10 +93,10 @@ def d01_frame_bursts(spark, sf_dir):
     return C.bursts_of_frames(f.select("polyid"), fb, b.select("bid", "iw", "relorb")).select("polyid", "bid", "iw", "relorb")
 
 
-@query("SELECT bid, polyid FROM @frame_bursts WHERE bid % 3 = 0")
+@query("SELECT bid, polyid FROM @frame_bursts")
 def d02_burst_frames(spark, sf_dir):
     b, fb = _v(spark, sf_dir, "bursts", "frame_bursts")
-    return C.frames_of_bursts(b.filter("bid % 3 = 0"), fb)
+    return C.frames_of_bursts(b, fb)
 
 
 @query("SELECT DISTINCT polyid, fid, CAST(acq_date AS VARCHAR) AS acq_date FROM @frame_bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid) WHERE acq_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' AND pol IN ('VV', 'HH')")

@@ -109,8 +109,8 @@ def f11_processing_order(spark, sf_dir):
 
 
 _TIMED = "(SELECT p.*, a.acq_ts AS ts1, b.acq_ts AS ts2 FROM @pairs p JOIN @epochs a ON a.frame = p.frame AND a.epoch = p.epoch1 JOIN @epochs b ON b.frame = p.frame AND b.epoch = p.epoch2)"
-_EVENTS = "(SELECT id, ts, id % 15 AS frame FROM @quakes WHERE id % 5 = 0)"
-_KIND = f"(SELECT t.frame, q.id, epoch1, epoch2, CASE WHEN ts2 <= q.ts THEN 'pre' WHEN ts1 > q.ts THEN 'post' ELSE 'co' END AS kind FROM {_TIMED} t JOIN {_EVENTS} q ON q.frame = t.frame)"
+_EVENTS = "(SELECT id, ts, id % 15 AS frame FROM @quakes)"
+_KIND = f"(SELECT t.frame, q.id, epoch1, epoch2, CASE WHEN ts2 <= q.ts THEN 'pre' WHEN ts1 > q.ts THEN 'post' ELSE 'co' END AS kind FROM {_TIMED} t JOIN {_EVENTS} q ON q.frame = t.frame AND q.ts <= ts2 + INTERVAL 10 DAY AND q.ts >= ts1 - INTERVAL 10 DAY)"
 
 
 def _classified(spark, sf_dir):
@@ -118,7 +118,7 @@ def _classified(spark, sf_dir):
     t = _p(spark, sf_dir)
     for i in (1, 2):
         t = t.join(e.select("frame", F.col("epoch").alias(f"epoch{i}"), F.col("acq_ts").alias(f"ts{i}")), ["frame", f"epoch{i}"])
-    return N.classify_pairs(t, q.filter("id % 5 = 0").select((F.col("id") % 15).alias("frame"), "id", "ts"))
+    return N.classify_pairs(t, q.select((F.col("id") % 15).alias("frame"), "id", "ts"), 10)
 
 
 @query(f"SELECT frame, id, {_s('epoch1', 'epoch2')}, kind FROM {_KIND} k")
@@ -133,7 +133,7 @@ def f12_shortest_coseismic(spark, sf_dir):
 
 @query(f"SELECT DISTINCT q.frame, q.id FROM {_EVENTS} q WHERE NOT EXISTS (SELECT 1 FROM {_KIND} k WHERE k.id = q.id AND kind = 'co' AND epoch2 - epoch1 <= 30)")
 def d32_events_without_pair(spark, sf_dir):
-    q = view(spark, sf_dir, "quakes").filter("id % 5 = 0").select((F.col("id") % 15).alias("frame"), "id")
+    q = view(spark, sf_dir, "quakes").select((F.col("id") % 15).alias("frame"), "id")
     have = _classified(spark, sf_dir).filter((F.col("kind") == "co") & (F.datediff("epoch2", "epoch1") <= 30)).select("frame", "id").distinct()
     return q.join(have, ["frame", "id"], "left_anti")
 
@@ -184,12 +184,13 @@ def d33_uncorrected_epochs(spark, sf_dir):
     return _days(late.join(_series(spark, sf_dir), ["frame", "epoch"], "left_anti").select("frame", "epoch"), "epoch")
 
 
-@query("""WITH m AS (SELECT o_custkey % 8 AS frame, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, avg(o_totalprice / 1000) AS mean, coalesce(stddev_samp(o_totalprice / 1000), 0) AS std FROM orders WHERE o_custkey % 8 < 3 AND month(o_orderdate) <> 7 GROUP BY 1, 2),
+@query("""WITH m AS (SELECT o_custkey % 8 AS frame, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, avg(CAST(round(o_totalprice * 100) AS BIGINT)) / 100017e0 AS mean, coalesce(stddev_samp(CAST(round(o_totalprice * 100) AS BIGINT)), 0) / 100017e0 AS std FROM orders WHERE month(o_orderdate) <> 7 GROUP BY 1, 2),
     c AS (SELECT frame, CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM m GROUP BY frame) SELECT c.frame, CAST(c.month AS VARCHAR) AS month, round(mean, 6) AS mean, round(std, 6) AS std FROM c LEFT JOIN m ON m.frame = c.frame AND m.month = c.month""")
 def e14_monthly(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").filter((F.col("o_custkey") % 8 < 3) & (F.month("o_orderdate") != 7))
-    m = N.monthly(o.select((F.col("o_custkey") % 8).alias("frame"), F.to_date("o_orderdate").alias("epoch"), (F.col("o_totalprice") / 1000).alias("value")))
-    return _days(m, "month").select("frame", "month", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    o = table(spark, sf_dir, "orders").filter(F.month("o_orderdate") != 7)
+    m = N.monthly(o.select((F.col("o_custkey") % 8).alias("frame"), F.to_date("o_orderdate").alias("epoch"), F.round(F.col("o_totalprice") * 100).cast("long").alias("value")))
+    # whole cents are summed alike in any order
+    return _days(m, "month").select("frame", "month", *[F.round(F.col(c) / 100017.0, 6).alias(c) for c in ("mean", "std")])
 
 
 @query("SELECT bid, row_number() OVER (PARTITION BY relorb, iw ORDER BY tanx, bid) - 1 AS place FROM @bursts")

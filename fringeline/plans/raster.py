@@ -24,7 +24,7 @@ def _grid(spark, sf_dir):
     return g.select("row", F.col("col").cast("long").alias("col"), F.round(F.col("v").cast("double") * 1000).cast("long").alias("value"))
 
 
-_GRID = """(SELECT vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings WHERE vec_id < 500))"""
+_GRID = """(SELECT vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
 _PX = "(SELECT \"row\", col, CAST(epoch AS DATE) AS epoch, nullif(coh, 0) AS coh, pha, mag FROM @pixels)"
 
 
@@ -60,9 +60,9 @@ def e08_stack_median(spark, sf_dir):
 
 
 @query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(max(mag), 4) AS hgt
-    FROM (SELECT *, CASE WHEN coh IS NOT NULL THEN mag * cos(pha) END AS re, CASE WHEN coh IS NOT NULL THEN mag * sin(pha) END AS im FROM {_PX} p) WHERE "row" < 39 AND col < 24 GROUP BY 1, 2, 3""")
+    FROM (SELECT *, CASE WHEN coh IS NOT NULL THEN mag * cos(pha) END AS re, CASE WHEN coh IS NOT NULL THEN mag * sin(pha) END AS im FROM {_PX} p) WHERE "row" // 3 < (SELECT (max("row") + 1) // 3 FROM @pixels) AND col < 24 GROUP BY 1, 2, 3""")
 def e09_multilook(spark, sf_dir):
-    m = R.multilook(_pix(spark, sf_dir), 3, 40, 25, ["epoch"], also=(F.max("mag").alias("hgt"),))
+    m = R.multilook(_pix(spark, sf_dir), 3, None, 25, ["epoch"], also=(F.max("mag").alias("hgt"),))
     return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", "hgt"), "re", "im", "hgt", digits=4), "coh")
 
 
@@ -136,11 +136,11 @@ def e32_normalise(spark, sf_dir):
     return _r(n.select("row", "col", F.col("epoch").cast("string").alias("epoch"), "norm"), "norm")
 
 
-@query(f"""WITH p AS (SELECT "row", col, epoch AS e1, CAST(epoch + INTERVAL 1 MONTH AS DATE) AS e2, pha FROM {_PX} x) SELECT p."row", p.col, CAST(e1 AS VARCHAR) AS epoch1, round(p.pha - (b.mag - a.mag) / 1000, 6) + 0.0 AS pha FROM p JOIN {_PX} a ON a."row" = p."row" AND a.col = p.col AND a.epoch = e1 JOIN {_PX} b ON b."row" = p."row" AND b.col = p.col AND b.epoch = e2""")
+@query(f"""WITH p AS (SELECT "row", col, epoch AS e1, CAST(epoch + INTERVAL 1 MONTH AS DATE) AS e2, pha FROM {_PX} x) SELECT p."row", p.col, CAST(e1 AS VARCHAR) AS epoch1, round(p.pha - (b.mag - a.mag) / 1017, 6) + 0.0 AS pha FROM p JOIN {_PX} a ON a."row" = p."row" AND a.col = p.col AND a.epoch = e1 JOIN {_PX} b ON b."row" = p."row" AND b.col = p.col AND b.epoch = e2""")
 def d24_correct_pairs(spark, sf_dir):
     x = _pix(spark, sf_dir)
     p = x.select("row", "col", F.col("epoch").alias("epoch1"), F.add_months("epoch", 1).alias("epoch2"), "pha")
-    c = R.correct_pairs(p, x.select("row", "col", "epoch", (F.col("mag") / 1000).alias("value")))
+    c = R.correct_pairs(p, x.select("row", "col", "epoch", (F.col("mag") / 1017).alias("value")))
     return _r(c.select("row", "col", F.col("epoch1").cast("string").alias("epoch1"), "pha"), "pha")
 
 
@@ -209,7 +209,8 @@ def f22_fill_nearest(spark, sf_dir):
     return R.fill_nearest(g, [], "value", 2, grow=False).select("row", "col", "value")
 
 
-@query()
+@query(f"""WITH RECURSIVE g AS (SELECT "row", col FROM {_GRID} x WHERE value > 0), r AS (SELECT "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h."row" = r.r2 + d.a AND h.col = r.c2 + d.b)
+    SELECT "row", col, CAST(min(r2 * 64 + c2) // 64 AS BIGINT) AS label_row, CAST(min(r2 * 64 + c2) % 64 AS BIGINT) AS label_col, count(*) AS size FROM r GROUP BY 1, 2""")
 def f23_islands(spark, sf_dir):
     g = _grid(spark, sf_dir).filter("value > 0")
     return R.islands(g, []).select("row", "col", F.col("label.row").alias("label_row"), F.col("label.col").alias("label_col"), "size")
@@ -235,8 +236,8 @@ def e25_deramp(spark, sf_dir):
 
 @query()
 def e25_surface_deramp(spark, sf_dir):
-    p = _pix(spark, sf_dir).groupBy("row", "col").agg(F.avg("pha").alias("v"))
-    return _r(L.surface_deramp(p, "v", 2, 40.0).select("row", "col", "deramped"), "deramped", digits=5)
+    p = _pix(spark, sf_dir).groupBy(F.year("epoch").cast("long").alias("frame"), "row", "col").agg(F.avg("pha").alias("v"))
+    return _r(L.surface_deramp(p, ["frame"], "v", 2, 40.0).select("frame", "row", "col", "deramped"), "deramped", digits=5)
 
 
 @query("""WITH g AS (SELECT "row", col, vel, cos(radians(inc)) AS u, -sin(radians(inc)) * cos(radians(heading)) AS e FROM @look), s AS (SELECT "row", col, sum(u * u) AS a, sum(u * e) AS b, sum(e * e) AS c, sum(u * vel) AS p, sum(e * vel) AS q, count(*) AS n FROM g GROUP BY 1, 2)
@@ -245,9 +246,19 @@ def e26_up_east(spark, sf_dir):
     return _r(L.up_east(view(spark, sf_dir, "look"), ["row", "col"], 3), "up", "east", "up_std", "east_std", digits=5)
 
 
-@query()
+#: Normal equations of three unknowns, and their determinant.
+_LOOK3 = """WITH g AS (SELECT "row", col, vel, cos(radians(inc)) AS u, -sin(radians(inc)) * cos(radians(heading)) AS e, sin(radians(inc)) * sin(radians(heading)) AS h FROM @look),
+    s AS (SELECT "row", col, sum(u * u) AS a, sum(u * e) AS b, sum(u * h) AS c, sum(e * e) AS d, sum(e * h) AS f, sum(h * h) AS k, sum(u * vel) AS p, sum(e * vel) AS q, sum(h * vel) AS r, count(*) AS n FROM g GROUP BY 1, 2),
+    t AS (SELECT *, a * (d * k - f * f) - b * (b * k - f * c) + c * (b * f - d * c) AS det FROM s)"""
+_SOUND = "abs(det) > 1e-12 * a * d * k"
+
+
+@query(_LOOK3 + f""" SELECT "row", col, CASE WHEN n >= 3 AND {_SOUND} THEN round((p * (d * k - f * f) - b * (q * k - f * r) + c * (q * f - d * r)) / det, 2) + 0.0 END AS up,
+    CASE WHEN n >= 3 AND {_SOUND} THEN round((a * (q * k - f * r) - p * (b * k - f * c) + c * (b * r - q * c)) / det, 2) + 0.0 END AS east,
+    CASE WHEN n >= 3 AND {_SOUND} THEN round((a * (d * r - q * f) - b * (b * r - q * c) + p * (b * f - d * c)) / det, 2) + 0.0 END AS north, n FROM t""")
 def e26_up_east_north(spark, sf_dir):
-    return _r(L.up_east_north(view(spark, sf_dir, "look"), ["row", "col"], 3), "up", "east", "north", digits=5)
+    found = L.up_east_north(view(spark, sf_dir, "look"), ["row", "col"], 3)
+    return _r(found.select("row", "col", "up", "east", "north", "n"), "up", "east", "north", digits=2)
 
 
 @query(f"""WITH s AS (SELECT "row" % 4 AS frame, "row", col, epoch, pha FROM {_PX} x), y AS (SELECT year(epoch) AS yr FROM s GROUP BY 1 HAVING count(DISTINCT frame) = (SELECT count(DISTINCT frame) FROM s))
@@ -258,8 +269,12 @@ def e27_annual_velocity(spark, sf_dir):
     return _r(v.select("row", "col", "frame", F.col("year").cast("long").alias("year"), "vel", "n"), "vel", digits=4)
 
 
-@query()
+@query(f"""WITH p AS (SELECT "row", col, epoch, pha FROM {_PX} x), r AS (SELECT a."row", a.col, a.epoch AS e1, b.epoch AS e2 FROM p a JOIN p b ON b."row" = a."row" AND b.col = a.col AND b.epoch = CAST(a.epoch + INTERVAL 1 MONTH AS DATE)),
+    e AS (SELECT "row", col, e1 AS epoch FROM r UNION SELECT "row", col, e2 FROM r), n AS (SELECT "row", col, count(*) AS pairs FROM r GROUP BY 1, 2), m AS (SELECT "row", col, count(*) AS epochs, min(epoch) AS first FROM e GROUP BY 1, 2)
+    SELECT e."row", e.col, CAST(e.epoch AS VARCHAR) AS epoch, CASE WHEN epochs - 1 = pairs THEN round(p.pha - f.pha, 6) + 0.0 END AS value FROM e JOIN n ON n."row" = e."row" AND n.col = e.col JOIN m ON m."row" = e."row" AND m.col = e.col
+    JOIN p ON p."row" = e."row" AND p.col = e.col AND p.epoch = e.epoch JOIN p f ON f."row" = e."row" AND f.col = e.col AND f.epoch = m.first""")
 def e28_invert_network(spark, sf_dir):
+    """Pairs of successive months: without a gap they tie all epochs, and the series is the phase itself less its first value."""
     p = _pix(spark, sf_dir).select("row", "col", F.col("epoch").alias("epoch1"), "pha")
     nxt = p.select("row", "col", F.add_months("epoch1", -1).alias("epoch1"), F.col("pha").alias("later"))
     pairs = p.join(nxt, ["row", "col", "epoch1"]).select("row", "col", "epoch1", F.add_months("epoch1", 1).alias("epoch2"), (F.col("later") - F.col("pha")).alias("value"))
@@ -267,9 +282,10 @@ def e28_invert_network(spark, sf_dir):
     return _r(out.select("row", "col", F.col("epoch").cast("string").alias("epoch"), "value"), "value")
 
 
-@query()
+@query(_LOOK3 + f""" SELECT "row", col, CASE WHEN {_SOUND} THEN round(sqrt((d * k - f * f) / det), 3) END AS up_dop, CASE WHEN {_SOUND} THEN round(sqrt((a * k - c * c) / det), 3) END AS east_dop,
+    CASE WHEN {_SOUND} THEN round(sqrt((a * d - b * b) / det), 3) END AS north_dop, n FROM t""")
 def e29_dilution(spark, sf_dir):
-    return _r(L.dilution(view(spark, sf_dir, "look"), ["row", "col"]), "up_dop", "east_dop", "north_dop", digits=5)
+    return _r(L.dilution(view(spark, sf_dir, "look"), ["row", "col"]), "up_dop", "east_dop", "north_dop", digits=3)
 
 
 @query()

@@ -44,9 +44,9 @@ def b04_relative_orbit(spark, sf_dir):
     return view(spark, sf_dir, "files").select("fid", S.relative_orbit(F.col("fid")).alias("relorb"))
 
 
-@query("""SELECT fid, '/neodc/sentinel1a/data/IW/L1_SLC/' || CASE WHEN acq_date >= DATE '2019-06-25' THEN 'IPF_v3' ELSE 'IPF_v2' END || '/' || strftime(acq_date, '%Y/%m/%d') || '/' || 'scene' || fid || '.zip' AS path FROM @files""")
+@query("""SELECT fid, '/archive/slc/' || CASE WHEN acq_date >= DATE '2019-06-25' THEN 'IPF_v3' ELSE 'IPF_v2' END || '/' || strftime(acq_date, '%Y/%m/%d') || '/' || 'scene' || fid || '.zip' AS path FROM @files""")
 def b05_archive_path(spark, sf_dir):
-    return view(spark, sf_dir, "files").select("fid", S.archive_path(F.concat(F.lit("scene"), "fid"), F.col("acq_date")).alias("path"))
+    return view(spark, sf_dir, "files").select("fid", S.archive_path(F.concat(F.lit("scene"), "fid"), F.col("acq_date"), "/archive/slc").alias("path"))
 
 
 @query("SELECT bid, lpad(CAST(relorb AS VARCHAR), 3, '0') || '_D_' || lpad(CAST(iw AS VARCHAR), 3, '0') AS frame FROM @bursts")

@@ -25,10 +25,10 @@ def d06_box_overlap(spark, sf_dir):
     return S.boxes_overlap(b.select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
 
 
-@query(f"SELECT DISTINCT f.polyid, l.fid FROM @bursts b JOIN @frames f ON {_OVERLAP} JOIN @file_bursts l ON l.bid = b.bid WHERE b.relorb <= 60")
+@query(f"SELECT DISTINCT f.polyid, l.fid FROM @bursts b JOIN @frames f ON {_OVERLAP} JOIN @file_bursts l ON l.bid = b.bid")
 def d07_area_files(spark, sf_dir):
     b, f, lb = _v(spark, sf_dir, "bursts", "frames", "file_bursts")
-    hits = S.boxes_overlap(b.filter("relorb <= 60").select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
+    hits = S.boxes_overlap(b.select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
     return hits.join(lb, "bid").select("polyid", "fid").distinct()
 
 
@@ -75,11 +75,11 @@ def d12_nearest_burst(spark, sf_dir):
     return S.nearest_within(v, b, "volc_id", "bid", 50.0).select("volc_id", "bid", F.round("km", 6).alias("km"))
 
 
-_RADIUS = f"""CASE WHEN round(magnitude * 10) > 85 AND depth <= 250 THEN 2500.0 WHEN round(magnitude * 10) BETWEEN 55 AND 85 AND depth <= list_extract({list(S.QUAKE_DEPTH)}, CAST(round(magnitude * 10) AS INTEGER) - 54)
+QUAKE_RADIUS = f"""CASE WHEN round(magnitude * 10) > 85 AND depth <= 250 THEN 2500.0 WHEN round(magnitude * 10) BETWEEN 55 AND 85 AND depth <= list_extract({list(S.QUAKE_DEPTH)}, CAST(round(magnitude * 10) AS INTEGER) - 54)
     THEN list_extract({list(S.QUAKE_KM)}, CAST(round(magnitude * 10) AS INTEGER) - 54) / 2.0 END * 360.0 / 40007.86"""
 
 
-@query(f"SELECT q.id, f.polyid FROM (SELECT *, {_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r")
+@query(f"SELECT q.id, f.polyid FROM (SELECT *, {QUAKE_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r")
 def d21_event_frames(spark, sf_dir):
     return S.quake_frames(*_v(spark, sf_dir, "quakes", "frames"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fringeline.plans.registry import Registry
+from fringeline.plans.spatial import QUAKE_RADIUS
 from fringeline.plans.views import view
 from fringeline.streaming import operators as K
 
@@ -36,7 +37,7 @@ def k01_event_feed(spark, sf_dir):
     return K.run_to_end(K.event_feed(q.unionByName(_quakes(spark, sf_dir)), "id", F.col("magnitude") >= 6, "40 days")).select("id", F.round("magnitude", 1).alias("magnitude"))
 
 
-@query()
+@query(f"SELECT q.id, f.polyid FROM (SELECT *, {QUAKE_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r")
 def k02_events_with_frames(spark, sf_dir):
     return K.run_to_end(K.events_with_frames(_quakes(spark, sf_dir), view(spark, sf_dir, "frames")))
 

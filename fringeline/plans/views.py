@@ -18,6 +18,15 @@ def _place(k: str) -> str:
     return f"{_LON.format(k=k)} AS lon, {_LAT.format(k=k)} AS lat"
 
 
+#: A swath of 25 columns that grows by a row for every 50 parts.
+_CELL = """CAST(floor(l_partkey / 50e0) AS BIGINT) AS "row", l_suppkey % 25 AS col"""
+
+
+def _mean(c: str, unit: int, times: float = 1) -> str:
+    """Mean of a column by a sum of integers in its unit, the same in any order."""
+    return f"sum(CAST(round({c} * {unit}) AS BIGINT)) * {times}e0 / (count(*) * {unit}e0)"
+
+
 VIEWS = {
     "bursts": f"""SELECT bid, iw, relorb, tanx, lon, lat, lon - 0.4 AS lon1, lon + 0.4 AS lon2, lat - 0.1 AS lat1, lat + 0.1 AS lat2
         FROM (SELECT p_partkey AS bid, CAST(p_size % 3 + 1 AS BIGINT) AS iw, p_partkey % 175 + 1 AS relorb,
@@ -36,11 +45,11 @@ VIEWS = {
     "epochs": "SELECT user_id AS frame, CAST(ts AS DATE) AS epoch, min(ts) AS acq_ts FROM {events} WHERE event_type = 'purchase' GROUP BY user_id, CAST(ts AS DATE)",
     "quakes": """SELECT event_id AS id, CAST(55 + event_id % 31 AS DOUBLE) / 10 AS magnitude, CAST(event_id % 60 AS DOUBLE) AS depth, ts,
         CAST((event_id * 41) % 3600 AS DOUBLE) / 10 - 180 AS lon, CAST((event_id * 59) % 1400 AS DOUBLE) / 10 - 70 AS lat FROM {events} WHERE event_type = 'error'""",
-    "pixels": """SELECT l_partkey % 40 AS "row", l_suppkey % 25 AS col, date_trunc('month', l_shipdate) AS epoch, avg(l_discount * 10) AS coh, avg(l_quantity) AS pha,
-        avg(l_extendedprice) AS mag FROM {lineitem} GROUP BY l_partkey % 40, l_suppkey % 25, date_trunc('month', l_shipdate)""",
-    "look": """SELECT l_returnflag AS frame, l_partkey % 40 AS "row", l_suppkey % 25 AS col, avg(l_extendedprice) / 1000 AS vel,
+    "pixels": f"""SELECT {_CELL}, date_trunc('month', l_shipdate) AS epoch, {_mean('l_discount', 100, 10)} AS coh, {_mean('l_quantity', 1)} AS pha,
+        {_mean('l_extendedprice', 100)} AS mag FROM {{lineitem}} GROUP BY 1, 2, 3""",
+    "look": f"""SELECT l_returnflag AS frame, {_CELL}, {_mean('l_extendedprice', 100, 0.001)} AS vel,
         CAST(CASE l_returnflag WHEN 'A' THEN 34 WHEN 'N' THEN 39 ELSE 44 END AS DOUBLE) AS inc, CAST(CASE l_returnflag WHEN 'A' THEN -10 WHEN 'N' THEN -170 ELSE -12 END AS DOUBLE) AS heading
-        FROM {lineitem} GROUP BY l_returnflag, l_partkey % 40, l_suppkey % 25""",
+        FROM {{lineitem}} GROUP BY 1, 2, 3""",
     "jobs": "SELECT l_orderkey AS job, CAST(l_linenumber AS BIGINT) AS request, l_returnflag = 'R' AS failed FROM {lineitem}",
     "volcanoes": f"SELECT c_custkey AS volc_id, c_name AS name, c_mktsegment AS priority, {_place('c_custkey')} FROM {{customer}}",
 }

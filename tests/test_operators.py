@@ -129,7 +129,7 @@ def test_event_pairs_break_ties_by_time(spark):
     kinds = []
     for ts in (t(2020, 1, 7, 6), t(2020, 1, 7, 4), t(2020, 1, 1, 4)):
         q = spark.createDataFrame([(1, 1, ts)], "frame long, id long, ts timestamp")
-        kinds.append(N.classify_pairs(p, q).first().kind)
+        kinds.append(N.classify_pairs(p, q, 30).first().kind)
     assert kinds == ["pre", "co", "post"]
 
 
@@ -164,7 +164,7 @@ def test_decompose_round_trip(spark):
 
 def test_surface_deramp_removes_a_surface(spark):
     p = spark.createDataFrame([(r, c, 3.0 + r - 2.0 * c + 0.1 * r * c) for r in range(8) for c in range(8)], "row long, col long, v double")
-    assert all(abs(r.deramped) < 1e-6 for r in L.surface_deramp(p, "v", 2, 8.0).collect())
+    assert all(abs(r.deramped) < 1e-6 for r in L.surface_deramp(p.withColumn("g", F.lit(1)), ["g"], "v", 2, 8.0).collect())
 
 
 def test_invert_network_and_outlier(spark):

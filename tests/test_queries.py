@@ -10,7 +10,7 @@ from fringeline import plans
 
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
 #: No SQL form; see test_operators.py.
-ROWS_ONLY = {"f23_islands", "e25_surface_deramp", "e26_up_east_north", "e28_invert_network", "e29_dilution", "e30_seasonal", "e24_huber_slope", "k02_events_with_frames"}
+ROWS_ONLY = {"e25_surface_deramp", "e30_seasonal", "e24_huber_slope"}
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +50,6 @@ def test_oracle(spark, con, sf_dir, name):
         assert all(close(x, y) for x, y in zip(a, b)), (a, b)
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY - {"f23_islands"}))
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows(spark, sf_dir, name):
     assert plans.QUERIES[name](spark, sf_dir).count() > 0
