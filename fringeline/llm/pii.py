@@ -197,11 +197,13 @@ def found_spans(docs: DataFrame) -> DataFrame:
     based = _based(docs)
     told = disclosing_terms(docs, based)
     told = F.broadcast(told) if told.count() <= BROADCAST_TERMS else told
+    # a passage's words are found first; only words that are told of are placed
     places = (
         docs.select("doc_id", _print().alias("print"), F.posexplode(_passages(F.col("text"))).alias("number", "p"))
-        .select("doc_id", "print", F.explode(_places(F.col("p"), F.col("number"))).alias("t"))
-        .select("doc_id", "print", "t.*")
+        .select("doc_id", "print", "number", "p", F.explode(_words(F.col("p"))).alias("term"))
         .join(told, "term")
+        .select("doc_id", "print", "term", "put", F.explode(F.filter(_places(F.col("p"), F.col("number")), lambda t: t["term"] == F.col("term"))).alias("t"))
+        .select("doc_id", "print", "term", "put", "t.start", "t.end")
         .distinct()
     )
     # written, or the join below would be pushed under the one above and see every word of the corpus
