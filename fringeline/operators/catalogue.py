@@ -19,6 +19,22 @@ def frames_of_bursts(bursts: DataFrame, frame_bursts: DataFrame) -> DataFrame:
     return bursts.select("bid").join(frame_bursts, "bid").select("bid", "polyid").distinct()
 
 
+def bursts_of_files(file_bursts: DataFrame, bursts: DataFrame) -> DataFrame:
+    """(fid, ...): the bursts of every file, in the order of their numbers."""
+    return file_bursts.join(bursts, "bid").distinct()
+
+
+def files_of_bursts(bursts: DataFrame, file_bursts: DataFrame, files: DataFrame) -> DataFrame:
+    """(bid, fid, ...): the files of every burst with their columns, such as the path."""
+    return bursts.select("bid").join(file_bursts.select("bid", "fid"), "bid").distinct().join(files, "fid")
+
+
+def pass_of_bursts(file_bursts: DataFrame, files: DataFrame, orbit_dir: str) -> DataFrame:
+    """(bid, orbit_dir): the flight direction of a burst, as its first file says."""
+    known = files.filter(F.col(orbit_dir).isNotNull()).select("fid", orbit_dir)
+    return file_bursts.select("bid", "fid").join(known, "fid").groupBy("bid").agg(F.min_by(orbit_dir, "fid").alias(orbit_dir))
+
+
 def co_polarised(files: DataFrame, first: str, last: str) -> DataFrame:
     """Files of a period, VV or HH only."""
     return files.filter(F.col("acq_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & F.col("pol").isin("VV", "HH"))
@@ -120,6 +136,25 @@ def unique_hits(points: DataFrame, hits: DataFrame, key: str) -> DataFrame:
     return hits.join(hits.groupBy(key).count().filter("count = 1").select(key), key, "left_semi")
 
 
+def event_report(events: DataFrame, event_frames: DataFrame, frames: DataFrame, boxes: DataFrame) -> DataFrame:
+    """events (id, ...), event_frames (id, polyid, post_acq, next_acq), frames (polyid, polyid_name), boxes (polyid, lon1 .. lat2): a row for
+    each frame of an event, with its track and the place of its products."""
+    j = event_frames.join(events, "id").join(frames.select("polyid", "polyid_name"), "polyid").join(boxes, "polyid")
+    track = F.substring("polyid_name", 1, 3).cast("long")
+    return j.withColumns({"track": track, "link": F.concat_ws("/", track.cast("string"), "polyid_name")})
+
+
+def clip_status(clips: DataFrame, epochs: DataFrame) -> DataFrame:
+    """clips (volc_id, vid), epochs (vid, subframe, sourceframe, epoch): per volcano, clip and subframe the epochs besides the reference."""
+    n = epochs.groupBy("vid", "subframe").agg(F.min("sourceframe").alias("sourceframe"), (F.count_distinct("epoch") - 1).alias("epochs"))
+    return clips.select("volc_id", "vid").distinct().join(n, "vid")
+
+
+def volcano_clips(volcanoes: DataFrame, links: DataFrame, clips: DataFrame) -> DataFrame:
+    """(vid, volc_id) of the links whose volcano and clip exist."""
+    return links.select("vid", "volc_id").distinct().join(volcanoes.select("volc_id"), "volc_id", "left_semi").join(clips.select("vid"), "vid", "left_semi")
+
+
 # Catalogue maintenance: each returns the new version of a table, which the caller writes.
 
 
@@ -132,6 +167,54 @@ def deletable_bursts(bursts: DataFrame, frame_bursts: DataFrame) -> DataFrame:
     return bursts.join(frame_bursts.select("bid").distinct(), "bid", "left_anti")
 
 
+def delete_bursts(tables: dict[str, DataFrame], doomed: DataFrame) -> dict[str, DataFrame]:
+    """tables bursts, frame_bursts, files, file_bursts, file_jobs, offsets (bid) without the bursts ``doomed`` (bid) that no frame uses, the files
+    in which they occur, and the rows of those files and bursts; bursts that a frame uses are refused."""
+    bids = deletable_bursts(doomed.select("bid").distinct(), tables["frame_bursts"])
+    fids = tables["file_bursts"].join(bids, "bid", "left_semi").select("fid").distinct()
+    return {
+        "bursts": delete_keys(tables["bursts"], bids, ["bid"]),
+        "frame_bursts": tables["frame_bursts"],
+        "offsets": delete_keys(tables["offsets"], bids, ["bid"]),
+        **{name: delete_keys(tables[name], fids, ["fid"]) for name in ("files", "file_bursts", "file_jobs")},
+    }
+
+
+def delete_files(tables: dict[str, DataFrame], doomed: DataFrame) -> dict[str, DataFrame]:
+    """tables files, file_bursts and file_jobs without the files ``doomed`` (fid)."""
+    return {name: delete_keys(tables[name], doomed, ["fid"]) for name in ("files", "file_bursts", "file_jobs")}
+
+
+def insert_event_frames(table: DataFrame, new: DataFrame) -> DataFrame:
+    """table (id, polyid, post_acq, next_acq, last_acq) with the pairs of ``new`` (id, polyid, post_acq) that it lacks: the next acquisition is
+    due 6 days after the first one behind the event, the last one that is followed 24 days after; both are open without it."""
+    days = {"next_acq": 6, "last_acq": 24}
+    rows = new.select("id", "polyid", "post_acq", *[(F.col("post_acq") + F.expr(f"interval {n} days")).alias(c) for c, n in days.items()])
+    return insert_absent(table, rows, ["id", "polyid"])
+
+
+CLIP = ("lon1", "lon2", "lat1", "lat2")
+
+
+def replace_clips(clips: DataFrame, new: DataFrame) -> DataFrame:
+    """clips (vid, lon1, lon2, lat1, lat2) in which a row of ``new`` takes the place of a smaller area of its vid; a smaller one is refused."""
+    n = new.select("vid", *[F.col(c).alias(f"new_{c}") for c in CLIP])
+    area = lambda p: (F.col(f"{p}lon2") - F.col(f"{p}lon1")) * (F.col(f"{p}lat2") - F.col(f"{p}lat1"))
+    j = clips.join(n, "vid", "left")
+    larger = F.coalesce(area("new_") > area(""), F.lit(False))
+    return j.select("vid", *[F.when(larger, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in CLIP])
+
+
+def link_clips(links: DataFrame, inside: DataFrame) -> DataFrame:
+    """links (vid, volc_id) with those of ``inside`` that they lack."""
+    return insert_absent(links, inside, ["vid", "volc_id"])
+
+
+def delete_clips(clips: DataFrame, links: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clips and links without the clips ``doomed`` (vid)."""
+    return delete_keys(clips, doomed, ["vid"]), delete_keys(links, doomed, ["vid"])
+
+
 def clone_frame(frames: DataFrame, frame_bursts: DataFrame, polyid: int, name: str) -> tuple[DataFrame, DataFrame]:
     """Both tables with a copy of a frame under the next free id."""
     new = frames.agg((F.max("polyid") + 1).alias("new_id"))  # one row

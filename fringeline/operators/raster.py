@@ -113,6 +113,41 @@ def overlap_offsets(pixels: DataFrame) -> DataFrame:
     return places.withColumn("offset", F.sum(F.coalesce("step", F.lit(0.0))).over(Window.partitionBy(F.lit(0)).orderBy("place"))).select("place", "offset")
 
 
+def grow_mosaic(grids: DataFrame, places: list[int]) -> DataFrame:
+    """grids (place, row, col, value) laid one over the other in the order of ``places``: each is shifted by the median difference between the
+    mosaic so far and itself where both are valid (not at all without an overlap), and then covers it. (row, col, value, place).
+
+    A round for each grid; a round joins one grid with the mosaic and is written to the shared folder.
+    """
+    mosaic = None
+    for place in places:
+        own = grids.filter(F.col("place") == place).select(*CELL, valid("value").alias("value")).filter("value is not null")
+        if mosaic is None:
+            mosaic = written(own.withColumn("place", F.lit(place)))
+            continue
+        old = mosaic.select(*CELL, F.col("value").alias("old"), F.col("place").alias("old_place"))
+        both = written(own.join(old, CELL, "full"))
+        shift = both.agg(F.coalesce(F.median(F.col("old") - F.col("value")), F.lit(0.0)).alias("shift"))  # one row
+        new = F.col("value") + F.col("shift")
+        mosaic = written(both.crossJoin(F.broadcast(shift)).select(*CELL, F.coalesce(new, "old").alias("value"), F.when(F.col("value").isNotNull(), F.lit(place)).otherwise(F.col("old_place")).alias("place")))
+    return mosaic
+
+
+def height_correction(pixels: DataFrame, by: list[str], block: int, least: float = 0.001) -> DataFrame:
+    """Per frame: the median of its blocks' slopes of phase on height, the phase's deviation before and after taking it away (wrapped), and
+    whether the correction is kept. It is dropped below ``least`` radians a metre, and where the deviation doesn't fall."""
+    slope = height_correlation(pixels, by, block).groupBy(*by).agg(F.median("slope").alias("slope"))
+    after = wrap(F.col("pha") - F.col("slope") * F.col("hgt"))
+    s = pixels.join(slope, by).groupBy(*by, "slope").agg(F.stddev_pop("pha").alias("std_before"), F.stddev_pop(after).alias("std_after"))
+    return s.withColumn("kept", (F.abs("slope") >= least) & (F.col("std_after") < F.col("std_before")))
+
+
+def height_corrected(pixels: DataFrame, by: list[str], block: int) -> DataFrame:
+    """``pixels`` with the kept corrections taken from ``pha``."""
+    kept = height_correction(pixels, by, block).filter("kept").select(*by, F.col("slope").alias("__slope"))
+    return pixels.join(kept, by, "left").withColumn("pha", F.when(F.col("__slope").isNotNull(), wrap(F.col("pha") - F.col("__slope") * F.col("hgt"))).otherwise(F.col("pha"))).drop("__slope")
+
+
 def height_correlation(pixels: DataFrame, by: list[str], block: int, min_r: float = 0.3, min_relief: float = 100.0) -> DataFrame:
     """Slope of phase on height in each block that is correlated and steep enough; the frame's value is their median."""
     g = pixels.groupBy(*by, F.floor(F.col("row") / block).alias("brow"), F.floor(F.col("col") / block).alias("bcol"))
@@ -194,6 +229,43 @@ def gauss_smooth(pixels: DataFrame, by: list[str], value: str, sigma: float, rad
     return seen.join(ok, [*by, *CELL], "left_semi")
 
 
+def gauss_phase(pixels: DataFrame, by: list[str], pha: str, sigma: float, radius: int) -> DataFrame:
+    """gauss_pha and gauss_coh of unit phasors smoothed so that intensity is conserved: what a pixel's kernel would spread over no-data, or
+    beyond the grid, stays on the pixel itself."""
+    reach = gauss(sigma, radius)
+    total = sum(w for *_, w in reach)
+    ok = pixels.filter(F.col(pha).isNotNull()).select(*by, *CELL, F.cos(pha).alias("re"), F.sin(pha).alias("im"))
+    seen = neighbourhood(ok, by, reach).groupBy(*by, *CELL).agg(*[F.sum(F.col("w") * F.col(c)).alias(f"s_{c}") for c in ("re", "im")], F.sum("w").alias("w"))
+    j = ok.join(seen, [*by, *CELL])
+    re, im = (F.col(f"s_{c}") / total + (1 - F.col("w") / total) * F.col(c) for c in ("re", "im"))
+    return j.select(*by, *CELL, F.atan2(im, re).alias("gauss_pha"), F.hypot(re, im).alias("gauss_coh"))
+
+
+def fill_gauss(pixels: DataFrame, by: list[str], pha: str, sigma: float = 2.0, radius: int | None = None, rounds: int = 3) -> DataFrame:
+    """Null phases take the angle of the kernel-weighted mean of the valid phasors within ``radius`` (four sigma by default), in up to ``rounds``
+    rounds, each of which sees what the one before filled; what is left then takes the nearest value. Rounds are written."""
+    reach = gauss(sigma, int(4 * sigma) if radius is None else radius)
+    now = written(pixels.select(*by, *CELL, F.col(pha).alias("p")))
+    for _ in range(rounds):
+        if not now.filter("p is null").limit(1).count():
+            break
+        ok = now.filter("p is not null").select(*by, *CELL, F.cos("p").alias("re"), F.sin("p").alias("im"))
+        hole = now.filter("p is null").select(*by, *CELL)
+        seen = neighbourhood(ok, by, reach).join(hole, [*by, *CELL], "left_semi").groupBy(*by, *CELL).agg(F.atan2(F.sum(F.col("w") * F.col("im")), F.sum(F.col("w") * F.col("re"))).alias("new"))
+        now = written(now.join(seen, [*by, *CELL], "left").select(*by, *CELL, F.coalesce("p", "new").alias("p")))
+    left = bool(now.filter("p is null").limit(1).count())
+    full = fill_nearest(now, by, "p", 2) if left else now
+    return pixels.drop(pha).join(full.withColumnRenamed("p", pha), [*by, *CELL])
+
+
+def despiked(pixels: DataFrame, by: list[str], value: str, k: int, limit: float) -> DataFrame:
+    """Moving median, to which residuals of less than ``limit`` are added back: outliers go, detail stays."""
+    m = moving(pixels, by, value, "median", k).select(*by, *CELL, "median")
+    j = pixels.join(m, [*by, *CELL])
+    rest = F.col(value) - F.col("median")
+    return j.withColumn("filtered", F.col("median") + F.when(F.abs(rest) < limit, rest).otherwise(0)).drop("median")
+
+
 def mode_median(pixels: DataFrame, by: list[str], value: str, radius: int, bin_size: float) -> DataFrame:
     """Median of the values in the fullest histogram bin of a disk and in the bins beside it."""
     b = F.floor(F.col(value) / bin_size)
@@ -245,30 +317,73 @@ def fill_nearest(pixels: DataFrame, by: list[str], value: str, radius: int, grow
     return pixels.join(best, [*by, *CELL], "left").withColumn(value, F.coalesce(value, "__fill")).drop("__fill")
 
 
-def islands(pixels: DataFrame, by: list[str], max_rounds: int = 200) -> DataFrame:
+def _tile_labels(rows: list[int], cols: list[int]) -> list[tuple[int, int]]:
+    """Label of each cell of one tile: the smallest (row, col) of its four-connected part."""
+    at = {c: i for i, c in enumerate(zip(rows, cols))}
+    parent = list(range(len(rows)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for (r, c), i in at.items():
+        for other in ((r - 1, c), (r, c - 1)):
+            if (j := at.get(other)) is not None:
+                a, b = root(i), root(j)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+    return [(rows[k], cols[k]) for k in map(root, range(len(rows)))]
+
+
+def islands(pixels: DataFrame, by: list[str], tile: int = 256, max_rounds: int = 60) -> DataFrame:
     """Connected components (four neighbours) of the pixels given: label and size. Labels are the smallest row and column.
 
-    Labels spread to neighbours and then jump to their label's label, so rounds grow with the logarithm of an island's length;
-    every round is written to the shared folder.
+    Tiles are labelled on their own; labels that meet at tile borders are then joined by spreading the smallest one and jumping to
+    its own label, on the labels alone. Rounds are written to the shared folder.
     """
-    cell = F.struct("row", "col")
-    plus = [(0, 0, 1.0), (0, 1, 1.0), (1, 0, 1.0), (0, -1, 1.0), (-1, 0, 1.0)]
-    now = pixels.select(*by, *CELL, cell.alias("label"))
-    now = written(now)
+    kinds = ", ".join(f"{c} {pixels.schema[c].dataType.simpleString()}" for c in by)
+    spots = pixels.select(*by, *[F.col(c).cast("long").alias(c) for c in CELL], F.floor(F.col("row") / tile).alias("__tr"), F.floor(F.col("col") / tile).alias("__tc"))
+
+    def label(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(CELL)
+        return p[[*by, *CELL]].assign(**dict(zip(("lr", "lc"), zip(*_tile_labels(p["row"].tolist(), p["col"].tolist())))))
+
+    own = written(spots.groupBy(*by, "__tr", "__tc").applyInPandas(label, (f"{kinds}, " if by else "") + "row long, col long, lr long, lc long"))
+    own = own.withColumn("label", F.struct(F.col("lr").alias("row"), F.col("lc").alias("col"))).drop("lr", "lc")
+    edge = own.filter((F.pmod("row", F.lit(tile)) == 0) | (F.pmod("col", F.lit(tile)) == 0)).select(*by, *CELL, F.col("label").alias("a"), F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in ((-1, 0), (0, -1))])).alias("o"))
+    crossed = ((F.col("o.r") == -1) & (F.pmod("row", F.lit(tile)) == 0)) | ((F.col("o.c") == -1) & (F.pmod("col", F.lit(tile)) == 0))
+    edge = edge.filter(crossed).select(*by, (F.col("row") + F.col("o.r")).alias("row"), (F.col("col") + F.col("o.c")).alias("col"), "a")
+    links = edge.join(own.select(*by, *CELL, F.col("label").alias("b")), [*by, *CELL]).select(*by, "a", "b").filter("a != b").distinct()
+    links = written(links.unionByName(links.select(*by, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    now = written(links.select(*by, "a", F.col("a").alias("label")).distinct())
     state = None
     for _ in range(max_rounds):
-        near = neighbourhood(now, by, plus).groupBy(*by, *CELL).agg(F.min("label").alias("label")).join(now.select(*by, *CELL), [*by, *CELL], "left_semi")
-        up = now.select(*by, F.col("row").alias("lr"), F.col("col").alias("lc"), F.col("label").alias("up"))
-        j = near.withColumns({"lr": F.col("label.row"), "lc": F.col("label.col")}).join(up, [*by, "lr", "lc"])
-        now = written(j.select(*by, *CELL, F.least("label", "up").alias("label")))
-        sums = now.agg(F.sum(F.xxhash64("label").cast("decimal(38,0)"))).first()[0]
+        near = links.join(now.select(*by, F.col("a").alias("b"), F.col("label").alias("other")), [*by, "b"]).groupBy(*by, "a").agg(F.min("other").alias("other"))
+        best = now.join(near, [*by, "a"]).select(*by, "a", F.least("label", "other").alias("label"))
+        up = now.select(*by, F.col("a").alias("label"), F.col("label").alias("up"))
+        now = written(best.join(up, [*by, "label"]).select(*by, "a", F.least("label", "up").alias("label")))
+        sums = now.agg(F.sum(F.xxhash64("a", "label").cast("decimal(38,0)"))).first()[0]
         if sums == state:
             break
         state = sums
     else:
         raise RuntimeError("labels did not settle; raise max_rounds")
-    sizes = now.groupBy(*by, "label").agg(F.count("*").alias("size"))
-    return now.join(sizes, [*by, "label"])
+    joined = own.withColumnRenamed("label", "a").join(now, [*by, "a"], "left").select(*by, *CELL, F.coalesce("label", "a").alias("label"))
+    joined = written(joined)
+    return joined.join(joined.groupBy(*by, "label").agg(F.count("*").alias("size")), [*by, "label"])
+
+
+def island_pixels(metres: float, km: float = 7.0) -> int:
+    """Pixels of a square of so many kilometres a side."""
+    return round(km * 1000 / metres) ** 2
+
+
+def remove_islands(pixels: DataFrame, by: list[str], value: str, pixels_at_least: int) -> DataFrame:
+    """``pixels`` whose value is null on islands of fewer than so many pixels."""
+    small = islands(pixels.filter(F.col(value).isNotNull()), by).filter(F.col("size") < pixels_at_least).select(*by, *CELL, F.lit(True).alias("__small"))
+    return pixels.join(small, [*by, *CELL], "left").withColumn(value, F.when(F.col("__small").isNull(), F.col(value))).drop("__small")
 
 
 def resample(coarse: DataFrame, fine: DataFrame, by: list[str], factor: int) -> DataFrame:

@@ -18,6 +18,27 @@ def bounding_box(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.min("lon1").alias("lon1"), F.max("lon2").alias("lon2"), F.min("lat1").alias("lat1"), F.max("lat2").alias("lat2"))
 
 
+def corner_boxes(rows: DataFrame, corners: int) -> DataFrame:
+    """``rows`` with the box (lon1, lon2, lat1, lat2) of their columns corner1_lon, corner1_lat, ... Corners that are null, as most of a
+    frame's twelve are, are left out; rows without any corner have no box and are dropped."""
+    ends = {}
+    for axis in ("lon", "lat"):
+        c = [F.col(f"corner{i}_{axis}") for i in range(1, corners + 1)]
+        ends |= {f"{axis}1": F.least(*c), f"{axis}2": F.greatest(*c)}
+    return rows.withColumns(ends).filter("lon1 is not null and lat1 is not null")
+
+
+def centres_in_boxes(rows: DataFrame, boxes: DataFrame, size: float = 1.0) -> DataFrame:
+    """Rows whose centre (lon, lat) lies in a box, with its columns."""
+    return points_in_boxes(rows, boxes, size)
+
+
+def points_near_boxes(points: DataFrame, boxes: DataFrame, tolerance: float, size: float = 1.0) -> DataFrame:
+    """Points in boxes that are wider by ``tolerance`` degrees on every side."""
+    wide = boxes.withColumns({"lon1": F.col("lon1") - tolerance, "lon2": F.col("lon2") + tolerance, "lat1": F.col("lat1") - tolerance, "lat2": F.col("lat2") + tolerance})
+    return points_in_boxes(points, wide, size)
+
+
 def mean_centre(points: DataFrame, by: str) -> DataFrame:
     """Spherical mean: unit vectors are averaged."""
     la, lo = F.radians("lat"), F.radians("lon")
@@ -104,6 +125,13 @@ def points_in_polygons(points: DataFrame, vertices: DataFrame, key: str, size: f
     return near.join(polygon_edges(vertices), "poly").groupBy(key, "poly").agg(F.count_if(crosses).alias("n")).filter("n % 2 = 1").select(key, "poly")
 
 
+def corners_in_polygons(rows: DataFrame, vertices: DataFrame, key: str, corners: int = 4, size: float = 1.0) -> DataFrame:
+    """(key, poly): polygons in which any of a row's corners lies."""
+    each = F.inline(F.array(*[F.struct(F.lit(i).alias("corner"), F.col(f"corner{i}_lon").alias("lon"), F.col(f"corner{i}_lat").alias("lat")) for i in range(1, corners + 1)]))
+    points = rows.select(key, each).filter("lon is not null and lat is not null").select(F.struct(key, "corner").alias("__c"), "lon", "lat")
+    return points_in_polygons(points, vertices, "__c", size).select(F.col(f"__c.{key}").alias(key), "poly").distinct()
+
+
 def official_bursts(bursts: DataFrame, official: DataFrame, max_seconds: float = 1.5, max_degrees: float = 1.0) -> DataFrame:
     """(bid, id): the nearest official burst of the same swath, a track one off at most (175 is next to 1), and close in time and place."""
     cell = lambda c: F.floor(c / max_seconds)
@@ -142,6 +170,13 @@ def nearest_pixels(points: DataFrame, lon0: float, lat0: float, step_lon: float,
     return points.withColumns({"row": F.round((F.col("lat") - lat0) / step_lat).cast("long"), "col": F.round((F.col("lon") - lon0) / step_lon).cast("long")})
 
 
+def nearest_of_grid(points: DataFrame, grid: DataFrame, key: str, cell: str, degrees: float) -> DataFrame:
+    """(key, cell): the grid point nearest to each point, for grids without regular steps; null beyond ``degrees`` in either axis."""
+    near = points_within(points.select(key, "lon", "lat"), grid.select(cell, "lon", "lat"), degrees)
+    far = F.pow(F.col("lon") - F.col("r_lon"), 2) + F.pow(F.col("lat") - F.col("r_lat"), 2)
+    return points.select(key).join(near.groupBy(key).agg(F.min_by(cell, F.struct(far, cell)).alias(cell)), key, "left")
+
+
 def adjacent_overlaps(bursts: DataFrame) -> DataFrame:
     """Intersection boxes of bursts that follow each other in a swath of a track."""
     w = Window.partitionBy("relorb", "iw").orderBy("tanx", "bid")

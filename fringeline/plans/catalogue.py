@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fringeline.operators import catalogue as C
 from fringeline.plans.registry import Registry
+from fringeline.plans.spatial import QUAKE_RADIUS
 from fringeline.plans.views import table, view
 
 query = Registry()
@@ -99,6 +100,24 @@ def d02_burst_frames(spark, sf_dir):
     return C.frames_of_bursts(b, fb)
 
 
+@query("SELECT DISTINCT fid, bid, iw FROM @file_bursts JOIN @bursts USING (bid)")
+def d02_file_bursts(spark, sf_dir):
+    lb, b = _v(spark, sf_dir, "file_bursts", "bursts")
+    return C.bursts_of_files(lb.select("fid", "bid"), b.select("bid", "iw"))
+
+
+@query("SELECT DISTINCT bid, fid, CAST(acq_date AS VARCHAR) AS acq_date FROM @bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid)")
+def d02_burst_files(spark, sf_dir):
+    b, lb, f = _v(spark, sf_dir, "bursts", "file_bursts", "files")
+    return C.files_of_bursts(b, lb, f.select("fid", _day()))
+
+
+@query("SELECT bid, arg_min(CASE WHEN sat = 0 THEN 'A' ELSE 'D' END, fid) AS orbit_dir FROM @file_bursts JOIN @files USING (fid) WHERE pol <> 'VH' GROUP BY bid")
+def d02_burst_pass(spark, sf_dir):
+    lb, f = _v(spark, sf_dir, "file_bursts", "files")
+    return C.pass_of_bursts(lb, f.select("fid", F.when(F.col("pol") != "VH", F.when(F.col("sat") == 0, "A").otherwise("D")).alias("orbit_dir")), "orbit_dir")
+
+
 @query("SELECT DISTINCT polyid, fid, CAST(acq_date AS VARCHAR) AS acq_date FROM @frame_bursts JOIN @file_bursts USING (bid) JOIN @files USING (fid) WHERE acq_date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' AND pol IN ('VV', 'HH')")
 def d03_frame_files(spark, sf_dir):
     fb, lb, fi = _v(spark, sf_dir, "frame_bursts", "file_bursts", "files")
@@ -174,17 +193,26 @@ def d19_register_products(spark, sf_dir):
     return done.select("polyid", "id1", "id2", F.col("date_gap").cast("long").alias("date_gap"), F.col("status").cast("long").alias("status"))
 
 
-@query("""SELECT q.id, f.polyid, f.polyid_name, CAST(substr(f.polyid_name, 1, 3) AS BIGINT) AS track, 'eq/' || q.id || '/' || f.polyid_name AS link FROM @quakes q JOIN @frames f ON q.id % 10 = f.polyid % 10 AND q.magnitude > 7""")
+@query(f"""SELECT q.id, f.polyid, f.polyid_name, CAST(substr(f.polyid_name, 1, 3) AS BIGINT) AS track, CAST(CAST(substr(f.polyid_name, 1, 3) AS BIGINT) AS VARCHAR) || '/' || f.polyid_name AS link, CAST(CAST(q.ts AS DATE) + 6 AS VARCHAR) AS next_possible, round(f.lon1, 3) AS lon1, round(f.lat1, 3) AS lat1
+    FROM (SELECT *, {QUAKE_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r""")
 def d20_event_report(spark, sf_dir):
+    from fringeline.operators.spatial import BOX, quake_frames
+
     q, f = _v(spark, sf_dir, "quakes", "frames")
-    j = q.filter("magnitude > 7").withColumn("k", F.col("id") % 10).join(f.withColumn("k", F.col("polyid") % 10), "k")
-    return j.select("id", "polyid", "polyid_name", F.substring("polyid_name", 1, 3).cast("long").alias("track"), F.concat_ws("/", F.lit("eq"), "id", "polyid_name").alias("link"))
+    links = C.insert_event_frames(_no_event_frames(spark), quake_frames(q, f).join(q.select("id", F.to_date("ts").alias("post_acq")), "id"))
+    r = C.event_report(q.select("id", "magnitude"), links, f, f.select("polyid", *BOX))
+    return r.select("id", "polyid", "polyid_name", "track", "link", F.to_date("next_acq").cast("string").alias("next_possible"), F.round("lon1", 3).alias("lon1"), F.round("lat1", 3).alias("lat1"))
+
+
+def _no_event_frames(spark):
+    return spark.createDataFrame([], "id long, polyid long, post_acq date, next_acq date, last_acq date")
 
 
 @query("SELECT DISTINCT n.n_nationkey AS clip, v.volc_id FROM @volcanoes v JOIN customer c ON c.c_custkey = v.volc_id JOIN nation n ON n.n_nationkey = c.c_nationkey")
 def d26_volcano_clips(spark, sf_dir):
     v, c, n = view(spark, sf_dir, "volcanoes"), table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    return v.join(c, v["volc_id"] == c["c_custkey"]).join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("clip"), "volc_id").distinct()
+    links = c.select(F.col("c_nationkey").alias("vid"), F.col("c_custkey").alias("volc_id"))
+    return C.volcano_clips(v, links, n.select(F.col("n_nationkey").alias("vid"))).select(F.col("vid").alias("clip"), "volc_id")
 
 
 @query("SELECT DISTINCT CAST(acq_date AS VARCHAR) AS acq_date FROM @files UNION SELECT DISTINCT CAST(epoch AS VARCHAR) FROM @epochs")
@@ -207,9 +235,11 @@ def e15_job_status(spark, sf_dir):
     return C.job_status(view(spark, sf_dir, "jobs")).withColumn("status", F.col("status").cast("long"))
 
 
-@query("SELECT frame, count(*) - 1 AS epochs FROM @epochs GROUP BY frame")
+@query("SELECT v.volc_id, e.frame AS vid, day(e.epoch) % 2 AS subframe, min(CAST(e.epoch AS VARCHAR)) AS sourceframe, count(DISTINCT e.epoch) - 1 AS epochs FROM @volcanoes v JOIN @epochs e ON e.frame = v.volc_id % 60 GROUP BY 1, 2, 3")
 def e16_clip_status(spark, sf_dir):
-    return view(spark, sf_dir, "epochs").groupBy("frame").agg((F.count("*") - 1).alias("epochs"))
+    v, e = _v(spark, sf_dir, "volcanoes", "epochs")
+    rows = e.select(F.col("frame").alias("vid"), (F.dayofmonth("epoch") % 2).cast("long").alias("subframe"), F.col("epoch").cast("string").alias("sourceframe"), "epoch")
+    return C.clip_status(v.select("volc_id", (F.col("volc_id") % 60).alias("vid")), rows).select("volc_id", "vid", "subframe", "sourceframe", "epochs")
 
 
 @query("SELECT frame, CAST(epoch AS VARCHAR) AS epoch, count(*) AS flags FROM (SELECT frame, epoch1 AS epoch FROM @pairs UNION ALL SELECT frame, epoch2 FROM @pairs) GROUP BY frame, epoch HAVING count(*) > 2")
@@ -311,12 +341,32 @@ def h01_delete(spark, sf_dir):
     return b.select("bid").join(left, "bid", "left").withColumn("deleted", F.coalesce("deleted", F.lit(True)))
 
 
+_DOOMED = "(SELECT b.bid FROM @bursts b WHERE b.bid % 2 = 0 AND NOT EXISTS (SELECT 1 FROM @frame_bursts f WHERE f.bid = b.bid AND f.polyid % 3 = 0))"
+_LOST = f"(SELECT DISTINCT fid FROM @file_bursts JOIN {_DOOMED} USING (bid))"
+
+
+@query(f"""SELECT 'bursts' AS "table", bid AS id FROM @bursts WHERE bid NOT IN (SELECT bid FROM {_DOOMED}) UNION ALL SELECT 'files', fid FROM @files WHERE fid NOT IN (SELECT fid FROM {_LOST})
+    UNION ALL SELECT DISTINCT 'file_bursts', fid FROM @file_bursts WHERE fid NOT IN (SELECT fid FROM {_LOST}) UNION ALL SELECT 'file_jobs', fid FROM @files WHERE fid NOT IN (SELECT fid FROM {_LOST}) UNION ALL SELECT 'offsets', bid FROM @bursts WHERE bid NOT IN (SELECT bid FROM {_DOOMED})""")
+def h01_cascade(spark, sf_dir):
+    """Bursts with an even number go, but for those in a third of the frames, and their files with all that hangs on them."""
+    b, fb, f, lb = _v(spark, sf_dir, "bursts", "frame_bursts", "files", "file_bursts")
+    tables = {"bursts": b, "frame_bursts": fb.filter("polyid % 3 = 0"), "files": f, "file_bursts": lb, "file_jobs": f.select("fid"), "offsets": b.select("bid")}
+    left = C.delete_bursts(tables, b.filter("bid % 2 = 0"))
+    rows = [left[t].select(F.lit(t).alias("table"), F.col(k).alias("id")).distinct() for t, k in (("bursts", "bid"), ("files", "fid"), ("file_bursts", "fid"), ("file_jobs", "fid"), ("offsets", "bid"))]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3]).union(rows[4])
+
+
+@query("""SELECT 'files' AS "table", fid, count(*) AS n FROM @files WHERE pol <> 'VH' GROUP BY fid UNION ALL SELECT 'file_bursts', fid, count(*) FROM @file_bursts WHERE fid NOT IN (SELECT fid FROM @files WHERE pol = 'VH') GROUP BY fid""")
+def h01_delete_files(spark, sf_dir):
+    f, lb = _v(spark, sf_dir, "files", "file_bursts")
+    left = C.delete_files({"files": f, "file_bursts": lb, "file_jobs": f.select("fid")}, f.filter("pol = 'VH'"))
+    return left["files"].groupBy(F.lit("files").alias("table"), "fid").agg(F.count("*").alias("n")).union(left["file_bursts"].groupBy(F.lit("file_bursts").alias("table"), "fid").agg(F.count("*").alias("n")))
+
+
 @query("SELECT polyid, bid FROM @frame_bursts UNION ALL SELECT (SELECT max(polyid) + 1 FROM @frames), bid FROM @frame_bursts WHERE polyid = 2")
 def h02_clone_frame(spark, sf_dir):
     f, fb = _v(spark, sf_dir, "frames", "frame_bursts")
-    new = f.agg((F.max("polyid") + 1).alias("new_id"))
-    links = fb.filter("polyid = 2").crossJoin(F.broadcast(new)).select(F.col("new_id").alias("polyid"), "bid")
-    return fb.unionByName(links)
+    return C.clone_frame(f, fb, 2, "copy")[1]
 
 
 @query("SELECT polyid, CASE WHEN polyid = 3 THEN '003X_00000_000000' ELSE polyid_name END AS polyid_name FROM @frames")
@@ -340,6 +390,42 @@ def h05_insert_absent(spark, sf_dir):
     return C.insert_numbered(c.filter("id % 3 = 0"), c, "name", "id")
 
 
+@query("""WITH n AS (SELECT DISTINCT q.id, q.id % 25 AS polyid, CASE WHEN q.depth < 40 THEN CAST(q.ts AS DATE) END AS post_acq FROM @quakes q)
+    SELECT id, polyid, CAST(CASE WHEN id % 4 = 0 THEN NULL ELSE post_acq END AS VARCHAR) AS post_acq, CAST(CASE WHEN id % 4 = 0 THEN NULL ELSE post_acq + 6 END AS VARCHAR) AS next_acq, CAST(CASE WHEN id % 4 = 0 THEN NULL ELSE post_acq + 24 END AS VARCHAR) AS last_acq FROM n""")
+def h05_event_frames(spark, sf_dir):
+    """A quarter of the events is known already, without an acquisition."""
+    q = view(spark, sf_dir, "quakes").select("id", (F.col("id") % 25).alias("polyid"), F.when(F.col("depth") < 40, F.to_date("ts")).alias("post_acq"))
+    old = C.insert_event_frames(_no_event_frames(spark), q.filter("id % 4 = 0").withColumn("post_acq", F.lit(None).cast("date")))
+    return C.insert_event_frames(old, q).select("id", "polyid", *[F.to_date(c).cast("string").alias(c) for c in ("post_acq", "next_acq", "last_acq")])
+
+
+_CLIPS = "(SELECT volc_id AS vid, lon - 0.1 AS lon1, lon + 0.1 AS lon2, lat - 0.1 AS lat1, lat + 0.1 AS lat2 FROM @volcanoes)"
+
+
+def _clips(spark, sf_dir, *half):
+    v = view(spark, sf_dir, "volcanoes")
+    return v.select(F.col("volc_id").alias("vid"), *[(F.col(c[:3]) + s * half[0]).alias(c) for c, s in (("lon1", -1), ("lon2", 1), ("lat1", -1), ("lat2", 1))])
+
+
+@query("SELECT volc_id AS vid, round(lon - CASE WHEN volc_id % 3 = 0 THEN 0.2 ELSE 0.1 END, 4) AS lon1, round(lat + CASE WHEN volc_id % 3 = 0 THEN 0.2 ELSE 0.1 END, 4) AS lat2 FROM @volcanoes")
+def h06_replace_clips(spark, sf_dir):
+    """Larger areas for each third volcano, smaller ones, which are refused, for the next."""
+    old, large, small = (_clips(spark, sf_dir, h) for h in (0.1, 0.2, 0.05))
+    new = large.filter("vid % 3 = 0").unionByName(small.filter("vid % 3 = 1"))
+    return C.replace_clips(old, new).select("vid", F.round("lon1", 4).alias("lon1"), F.round("lat2", 4).alias("lat2"))
+
+
+@query(f"SELECT c.vid, v.volc_id FROM {_CLIPS} c JOIN @volcanoes v ON v.lon BETWEEN c.lon1 AND c.lon2 AND v.lat BETWEEN c.lat1 AND c.lat2 WHERE c.vid % 5 <> 0 UNION SELECT volc_id, volc_id FROM @volcanoes WHERE volc_id % 2 = 0 AND volc_id % 5 <> 0")
+def h06_link_clips(spark, sf_dir):
+    """Volcanoes are linked to the clips that they lie in; each fifth clip is then deleted with its links."""
+    from fringeline.operators.spatial import points_in_boxes
+
+    v, clips = view(spark, sf_dir, "volcanoes"), _clips(spark, sf_dir, 0.1)
+    inside = points_in_boxes(v.select("volc_id", "lon", "lat"), clips).select("vid", "volc_id")
+    links = C.link_clips(v.filter("volc_id % 2 = 0").select(F.col("volc_id").alias("vid"), "volc_id"), inside)
+    return C.delete_clips(clips, links, clips.filter("vid % 5 = 0"))[1]
+
+
 @query("SELECT volc_id, lon, lat FROM @volcanoes WHERE volc_id % 2 = 0 UNION ALL SELECT volc_id, lon, lat FROM @volcanoes v WHERE volc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM @volcanoes o WHERE o.volc_id % 2 = 0 AND abs(o.lon - v.lon) <= 2 AND abs(o.lat - v.lat) <= 2)")
 def h06_add_clips(spark, sf_dir):
     """A clip is added only where no clip lies within two degrees."""

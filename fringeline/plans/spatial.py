@@ -25,6 +25,59 @@ def d06_box_overlap(spark, sf_dir):
     return S.boxes_overlap(b.select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
 
 
+#: Four corners of bursts; twelve of frames, of which two thirds leave eight open.
+_CORNERS4 = "(SELECT bid, lon - 0.4 AS x1, lon + 0.4 AS x2, lon + 0.3 AS x3, lon - 0.3 AS x4, lat - 0.1 AS y1, lat - 0.05 AS y2, lat + 0.1 AS y3, lat + 0.05 AS y4 FROM @bursts)"
+_REACH = (-1.3, 1.3, 1.2, -1.2, *(0.2 * i - 0.9 for i in range(8)))
+
+
+def _cornered(rows, places):
+    """``rows`` with corners at offsets (lon, lat) from their centre; an offset may be null."""
+    return rows.withColumns({f"corner{i}_{axis}": F.col(axis) + F.lit(d).cast("double") if not callable(d) else d(F.col(axis)) for i, pair in enumerate(places, 1) for axis, d in zip(("lon", "lat"), pair)})
+
+
+def _burst_corners(spark, sf_dir):
+    b = view(spark, sf_dir, "bursts").select("bid", "lon", "lat")
+    return _cornered(b, [(-0.4, -0.1), (0.4, -0.05), (0.3, 0.1), (-0.3, 0.05)])
+
+
+def _frame_corners(spark, sf_dir):
+    f = view(spark, sf_dir, "frames").select("polyid", "lon", "lat")
+    later = lambda d: lambda c: F.when(F.col("polyid") % 3 == 0, c + d)
+    return _cornered(f, [(d, d / 2) if i < 4 else (later(d * 2), later(d)) for i, d in enumerate(_REACH)])
+
+
+_FRAME12 = "(SELECT polyid, lon - CASE WHEN polyid % 3 = 0 THEN 1.8 ELSE 1.3 END AS lon1, lon + 1.3 AS lon2, lat - CASE WHEN polyid % 3 = 0 THEN 0.9 ELSE 0.65 END AS lat1, lat + 0.65 AS lat2 FROM @frames)"
+
+
+@query(f"SELECT b.bid, f.polyid FROM {_CORNERS4} b JOIN {_FRAME12} f ON greatest(x1, x2, x3, x4) >= f.lon1 AND least(x1, x2, x3, x4) <= f.lon2 AND greatest(y1, y2, y3, y4) >= f.lat1 AND least(y1, y2, y3, y4) <= f.lat2")
+def d06_corner_overlap(spark, sf_dir):
+    """Boxes from corners: frames have twelve, unused ones are null and are skipped."""
+    b, f = S.corner_boxes(_burst_corners(spark, sf_dir), 4), S.corner_boxes(_frame_corners(spark, sf_dir), 12)
+    return S.boxes_overlap(b.select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
+
+
+@query("SELECT b.bid, f.polyid FROM @bursts b JOIN @frames f ON b.lon BETWEEN f.lon1 AND f.lon2 AND b.lat BETWEEN f.lat1 AND f.lat2")
+def d06_centre_overlap(spark, sf_dir):
+    b, f = _v(spark, sf_dir, "bursts", "frames")
+    return S.centres_in_boxes(b.select("bid", "lon", "lat"), f.select("polyid", *S.BOX)).select("bid", "polyid")
+
+
+@query("SELECT v.volc_id, b.bid FROM @volcanoes v JOIN @bursts b ON v.lon BETWEEN b.lon1 - 0.3 AND b.lon2 + 0.3 AND v.lat BETWEEN b.lat1 - 0.3 AND b.lat2 + 0.3")
+def d06_point_overlap(spark, sf_dir):
+    v, b = _v(spark, sf_dir, "volcanoes", "bursts")
+    return S.points_near_boxes(v.select("volc_id", "lon", "lat"), b.select("bid", *S.BOX), 0.3).select("volc_id", "bid")
+
+
+@query(f"""SELECT DISTINCT b.bid, f.polyid AS poly FROM (SELECT bid, unnest([x1, x2, x3, x4]) AS lon, unnest([y1, y2, y3, y4]) AS lat FROM {_CORNERS4}) b JOIN @frames f ON abs(b.lon - f.lon) / 5 + abs(b.lat - f.lat) / 4 < 1""")
+def d08_corners_in_polygon(spark, sf_dir):
+    return S.corners_in_polygons(_burst_corners(spark, sf_dir), _diamonds(spark, sf_dir, 5.0, 4.0), "bid")
+
+
+@query("""SELECT v.volc_id, n.bid FROM @volcanoes v LEFT JOIN (SELECT v.volc_id, b.bid, row_number() OVER (PARTITION BY v.volc_id ORDER BY pow(v.lon - b.lon, 2) + pow(v.lat - b.lat, 2), b.bid) AS n FROM @volcanoes v JOIN @bursts b ON abs(v.lon - b.lon) <= 1.5 AND abs(v.lat - b.lat) <= 1.5) n ON n.volc_id = v.volc_id AND n.n = 1""")
+def d28_nearest_irregular(spark, sf_dir):
+    return S.nearest_of_grid(*_v(spark, sf_dir, "volcanoes", "bursts"), "volc_id", "bid", 1.5)
+
+
 @query(f"SELECT DISTINCT f.polyid, l.fid FROM @bursts b JOIN @frames f ON {_OVERLAP} JOIN @file_bursts l ON l.bid = b.bid")
 def d07_area_files(spark, sf_dir):
     b, f, lb = _v(spark, sf_dir, "bursts", "frames", "file_bursts")

@@ -30,11 +30,11 @@ def _s(c, alias=None):
 _T = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 
 
-@query("SELECT id, round(magnitude, 1) AS magnitude FROM @quakes WHERE magnitude >= 6")
+@query("SELECT id, round(magnitude, 1) AS magnitude, ts > TIMESTAMP '2024-01-31' - INTERVAL 10 DAY AS active FROM @quakes WHERE magnitude >= 6")
 def k01_event_feed(spark, sf_dir):
     """The feed repeats every event."""
     q = _quakes(spark, sf_dir)
-    return K.run_to_end(K.event_feed(q.unionByName(_quakes(spark, sf_dir)), "id", F.col("magnitude") >= 6, "40 days")).select("id", F.round("magnitude", 1).alias("magnitude"))
+    return K.run_to_end(K.event_feed(q.unionByName(_quakes(spark, sf_dir)), "id", F.col("magnitude") >= 6, "40 days", F.lit("2024-01-31").cast("timestamp"))).select("id", F.round("magnitude", 1).alias("magnitude"), "active")
 
 
 @query(f"SELECT q.id, f.polyid FROM (SELECT *, {QUAKE_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r")
@@ -54,8 +54,8 @@ _N = "(SELECT *, row_number() OVER (PARTITION BY frame ORDER BY epoch) AS n FROM
 
 @query(f"SELECT a.frame, CAST(a.epoch AS VARCHAR) AS epoch1, CAST(b.epoch AS VARCHAR) AS epoch2 FROM {_N} a JOIN {_N} b ON a.frame = b.frame AND b.n BETWEEN a.n + 1 AND a.n + 3")
 def k04_incremental_network(spark, sf_dir):
-    e = _events(spark, sf_dir).filter("event_type = 'purchase'").select(F.col("user_id").alias("frame"), F.to_date("ts").alias("epoch"))
-    return K.run_to_end(K.incremental_network(e)).select("frame", F.col("epoch1").cast("string").alias("epoch1"), F.col("epoch2").cast("string").alias("epoch2"))
+    e = _events(spark, sf_dir).filter("event_type = 'purchase'").select(F.col("user_id").alias("frame"), F.to_date("ts").alias("epoch"), "ts")
+    return K.run_to_end(K.incremental_network(e, "40 days")).select("frame", F.col("epoch1").cast("string").alias("epoch1"), F.col("epoch2").cast("string").alias("epoch2"))
 
 
 @query(f"""WITH a AS (SELECT user_id AS frame, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events WHERE event_type = 'purchase'), r AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 2 DAY THEN 1 ELSE 0 END) OVER (PARTITION BY frame ORDER BY ts) AS run FROM a)

@@ -18,6 +18,11 @@ def append_unseen(rows: DataFrame, path: str, on: list[str], sep: str = ";") ->
     rows.write.mode("append").option("header", True).option("sep", sep).csv(path)
 
 
+def rewrite_report(rows: DataFrame, path: str, sep: str = ";") -> None:
+    """The whole report anew, in place of what is there."""
+    rows.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+
+
 def pixel_cube(pixels: DataFrame, path: str, coh: str = "coh") -> None:
     """Pixels by frame and epoch, with coherence as bytes and the number of inputs as a column."""
     pixels.withColumn(coh, coherence_to_byte(F.col(coh))).write.mode("overwrite").partitionBy("frame", "epoch").parquet(path)

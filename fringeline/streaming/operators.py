@@ -15,6 +15,8 @@ from fringeline.storage import shared_folder
 
 #: Epochs of a frame that a new one is paired with.
 LAST = 3
+#: Event time for which a frame's last epochs are kept: five years.
+KEPT_MS = 5 * 366 * 86_400_000
 
 
 def replay(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
@@ -34,9 +36,10 @@ def run_to_end(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
 
-def event_feed(feed: DataFrame, key: str, keep: Column, delay: str) -> DataFrame:
-    """Events that pass a filter, once per key while the watermark holds it."""
-    return feed.filter(keep).withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
+def event_feed(feed: DataFrame, key: str, keep: Column, delay: str, today: Column, active_days: int = 10) -> DataFrame:
+    """Events that pass a filter, once per key while the watermark holds it; ``active`` are those of less than so many days ago."""
+    once = feed.filter(keep).withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
+    return once.withColumn("active", F.col("ts") > today - F.expr(f"interval {active_days} days"))
 
 
 def events_with_frames(events: DataFrame, frames: DataFrame) -> DataFrame:
@@ -53,6 +56,9 @@ def coseismic_triggers(events: DataFrame, acquisitions: DataFrame, within: str,
 
 
 def _pair_up(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
     last = list(state.get[0]) if state.exists else []
     new = sorted({d for b in batches for d in b["epoch"]})
     rows = []
@@ -62,12 +68,14 @@ def _pair_up(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         rows += [(key[0], pd.Timestamp(d).date(), day) for d in last]
         last = [*last, day.isoformat()][-LAST:]
     state.update((last,))
+    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + KEPT_MS)
     yield pd.DataFrame(rows, columns=["frame", "epoch1", "epoch2"])
 
 
-def incremental_network(epochs: DataFrame) -> DataFrame:
-    """Each new epoch of a frame paired with the last three; the state is three dates a frame."""
-    return epochs.groupBy("frame").applyInPandasWithState(_pair_up, "frame long, epoch1 date, epoch2 date", "last array<string>", "append", GroupStateTimeout.NoTimeout)
+def incremental_network(epochs: DataFrame, delay: str) -> DataFrame:
+    """epochs (frame, epoch, ts): each new epoch of a frame paired with the last three; the state is three dates a frame. Epochs that come
+    later than the watermark allows are left out, and a frame's state goes once it has seen none for KEPT_MS of event time."""
+    return epochs.withWatermark("ts", delay).groupBy("frame").applyInPandasWithState(_pair_up, "frame long, epoch1 date, epoch2 date", "last array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def acquisition_runs(acquisitions: DataFrame, gap: str, delay: str) -> DataFrame:
