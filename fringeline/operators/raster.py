@@ -296,18 +296,18 @@ def residues(pixels: DataFrame, by: list[str], pha: str) -> DataFrame:
     return loop.select(*by, *CELL, F.round(total / (2 * F.pi())).cast("int").alias("charge")).filter("charge != 0")
 
 
-def fill_nearest(pixels: DataFrame, by: list[str], value: str, radius: int, grow: bool = True) -> DataFrame:
+def fill_nearest(pixels: DataFrame, by: list[str], value: str, radius: int) -> DataFrame:
     """Null pixels take the nearest valid value; smallest row and column in a tie.
 
     Rings join within ``radius`` cells first, then within twice that over the pixels still empty, until none is left. Cells
     outside a disk are farther than all in it, so the first round that reaches a pixel is exact. Every round is written to the
-    shared folder. Groups without a valid value stay empty. Without ``grow`` only the first round is made.
+    shared folder. Groups without a valid value stay empty.
     """
     ok, hole = pixels.filter(F.col(value).isNotNull()).select(*by, *CELL, value), pixels.filter(F.col(value).isNull()).select(*by, *CELL)
     near = ok.withColumns({"r0": F.col("row"), "c0": F.col("col")})
     hole = written(hole.join(ok.select(*by).distinct(), by, "left_semi") if by else hole)
     rounds, left = [], hole.count() if ok.limit(1).count() else 0
-    while not rounds or grow and left:
+    while not rounds or left:
         reach = [(r, c, float(r * r + c * c)) for r, c, _ in disk(radius)]
         own = neighbourhood(near, by, reach)
         rounds.append(written(own.join(hole, [*by, *CELL], "left_semi").groupBy(*by, *CELL).agg(F.min_by(value, F.struct("w", "r0", "c0")).alias("__fill"))))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fringeline.plans.registry import Registry
@@ -73,23 +75,36 @@ def a06_wide_series(spark, sf_dir):
     return s.select((F.col("lat") + F.lit(0.0)).alias("lat"), (F.col("lon") + F.lit(0.0)).alias("lon"), "vel", F.col("epoch").cast("string").alias("epoch"), "value")
 
 
-@query("SELECT vec_id AS \"row\", CAST(i - 1 AS BIGINT) AS col, round(nullif(CAST(embedding[i] AS DOUBLE), 0), 6) + 0.0 AS re FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)")
-def a07_flat_rasters(spark, sf_dir):
-    """A file of one big-endian raster line for each vector, told apart by its folder."""
-    import struct
+def _lines(spark, sf_dir, kind):
+    """Fixture: (path, content), a raster line in binary for each vector; complex kinds hold thousandths and their halves."""
+
+    @F.pandas_udf("binary")
+    def packed(v: pd.Series) -> pd.Series:
+        if kind == ">f4":
+            return pd.Series([np.asarray(x, kind).tobytes() for x in v])
+        n = [np.rint(np.asarray(x, float) * 1000) for x in v]
+        pairs = [np.stack([x, np.floor(x / 2)], axis=1) for x in n]
+        return pd.Series([p.astype(">i2" if kind == ">i2c" else "<f4").tobytes() for p in pairs])
 
-    from pyspark.sql import types as T
+    path = _folder(spark)
+    table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("string").alias("path"), packed("embedding").alias("content")).write.parquet(path)
+    return spark.read.parquet(path)
 
-    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
 
-    @F.udf(T.BinaryType())
-    def packed(v):  # a fixture for the reader
-        return struct.pack(f">{len(v)}f", *v)
+_COMPLEX = """(SELECT vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, round_even(CAST(embedding[i] AS DOUBLE) * 1000, 0) AS n FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
 
-    path = _folder(spark)
-    e.select("vec_id", packed("embedding").alias("content")).write.parquet(path)
-    lines = spark.read.parquet(path).select(F.col("vec_id").cast("string").alias("path"), "content")
-    found = readers.raster_pixels(lines, 64, ">f4")
+
+@query(f"""SELECT kind, "row", col, CASE WHEN n <> 0 THEN n + 0.0 END AS re, CASE WHEN n <> 0 THEN floor(n / 2) + 0.0 END AS im FROM {_COMPLEX} c, (VALUES ('>i2c'), ('<c8')) k(kind)""")
+def a07_complex_rasters(spark, sf_dir):
+    """Complex int16 and complex64; no-data is null in both parts."""
+    kinds = [readers.raster_pixels(_lines(spark, sf_dir, k), 64, k).select(F.lit(k).alias("kind"), F.col("path").cast("long").alias("row"), "col", (F.col("re") + F.lit(0.0)).alias("re"), (F.col("im") + F.lit(0.0)).alias("im")) for k in (">i2c", "<c8")]
+    return kinds[0].union(kinds[1])
+
+
+@query("SELECT vec_id AS \"row\", CAST(i - 1 AS BIGINT) AS col, round(nullif(CAST(embedding[i] AS DOUBLE), 0), 6) + 0.0 AS re FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)")
+def a07_flat_rasters(spark, sf_dir):
+    """A file of one big-endian raster line for each vector, told apart by its folder."""
+    found = readers.raster_pixels(_lines(spark, sf_dir, ">f4"), 64, ">f4")
     return found.select(F.col("path").cast("long").alias("row"), "col", (F.round("re", 6) + F.lit(0.0)).alias("re"))
 
 
@@ -137,6 +152,15 @@ def a11_event_report(spark, sf_dir):
     return spark.read.option("header", True).option("sep", ";").schema(q.schema).csv(path)
 
 
+@query("SELECT id, magnitude FROM @quakes WHERE magnitude >= 6")
+def a11_event_rewrite(spark, sf_dir):
+    """All events first; the report is then written anew without the small ones."""
+    q, path = view(spark, sf_dir, "quakes").select("id", "magnitude"), _folder(spark)
+    writers.rewrite_report(q, path)
+    writers.rewrite_report(q.filter("magnitude >= 6"), path)
+    return spark.read.option("header", True).option("sep", ";").schema(q.schema).csv(path)
+
+
 @query("SELECT strftime(epoch, '%Y-%m') AS epoch, count(*) AS n, CAST(sum(round(round(coh, 6) / 2 * 255)) AS BIGINT) AS bytes FROM @pixels GROUP BY 1")
 def a12_pixel_cube(spark, sf_dir):
     path = _folder(spark)

@@ -25,6 +25,8 @@ def _grid(spark, sf_dir):
 
 
 _GRID = """(SELECT vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
+#: Sum of a kernel of sigma 1 over 5 x 5 cells.
+_KERNEL = repr(sum(w for *_, w in R.gauss(1.0, 2)))
 _PX = "(SELECT \"row\", col, CAST(epoch AS DATE) AS epoch, nullif(coh, 0) AS coh, pha, mag FROM @pixels)"
 
 
@@ -202,11 +204,10 @@ def f21_gauss_smooth(spark, sf_dir):
     return _r(R.gauss_smooth(_grid(spark, sf_dir), [], "value", 1.0, 1).select("row", "col", "smooth"), "smooth")
 
 
-@query(f"""WITH g AS (SELECT "row", col, CASE WHEN value % 3 <> 0 THEN value END AS value FROM {_GRID} x), n AS (SELECT a."row", a.col, b.value, row_number() OVER (PARTITION BY a."row", a.col ORDER BY pow(a."row" - b."row", 2) + pow(a.col - b.col, 2), b."row", b.col) AS z FROM g a JOIN g b ON b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2
-    AND pow(a."row" - b."row", 2) + pow(a.col - b.col, 2) <= 4 WHERE a.value IS NULL AND b.value IS NOT NULL) SELECT g."row", g.col, coalesce(g.value, n.value) AS value FROM g LEFT JOIN n ON n."row" = g."row" AND n.col = g.col AND n.z = 1""")
+@query(f"""WITH g AS (SELECT "row", col, CASE WHEN value % 3 <> 0 THEN value END AS value FROM {_GRID} x), n AS (SELECT a."row", a.col, b.value, row_number() OVER (PARTITION BY a."row", a.col ORDER BY pow(a."row" - b."row", 2) + pow(a.col - b.col, 2), b."row", b.col) AS z FROM g a JOIN g b ON b."row" BETWEEN a."row" - 5 AND a."row" + 5 AND b.col BETWEEN a.col - 5 AND a.col + 5 WHERE a.value IS NULL AND b.value IS NOT NULL) SELECT g."row", g.col, coalesce(g.value, n.value) AS value FROM g LEFT JOIN n ON n."row" = g."row" AND n.col = g.col AND n.z = 1""")
 def f22_fill_nearest(spark, sf_dir):
     g = _grid(spark, sf_dir).withColumn("value", F.when(F.col("value") % 3 != 0, F.col("value")))
-    return R.fill_nearest(g, [], "value", 2, grow=False).select("row", "col", "value")
+    return R.fill_nearest(g, [], "value", 2).select("row", "col", "value")
 
 
 @query(f"""WITH RECURSIVE g AS (SELECT "row", col FROM {_GRID} x WHERE value > 0), r AS (SELECT "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h."row" = r.r2 + d.a AND h.col = r.c2 + d.b)
@@ -223,6 +224,76 @@ def f24_resample(spark, sf_dir):
     return _r(R.resample(c, g, [], 4).select("row", "col", "value", "mean"), "mean")
 
 
+_FILLED = """(SELECT "row", col, CASE WHEN value % 3 <> 0 THEN value / 100.0 END AS p FROM {0} x)"""
+
+
+@query(f"""WITH g AS {_FILLED.format(_GRID)}, s AS (SELECT a."row", a.col, atan2(sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * sin(b.p)), sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * cos(b.p))) AS p
+    FROM g a JOIN g b ON b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NULL AND b.p IS NOT NULL GROUP BY 1, 2) SELECT g."row", g.col, round(coalesce(g.p, s.p), 6) + 0.0 AS p FROM g LEFT JOIN s ON s."row" = g."row" AND s.col = g.col""")
+def f22_fill_gauss(spark, sf_dir):
+    g = _grid(spark, sf_dir).select("row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
+    return _r(R.fill_gauss(g, [], "p", 1.0, 2).select("row", "col", "p"), "p")
+
+
+@query(f"""WITH g AS {_FILLED.format(_GRID)}, s AS (SELECT a."row", a.col, a.p, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * cos(b.p)) AS re, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * sin(b.p)) AS im, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2)) AS w
+    FROM g a JOIN g b ON b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NOT NULL AND b.p IS NOT NULL GROUP BY 1, 2, 3), t AS (SELECT "row", col, re / {_KERNEL} + (1 - w / {_KERNEL}) * cos(p) AS re, im / {_KERNEL} + (1 - w / {_KERNEL}) * sin(p) AS im FROM s)
+    SELECT "row", col, round(atan2(im, re), 6) + 0.0 AS gauss_pha, round(sqrt(re * re + im * im), 6) AS gauss_coh FROM t""")
+def f21_gauss_phase(spark, sf_dir):
+    g = _grid(spark, sf_dir).select("row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
+    return _r(R.gauss_phase(g, [], "p", 1.0, 2), "gauss_pha", "gauss_coh")
+
+
+@query(f"""SELECT "row", col, median + CASE WHEN abs(value - median) < 50 THEN value - median ELSE 0 END AS filtered FROM (SELECT a."row", a.col, a.value, median(b.value) AS median FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)""")
+def f19_despiked(spark, sf_dir):
+    return R.despiked(_grid(spark, sf_dir), [], "value", 3, 50.0).select("row", "col", "filtered")
+
+
+@query(f"""WITH c AS (SELECT a."row", a.col, CAST(floor(b.value / 40.0) AS BIGINT) AS k, count(*) AS n FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)
+    SELECT "row", col, k AS mode FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY n DESC, k) AS z FROM c) WHERE z = 1""")
+def f19_moving_mode(spark, sf_dir):
+    g = _grid(spark, sf_dir).withColumn("value", F.floor(F.col("value") / 40.0))
+    return R.moving(g, [], "value", "mode", 3).select("row", "col", "mode")
+
+
+@query(f"""WITH RECURSIVE g AS (SELECT "row", col, value FROM {_GRID} x WHERE value > 0), r AS (SELECT "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h."row" = r.r2 + d.a AND h.col = r.c2 + d.b),
+    n AS (SELECT "row", col, count(*) AS size FROM r GROUP BY 1, 2) SELECT x."row", x.col, CASE WHEN n.size >= 9 THEN x.value END AS value FROM {_GRID} x LEFT JOIN n ON n."row" = x."row" AND n.col = x.col""")
+def f23_remove_islands(spark, sf_dir):
+    g = _grid(spark, sf_dir).withColumn("value", F.when(F.col("value") > 0, F.col("value")))
+    return R.remove_islands(g, [], "value", R.island_pixels(2_300)).select("row", "col", "value")
+
+
+@query("""WITH p AS (SELECT *, CAST(epoch AS DATE) AS day, mag / 100 AS hgt FROM @pixels), b AS (SELECT day, regr_slope(pha, hgt) AS slope FROM p GROUP BY day, "row" // 10, col // 10 HAVING abs(corr(hgt, pha)) > 0.3 AND max(hgt) - min(hgt) >= 100), m AS (SELECT day, median(slope) AS s FROM b GROUP BY 1),
+    q AS (SELECT day, s, stddev_pop(pha) AS before, stddev_pop(atan2(sin(pha - s * hgt), cos(pha - s * hgt))) AS after FROM p JOIN m USING (day) GROUP BY 1, 2)
+    SELECT CAST(day AS VARCHAR) AS epoch, round(s, 6) AS slope, round(before, 5) AS std_before, round(after, 5) AS std_after, abs(s) >= 0.001 AND after < before AS kept FROM q""")
+def e24_height_correction(spark, sf_dir):
+    p = _pix(spark, sf_dir).withColumn("hgt", F.col("mag") / 100)
+    h = R.height_correction(p, ["epoch"], 10).withColumn("epoch", F.col("epoch").cast("string"))
+    return _r(_r(h, "slope"), "std_before", "std_after", digits=5)
+
+
+_YEARS = range(1992, 1999)
+
+
+def _mosaic_sql() -> str:
+    """One step of the mosaic for each year."""
+    steps = [f"""WITH s AS (SELECT year(epoch) AS place, "row", col, avg(pha) AS v FROM {_PX} p GROUP BY 1, 2, 3), m{_YEARS[0]} AS (SELECT "row", col, v, place FROM s WHERE place = {_YEARS[0]})"""]
+    for y in _YEARS[1:]:
+        steps.append(f"""d{y} AS (SELECT coalesce(median(m.v - s.v), 0) AS d FROM m{y - 1} m JOIN s ON s."row" = m."row" AND s.col = m.col AND s.place = {y}),
+            m{y} AS (SELECT coalesce(s."row", m."row") AS "row", coalesce(s.col, m.col) AS col, coalesce(s.v + (SELECT d FROM d{y}), m.v) AS v, CASE WHEN s.v IS NULL THEN m.place ELSE {y} END AS place FROM (SELECT * FROM s WHERE place = {y}) s FULL JOIN m{y - 1} m ON s."row" = m."row" AND s.col = m.col)""")
+    return ", ".join(steps) + f""" SELECT "row", col, round(v, 5) AS value, CAST(place AS BIGINT) AS place FROM m{_YEARS[-1]}"""
+
+
+@query(_mosaic_sql())
+def e21_mosaic(spark, sf_dir):
+    s = _pix(spark, sf_dir).groupBy(F.year("epoch").cast("long").alias("place"), "row", "col").agg(F.avg("pha").alias("value"))
+    return _r(R.grow_mosaic(s, list(_YEARS)).withColumn("place", F.col("place").cast("long")), "value", digits=5)
+
+
+@query("""SELECT b.bid AS point, CAST(CAST(p.epoch AS DATE) AS VARCHAR) AS epoch, round(p.pha, 6) AS pha FROM @bursts b JOIN @pixels p ON p."row" = CAST(floor(b.bid / 50e0) AS BIGINT) AND p.col = b.bid % 25 AND b.iw = 1""")
+def d28_point_series(spark, sf_dir):
+    points = view(spark, sf_dir, "bursts").filter("iw = 1").select(F.col("bid").alias("point"), F.floor(F.col("bid") / 50).alias("row"), (F.col("bid") % 25).alias("col"))
+    return _r(R.point_series(_pix(spark, sf_dir), points).select("point", F.col("epoch").cast("string").alias("epoch"), "pha"), "pha")
+
+
 # Least squares
 
 

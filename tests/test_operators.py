@@ -209,3 +209,88 @@ def test_residues_cancel_in_a_smooth_field(spark):
     assert R.residues(p, [], "p").count() == 0
     vortex = spark.createDataFrame([(r, c, math.atan2(r - 2.5, c - 2.5)) for r in range(6) for c in range(6)], "row long, col long, p double")
     assert R.residues(vortex, [], "p").count() == 1
+
+
+def test_corners_that_are_null_are_skipped(spark):
+    """A frame with four of its twelve corners, one with all, one with none."""
+    names = [f"corner{i}_{a}" for i in range(1, 13) for a in ("lon", "lat")]
+    four = [0.0, 0.0, 2.0, 0.0, 2.0, 1.0, 0.0, 1.0] + [None] * 16
+    twelve = [float(x) for i in range(12) for x in (i, -i)]
+    rows = spark.createDataFrame([(1, *four), (2, *twelve), (3, *[None] * 24)], "id int, " + ", ".join(f"{n} double" for n in names))
+    assert {(r.id, r.lon1, r.lon2, r.lat1, r.lat2) for r in P.corner_boxes(rows, 12).collect()} == {(1, 0.0, 2.0, 0.0, 1.0), (2, 0.0, 11.0, -11.0, 0.0)}
+
+
+def test_islands_across_tiles(spark):
+    """A winding line over many tiles is one island, also where it passes tile corners; one that keeps its size, and one that goes."""
+    line = [(r, c) for r in range(0, 40, 4) for c in range(30)] + [(r, 29 if (r // 4) % 2 == 0 else 0) for r in range(40) if r % 4 and r < 36]
+    other = [(50, 50), (51, 50), (53, 53)]
+    df = spark.createDataFrame([("f", r, c, 1.0) for r, c in line + other], "frame string, row long, col long, value double")
+    for tile in (4, 5, 256):
+        sizes = {(r.label.row, r.label.col): r.size for r in R.islands(df, ["frame"], tile).collect()}
+        assert sizes == {(0, 0): len(line), (50, 50): 2, (53, 53): 1}
+    left = {(r.row, r.col) for r in R.remove_islands(df, ["frame"], "value", 2).filter("value is not null").collect()}
+    assert left == set(line) | {(50, 50), (51, 50)}
+
+
+def test_gauss_fill_goes_on_to_the_nearest(spark):
+    """A strip of no-data wider than three rounds reach."""
+    rows = [(0, c, 1.5 if c == 0 else None) for c in range(12)]
+    out = {r.col: r.p for r in R.fill_gauss(spark.createDataFrame(rows, "row long, col long, p double"), [], "p", 1.0, 1).collect()}
+    assert len(out) == 12 and all(abs(p - 1.5) < 1e-9 for p in out.values())
+
+
+def test_flat_rasters_of_all_kinds(spark, tmp_path):
+    a = np.arange(12, dtype="f4").reshape(3, 4)
+    for kind, raw in ((">f4", a.astype(">f4").tobytes()), ("<c8", (a + 2j * a).astype("<c8").tobytes()), (">i2c", np.stack([a, 2 * a], axis=-1).astype(">i2").tobytes())):
+        folder = tmp_path / kind.strip("<>")
+        folder.mkdir()
+        (folder / "one.bin").write_bytes(raw)
+        from fringeline.sources import readers
+
+        got = {(r.row, r.col): (r.re, r.im) for r in readers.flat_rasters(spark, str(folder), 4, kind).collect()}
+        assert got == {(r, c): (a[r, c] or None, (None if kind == ">f4" else 2 * a[r, c] or None)) for r in range(3) for c in range(4)}
+
+
+def by_group(df, key, *values):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r[key], []).append([float(r[v]) if v != "epoch" else (r[v] - dt.date(2000, 1, 1)).days / 365.25 for v in values])
+    return {k: np.array(v).T for k, v in out.items()}
+
+
+def test_seasonal_query_against_numpy(spark, sf_dir):
+    from fringeline.plans import raster as Q
+
+    data = by_group(Q._pix(spark, sf_dir).filter("pha is not null"), "row", "epoch", "pha")
+    for r in Q.QUERIES["e30_seasonal"](spark, sf_dir).collect():
+        t, y = data[r.row]
+        want = np.linalg.lstsq(np.stack([np.ones_like(t), t, np.sin(2 * np.pi * t), np.cos(2 * np.pi * t)], axis=1), y, rcond=None)[0]
+        assert np.allclose([r.const, r.rate, r.sin, r.cos], want, atol=1e-3), r
+
+
+def test_surface_query_against_numpy(spark, sf_dir):
+    from fringeline.plans import raster as Q
+
+    data = by_group(Q._pix(spark, sf_dir).groupBy(F.year("epoch").alias("frame"), "row", "col").agg(F.avg("pha").alias("v")), "frame", "row", "col", "v")
+    found = by_group(Q.QUERIES["e25_surface_deramp"](spark, sf_dir), "frame", "row", "col", "deramped")
+    assert set(found) == set(data)
+    for k, (row, col, v) in data.items():
+        x, y = row / 40, col / 40
+        a = np.stack([x**i * y**j for i in range(3) for j in range(3 - i)], axis=1)
+        want = {(r, c): d for r, c, d in zip(row, col, v - a @ np.linalg.lstsq(a, v, rcond=None)[0])}
+        assert all(abs(want[r, c] - d) < 1e-3 for r, c, d in found[k].T)
+
+
+def test_huber_query_against_numpy(spark, sf_dir):
+    from fringeline.plans import raster as Q
+
+    data = by_group(Q._pix(spark, sf_dir).select(F.concat_ws(":", "epoch", F.floor(F.col("row") / 10)).alias("k"), (F.col("mag") / 1000).alias("hgt"), "pha"), "k", "hgt", "pha")
+    for r in Q.QUERIES["e24_huber_slope"](spark, sf_dir).collect():
+        x, y = data[f"{r.epoch}:{r.block}"]
+        if len(x) < 8:
+            continue
+        # at the solution the weighted residuals balance: both sums of the influence function vanish
+        rest = y - r.slope * x - r.intercept
+        s = np.median(np.abs(rest)) / 0.6745 or 1.0
+        psi = np.clip(rest / s, -1.345, 1.345)
+        assert abs(psi.sum()) < 0.02 * len(x) and abs((psi * (x - x.mean())).sum()) < 0.02 * len(x) * x.std(), r
