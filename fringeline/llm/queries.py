@@ -38,9 +38,9 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = r"\### Assistant: </turn> ok"
-    probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], talks.schema)
-    return chat.read_back(chat.examples(talks.unionByName(probe)))
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(r"\### Assistant: </turn> ok").alias("text"))
+    return chat.read_back(chat.examples(talks.unionByName(probe.select(*[F.col(c).cast(kind) for c, kind in talks.dtypes]))))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -263,6 +263,9 @@ def test_chat(spark):
     assert len(made) == 4 and sum(r.loss_start is not None for r in made) == 3 and made[-1].loss_start is None
     assert made[0].formatted[made[0].loss_start :][: made[0].loss_chars] == r"<\\turn"
     assert chat.read_back(chat.examples(df.filter("false"))).count() == 0
+    long = [(1, 0, "user", "é<turn" * 200_000), (1, 1, "assistant", "</turn" * 100_000), (1, 2, "user", None)]
+    wide = spark.createDataFrame(long, "conv_id long, turn long, role string, text string").withColumns({"example": F.lit(5), "turns": F.lit("x"), "parts": F.lit(2.0)})
+    assert [tuple(r)[:5] for r in chat.read_back(chat.examples(wide)).collect()] == brute.chat(long)
 
 
 def test_toxicity(spark, docs, empty):
@@ -286,6 +289,9 @@ def test_toxicity_learns_and_misspellings_share_ngrams(spark):
     scorer = toxicity.Scorer(*toxicity.train([t.encode() for t in texts[:300]], [int(b) for b in bad[:300]]))
     right = sum((scorer.score(t.encode()) >= 0.5) == b for t, b in zip(texts[300:], bad[300:]))
     assert right >= 95
+    # one passage of a very long text says as much as alone, wherever it stands
+    calm = " ".join(word() for _ in range(200_000))
+    assert scorer.score(calm.encode()) < 0.5 <= min(scorer.score(t.encode()) for t in ("you utter blockhead " + calm, calm + " you utter blockhead", calm[:500_000] + " you utter blockhead " + calm[500_000:]))
     assert scorer.score(b"you utter blokhead") > scorer.score(b"she rin hat soon")
 
 

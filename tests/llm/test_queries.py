@@ -79,6 +79,35 @@ def test_op5(spark, sf_dir):
     for s in order:
         target = 2 * sums[s] if s in capped else level * weight[s]
         assert abs(taken[s] - target) <= 0.02 * target, s
+    # of each class the documents with the smallest hashes, as many as the fit says, whose sum is the nearest to the target that there is
+    import struct
+
+    import numpy as np
+    import xxhash
+
+    from fringeline.llm import mixing
+
+    texts = {d: t for d, _, t in docs}
+    order_of = lambda d: struct.unpack("<q", struct.pack("<Q", xxhash.xxh64_intdigest(struct.pack("<i", mixing.SEED), xxhash.xxh64_intdigest((texts[d] or "").encode(), xxhash.xxh64_intdigest(str(d).encode(), 42)))))[0]
+    for s in order:
+        target = 2 * sums[s] if s in capped else level * weight[s]
+        classes = {}
+        for d in (d for d in source if source[d] == s):
+            classes.setdefault(size[d], []).append(d)
+        lengths = np.array(sorted(classes))
+        counts = np.array([len(classes[z]) for z in lengths])
+        whole = min(2, int(target // sums[s]))
+        budget = round(target - whole * sums[s]) if whole < 2 else 0
+        take = mixing.fit(lengths, counts, budget)
+        reached = 1  # a bit for each sum of documents
+        for z, k in zip(lengths.tolist(), counts.tolist()):
+            for _ in range(k):
+                reached |= reached << z
+        nearest = next(d for d in range(budget + 1) if reached >> (budget + d) & 1 or reached >> (budget - d) & 1)
+        assert abs(int((take * lengths).sum()) - budget) == nearest
+        for z, k in zip(lengths.tolist(), take.tolist()):
+            for i, d in enumerate(sorted(classes[z], key=order_of)):
+                assert rows[d].taken == z * (whole + (i < k))
     assert {d: r.taken for d, r in rows.items()} == {r.doc_id: r.taken for r in QUERIES["op5_mixing"](spark, sf_dir).collect()}
 
 
