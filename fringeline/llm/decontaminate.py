@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringeline.llm.common import ascii_words, joined_hash, written
+from fringeline.llm.common import ascii_words, joined_hash, kept, scratch, written
 
 WINDOW = 10
 ANCHORS = 3
@@ -246,15 +246,22 @@ def hits(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, item_id, start, length, exact), as hits() has them."""
-    index = build_index(docs, block_bytes)
-    return hits(index, benchmark, window).join(documents_of(index), ["block", "ord"]).select("doc_id", "item_id", "start", "length", "exact")
+    """(doc_id, item_id, start, length, exact), as hits() has them. Written; the index goes."""
+    with scratch(docs.sparkSession):
+        index = build_index(docs, block_bytes)
+        found = hits(index, benchmark, window).join(documents_of(index), ["block", "ord"])
+        return kept(found.select("doc_id", "item_id", "start", "length", "exact"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near."""
-    index = build_index(docs, block_bytes)
-    found = hits(index, benchmark, window)
+    """Per row of ``docs``: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near. Written; the index goes."""
+    with scratch(docs.sparkSession):
+        index = build_index(docs, block_bytes)
+        return kept(judged(index, hits(index, benchmark, window)))
+
+
+def judged(index: DataFrame, found: DataFrame) -> DataFrame:
+    """report() of the documents of an index, from their hits."""
     key = ["block", "ord"]
     by_start = found.filter("exact").groupBy(*key, "start").agg(F.max(F.col("start") + F.col("length")).alias("end"))
     before = F.max("end").over(Window.partitionBy(*key).orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
@@ -281,10 +288,12 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` without the rows in which a whole window occurs; proximity matches stay. Rows are told apart by id and text."""
-    index = build_index(docs, block_bytes)
-    bad = hits(index, benchmark, window).filter("exact").select("block", "ord").distinct()
-    bad = written(documents_of(index).join(bad, ["block", "ord"]).select(F.col("doc_id").alias("d"), F.col("print").alias("p")).distinct())
+    """``docs`` without the rows in which a whole window occurs; proximity matches stay. Rows are told apart by id and text. Only ids and
+    hashes of rows that go are kept; the index goes."""
+    with scratch(docs.sparkSession):
+        index = build_index(docs, block_bytes)
+        bad = hits(index, benchmark, window).filter("exact").select("block", "ord").distinct()
+        bad = kept(documents_of(index).join(bad, ["block", "ord"]).select(F.col("doc_id").alias("d"), F.col("print").alias("p")).distinct())
     # a struct of all columns, so that none of the caller's names can clash
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumn("print", F.xxhash64(F.coalesce("row.text", F.lit(""))))
-    return rows.join(bad, F.col("row.doc_id").eqNullSafe(F.col("d")) & (F.col("print") == F.col("p")), "left_anti").select("row.*")
+    return rows.join(_small(bad), F.col("row.doc_id").eqNullSafe(F.col("d")) & (F.col("print") == F.col("p")), "left_anti").select("row.*")
