@@ -53,8 +53,10 @@ def cluster_epochs(epochs: DataFrame, days: int) -> DataFrame:
 
 
 def outside_intervals(epochs: DataFrame, intervals: DataFrame) -> DataFrame:
-    """Epochs in none of their frame's intervals. Frame is the equi key; a frame has few intervals."""
-    inside = epochs.join(intervals.select("frame", "start", "stop"), "frame").filter(F.col("epoch").between(F.col("start"), F.col("stop"))).select("frame", "epoch").distinct()
+    """Epochs in none of their frame's intervals: starts and ends are laid out as +1 and -1 on the frame's days and summed up to each epoch."""
+    steps = intervals.select("frame", F.col("start").alias("epoch"), F.lit(1).alias("d")).unionByName(intervals.select("frame", F.date_add("stop", 1).alias("epoch"), F.lit(-1).alias("d")))
+    days = steps.withColumn("own", F.lit(False)).unionByName(epochs.select("frame", "epoch", F.lit(0).alias("d"), F.lit(True).alias("own")))
+    inside = days.withColumn("open", F.sum("d").over(by_frame())).filter("own and open > 0").select("frame", "epoch").distinct()
     return epochs.join(inside, ["frame", "epoch"], "left_anti")
 
 
@@ -170,10 +172,13 @@ def revisit_forecast(epochs: DataFrame, event: Column, step_days: int = 6, recen
 
 def auxiliary_epochs(wanted: DataFrame, processed: DataFrame, max_days: int = 181) -> DataFrame:
     """wanted (frame, epoch, reference, bursts) against processed (frame, aux, aux_bursts): the nearest processed epoch that holds all
-    bursts, is nearer than the reference, and is at most ``max_days`` away; null if there is none."""
+    bursts, is nearer than the reference, and is at most ``max_days`` away; null if there is none. The equi key is frame and stretch of
+    time; a processed epoch is listed under the stretches within reach."""
+    stretch = lambda c: F.floor(F.unix_date(c) / max_days)
+    near = processed.withColumn("__t", F.explode(F.sequence(stretch(F.date_sub("aux", max_days)), stretch(F.date_add("aux", max_days)))))
     d = F.abs(F.datediff("aux", "epoch"))
     ok = (F.col("aux") != F.col("epoch")) & (d < F.abs(F.datediff("reference", "epoch"))) & (d <= max_days) & (F.size(F.array_except("bursts", "aux_bursts")) == 0)
-    best = wanted.join(processed, "frame").filter(ok).groupBy("frame", "epoch").agg(F.min_by("aux", F.struct(d, "aux")).alias("aux"))
+    best = wanted.withColumn("__t", stretch(F.col("epoch"))).join(near, ["frame", "__t"]).filter(ok).groupBy("frame", "epoch").agg(F.min_by("aux", F.struct(d, "aux")).alias("aux"))
     return wanted.join(best, ["frame", "epoch"], "left")
 
 
