@@ -36,7 +36,7 @@ WINDOW = 10
 ANCHORS = 3
 #: Words by which anchors of a proximity match may be off their places.
 SLOP = 8
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 #: Places between two documents of a block; more than a window's words and SLOP together.
 GAP = 64
 #: Rows of a table of the benchmark up to which it is broadcast: 32 MB at the 320 bytes that one takes at most, words of 32 bytes.
@@ -54,13 +54,13 @@ def _small(table: DataFrame) -> DataFrame:
 def _block(number: int, texts: list[bytes]) -> tuple[list, list[int]]:
     """((block, word, n, postings) of every word), words of every text."""
     ids: defaultdict[bytes, int] = defaultdict(count().__next__)
-    tokens = [np.fromiter(map(ids.__getitem__, words), np.int64, len(words)) for words in map(ascii_words, texts)]
+    tokens = [np.fromiter(map(ids.__getitem__, words), np.int32, len(words)) for words in map(ascii_words, texts)]
     lengths = np.array([len(t) for t in tokens], np.int64)
     starts = np.cumsum(lengths + GAP) - lengths - GAP
     flat = np.concatenate(tokens)
-    at = np.arange(len(flat)) + np.repeat(starts - np.cumsum(lengths) + lengths, lengths)
-    order = np.argsort(flat, kind="stable")
-    at, ends = at[order].astype("<u4"), np.cumsum(np.bincount(flat, minlength=len(ids))).tolist()
+    del tokens
+    at = np.arange(len(flat), dtype="<u4") + np.repeat((starts - np.cumsum(lengths) + lengths).astype("<u4"), lengths)
+    at, ends = at[np.argsort(flat, kind="stable")], np.cumsum(np.bincount(flat, minlength=len(ids))).tolist()
     rows = [(number, STARTS, len(texts), starts.astype("<u4").tobytes())]
     rows += [(number, w, b - a, at[a:b].tobytes()) for w, a, b in zip(ids, [0, *ends], ends)]
     return rows, lengths.tolist()
