@@ -238,7 +238,7 @@ def hits(index: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFr
     needed = needed.join(_small(words), ["item", "pos"]).groupBy("block", "word").agg(F.collect_list("item").alias("item"), F.collect_list("pos").alias("pos"))
     needed = written(needed)
     # words that no block needs are dropped before the shuffle: their number is bounded by the benchmark, that of blocks and words is not
-    lists = postings.join(_small(needed.select("word").distinct()), "word", "left_semi").join(needed, ["block", "word"])
+    lists = postings.join(_small(needed.select("word").distinct()), "word", "left_semi").join(needed.hint("merge"), ["block", "word"])
     schema = "block long, ord int, item_id string, item long, win_start int, start int, length int"
     exact = written(lists.groupBy("block").cogroup(candidates.groupBy("block")).applyInPandas(_verified, schema))
     key = ["block", "ord", "item", "win_start"]
