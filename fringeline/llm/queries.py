@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeline.llm import chat, decontaminate, exact_dedup, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
+from fringeline.llm import chat, chunk_codec, decontaminate, exact_dedup, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
 from fringeline.llm.common import read
 
 
@@ -55,7 +55,13 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license)}
+def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return chunk_codec.report(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license, op11_bpe_codec)}
 
 #: Where SQL can express a query; the others are tested against plain Python versions.
 ORACLE_SQL = {
