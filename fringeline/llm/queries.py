@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeline.llm import chat, chunk_codec, decontaminate, exact_dedup, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
+from fringeline.llm import chat, chunk_codec, decontaminate, divergence, exact_dedup, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
 from fringeline.llm.common import read
 
 
@@ -61,7 +61,11 @@ def op11_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.report(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license, op11_bpe_codec)}
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license, op11_bpe_codec, op12_divergence)}
 
 #: Where SQL can express a query; the others are tested against plain Python versions.
 ORACLE_SQL = {
@@ -75,6 +79,21 @@ ORACLE_SQL = {
           sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
           CAST(sum(prefix) FILTER (WHERE role = 'assistant' OR n = total) AS BIGINT) AS formatted_chars
         FROM q GROUP BY conv_id""",
+    "op12_divergence": r"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        k AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM d) GROUP BY 1, 2 HAVING count(*) >= 30),
+        c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM (SELECT lang, source, unnest(words) AS term FROM d) w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY 1, 2, 3),
+        v AS (SELECT lang, count(*) AS terms FROM k GROUP BY 1), t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2),
+        p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (coalesce(t.total, 0) + 5 * v.terms) AS p
+          FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN t ON t.lang = g.lang AND t.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        q AS (SELECT k.lang, k.term, 1 + CAST(1000000000 AS HUGEINT) * (l.n + 5) // (a.total + 5 * v.terms) AS q FROM k JOIN v ON v.lang = k.lang
+          JOIN (SELECT lang, term, sum(n) AS n FROM c GROUP BY 1, 2) l ON l.lang = k.lang AND l.term = k.term JOIN (SELECT lang, sum(n) AS total FROM c GROUP BY 1) a ON a.lang = k.lang),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY 1, 2, 3),
+        f AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+        h AS (SELECT p.lang, p.source, p.term AS item, CAST(p.p - q.q AS BIGINT) AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q)
+        SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM f
+        UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM h) WHERE rank <= 50""",
     "op9_exact_dedup": r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS flat FROM documents),
         g AS (SELECT flat, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY flat)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(flat) AS text_sha256 FROM t JOIN g USING (flat)""",
