@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeline.llm import chat, chunk_codec, decontaminate, divergence, exact_dedup, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
+from fringeline.llm import chat, chunk_codec, decontaminate, divergence, exact_dedup, hard_negatives, license_scan, mixing, pii, sharding, simhash, token_count, toxicity
 from fringeline.llm.common import read
 
 
@@ -65,7 +65,12 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license, op11_bpe_codec, op12_divergence)}
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_pii, op3_token_counts, op4_decontaminate, op5_mixing, op6_sharding, op7_chat, op8_toxicity, op9_exact_dedup, op10_license, op11_bpe_codec, op12_divergence, op13_hard_negatives)}
 
 #: Where SQL can express a query; the others are tested against plain Python versions.
 ORACLE_SQL = {
@@ -94,6 +99,13 @@ ORACLE_SQL = {
         h AS (SELECT p.lang, p.source, p.term AS item, CAST(p.p - q.q AS BIGINT) AS value FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.q)
         SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM f
         UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM h) WHERE rank <= 50""",
+    "op13_hard_negatives": """WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score FROM e a JOIN e r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5""",
     "op9_exact_dedup": r"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS flat FROM documents),
         g AS (SELECT flat, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY flat)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(flat) AS text_sha256 FROM t JOIN g USING (flat)""",

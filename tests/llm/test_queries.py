@@ -164,7 +164,7 @@ def test_op10(spark, sf_dir, docs):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     found = con.sql(ORACLE_SQL[name])
     ours = QUERIES[name](spark, sf_dir)
