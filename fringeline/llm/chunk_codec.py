@@ -15,8 +15,8 @@ with a margin on both sides. Sure boundaries stand before white space and before
 agree with those of the chunks they lie in, the stretch's tokens take the place of the chunks' own; if not, it grows. A chunk without
 a sure boundary is left out, and the stretch goes on through it.
 
-Within a chunk each distinct word is encoded once for a worker. Words are found here only in texts of Latin letters; any other
-text, and one with the string of a special token, goes whole to the library.
+Within a chunk each distinct word is encoded once for a worker. Words are found here only in Latin letters; what stands between white space
+and has other characters, or the string of a special token, goes whole to the library.
 
 Null texts are empty; an empty text has no ids. Rows are kept apart by their place in the table, so null and repeated ids are rows of their
 own. An empty table gives an empty result.
@@ -45,8 +45,10 @@ LEAST = 128
 MOST = 8192
 REACH = 16
 FILTER_BITS = 1 << 26
-#: Words whose ids a worker keeps, and hashes whose counts it keeps before it hands them on.
-KEPT_WORDS = 400_000
+#: Words, and units between white space of LONG_UNIT bytes or fewer, whose ids a worker keeps; and hashes whose counts it keeps before it hands them on.
+KEPT_WORDS = 500_000
+KEPT_UNITS = 700_000
+LONG_UNIT = 64
 KEPT_HASHES = 500_000
 #: Bytes of ids in a batch.
 BATCH_BYTES = 4_000_000
@@ -98,7 +100,10 @@ class Codec:
         if kinds("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or kinds("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"] or split["behavior"] != "Removed" or not split["invert"] or plan["post_processor"] or plan["decoder"]:
             raise ValueError("boundaries are known for tokenizers that lower texts and split them into words by a pattern")
         self.words = regex.compile(split["pattern"]["Regex"])
+        self.lines = regex.compile("\n|" + split["pattern"]["Regex"])
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        if any(set(s) & set(" \t\n\v\f\r") for s in special):
+            raise ValueError("a special token holds white space")
         self.odd = regex.compile("|".join([r"[^\x20-\x7E\t-\r¡-įı-ſ]", *map(regex.escape, special)]))
         self.sure = np.zeros(256, bool)
         self.sure[[c for c in (0x20, *range(9, 14), *range(0x30, 0x3A)) if not any(chr(c) in s for s in special)]] = True
@@ -107,37 +112,74 @@ class Codec:
         self.decimals = np.array([str(i) for i in range(size)], dtype=object)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.ends_word = np.array([str(name).endswith("</w>") for name in self.names])
-        self.kept: dict[str, bytes] = {}
+        #: ids of words, and of what stands between white space
+        self.words_kept: dict[str, bytes] = {}
+        self.kept: dict[bytes, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn_words(self, words: list[str]) -> None:
         """Ids of new words, in one call: a word's last token alone ends in the word's end sign."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
         ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.dtype)
         ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) == len(words):
-            raw, size, last = ids.tobytes(), self.dtype.itemsize, 0
-            for word, end in zip(words, (ends * size).tolist()):
-                self.kept[word] = raw[last:end]
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(words, (ends * self.dtype.itemsize).tolist()):
+                self.words_kept[word] = raw[last:end]
                 last = end
         else:
             for word, e in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-                self.kept[word] = np.array(e.ids, self.dtype).tobytes()
+                self.words_kept[word] = np.array(e.ids, self.dtype).tobytes()
+
+    def _learn(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of what stands between white space; those of short units are kept."""
+        if len(self.kept) > 2 * KEPT_UNITS:  # single texts of that many
+            self.kept.clear()
+        if len(self.words_kept) > KEPT_WORDS:
+            self.words_kept.clear()
+        found: dict[bytes, bytes] = {}
+        lines = b"\n".join(units).decode()
+        if self.odd.search(lines):
+            odd = [u for u in units if self.odd.search(u.decode())]
+            for u, e in zip(odd, self.library.encode_batch_fast([u.decode() for u in odd], add_special_tokens=False)):
+                found[u] = np.array(e.ids, self.dtype).tobytes()
+            units = [u for u in units if u not in found]
+            lines = b"\n".join(units).decode()
+        # all units in one search, a line each
+        words, known = self.lines.findall(lines.lower()), self.words_kept
+        new = list(set(words).difference(known, "\n"))
+        for i in range(0, len(new), 50_000):
+            self._learn_words(new[i : i + 50_000])
+        known["\n"] = b""
+        at, ends = 0, [i for i, w in enumerate(words) if w == "\n"]
+        ids = list(map(known.__getitem__, words))
+        for u, end in zip(units, [*ends, len(words)]):
+            found[u] = ids[at] if end == at + 1 else b"".join(ids[at:end])
+            at = end + 1
+        self.kept.update(found if max(map(len, found)) <= LONG_UNIT else {u: x for u, x in found.items() if len(u) <= LONG_UNIT})
+        return found
+
+    def learn(self, texts: list[bytes]) -> None:
+        """Ids of all that is new in some texts, together."""
+        units = set().union(*[t.split() for t in texts])
+        new = units.difference(self.kept)
+        if len(self.kept) + len(new) > KEPT_UNITS:
+            self.kept.clear()
+            new = units
+        if new:
+            self._learn(list(new))
 
     def ids(self, text: bytes) -> bytes:
         """Ids of a text, as the library gives them, in the bytes of ``dtype``."""
-        said = text.decode()
-        if self.odd.search(said):
-            return np.array(self.library.encode(said, add_special_tokens=False).ids, self.dtype).tobytes()
-        words = self.words.findall(said.lower())
+        units, known = text.split(), self.kept
         try:
-            return b"".join(map(self.kept.__getitem__, words))
+            return b"".join(map(known.__getitem__, units))
         except KeyError:
-            for i in range(0, len(words), 10_000):
-                part = words[i : i + 10_000]
-                self._learn([*dict.fromkeys(part)] if len(self.kept) > KEPT_WORDS else [w for w in dict.fromkeys(part) if w not in self.kept] or part[:1])
-                words[i : i + 10_000] = [b"".join(map(self.kept.__getitem__, part))] + [b""] * (len(part) - 1)
-            return b"".join(words)
+            out = []
+            for i in range(0, len(units), 20_000):
+                part = units[i : i + 20_000]
+                mine = {u: known[u] for u in part if u in known}
+                mine |= self._learn([u for u in dict.fromkeys(part) if u not in mine])
+                out += map(mine.__getitem__, part)
+            return b"".join(out)
 
     def seams(self, text: bytes, cuts: list[int]) -> list[tuple[int, int, bytes]]:
         """(begin, end, ids) of the stretch around each cut, inner cuts only; cuts in one stretch have one."""
@@ -318,7 +360,13 @@ def _made(docs: DataFrame, file: str, form: tuple) -> DataFrame:
             return bool(int(filled[b >> 6]) >> (b & 63) & 1)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+            texts, ahead = batch.column("text").cast(pa.binary()).to_pylist(), 0
+            for at, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), texts)):
+                if at == ahead:
+                    size, ahead = 0, at
+                    while ahead < len(texts) and (ahead == at or size + len(texts[ahead]) < BATCH_BYTES):
+                        size, ahead = size + len(texts[ahead]), ahead + 1
+                    of.learn(texts[at:ahead])
                 number += 1
                 parts, asked = [], False
                 for piece in of.pieces(text, shared) if text else ():
