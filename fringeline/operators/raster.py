@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fringeline.functions.scalar import wrap
+from fringeline.operators.select import MOST, medians, with_groups
 from fringeline.storage import written
 
 CELL = ["row", "col"]
@@ -99,38 +100,57 @@ def grid_points(points: DataFrame, step: float) -> DataFrame:
     return cell.withColumn("value", F.col("value") - first)
 
 
-def remove_median(pixels: DataFrame, by: list[str], value: str) -> DataFrame:
-    m = pixels.groupBy(*by).agg(F.median(valid(value)).alias("__m"))
-    return pixels.join(m, by).withColumn(value, F.col(value) - F.col("__m")).drop("__m")
+def remove_median(pixels: DataFrame, by: list[str], value: str, most: int = MOST) -> DataFrame:
+    """Subtracts each grid's median. Medians are selected first, in jobs of their own."""
+    m = medians(pixels, by, valid(value), most).withColumnRenamed("median", "__m")
+    return with_groups(pixels, m, by).withColumn(value, F.col(value) - F.col("__m")).drop("__m")
 
 
-def overlap_offsets(pixels: DataFrame) -> DataFrame:
+def overlap_offsets(pixels: DataFrame, most: int = MOST) -> DataFrame:
     """pixels (place, row, col, value): offsets that chain neighbouring grids by the median difference in their overlap."""
     nxt = pixels.select((F.col("place") - 1).alias("place"), *CELL, F.col("value").alias("value2"))
-    d = pixels.join(nxt, ["place", *CELL]).filter(valid("value").isNotNull() & valid("value2").isNotNull()).groupBy((F.col("place") + 1).alias("place")).agg(F.median(F.col("value") - F.col("value2")).alias("step"))
+    both = pixels.join(nxt, ["place", *CELL]).filter(valid("value").isNotNull() & valid("value2").isNotNull()).select((F.col("place") + 1).alias("place"), "value", "value2")
+    d = medians(both, ["place"], F.col("value") - F.col("value2"), most).withColumnRenamed("median", "step")
     places = pixels.select("place").distinct().join(d, "place", "left")
     # a row for each grid of the chain
     return places.withColumn("offset", F.sum(F.coalesce("step", F.lit(0.0))).over(Window.partitionBy(F.lit(0)).orderBy("place"))).select("place", "offset")
 
 
-def grow_mosaic(grids: DataFrame, places: list[int]) -> DataFrame:
+def grow_mosaic(grids: DataFrame, places: list[int], tile: int = 1024, most: int = MOST) -> DataFrame:
     """grids (place, row, col, value) laid one over the other in the order of ``places``: each is shifted by the median difference between the
     mosaic so far and itself where both are valid (not at all without an overlap), and then covers it. (row, col, value, place).
 
-    A round for each grid; a round joins one grid with the mosaic and is written to the shared folder.
+    The mosaic is tiles of ``tile`` x ``tile`` pixels. A round, one for each grid, reads the tiles that the grid touches and writes them anew, in the
+    shared folder; the others stay where they are. The driver keeps which round has each tile.
     """
-    mosaic = None
+    key = F.concat_ws("_", F.floor(F.col("row") / tile), F.floor(F.col("col") / tile))
+    rounds: list[DataFrame] = []
+    last: dict[str, int] = {}  # a tile's newest round
+
+    def current(tiles: list[str]) -> DataFrame | None:
+        """The mosaic's pixels in these tiles."""
+        of: dict[int, list[str]] = {}
+        for t in tiles:
+            if t in last:
+                of.setdefault(last[t], []).append(t)
+        return reduce(DataFrame.unionByName, [rounds[r].filter(F.col("tile").isin(names)) for r, names in of.items()]) if of else None
+
     for place in places:
         own = grids.filter(F.col("place") == place).select(*CELL, valid("value").alias("value")).filter("value is not null")
-        if mosaic is None:
-            mosaic = written(own.withColumn("place", F.lit(place)))
-            continue
-        old = mosaic.select(*CELL, F.col("value").alias("old"), F.col("place").alias("old_place"))
-        both = written(own.join(old, CELL, "full"))
-        shift = both.agg(F.coalesce(F.median(F.col("old") - F.col("value")), F.lit(0.0)).alias("shift"))  # one row
-        new = F.col("value") + F.col("shift")
-        mosaic = written(both.crossJoin(F.broadcast(shift)).select(*CELL, F.coalesce(new, "old").alias("value"), F.when(F.col("value").isNotNull(), F.lit(place)).otherwise(F.col("old_place")).alias("place")))
-    return mosaic
+        own = written(own.withColumn("tile", key))
+        tiles = [r.tile for r in own.select("tile").distinct().collect()]
+        now = current(tiles)
+        if now is None:
+            new = own.withColumn("place", F.lit(place))
+        else:
+            both = own.join(now.select(*CELL, "tile", F.col("value").alias("old"), F.col("place").alias("old_place")), [*CELL, "tile"], "full")
+            both = written(both)
+            shift = medians(both, [], F.col("old") - F.col("value"), most).select(F.coalesce("median", F.lit(0.0)).alias("shift")).first()
+            value = F.col("value") + F.lit(shift[0] if shift else 0.0)
+            new = both.select(*CELL, "tile", F.coalesce(value, "old").alias("value"), F.when(F.col("value").isNotNull(), F.lit(place)).otherwise(F.col("old_place")).alias("place"))
+        rounds.append(written(new.select(*CELL, "value", "place", "tile"), by=("tile",)))
+        last |= dict.fromkeys(tiles, len(rounds) - 1)
+    return current(list(last)).drop("tile") if last else grids.select(*CELL, "value", "place").limit(0)
 
 
 def height_correction(pixels: DataFrame, by: list[str], block: int, least: float = 0.001) -> DataFrame:
