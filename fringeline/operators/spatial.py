@@ -116,13 +116,75 @@ def polygon_edges(vertices: DataFrame) -> DataFrame:
     return rows.filter("n > 3").select("poly", "x", "y", F.coalesce("x2", "x0").alias("x2"), F.coalesce("y2", "y0").alias("y2"))
 
 
+def _crossing(y: Column) -> tuple[Column, Column]:
+    """Whether an edge crosses the parallel of latitude y (its lower end belongs to it), and where."""
+    spans = (F.col("y") > y) != (F.col("y2") > y)
+    return spans, (F.col("x2") - F.col("x")) * (y - F.col("y")) / (F.col("y2") - F.col("y")) + F.col("x")
+
+
+def banded_edges(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges listed in the bands of latitude that they touch, (poly, band, x, y, x2, y2), and each polygon's box and bands, (poly, lon1, lon2, lat1,
+    lat2, bands).
+
+    A polygon of n edges has up to n bands, as many as keep the list at three rows an edge: 2 n by its height over the way its edges
+    go up and down. A parallel then meets few edges that it doesn't cross.
+    """
+    edges = polygon_edges(vertices)
+    way = F.sum(F.abs(F.col("y2") - F.col("y")))
+    n, height = F.count("*"), F.max("y") - F.min("y")
+    bands = F.greatest(F.lit(1), F.least(n, F.floor(2 * n * height / F.nullif(way, F.lit(0.0))))).cast("int")
+    boxes = edges.groupBy("poly").agg(F.min("x").alias("lon1"), F.max("x").alias("lon2"), F.min("y").alias("lat1"), F.max("y").alias("lat2"), F.coalesce(bands, F.lit(1)).alias("bands"))
+    low, high = F.least("y", "y2"), F.greatest("y", "y2")
+    listed = edges.filter("y != y2").join(boxes.select("poly", "lat1", "lat2", "bands"), "poly")
+    return listed.select("poly", F.explode(F.sequence(band_of(low), band_of(high))).alias("band"), "x", "y", "x2", "y2"), boxes
+
+
+def band_of(lat: Column) -> Column:
+    """Band of a latitude within lat1..lat2; it never falls where the latitude rises."""
+    share = (lat - F.col("lat1")) / F.nullif(F.col("lat2") - F.col("lat1"), F.lit(0.0))
+    return F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("bands")), F.lit(0)), F.col("bands") - 1).cast("int")
+
+
 def points_in_polygons(points: DataFrame, vertices: DataFrame, key: str, size: float = 1.0) -> DataFrame:
-    """(key, poly) by ray casting, after a join on the polygons' boxes."""
-    boxes = vertices.groupBy("poly").agg(F.min("x").alias("lon1"), F.max("x").alias("lon2"), F.min("y").alias("lat1"), F.max("y").alias("lat2"))
-    near = points_in_boxes(points.select(key, "lon", "lat"), boxes, size).select(key, "lon", "lat", "poly")
-    spans = (F.col("y") > F.col("lat")) != (F.col("y2") > F.col("lat"))
-    crosses = spans & (F.col("lon") < (F.col("x2") - F.col("x")) * (F.col("lat") - F.col("y")) / (F.col("y2") - F.col("y")) + F.col("x"))
-    return near.join(polygon_edges(vertices), "poly").groupBy(key, "poly").agg(F.count_if(crosses).alias("n")).filter("n % 2 = 1").select(key, "poly")
+    """(key, poly) by ray casting: a point meets the polygons whose box it is in, and of each the edges of its own band of latitude."""
+    edges, boxes = banded_edges(vertices)
+    near = points_in_boxes(points.select(key, "lon", "lat"), boxes, size).select(key, "lon", "lat", "poly", band_of(F.col("lat")).alias("band"))
+    spans, x = _crossing(F.col("lat"))
+    return near.join(edges, ["poly", "band"]).groupBy(key, "poly").agg(F.count_if(spans & (F.col("lon") < x)).alias("n")).filter("n % 2 = 1").select(key, "poly")
+
+
+def polygon_spans(vertices: DataFrame, lat0: float, step_lat: float, rows: int) -> DataFrame:
+    """(poly, row, lon1, lon2): stretches of a grid's rows that lie in a polygon, from lon1 up to lon2, which is outside.
+
+    A scanline fill: an edge gives a row for each grid row that it crosses, crossings are sorted along the row, and each odd one begins a
+    stretch that the next one ends. Row r is at latitude lat0 + step_lat r.
+    """
+    edges = polygon_edges(vertices).filter("y != y2")
+    ends = [(F.col(c) - lat0) / step_lat for c in ("y", "y2")]
+    first, last = F.greatest(F.floor(F.least(*ends)) - 1, F.lit(0)), F.least(F.ceil(F.greatest(*ends)) + 1, F.lit(rows - 1))
+    # a row more on both sides, as quotients are rounded; the test is that of points
+    row = F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))).alias("row")
+    spans, x = _crossing(F.lit(lat0) + F.lit(step_lat) * F.col("row"))
+    crossed = edges.select("*", row).filter(spans).select("poly", "row", x.alias("lon1"))
+    along = Window.partitionBy("poly", "row").orderBy("lon1")
+    pairs = crossed.withColumns({"lon2": F.lead("lon1").over(along), "n": F.row_number().over(along)})
+    return pairs.filter("n % 2 = 1").select("poly", "row", "lon1", "lon2")
+
+
+def pixels_in_polygons(vertices: DataFrame, lon0: float, lat0: float, step_lon: float, step_lat: float, rows: int, cols: int) -> DataFrame:
+    """(poly, row, col): cells of a regular grid whose centre lies in a polygon, as points_in_polygons() has it."""
+    spans = polygon_spans(vertices, lat0, step_lat, rows)
+    ends = [(F.col(c) - lon0) / step_lon for c in ("lon1", "lon2")]
+    first, last = F.greatest(F.floor(F.least(*ends)) - 1, F.lit(0)), F.least(F.ceil(F.greatest(*ends)) + 1, F.lit(cols - 1))
+    col = F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))).alias("col")
+    lon = F.lit(lon0) + F.lit(step_lon) * F.col("col")
+    return spans.select("*", col).filter((lon >= F.col("lon1")) & (lon < F.col("lon2"))).select("poly", "row", "col")
+
+
+def masked_by_polygons(pixels: DataFrame, vertices: DataFrame, lon0: float, lat0: float, step_lon: float, step_lat: float, rows: int, cols: int) -> DataFrame:
+    """``pixels`` (row, col, ...) that lie in any polygon."""
+    inside = pixels_in_polygons(vertices, lon0, lat0, step_lon, step_lat, rows, cols)
+    return pixels.join(inside.select("row", "col").distinct(), ["row", "col"], "left_semi")
 
 
 def corners_in_polygons(rows: DataFrame, vertices: DataFrame, key: str, corners: int = 4, size: float = 1.0) -> DataFrame:

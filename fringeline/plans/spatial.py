@@ -156,6 +156,18 @@ def d31_polygon_mask(spark, sf_dir):
     return S.points_in_polygons(view(spark, sf_dir, "volcanoes"), _diamonds(spark, sf_dir, 5.0, 4.0), "volc_id").groupBy("poly").agg(F.count("*").alias("pixels"))
 
 
+@query("""WITH c AS (SELECT polyid, lon, lat, unnest([5.0, 0.0, -5.0, 0.0]::DOUBLE[]) AS dx, unnest([0.0, 4.0, 0.0, -4.0]::DOUBLE[]) AS dy, unnest([0.0, -5.0, 0.0, 5.0]::DOUBLE[]) AS ex, unnest([4.0, 0.0, -4.0, 0.0]::DOUBLE[]) AS ey FROM @frames),
+    e AS (SELECT polyid AS poly, lon + dx AS x, lat + dy AS y, lon + ex AS x2, lat + ey AS y2, lon, lat FROM c),
+    g AS (SELECT poly, "row", col, count(CASE WHEN (y > -89.875 + 0.25 * "row") <> (y2 > -89.875 + 0.25 * "row") AND -179.875 + 0.25 * col < (x2 - x) * ((-89.875 + 0.25 * "row") - y) / (y2 - y) + x THEN 1 END) AS n
+      FROM e, LATERAL (SELECT unnest(range(CAST(greatest(floor((lat - 4 + 89.875) / 0.25) - 1, 0) AS BIGINT), CAST(least(ceil((lat + 4 + 89.875) / 0.25) + 2, 720) AS BIGINT))) AS "row"),
+      LATERAL (SELECT unnest(range(CAST(greatest(floor((lon - 5 + 179.875) / 0.25) - 1, 0) AS BIGINT), CAST(least(ceil((lon + 5 + 179.875) / 0.25) + 2, 1440) AS BIGINT))) AS col) GROUP BY 1, 2, 3)
+    SELECT poly, "row", min(col) AS first, max(col) AS last, count(*) AS pixels FROM g WHERE n % 2 = 1 GROUP BY 1, 2""")
+def d31_grid_mask(spark, sf_dir):
+    """Cells of the globe's grid of a quarter degree in each polygon, by row."""
+    cells = S.pixels_in_polygons(_diamonds(spark, sf_dir, 5.0, 4.0), -179.875, -89.875, 0.25, 0.25, 720, 1440)
+    return cells.groupBy("poly", "row").agg(F.min("col").alias("first"), F.max("col").alias("last"), F.count("*").alias("pixels"))
+
+
 @query("""WITH h AS (SELECT q.id, v.volc_id FROM @quakes q JOIN @volcanoes v ON abs(q.lon - v.lon) <= 1 AND abs(q.lat - v.lat) <= 1), w AS (SELECT q.id, v.volc_id FROM @quakes q JOIN @volcanoes v ON abs(q.lon - v.lon) <= 8 AND abs(q.lat - v.lat) <= 8
     WHERE q.id NOT IN (SELECT id FROM h)), a AS (SELECT * FROM h UNION ALL SELECT * FROM w) SELECT id, min(volc_id) AS volc_id FROM a GROUP BY id HAVING count(*) = 1""")
 def d34_match_points(spark, sf_dir):
