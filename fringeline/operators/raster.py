@@ -1,19 +1,22 @@
 """Pixel tables: stack statistics, multilooking, masks, neighbourhoods, mosaics.
 
 A raster is a tall table (frame or other keys, row, col, value ...). No-data (0 or NaN) becomes null at load. Aggregations are one
-shuffle with partial sums; neighbourhoods send each pixel to the places that see it and aggregate there, so no task ever holds a
+shuffle with partial sums; neighbourhoods are weighted sums one dimension at a time, or blocks with halos, so no task ever holds a
 whole raster.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fringeline.functions.scalar import wrap
+from fringeline.operators import sliding
 from fringeline.operators.select import MOST, medians, with_groups
 from fringeline.storage import written
 
@@ -202,79 +205,75 @@ def fill_from(first: DataFrame, second: DataFrame, on: list[str], value: str) ->
     return first.join(s, on, "full").select(*on, F.coalesce(valid(value), valid("__second")).alias(value))
 
 
-def _offsets(reach: list[tuple[int, int, float]]) -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c"), F.lit(float(w)).alias("w")) for r, c, w in reach])).alias("__o")
+def kernel_sums(pixels: DataFrame, by: list[str], sums: dict[str, Column], weights: list[float]) -> DataFrame:
+    """(by, row, col, ...) of every place that a pixel reaches: each of ``sums`` added up with weights[i] weights[j] over the box about it.
 
-
-def neighbourhood(pixels: DataFrame, by: list[str], reach: list[tuple[int, int, float]]) -> DataFrame:
-    """Each pixel sent to the places that see it: (by, row, col) of the place, w, and the sender's columns."""
-    own = [c for c in pixels.columns if c not in (*by, *CELL)]
-    sent = pixels.select(*by, *CELL, *own, _offsets(reach))
-    return sent.select(*by, (F.col("row") + F.col("__o.r")).alias("row"), (F.col("col") + F.col("__o.c")).alias("col"), F.col("__o.w").alias("w"), *own)
-
-
-def box(k: int) -> list[tuple[int, int, float]]:
-    h = k // 2
-    return [(r, c, 1.0) for r in range(-h, h + 1) for c in range(-h, h + 1)]
-
-
-def disk(radius: int) -> list[tuple[int, int, float]]:
-    return [(r, c, 1.0) for r in range(-radius, radius + 1) for c in range(-radius, radius + 1) if r * r + c * c <= radius * radius]
+    The box is gone through one dimension at a time, so a pixel is sent to 2 len(weights) places, and all sums go together.
+    """
+    h, names = len(weights) // 2, list(sums)
+    reach = F.explode(F.array(*[F.struct(F.lit(i - h).alias("d"), F.lit(float(w)).alias("w")) for i, w in enumerate(weights)])).alias("__o")
+    out = pixels.select(*by, *CELL, *[c.alias(n) for n, c in sums.items()])
+    for axis in ("col", "row"):
+        sent = out.select("*", reach).withColumn(axis, F.col(axis) + F.col("__o.d"))
+        out = sent.groupBy(*by, *CELL).agg(*[F.sum(F.col("__o.w") * F.col(n)).alias(n) for n in names])
+    return out
 
 
-def gauss(sigma: float, radius: int) -> list[tuple[int, int, float]]:
+def gauss(sigma: float, radius: int) -> list[float]:
     from math import exp
 
-    return [(r, c, exp(-(r * r + c * c) / (2 * sigma * sigma))) for r in range(-radius, radius + 1) for c in range(-radius, radius + 1)]
+    return [exp(-(d * d) / (2 * sigma * sigma)) for d in range(-radius, radius + 1)]
 
 
-def moving(pixels: DataFrame, by: list[str], value: str, how: str, k: int) -> DataFrame:
-    """Median, mode, mean or population variance over a k x k box, at the places that have a pixel."""
-    agg = {"median": F.median, "mode": lambda c: F.mode(c, True), "mean": F.avg, "var": F.var_pop}[how](value)
-    seen = neighbourhood(pixels.select(*by, *CELL, value), by, box(k)).groupBy(*by, *CELL).agg(agg.alias(how), F.count(value).alias("n"))
-    return seen.join(pixels.select(*by, *CELL), [*by, *CELL], "left_semi")
+def moving(pixels: DataFrame, by: list[str], value: str, how: str, k: int, block: int = 128) -> DataFrame:
+    """Median, mode (the lowest of equals), mean or population variance, and the number of values, over a k x k box, at the places that have a pixel."""
+    if how in ("median", "mode"):
+        return block_filter(pixels, by, value, [k // 2] * (k // 2 * 2 + 1), block, getattr(sliding, how), how)
+    v, one = F.col(value).cast("double"), F.col(value).isNotNull().cast("long")
+    seen = kernel_sums(pixels, by, {"s": F.coalesce(v, F.lit(0.0)), "q": F.coalesce(v * v, F.lit(0.0)), "n": one}, [1.0] * (k // 2 * 2 + 1))
+    mean = F.col("s") / F.nullif("n", F.lit(0.0))
+    out = mean if how == "mean" else F.greatest(F.col("q") / F.nullif("n", F.lit(0.0)) - mean * mean, F.lit(0.0))
+    return seen.select(*by, *CELL, out.alias(how), F.col("n").cast("long").alias("n")).join(pixels.select(*by, *CELL), [*by, *CELL], "left_semi")
 
 
 def phase_variance_coherence(pixels: DataFrame, by: list[str], pha: str, k: int) -> DataFrame:
-    """Coherence from the variance of unit phasors in a box."""
-    p = pixels.select(*by, *CELL, F.cos(pha).alias("c"), F.sin(pha).alias("s"))
-    seen = neighbourhood(p, by, box(k)).groupBy(*by, *CELL).agg((F.var_pop("c") + F.var_pop("s")).alias("var"))
-    return seen.join(p, [*by, *CELL], "left_semi").withColumn("coh", F.sqrt(F.greatest(1 - F.col("var"), F.lit(0.0))))
+    """Coherence from the variance of unit phasors in a box: as they have length 1, that is 1 less the square of their mean's."""
+    p = pixels.select(*by, *CELL, pha).filter(F.col(pha).isNotNull())
+    seen = kernel_sums(p, by, {"c": F.cos(pha), "s": F.sin(pha), "n": F.lit(1.0)}, [1.0] * (k // 2 * 2 + 1)).join(pixels.select(*by, *CELL), [*by, *CELL], "left_semi")
+    return seen.select(*by, *CELL, (1 - F.pow(F.hypot("c", "s") / F.col("n"), 2)).alias("var")).withColumn("coh", F.sqrt(F.greatest(1 - F.col("var"), F.lit(0.0))))
 
 
 def gauss_smooth(pixels: DataFrame, by: list[str], value: str, sigma: float, radius: int) -> DataFrame:
     """Weighted mean of the valid pixels within reach, at the pixels that are valid; no-data spreads nowhere."""
     ok = pixels.filter(valid(value).isNotNull()).select(*by, *CELL, value)
-    seen = neighbourhood(ok, by, gauss(sigma, radius)).groupBy(*by, *CELL).agg((F.sum(F.col("w") * F.col(value)) / F.sum("w")).alias("smooth"))
-    return seen.join(ok, [*by, *CELL], "left_semi")
+    seen = kernel_sums(ok, by, {"s": F.col(value), "w": F.lit(1.0)}, gauss(sigma, radius))
+    return seen.select(*by, *CELL, (F.col("s") / F.col("w")).alias("smooth")).join(ok, [*by, *CELL], "left_semi")
 
 
 def gauss_phase(pixels: DataFrame, by: list[str], pha: str, sigma: float, radius: int) -> DataFrame:
     """gauss_pha and gauss_coh of unit phasors smoothed so that intensity is conserved: what a pixel's kernel would spread over no-data, or
     beyond the grid, stays on the pixel itself."""
     reach = gauss(sigma, radius)
-    total = sum(w for *_, w in reach)
+    total = sum(reach) ** 2
     ok = pixels.filter(F.col(pha).isNotNull()).select(*by, *CELL, F.cos(pha).alias("re"), F.sin(pha).alias("im"))
-    seen = neighbourhood(ok, by, reach).groupBy(*by, *CELL).agg(*[F.sum(F.col("w") * F.col(c)).alias(f"s_{c}") for c in ("re", "im")], F.sum("w").alias("w"))
-    j = ok.join(seen, [*by, *CELL])
+    j = ok.join(kernel_sums(ok, by, {"s_re": F.col("re"), "s_im": F.col("im"), "w": F.lit(1.0)}, reach), [*by, *CELL])
     re, im = (F.col(f"s_{c}") / total + (1 - F.col("w") / total) * F.col(c) for c in ("re", "im"))
     return j.select(*by, *CELL, F.atan2(im, re).alias("gauss_pha"), F.hypot(re, im).alias("gauss_coh"))
 
 
 def fill_gauss(pixels: DataFrame, by: list[str], pha: str, sigma: float = 2.0, radius: int | None = None, rounds: int = 3) -> DataFrame:
-    """Null phases take the angle of the kernel-weighted mean of the valid phasors within ``radius`` (four sigma by default), in up to ``rounds``
-    rounds, each of which sees what the one before filled; what is left then takes the nearest value. Rounds are written."""
+    """Runs a job a round while the plan is built: null phases take the angle of the kernel-weighted mean of the valid phasors within ``radius`` (four
+    sigma by default), in up to ``rounds`` rounds, each of which sees what the one before filled; what is left then takes the nearest value. Rounds are written."""
     reach = gauss(sigma, int(4 * sigma) if radius is None else radius)
     now = written(pixels.select(*by, *CELL, F.col(pha).alias("p")))
     for _ in range(rounds):
         if not now.filter("p is null").limit(1).count():
             break
-        ok = now.filter("p is not null").select(*by, *CELL, F.cos("p").alias("re"), F.sin("p").alias("im"))
-        hole = now.filter("p is null").select(*by, *CELL)
-        seen = neighbourhood(ok, by, reach).join(hole, [*by, *CELL], "left_semi").groupBy(*by, *CELL).agg(F.atan2(F.sum(F.col("w") * F.col("im")), F.sum(F.col("w") * F.col("re"))).alias("new"))
+        ok = now.filter("p is not null")
+        seen = kernel_sums(ok, by, {"re": F.cos("p"), "im": F.sin("p")}, reach).select(*by, *CELL, F.atan2("im", "re").alias("new"))
         now = written(now.join(seen, [*by, *CELL], "left").select(*by, *CELL, F.coalesce("p", "new").alias("p")))
     left = bool(now.filter("p is null").limit(1).count())
-    full = fill_nearest(now, by, "p", 2) if left else now
+    full = fill_nearest(now, by, "p") if left else now
     return pixels.drop(pha).join(full.withColumnRenamed("p", pha), [*by, *CELL])
 
 
@@ -286,13 +285,37 @@ def despiked(pixels: DataFrame, by: list[str], value: str, k: int, limit: float)
     return j.withColumn("filtered", F.col("median") + F.when(F.abs(rest) < limit, rest).otherwise(0)).drop("median")
 
 
-def mode_median(pixels: DataFrame, by: list[str], value: str, radius: int, bin_size: float) -> DataFrame:
+def mode_median(pixels: DataFrame, by: list[str], value: str, radius: int, bin_size: float, block: int = 128) -> DataFrame:
     """Median of the values in the fullest histogram bin of a disk and in the bins beside it."""
-    b = F.floor(F.col(value) / bin_size)
-    seen = neighbourhood(pixels.select(*by, *CELL, value), by, disk(radius)).join(pixels.select(*by, *CELL), [*by, *CELL], "left_semi").withColumn("b", b)
-    counts = seen.groupBy(*by, *CELL, "b").agg(F.count("*").alias("n"))
-    top = counts.groupBy(*by, *CELL).agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("top"))
-    return seen.join(top, [*by, *CELL]).filter(F.abs(F.col("b") - F.col("top")) <= 1).groupBy(*by, *CELL).agg(F.median(value).alias("value"))
+    reach = [int((radius * radius - r * r) ** 0.5 + 1e-9) for r in range(-radius, radius + 1)]
+    return block_filter(pixels, by, value, reach, block, sliding.mode_median(bin_size), "value").drop("n").filter("value is not null")
+
+
+def block_filter(pixels: DataFrame, by: list[str], value: str, reach: list[int], block: int, how: Callable, name: str) -> DataFrame:
+    """(by, row, col, name, n) of sliding histograms: ``reach`` has the half width of each row of the window, ``how`` is one of ``sliding``.
+
+    Blocks come with a halo of half the window; a task holds (block + window)^2 pixels and as many counts for each of the block's rows.
+    """
+    h = len(reach) // 2
+    edge = lambda c: F.explode(F.sequence(F.floor((F.col(c) - h) / block), F.floor((F.col(c) + h) / block)))
+    halo = pixels.select(*by, *[F.col(c).cast("long").alias(c) for c in CELL], F.col(value).cast("double").alias("__v")).withColumn("__br", edge("row")).withColumn("__bc", edge("col"))
+
+    def swept(pdf: pd.DataFrame) -> pd.DataFrame:
+        r0, c0 = int(pdf["__br"].iloc[0]) * block - h, int(pdf["__bc"].iloc[0]) * block - h
+        grid = np.full((block + 2 * h, block + 2 * h), np.nan)
+        r, c = pdf["row"].to_numpy() - r0, pdf["col"].to_numpy() - c0
+        grid[r, c] = pdf["__v"]
+        # no more of the block than it has pixels in
+        a, b, left, right = r.min(), r.max() + 1, c.min(), c.max() + 1
+        grid = np.pad(grid[a:b, left:right], h, constant_values=np.nan)
+        out, many = sliding.sweep(grid, reach, how)
+        own = (r >= h) & (r < h + block) & (c >= h) & (c < h + block)
+        at = (r[own] - a, c[own] - left)
+        return pdf.loc[own, [*by, *CELL]].assign(**{name: out[at], "n": many[at]})
+
+    kinds = "".join(f"{c} {pixels.schema[c].dataType.simpleString()}, " for c in by)
+    found = halo.groupBy(*by, "__br", "__bc").applyInPandas(swept, f"{kinds}row long, col long, {name} double, n long")
+    return found.withColumn(name, F.nanvl(name, F.lit(None).cast("double")))
 
 
 def gradient(pixels: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -316,25 +339,71 @@ def residues(pixels: DataFrame, by: list[str], pha: str) -> DataFrame:
     return loop.select(*by, *CELL, F.round(total / (2 * F.pi())).cast("int").alias("charge")).filter("charge != 0")
 
 
-def fill_nearest(pixels: DataFrame, by: list[str], value: str, radius: int) -> DataFrame:
-    """Null pixels take the nearest valid value; smallest row and column in a tie.
+def _nearest_columns(p: pd.DataFrame) -> np.ndarray:
+    """Place in ``p`` (a row's columns in order: col, near, the row distance of the column's nearest value or null, r0) of the value nearest to each.
 
-    Rings join within ``radius`` cells first, then within twice that over the pixels still empty, until none is left. Cells
-    outside a disk are farther than all in it, so the first round that reaches a pixel is exact. Every round is written to the
-    shared folder. Groups without a valid value stay empty.
+    The lower envelope of the parabolas near^2 + (x - col)^2, with whole numbers: the last place at which the left one of two is better (or as good
+    and smaller in row, then column) follows from their difference, which is linear.
+    """
+    col, near, r0 = p["col"].tolist(), p["near"].tolist(), p["r0"].tolist()
+    stack: list[tuple[int, int]] = []  # (place, first col at which it is best)
+    for j in range(len(col)):
+        if near[j] != near[j]:
+            continue
+        start = None
+        while stack:
+            i, begin = stack[-1]
+            # i is at least as good while 2 x (col j - col i) <= up
+            up = int(near[j] ** 2 - near[i] ** 2) + col[j] ** 2 - col[i] ** 2
+            last, rest = divmod(up, 2 * (col[j] - col[i]))
+            if rest == 0 and r0[i] > r0[j]:
+                last -= 1
+            start = last + 1
+            if start > begin:
+                break
+            stack.pop()
+            start = None
+        stack.append((j, -(1 << 62) if start is None else start))
+    if not stack:
+        return np.full(len(col), -1)
+    places, begins = np.array(stack, dtype=np.int64).T
+    return places[np.searchsorted(begins, np.array(col), "right") - 1]
+
+
+def fill_nearest(pixels: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Null pixels take the nearest valid value; smallest row, then column in a tie.
+
+    An exact distance transform, whatever the width of the holes: windows along the columns give the nearest valid row above and below, for the rows
+    that have holes; along each such row the lower envelope of the columns' distances gives the nearest of all. A task holds a row or a
+    column of a grid. Groups without a valid value stay empty.
     """
-    ok, hole = pixels.filter(F.col(value).isNotNull()).select(*by, *CELL, value), pixels.filter(F.col(value).isNull()).select(*by, *CELL)
-    near = ok.withColumns({"r0": F.col("row"), "c0": F.col("col")})
-    hole = written(hole.join(ok.select(*by).distinct(), by, "left_semi") if by else hole)
-    rounds, left = [], hole.count() if ok.limit(1).count() else 0
-    while not rounds or left:
-        reach = [(r, c, float(r * r + c * c)) for r, c, _ in disk(radius)]
-        own = neighbourhood(near, by, reach)
-        rounds.append(written(own.join(hole, [*by, *CELL], "left_semi").groupBy(*by, *CELL).agg(F.min_by(value, F.struct("w", "r0", "c0")).alias("__fill"))))
-        hole = written(hole.join(rounds[-1], [*by, *CELL], "left_anti"))
-        left, radius = left and hole.count(), 2 * max(1, radius)
-    best = reduce(DataFrame.unionByName, rounds)
-    return pixels.join(best, [*by, *CELL], "left").withColumn(value, F.coalesce(value, "__fill")).drop("__fill")
+    kind = pixels.schema[value].dataType.simpleString()
+    grid = pixels.select(*by, *[F.col(c).cast("long").alias(c) for c in CELL], F.col(value).alias("__v"))
+    hole = grid.filter("__v is null").select(*by, *CELL)
+    # every column of a grid is asked at each row with a hole, also where it has no pixel
+    rows, cols = hole.select(*by, "row").distinct(), grid.filter("__v is not null").select(*by, "col").distinct()
+    if not by:
+        rows, cols = rows.withColumn("__one", F.lit(1)), cols.withColumn("__one", F.lit(1))
+    asked = rows.join(cols, by or ["__one"]).select(*by, *CELL, F.lit(None).cast(kind).alias("__v"), F.lit(True).alias("asked"))
+    both = grid.filter("__v is not null").select(*by, *CELL, "__v", F.lit(False).alias("asked")).unionByName(asked)
+    here = F.when(F.col("asked"), F.lit(None)).otherwise(F.struct(F.col("row").alias("r"), F.col("__v").alias("v")))
+    # a row's value comes before its question in both directions
+    along = lambda order: Window.partitionBy(*by, "col").orderBy(order, "asked").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumns({"above": F.last(here, True).over(along(F.col("row"))), "below": F.last(here, True).over(along(F.col("row").desc()))}).filter("asked")
+    up, down = F.col("row") - F.col("above.r"), F.col("below.r") - F.col("row")
+    best = F.when(F.col("below").isNull() | (up <= down), F.col("above")).otherwise(F.col("below"))
+    seen = seen.select(*by, *CELL, best.alias("best")).join(hole.withColumn("__hole", F.lit(True)), [*by, *CELL], "full")
+    seen = seen.select(*by, *CELL, F.abs(F.col("best.r") - F.col("row")).alias("near"), F.col("best.r").alias("r0"), F.col("best.v").alias("v"), F.coalesce("__hole", F.lit(False)).alias("hole"))
+
+    def envelope(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("col")
+        at = _nearest_columns(p)
+        wanted = p["hole"].to_numpy(bool) & (at >= 0)
+        return p.loc[wanted, [*by, *CELL]].assign(__fill=p["v"].to_numpy()[at[wanted]])
+
+    kinds = "".join(f"{c} {pixels.schema[c].dataType.simpleString()}, " for c in by)
+    found = seen.groupBy(*by, "row").applyInPandas(envelope, f"{kinds}row long, col long, __fill {kind}")
+    return pixels.join(found, [*by, *CELL], "left").withColumn(value, F.coalesce(value, "__fill")).drop("__fill")
 
 
 def _tile_labels(rows: list[int], cols: list[int]) -> list[tuple[int, int]]:
@@ -412,29 +481,6 @@ def resample(coarse: DataFrame, fine: DataFrame, by: list[str], factor: int) ->
     return fine.withColumns({"__r": F.floor(F.col("row") / factor), "__c": F.floor(F.col("col") / factor)}).join(c, [*by, "__r", "__c"]).drop("__r", "__c")
 
 
-def block_filter(pixels: DataFrame, value: str, k: int, block: int) -> DataFrame:
-    """Moving median for large windows: blocks with a halo of k // 2 rows, one numpy window sweep per block.
-
-    Every block holds (block + k)^2 pixels at most.
-    """
-    import numpy as np
-
-    h = k // 2
-    edge = lambda c: F.explode(F.sequence(F.floor((F.col(c) - h) / block), F.floor((F.col(c) + h) / block)))
-    halo = pixels.select("row", "col", value).withColumn("br", edge("row")).withColumn("bc", edge("col"))
-
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        r0, c0 = pdf["br"].iloc[0] * block - h, pdf["bc"].iloc[0] * block - h
-        grid = np.full((block + 2 * h, block + 2 * h), np.nan)
-        grid[pdf["row"] - r0, pdf["col"] - c0] = pdf[value]
-        win = np.lib.stride_tricks.sliding_window_view(grid, (k, k))
-        own = pdf[(pdf["row"] >= r0 + h) & (pdf["row"] < r0 + h + block) & (pdf["col"] >= c0 + h) & (pdf["col"] < c0 + h + block)]
-        out = np.nanmedian(win[own["row"] - r0 - h, own["col"] - c0 - h].reshape(len(own), -1), axis=1) if len(own) else []
-        return pd.DataFrame({"row": own["row"], "col": own["col"], "median": out})
-
-    return halo.groupBy("br", "bc").applyInPandas(sweep, "row long, col long, median double")
-
-
 def point_series(pixels: DataFrame, points: DataFrame) -> DataFrame:
     """Series of the pixels named by points (point, row, col)."""
     return pixels.join(points, CELL)

@@ -18,15 +18,16 @@ def _pix(spark, sf_dir):
 
 
 def _grid(spark, sf_dir):
-    """v_grid: embeddings as one grid, in hundredths so that both engines add the same integers."""
+    """v_grid: embeddings as two grids side by side, in thousandths so that both engines add the same integers. Their columns go on, so that pixels of
+    the two would be neighbours if frames were mixed."""
     e = table(spark, sf_dir, "embeddings")
     g = e.select(F.col("vec_id").alias("row"), F.posexplode("embedding").alias("col", "v"))
-    return g.select("row", F.col("col").cast("long").alias("col"), F.round(F.col("v").cast("double") * 1000).cast("long").alias("value"))
+    return g.select(F.floor(F.col("col") / 32).alias("frame"), "row", F.col("col").cast("long").alias("col"), F.round(F.col("v").cast("double") * 1000).cast("long").alias("value"))
 
 
-_GRID = """(SELECT vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
+_GRID = """(SELECT CAST((i - 1) // 32 AS BIGINT) AS frame, vec_id AS "row", CAST(i - 1 AS BIGINT) AS col, CAST(round(CAST(embedding[i] AS DOUBLE) * 1000) AS BIGINT) AS value FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))"""
 #: Sum of a kernel of sigma 1 over 5 x 5 cells.
-_KERNEL = repr(sum(w for *_, w in R.gauss(1.0, 2)))
+_KERNEL = repr(sum(R.gauss(1.0, 2)) ** 2)
 _PX = "(SELECT \"row\", col, CAST(epoch AS DATE) AS epoch, nullif(coh, 0) AS coh, pha, mag FROM @pixels)"
 
 
@@ -157,108 +158,108 @@ def d30_priority_fill(spark, sf_dir):
 
 @query(f"""SELECT g."row", g.col, round((a.d * a.d + b.d * b.d) ** 0.5, 6) AS gradient FROM {_GRID} g
     JOIN (SELECT "row", col, (coalesce(lead(value) OVER w, value) - coalesce(lag(value) OVER w, value)) / CASE WHEN lead(value) OVER w IS NULL OR lag(value) OVER w IS NULL THEN 1.0 ELSE 2.0 END AS d FROM {_GRID} x WINDOW w AS (PARTITION BY col ORDER BY "row")) a ON a."row" = g."row" AND a.col = g.col
-    JOIN (SELECT "row", col, (coalesce(lead(value) OVER w, value) - coalesce(lag(value) OVER w, value)) / CASE WHEN lead(value) OVER w IS NULL OR lag(value) OVER w IS NULL THEN 1.0 ELSE 2.0 END AS d FROM {_GRID} x WINDOW w AS (PARTITION BY "row" ORDER BY col)) b ON b."row" = g."row" AND b.col = g.col""")
+    JOIN (SELECT "row", col, (coalesce(lead(value) OVER w, value) - coalesce(lag(value) OVER w, value)) / CASE WHEN lead(value) OVER w IS NULL OR lag(value) OVER w IS NULL THEN 1.0 ELSE 2.0 END AS d FROM {_GRID} x WINDOW w AS (PARTITION BY frame, "row" ORDER BY col)) b ON b."row" = g."row" AND b.col = g.col""")
 def f16_gradient(spark, sf_dir):
-    return _r(R.gradient(_grid(spark, sf_dir), [], "value").select("row", "col", "gradient"), "gradient")
+    return _r(R.gradient(_grid(spark, sf_dir), ["frame"], "value").select("row", "col", "gradient"), "gradient")
 
 
 _W = "atan2(sin({0}), cos({0}))"
 
 
-@query(f"""WITH g AS (SELECT "row", col, value / 50.0 AS p FROM {_GRID} x), l AS (SELECT a."row", a.col, {_W.format('b.p - a.p')} + {_W.format('c.p - b.p')} + {_W.format('d.p - c.p')} + {_W.format('a.p - d.p')} AS s FROM g a JOIN g b ON b."row" = a."row" AND b.col = a.col + 1 JOIN g c ON c."row" = a."row" + 1 AND c.col = a.col + 1 JOIN g d ON d."row" = a."row" + 1 AND d.col = a.col)
+@query(f"""WITH g AS (SELECT frame, "row", col, value / 50.0 AS p FROM {_GRID} x), l AS (SELECT a."row", a.col, {_W.format('b.p - a.p')} + {_W.format('c.p - b.p')} + {_W.format('d.p - c.p')} + {_W.format('a.p - d.p')} AS s FROM g a JOIN g b ON b.frame = a.frame AND b."row" = a."row" AND b.col = a.col + 1 JOIN g c ON c.frame = a.frame AND c."row" = a."row" + 1 AND c.col = a.col + 1 JOIN g d ON d.frame = a.frame AND d."row" = a."row" + 1 AND d.col = a.col)
     SELECT "row", col, CAST(round(s / (2 * pi())) AS BIGINT) AS charge FROM l WHERE round(s / (2 * pi())) <> 0""")
 def f17_residues(spark, sf_dir):
-    g = _grid(spark, sf_dir).select("row", "col", (F.col("value") / 50.0).alias("p"))
-    return R.residues(g, [], "p").withColumn("charge", F.col("charge").cast("long"))
+    g = _grid(spark, sf_dir).select("frame", "row", "col", (F.col("value") / 50.0).alias("p"))
+    return R.residues(g, ["frame"], "p").drop("frame").withColumn("charge", F.col("charge").cast("long"))
 
 
-def _around(agg: str, reach: str) -> str:
-    return f"""SELECT a."row", a.col, {agg} FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 {reach} GROUP BY 1, 2"""
+def _around(agg: str, reach: str, h: int = 1) -> str:
+    return f"""SELECT a."row", a.col, {agg} FROM {_GRID} a JOIN {_GRID} b ON b.frame = a.frame AND b."row" BETWEEN a."row" - {h} AND a."row" + {h} AND b.col BETWEEN a.col - {h} AND a.col + {h} {reach} GROUP BY 1, 2"""
 
 
 @query(f"SELECT \"row\", col, round(sqrt(greatest(1 - (vc + vs), 0)), 6) AS coh FROM ({_around('var_pop(cos(b.value / 100.0)) AS vc, var_pop(sin(b.value / 100.0)) AS vs', '')})")
 def f18_variance_coherence(spark, sf_dir):
-    g = _grid(spark, sf_dir).select("row", "col", (F.col("value") / 100.0).alias("p"))
-    return _r(R.phase_variance_coherence(g, [], "p", 3).select("row", "col", "coh"), "coh")
+    g = _grid(spark, sf_dir).select("frame", "row", "col", (F.col("value") / 100.0).alias("p"))
+    return _r(R.phase_variance_coherence(g, ["frame"], "p", 3).select("row", "col", "coh"), "coh")
 
 
 @query(_around("median(b.value) AS median, count(*) AS n", ""))
 def f19_moving_median(spark, sf_dir):
-    return R.moving(_grid(spark, sf_dir), [], "value", "median", 3)
+    return R.moving(_grid(spark, sf_dir), ["frame"], "value", "median", 3).drop("frame")
 
 
-@query(_around("median(b.value) AS median", ""))
+@query(_around("median(b.value) AS median", "", 4))
 def f19_block_median(spark, sf_dir):
-    """The same by blocks with halos, as for large windows."""
-    return R.block_filter(_grid(spark, sf_dir), "value", 3, 64)
+    """A larger window over small blocks, so that most of them have all neighbours."""
+    return R.moving(_grid(spark, sf_dir), ["frame"], "value", "median", 9, block=16).select("row", "col", "median")
 
 
-@query(f"""WITH s AS (SELECT a."row", a.col, b.value AS v, CAST(floor(b.value / 40.0) AS BIGINT) AS k FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 AND abs(a."row" - b."row") + abs(a.col - b.col) <= 1), c AS (SELECT "row", col, k, count(*) AS n FROM s GROUP BY 1, 2, 3),
+@query(f"""WITH s AS (SELECT a."row", a.col, b.value AS v, CAST(floor(b.value / 40.0) AS BIGINT) AS k FROM {_GRID} a JOIN {_GRID} b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 AND abs(a."row" - b."row") + abs(a.col - b.col) <= 1), c AS (SELECT "row", col, k, count(*) AS n FROM s GROUP BY 1, 2, 3),
     t AS (SELECT "row", col, k FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY n DESC, k) AS z FROM c) WHERE z = 1) SELECT s."row", s.col, median(s.v) AS value FROM s JOIN t ON t."row" = s."row" AND t.col = s.col AND abs(s.k - t.k) <= 1 GROUP BY 1, 2""")
 def f20_mode_median(spark, sf_dir):
-    return R.mode_median(_grid(spark, sf_dir), [], "value", 1, 40.0)
+    return R.mode_median(_grid(spark, sf_dir), ["frame"], "value", 1, 40.0).drop("frame")
 
 
-@query(f"""SELECT a."row", a.col, round(sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * b.value) / sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2)), 6) + 0.0 AS smooth FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 WHERE a.value <> 0 AND b.value <> 0 GROUP BY 1, 2""")
+@query(f"""SELECT a."row", a.col, round(sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * b.value) / sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2)), 6) + 0.0 AS smooth FROM {_GRID} a JOIN {_GRID} b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 WHERE a.value <> 0 AND b.value <> 0 GROUP BY 1, 2""")
 def f21_gauss_smooth(spark, sf_dir):
-    return _r(R.gauss_smooth(_grid(spark, sf_dir), [], "value", 1.0, 1).select("row", "col", "smooth"), "smooth")
+    return _r(R.gauss_smooth(_grid(spark, sf_dir), ["frame"], "value", 1.0, 1).select("row", "col", "smooth"), "smooth")
 
 
-@query(f"""WITH g AS (SELECT "row", col, CASE WHEN value % 3 <> 0 THEN value END AS value FROM {_GRID} x), n AS (SELECT a."row", a.col, b.value, row_number() OVER (PARTITION BY a."row", a.col ORDER BY pow(a."row" - b."row", 2) + pow(a.col - b.col, 2), b."row", b.col) AS z FROM g a JOIN g b ON b."row" BETWEEN a."row" - 5 AND a."row" + 5 AND b.col BETWEEN a.col - 5 AND a.col + 5 WHERE a.value IS NULL AND b.value IS NOT NULL) SELECT g."row", g.col, coalesce(g.value, n.value) AS value FROM g LEFT JOIN n ON n."row" = g."row" AND n.col = g.col AND n.z = 1""")
+@query(f"""WITH g AS (SELECT frame, "row", col, CASE WHEN value % 3 <> 0 THEN value END AS value FROM {_GRID} x), n AS (SELECT a."row", a.col, b.value, row_number() OVER (PARTITION BY a."row", a.col ORDER BY pow(a."row" - b."row", 2) + pow(a.col - b.col, 2), b."row", b.col) AS z FROM g a JOIN g b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 5 AND a."row" + 5 AND b.col BETWEEN a.col - 5 AND a.col + 5 WHERE a.value IS NULL AND b.value IS NOT NULL) SELECT g."row", g.col, coalesce(g.value, n.value) AS value FROM g LEFT JOIN n ON n."row" = g."row" AND n.col = g.col AND n.z = 1""")
 def f22_fill_nearest(spark, sf_dir):
     g = _grid(spark, sf_dir).withColumn("value", F.when(F.col("value") % 3 != 0, F.col("value")))
-    return R.fill_nearest(g, [], "value", 2).select("row", "col", "value")
+    return R.fill_nearest(g, ["frame"], "value").select("row", "col", "value")
 
 
-@query(f"""WITH RECURSIVE g AS (SELECT "row", col FROM {_GRID} x WHERE value > 0), r AS (SELECT "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h."row" = r.r2 + d.a AND h.col = r.c2 + d.b)
+@query(f"""WITH RECURSIVE g AS (SELECT frame, "row", col FROM {_GRID} x WHERE value > 0), r AS (SELECT frame, "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r.frame, r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h.frame = r.frame AND h."row" = r.r2 + d.a AND h.col = r.c2 + d.b)
     SELECT "row", col, CAST(min(r2 * 64 + c2) // 64 AS BIGINT) AS label_row, CAST(min(r2 * 64 + c2) % 64 AS BIGINT) AS label_col, count(*) AS size FROM r GROUP BY 1, 2""")
 def f23_islands(spark, sf_dir):
     g = _grid(spark, sf_dir).filter("value > 0")
-    return R.islands(g, []).select("row", "col", F.col("label.row").alias("label_row"), F.col("label.col").alias("label_col"), "size")
+    return R.islands(g, ["frame"]).select("row", "col", F.col("label.row").alias("label_row"), F.col("label.col").alias("label_col"), "size")
 
 
 @query(f"""SELECT g."row", g.col, g.value, round(c.m, 6) AS mean FROM {_GRID} g JOIN (SELECT "row" // 4 AS r, col // 4 AS k, avg(value) AS m FROM {_GRID} x GROUP BY 1, 2) c ON c.r = g."row" // 4 AND c.k = g.col // 4""")
 def f24_resample(spark, sf_dir):
     g = _grid(spark, sf_dir)
-    c = g.groupBy(F.floor(F.col("row") / 4).alias("row"), F.floor(F.col("col") / 4).alias("col")).agg(F.avg("value").alias("mean"))
-    return _r(R.resample(c, g, [], 4).select("row", "col", "value", "mean"), "mean")
+    c = g.groupBy("frame", F.floor(F.col("row") / 4).alias("row"), F.floor(F.col("col") / 4).alias("col")).agg(F.avg("value").alias("mean"))
+    return _r(R.resample(c, g, ["frame"], 4).select("row", "col", "value", "mean"), "mean")
 
 
-_FILLED = """(SELECT "row", col, CASE WHEN value % 3 <> 0 THEN value / 100.0 END AS p FROM {0} x)"""
+_FILLED = """(SELECT frame, "row", col, CASE WHEN value % 3 <> 0 THEN value / 100.0 END AS p FROM {0} x)"""
 
 
 @query(f"""WITH g AS {_FILLED.format(_GRID)}, s AS (SELECT a."row", a.col, atan2(sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * sin(b.p)), sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * cos(b.p))) AS p
-    FROM g a JOIN g b ON b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NULL AND b.p IS NOT NULL GROUP BY 1, 2) SELECT g."row", g.col, round(coalesce(g.p, s.p), 6) + 0.0 AS p FROM g LEFT JOIN s ON s."row" = g."row" AND s.col = g.col""")
+    FROM g a JOIN g b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NULL AND b.p IS NOT NULL GROUP BY 1, 2) SELECT g."row", g.col, round(coalesce(g.p, s.p), 6) + 0.0 AS p FROM g LEFT JOIN s ON s."row" = g."row" AND s.col = g.col""")
 def f22_fill_gauss(spark, sf_dir):
-    g = _grid(spark, sf_dir).select("row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
-    return _r(R.fill_gauss(g, [], "p", 1.0, 2).select("row", "col", "p"), "p")
+    g = _grid(spark, sf_dir).select("frame", "row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
+    return _r(R.fill_gauss(g, ["frame"], "p", 1.0, 2).select("row", "col", "p"), "p")
 
 
 @query(f"""WITH g AS {_FILLED.format(_GRID)}, s AS (SELECT a."row", a.col, a.p, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * cos(b.p)) AS re, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2) * sin(b.p)) AS im, sum(exp(-(pow(a."row" - b."row", 2) + pow(a.col - b.col, 2)) / 2)) AS w
-    FROM g a JOIN g b ON b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NOT NULL AND b.p IS NOT NULL GROUP BY 1, 2, 3), t AS (SELECT "row", col, re / {_KERNEL} + (1 - w / {_KERNEL}) * cos(p) AS re, im / {_KERNEL} + (1 - w / {_KERNEL}) * sin(p) AS im FROM s)
+    FROM g a JOIN g b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 2 AND a."row" + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 WHERE a.p IS NOT NULL AND b.p IS NOT NULL GROUP BY 1, 2, 3), t AS (SELECT "row", col, re / {_KERNEL} + (1 - w / {_KERNEL}) * cos(p) AS re, im / {_KERNEL} + (1 - w / {_KERNEL}) * sin(p) AS im FROM s)
     SELECT "row", col, round(atan2(im, re), 6) + 0.0 AS gauss_pha, round(sqrt(re * re + im * im), 6) AS gauss_coh FROM t""")
 def f21_gauss_phase(spark, sf_dir):
-    g = _grid(spark, sf_dir).select("row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
-    return _r(R.gauss_phase(g, [], "p", 1.0, 2), "gauss_pha", "gauss_coh")
+    g = _grid(spark, sf_dir).select("frame", "row", "col", F.when(F.col("value") % 3 != 0, F.col("value") / 100.0).alias("p"))
+    return _r(R.gauss_phase(g, ["frame"], "p", 1.0, 2).drop("frame"), "gauss_pha", "gauss_coh")
 
 
-@query(f"""SELECT "row", col, median + CASE WHEN abs(value - median) < 50 THEN value - median ELSE 0 END AS filtered FROM (SELECT a."row", a.col, a.value, median(b.value) AS median FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)""")
+@query(f"""SELECT "row", col, median + CASE WHEN abs(value - median) < 50 THEN value - median ELSE 0 END AS filtered FROM (SELECT a."row", a.col, a.value, median(b.value) AS median FROM {_GRID} a JOIN {_GRID} b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)""")
 def f19_despiked(spark, sf_dir):
-    return R.despiked(_grid(spark, sf_dir), [], "value", 3, 50.0).select("row", "col", "filtered")
+    return R.despiked(_grid(spark, sf_dir), ["frame"], "value", 3, 50.0).select("row", "col", "filtered")
 
 
-@query(f"""WITH c AS (SELECT a."row", a.col, CAST(floor(b.value / 40.0) AS BIGINT) AS k, count(*) AS n FROM {_GRID} a JOIN {_GRID} b ON b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)
+@query(f"""WITH c AS (SELECT a."row", a.col, CAST(floor(b.value / 40.0) AS BIGINT) AS k, count(*) AS n FROM {_GRID} a JOIN {_GRID} b ON b.frame = a.frame AND b."row" BETWEEN a."row" - 1 AND a."row" + 1 AND b.col BETWEEN a.col - 1 AND a.col + 1 GROUP BY 1, 2, 3)
     SELECT "row", col, k AS mode FROM (SELECT *, row_number() OVER (PARTITION BY "row", col ORDER BY n DESC, k) AS z FROM c) WHERE z = 1""")
 def f19_moving_mode(spark, sf_dir):
     g = _grid(spark, sf_dir).withColumn("value", F.floor(F.col("value") / 40.0))
-    return R.moving(g, [], "value", "mode", 3).select("row", "col", "mode")
+    return R.moving(g, ["frame"], "value", "mode", 3).select("row", "col", F.col("mode").cast("long").alias("mode"))
 
 
-@query(f"""WITH RECURSIVE g AS (SELECT "row", col, value FROM {_GRID} x WHERE value > 0), r AS (SELECT "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h."row" = r.r2 + d.a AND h.col = r.c2 + d.b),
+@query(f"""WITH RECURSIVE g AS (SELECT frame, "row", col, value FROM {_GRID} x WHERE value > 0), r AS (SELECT frame, "row", col, "row" AS r2, col AS c2 FROM g UNION SELECT r.frame, r."row", r.col, h."row", h.col FROM r JOIN (VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) d(a, b) ON true JOIN g h ON h.frame = r.frame AND h."row" = r.r2 + d.a AND h.col = r.c2 + d.b),
     n AS (SELECT "row", col, count(*) AS size FROM r GROUP BY 1, 2) SELECT x."row", x.col, CASE WHEN n.size >= 9 THEN x.value END AS value FROM {_GRID} x LEFT JOIN n ON n."row" = x."row" AND n.col = x.col""")
 def f23_remove_islands(spark, sf_dir):
     g = _grid(spark, sf_dir).withColumn("value", F.when(F.col("value") > 0, F.col("value")))
-    return R.remove_islands(g, [], "value", R.island_pixels(2_300)).select("row", "col", "value")
+    return R.remove_islands(g, ["frame"], "value", R.island_pixels(2_300)).select("row", "col", "value")
 
 
 @query("""WITH p AS (SELECT *, CAST(epoch AS DATE) AS day, mag / 100 AS hgt FROM @pixels), b AS (SELECT day, regr_slope(pha, hgt) AS slope FROM p GROUP BY day, "row" // 10, col // 10 HAVING abs(corr(hgt, pha)) > 0.3 AND max(hgt) - min(hgt) >= 100), m AS (SELECT day, median(slope) AS s FROM b GROUP BY 1),

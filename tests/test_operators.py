@@ -197,13 +197,6 @@ def test_islands(spark):
     assert sizes == {(0, 0): 3, (0, 4): 4, (3, 0): 2}
 
 
-def test_block_filter_equals_explode(spark):
-    p = spark.createDataFrame([(r, c, float((r * 7 + c * 13) % 11)) for r in range(20) for c in range(9)], "row long, col long, v double")
-    a = sorted(map(tuple, R.block_filter(p, "v", 5, 8).collect()))
-    b = sorted((r.row, r.col, r.median) for r in R.moving(p, [], "v", "median", 5).collect())
-    assert a == b
-
-
 def test_residues_cancel_in_a_smooth_field(spark):
     p = spark.createDataFrame([(r, c, 0.3 * r + 0.2 * c) for r in range(6) for c in range(6)], "row long, col long, p double")
     assert R.residues(p, [], "p").count() == 0

@@ -34,7 +34,7 @@ def test_moving_median_beyond_the_first_rows(spark, tall):
 def test_wide_holes_are_filled_by_the_nearest(spark):
     ok = {(0, 0): 1, (0, 11): 2, (9, 4): 3}
     cells = [("f", r, c, ok.get((r, c))) for r in range(10) for c in range(12)] + [("empty", 0, 0, None)]
-    out = R.fill_nearest(spark.createDataFrame(cells, "frame string, row long, col long, value long"), ["frame"], "value", 2).collect()
+    out = R.fill_nearest(spark.createDataFrame(cells, "frame string, row long, col long, value long"), ["frame"], "value").collect()
     assert len(out) == len(cells)
     for r in out:
         want = min((((r.row - a) ** 2 + (r.col - b) ** 2, a, b), v) for (a, b), v in ok.items())[1]
