@@ -1,6 +1,6 @@
 """Least squares per pixel or frame, as grouped sums of the normal equations and closed-form solutions.
 
-One shuffle with partial sums; nothing leaves code generation except network inversion, which solves small systems in numpy by group.
+One shuffle with partial sums; nothing leaves code generation except network inversion and surfaces, whose matrices are factored in numpy.
 A determinant below ``TINY`` times its scale counts as singular, and the solution is null.
 """
 
@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fringeline.operators.select import with_groups
+
 TINY = 1e-12
 
 
@@ -79,27 +82,67 @@ def surface_terms(degree: int, x: Column, y: Column) -> list[Column]:
     return [F.pow(x, F.lit(i)) * F.pow(y, F.lit(j)) for i in range(degree + 1) for j in range(degree + 1 - i)]
 
 
-def surface_deramp(pixels: DataFrame, by: list[str], value: str, degree: int, scale: float) -> DataFrame:
-    """Subtract a surface of the given degree from each grid; the systems are solved from one row of sums for each."""
-    x, y = F.col("row") / scale, F.col("col") / scale
-    t = surface_terms(degree, x, y)
-    n = len(t)
-    ok = F.col(value).isNotNull()
-    pick = [(i, j) for i in range(n) for j in range(i, n)]
-    s = pixels.groupBy(*by).agg(*[F.sum(F.when(ok, t[i] * t[j])).alias(f"a{i}_{j}") for i, j in pick], *[F.sum(F.when(ok, t[i] * F.col(value))).alias(f"b{i}") for i in range(n)])
+#: Slots in which a group's triangles meet first; the slots' own then meet in one task, a triangle of terms each.
+SLOTS = 256
+
+
+def stable_fit(rows: DataFrame, by: list[str], terms: list[Column], value: Column) -> DataFrame:
+    """(by, coef): least squares on the terms by QR, without normal equations, so that half the digits aren't lost on raw powers.
+
+    Each partition turns its rows into one triangle R of (terms, value) for a group, batch by batch; triangles are stacked and factored again in
+    ``SLOTS`` slots, and theirs once more. Rows with a null value or term take no part; a group whose terms depend on one another gets the solution of least norm.
+    """
+    n = len(terms) + 1
+    kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in by)
+    ok = value.isNotNull()
+    for t in terms:
+        ok = ok & t.isNotNull()
+    flat = rows.filter(ok).select(*by, F.array(*[t.cast("double") for t in terms], value.cast("double")).alias("__r"))
+
+    def triangle(parts: list[np.ndarray]) -> np.ndarray:
+        r = np.linalg.qr(np.concatenate(parts), mode="r")
+        return np.concatenate((r, np.zeros((n - len(r), n)))) if len(r) < n else r
+
+    def first(batches):
+        held: dict[tuple, np.ndarray] = {}
+        slot = TaskContext.get().partitionId() % SLOTS
+
+        def out() -> pd.DataFrame:
+            frame = pd.DataFrame([(*k, slot, r.ravel().tolist()) for k, r in held.items()], columns=[*by, "__slot", "__r"])
+            held.clear()
+            return frame
 
-    def solve(batches):
         for p in batches:
-            a, b = np.zeros((len(p), n, n)), np.stack([p[f"b{i}"].to_numpy(float) for i in range(n)], axis=1)
-            for i, j in pick:
-                a[:, i, j] = a[:, j, i] = p[f"a{i}_{j}"].to_numpy(float)
-            coef = [np.linalg.lstsq(np.nan_to_num(m), np.nan_to_num(v), rcond=None)[0].tolist() for m, v in zip(a, b)]
-            yield pd.concat([p[by].reset_index(drop=True), pd.DataFrame({"__coef": coef})], axis=1)
+            a = np.stack(p["__r"].to_numpy()) if len(p) else np.zeros((0, n))
+            groups = p.groupby(by, sort=False, dropna=False).indices if by else {(): np.arange(len(p))}
+            for k, at in groups.items():
+                k = k if isinstance(k, tuple) else (k,)
+                held[k] = triangle(([held[k]] if k in held else []) + [a[at]])
+            if len(held) > 10_000:
+                yield out()
+        if held:
+            yield out()
+
+    def merged(p: pd.DataFrame) -> pd.DataFrame:
+        r = triangle([np.reshape(x, (n, n)) for x in p["__r"]])
+        return p.iloc[:1].assign(__r=[r.ravel().tolist()])
+
+    def solved(p: pd.DataFrame) -> pd.DataFrame:
+        r = np.reshape(merged(p)["__r"].iloc[0], (n, n))
+        coef = np.linalg.lstsq(r[:, :-1], r[:, -1], rcond=None)[0]
+        return p.iloc[:1][by].assign(coef=[coef.tolist()])
+
+    triangles = flat.mapInPandas(first, f"{kinds}__slot int, __r array<double>")
+    triangles = triangles.groupBy(*by, "__slot").applyInPandas(merged, f"{kinds}__slot int, __r array<double>")
+    return triangles.groupBy(*by).applyInPandas(solved, f"{kinds}coef array<double>")
 
-    kinds = ", ".join(f"{c} {pixels.schema[c].dataType.simpleString()}" for c in by)
-    solved = s.mapInPandas(solve, f"{kinds}, __coef array<double>")
-    surface = sum((F.get("__coef", F.lit(k)) * t[k] for k in range(1, n)), F.get("__coef", F.lit(0)) * t[0])
-    return pixels.join(solved, by).withColumn("deramped", F.col(value) - surface).drop("__coef")
+
+def surface_deramp(pixels: DataFrame, by: list[str], value: str, degree: int, scale: float) -> DataFrame:
+    """Subtract a surface of the given degree from each grid."""
+    t = surface_terms(degree, F.col("row") / scale, F.col("col") / scale)
+    solved = stable_fit(pixels, by, t, F.col(value)).withColumnRenamed("coef", "__coef")
+    surface = sum((F.get("__coef", F.lit(k)) * t[k] for k in range(1, len(t))), F.get("__coef", F.lit(0)) * t[0])
+    return with_groups(pixels, solved, by).withColumn("deramped", F.col(value) - surface).drop("__coef")
 
 
 def velocity(series: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -132,12 +175,16 @@ def dilution(look: DataFrame, by: list[str]) -> DataFrame:
 
 
 def seasonal(series: DataFrame, by: list[str], value: str, std: str | None = None) -> DataFrame:
-    """Constant, rate, sine and cosine by weighted least squares; 4 x 4 systems are solved from one row of sums for each group."""
+    """Constant, rate, sine and cosine by weighted least squares; 4 x 4 systems are solved from one row of sums for each group. Time is counted from the
+    middle of all epochs in the sums, which keeps them well conditioned, and from 2000 in the result."""
     t = F.datediff("epoch", F.lit("2000-01-01").cast("date")) / 365.25
-    g = [F.lit(1.0), t, F.sin(2 * F.pi() * t), F.cos(2 * F.pi() * t)]
+    middle = F.broadcast(series.agg(F.coalesce(F.avg(t), F.lit(0.0)).alias("__t0")))  # one row
+    series = series.crossJoin(middle)
+    g = [F.lit(1.0), t - F.col("__t0"), F.sin(2 * F.pi() * t), F.cos(2 * F.pi() * t)]
     w = F.lit(1.0) if std is None else 1 / (F.col(std) * F.col(std))
     pick = [(i, j) for i in range(4) for j in range(i, 4)]
-    s = series.groupBy(*by).agg(*[F.sum(w * g[i] * g[j]).alias(f"a{i}{j}") for i, j in pick], *[F.sum(w * g[i] * F.col(value)).alias(f"b{i}") for i in range(4)])
+    ok = F.col(value).isNotNull() & w.isNotNull()
+    s = series.filter(ok).groupBy(*by).agg(*[F.sum(w * g[i] * g[j]).alias(f"a{i}{j}") for i, j in pick], *[F.sum(w * g[i] * F.col(value)).alias(f"b{i}") for i in range(4)], F.first("__t0").alias("__t0"))
 
     def solve(batches):
         for p in batches:
@@ -148,74 +195,106 @@ def seasonal(series: DataFrame, by: list[str], value: str, std: str | None = Non
             good = np.isfinite(a).all(axis=(1, 2)) & (np.linalg.cond(np.nan_to_num(a)) < 1e12)
             if good.any():
                 x[good] = np.linalg.solve(a[good], b[good][..., None])[..., 0]
+            x[:, 0] -= x[:, 1] * p["__t0"].to_numpy(float)
             yield pd.concat([p[by].reset_index(drop=True), pd.DataFrame(x, columns=["const", "rate", "sin", "cos"])], axis=1)
 
     kinds = ", ".join(f"{c} {series.schema[c].dataType.simpleString()}" for c in by)
     return s.mapInPandas(solve, f"{kinds}, const double, rate double, sin double, cos double")
 
 
+def _without(a: np.ndarray, inverse: np.ndarray, x: np.ndarray, rest: np.ndarray, dropped: np.ndarray) -> np.ndarray:
+    """Solutions of pixels (columns of ``x``) without their dropped pairs, by downdates of the common solution; NaN where the rest ties no longer all.
+
+    ``rest`` holds the residuals, ``dropped`` (pairs, pixels) the pairs left out. Pixels that drop equally many are solved together.
+    """
+    out = x.copy()
+    many = dropped.sum(axis=0)
+    for k in np.unique(many[many > 0]).tolist():
+        own = np.flatnonzero(many == k)
+        pairs = np.nonzero(dropped[:, own].T)[1].reshape(len(own), k)
+        rows = a[pairs]  # pixels, dropped pairs, unknowns
+        back = rows @ inverse
+        left = np.eye(k) - back @ rows.transpose(0, 2, 1)
+        sound = np.linalg.eigvalsh(left)[:, 0] > 1e-9
+        r = rest[pairs, own[:, None]]
+        step = np.full((len(own), a.shape[1]), np.nan)
+        if sound.any():
+            step[sound] = (back[sound].transpose(0, 2, 1) @ np.linalg.solve(left[sound], r[sound][..., None]))[..., 0]
+        out[:, own] = x[:, own] - step.T
+    return out
+
+
 def invert_network(pairs: DataFrame, by: list[str], outlier: float = 0.8 * np.pi, blocks: int | None = None) -> DataFrame:
     """pairs (by, epoch1, epoch2, value) -> (by, epoch, value): series from a network by least squares, first epoch 0.
 
-    Pairs whose residual exceeds ``outlier`` are dropped and the rest is solved again; epochs that the network doesn't tie
-    are null. Pixels are dealt to ``blocks`` by hash (by default 16 for each shuffle partition); in a block each distinct network is factored
-    once and solves all its pixels together, and only pixels with outliers are solved on their own.
+    Pairs whose residual exceeds ``outlier`` are dropped and the rest is solved again; epochs that the network doesn't tie are null. A pixel's
+    pairs become one row, and the epochs of its pairs that have a value one number, the network. Pixels are dealt to ``blocks`` by hash (by default
+    16 for each shuffle partition); in a block each network is factored once and solves all its pixels together, as columns; dropped pairs are taken
+    out of the common solution.
     """
-    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in by)
+    kinds = "".join(f"{c} {pairs.schema[c].dataType.simpleString()}, " for c in by)
     blocks = blocks or 16 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-    def solved(a: np.ndarray, d: np.ndarray) -> np.ndarray | None:
-        """Solutions (epochs but the first, pixels) of one network."""
-        return np.linalg.lstsq(a, d, rcond=None)[0] if len(a) and np.linalg.matrix_rank(a) == a.shape[1] else None
+    day = lambda c: F.unix_date(F.col(c))
+    found = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    rows = pairs.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(day("epoch1").alias("a"), day("epoch2").alias("b"), found.alias("v")))).alias("__p"))
+    net = F.transform("__p", lambda p: F.struct(p["a"], p["b"], p["v"].isNotNull()))
+    rows = rows.select(*by, F.transform("__p", lambda p: p["a"]).alias("__a"), F.transform("__p", lambda p: p["b"]).alias("__b"), F.transform("__p", lambda p: F.coalesce(p["v"], F.lit(0.0))).alias("__v"), F.transform("__p", lambda p: p["v"].isNotNull()).alias("__k"), F.xxhash64(net).alias("__net"), F.pmod(F.xxhash64(*by), F.lit(blocks)).cast("int").alias("__block"))
+
+    def solved(one: np.ndarray, two: np.ndarray, keep: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Epochs of one network, and the series (pixels, epochs) of its pixels' values (pixels, pairs)."""
+        epochs, at = np.unique(np.concatenate((one, two)), return_inverse=True)
+        a = np.zeros((len(one), len(epochs)))
+        a[np.arange(len(one)), at[len(one) :]] += 1
+        a[np.arange(len(one)), at[: len(one)]] -= 1
+        a, d = a[keep, 1:], d[:, keep].T
+        x = np.full((len(epochs), d.shape[1]), np.nan)
+        if len(a) >= a.shape[1]:
+            q, r = np.linalg.qr(a)
+            # entries are 0, 1 and -1: a network that leaves an epoch untied has a pivot of rounding size
+            if np.abs(np.diag(r)).min(initial=1.0) > 1e-9:
+                inverse = np.linalg.inv(r)
+                sol = inverse @ (q.T @ d)
+                rest = d - a @ sol
+                dropped = np.abs(rest) > outlier
+                x[0], x[1:] = 0.0, _without(a, inverse @ inverse.T, sol, rest, dropped) if dropped.any() else sol
+        return epochs, x.T
 
     def invert(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values([*by, "epoch1", "epoch2"], kind="stable")
-        value = p["value"].to_numpy(float)
-        pixel = p.groupby(by, sort=False, dropna=False).ngroup().to_numpy()
-        starts = np.flatnonzero(np.diff(pixel, prepend=-1))
-        ends = [*starts[1:].tolist(), len(p)]
-        first, second = p["epoch1"].to_numpy(), p["epoch2"].to_numpy()
-        networks: dict[tuple, list[int]] = {}
-        for k, (s, e) in enumerate(zip(starts.tolist(), ends)):
-            networks.setdefault((tuple(first[s:e]), tuple(second[s:e]), tuple(np.isfinite(value[s:e]))), []).append(k)
-        out = []
-        for (one, two, finite), pixels in networks.items():
-            epochs = np.unique(np.array([*one, *two]))
-            a = np.zeros((len(one), len(epochs)))
-            a[np.arange(len(one)), np.searchsorted(epochs, np.array(two))] += 1
-            a[np.arange(len(one)), np.searchsorted(epochs, np.array(one))] -= 1
-            a, keep = a[:, 1:], np.array(finite)
-            d = np.stack([value[starts[k] : ends[k]] for k in pixels], axis=1)
-            x = np.full((len(epochs), len(pixels)), np.nan)
-            sol = solved(a[keep], d[keep])
-            if sol is not None:
-                x[0], x[1:] = 0.0, sol
-                worse = keep[:, None] & (np.abs(a @ sol - np.nan_to_num(d)) > outlier)
-                for c in np.flatnonzero(worse.any(axis=0)):
-                    own = keep & ~worse[:, c]
-                    again = solved(a[own], d[own, c])
-                    x[1:, c] = x[1:, c] if again is None else again
-            rows = p.iloc[starts[pixels]][by]
-            out.append(pd.DataFrame({**{c: np.repeat(rows[c].to_numpy(), len(epochs)) for c in by}, "epoch": np.tile(epochs, len(pixels)), "value": x.T.ravel()}))
-        return pd.concat(out)
-
-    block = F.pmod(F.xxhash64(*by), F.lit(blocks)).cast("int").alias("__block")
-    found = pairs.select(*by, "epoch1", "epoch2", "value", block).groupBy("__block").applyInPandas(lambda p: invert(p.drop(columns="__block")), f"{kinds}, epoch date, value double")
-    return found.withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
-
-
-def huber_slope(pixels: DataFrame, by: list[str], x: str, y: str, delta: float = 1.345, rounds: int = 20) -> DataFrame:
-    """Robust slope and intercept of each block by reweighted least squares; blocks are bounded by the caller's keys."""
-    kinds = ", ".join(f"{c} {pixels.schema[c].dataType.simpleString()}" for c in by)
-
-    def fit(p: pd.DataFrame) -> pd.DataFrame:
-        a, d = np.stack([p[x].to_numpy(float), np.ones(len(p))], axis=1), p[y].to_numpy(float)
-        w, sol = np.ones(len(p)), np.zeros(2)
-        for _ in range(rounds):
-            sol = np.linalg.lstsq(a * w[:, None], d * w, rcond=None)[0]
-            r = d - a @ sol
-            s = np.median(np.abs(r)) / 0.6745 or 1.0
-            w = np.sqrt(np.minimum(1.0, delta * s / np.maximum(np.abs(r), 1e-12)))
-        return pd.DataFrame({**{c: [p[c].iloc[0]] for c in by}, "slope": [sol[0]], "intercept": [sol[1]]})
-
-    return pixels.groupBy(*by).applyInPandas(fit, f"{kinds}, slope double, intercept double")
+        one, two, keep, value = (p[c].to_numpy() for c in ("__a", "__b", "__k", "__v"))
+        order, epochs, series = [], [], []
+        for at in p.groupby("__net", sort=False).indices.values():
+            e, x = solved(one[at[0]], two[at[0]], keep[at[0]].astype(bool), np.stack(value[at]))
+            order.append(at)
+            epochs += [e] * len(at)
+            series += list(x)
+        return p[by].iloc[np.concatenate(order)].assign(__e=epochs, __x=series)
+
+    out = rows.groupBy("__block").applyInPandas(invert, f"{kinds}__e array<int>, __x array<double>")
+    out = out.select(*by, F.inline(F.arrays_zip(F.col("__e").alias("e"), F.col("__x").alias("x"))))
+    return out.select(*by, F.date_from_unix_date("e").alias("epoch"), F.nanvl("x", F.lit(None).cast("double")).alias("value"))
+
+
+def huber_slope(pixels: DataFrame, by: list[str], x: str, y: str, delta: float = 1.345, rounds: int = 12) -> DataFrame:
+    """(by, slope, intercept, n): robust line of each block by reweighted least squares; null where x doesn't vary. Blocks are bounded by the caller's keys.
+
+    A round is two windows over the blocks, the weighted sums and the median of the residuals that scales the next weights; all rounds share the
+    one shuffle by block.
+    """
+    w, own = Window.partitionBy(*by), F.col
+    rows = pixels.select(*by, own(x).cast("double").alias("__x"), own(y).cast("double").alias("__y")).filter("__x is not null and __y is not null")
+    # about the means, so that sums of squares keep their digits
+    rows = rows.withColumns({"__mx": F.avg("__x").over(w), "__my": F.avg("__y").over(w)})
+    rows = rows.select(*by, "__mx", "__my", (own("__x") - own("__mx")).alias("__x"), (own("__y") - own("__my")).alias("__y"), F.lit(1.0).alias("__w"))
+    for i in range(rounds):
+        total = lambda e: F.sum(own("__w") * e).over(w)
+        rows = rows.withColumns({"__s": F.sum("__w").over(w), "__sx": total(own("__x")), "__sy": total(own("__y")), "__xx": total(own("__x") * own("__x")), "__xy": total(own("__x") * own("__y"))})
+        det = own("__s") * own("__xx") - own("__sx") * own("__sx")
+        slope = F.when(det > TINY * own("__s") * own("__xx"), (own("__s") * own("__xy") - own("__sx") * own("__sy")) / det)
+        rows = rows.select(*by, "__mx", "__my", "__x", "__y", "__s", "__sx", "__sy", slope.alias("slope"))
+        rows = rows.withColumn("__c", (own("__sy") - own("slope") * own("__sx")) / own("__s"))
+        if i + 1 < rounds:
+            rows = rows.withColumn("__r", F.abs(own("__y") - own("__c") - own("slope") * own("__x")))
+            rows = rows.withColumn("__m", F.median("__r").over(w) / 0.6745)
+            scale = F.when(own("__m") > 0, own("__m")).otherwise(F.lit(1.0))
+            rows = rows.select(*by, "__mx", "__my", "__x", "__y", F.least(F.lit(1.0), delta * scale / F.greatest("__r", F.lit(1e-12))).alias("__w"))
+    return rows.groupBy(*by).agg(F.first("slope").alias("slope"), F.first(own("__my") + own("__c") - own("slope") * own("__mx")).alias("intercept"), F.count("*").alias("n"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from fringeline.functions.scalar import wrap
 from fringeline.operators import sliding
+from fringeline.operators.lsq import huber_slope
 from fringeline.operators.select import MOST, medians, with_groups
 from fringeline.storage import written
 
@@ -156,26 +157,36 @@ def grow_mosaic(grids: DataFrame, places: list[int], tile: int = 1024, most: int
     return current(list(last)).drop("tile") if last else grids.select(*CELL, "value", "place").limit(0)
 
 
-def height_correction(pixels: DataFrame, by: list[str], block: int, least: float = 0.001) -> DataFrame:
-    """Per frame: the median of its blocks' slopes of phase on height, the phase's deviation before and after taking it away (wrapped), and
-    whether the correction is kept. It is dropped below ``least`` radians a metre, and where the deviation doesn't fall."""
-    slope = height_correlation(pixels, by, block).groupBy(*by).agg(F.median("slope").alias("slope"))
+def height_correction(pixels: DataFrame, by: list[str], block: int, least: float = 0.001, min_height: float = 200.0, min_coh: float = 0.4, coh: str | None = None) -> DataFrame:
+    """Per frame: the median of its blocks' robust slopes of phase on height, the phase's deviation before and after taking it away (wrapped), and
+    whether the correction is kept. Blocks see the pixels above ``min_height`` and, where ``coh`` names a smoothed coherence, above ``min_coh``. The correction
+    is dropped below ``least`` radians a metre, and where the deviation doesn't fall."""
+    seen = F.col("hgt") > min_height
+    seen = seen & (F.col(coh) > min_coh) if coh else seen
+    slope = height_correlation(pixels.filter(seen), by, block, robust=True).groupBy(*by).agg(F.median("slope").alias("slope"))
     after = wrap(F.col("pha") - F.col("slope") * F.col("hgt"))
-    s = pixels.join(slope, by).groupBy(*by, "slope").agg(F.stddev_pop("pha").alias("std_before"), F.stddev_pop(after).alias("std_after"))
+    s = with_groups(pixels, slope, by).groupBy(*by, "slope").agg(F.stddev_pop("pha").alias("std_before"), F.stddev_pop(after).alias("std_after"))
     return s.withColumn("kept", (F.abs("slope") >= least) & (F.col("std_after") < F.col("std_before")))
 
 
-def height_corrected(pixels: DataFrame, by: list[str], block: int) -> DataFrame:
+def height_corrected(pixels: DataFrame, by: list[str], block: int, **masks) -> DataFrame:
     """``pixels`` with the kept corrections taken from ``pha``."""
-    kept = height_correction(pixels, by, block).filter("kept").select(*by, F.col("slope").alias("__slope"))
+    kept = height_correction(pixels, by, block, **masks).filter("kept").select(*by, F.col("slope").alias("__slope"))
     return pixels.join(kept, by, "left").withColumn("pha", F.when(F.col("__slope").isNotNull(), wrap(F.col("pha") - F.col("__slope") * F.col("hgt"))).otherwise(F.col("pha"))).drop("__slope")
 
 
-def height_correlation(pixels: DataFrame, by: list[str], block: int, min_r: float = 0.3, min_relief: float = 100.0) -> DataFrame:
-    """Slope of phase on height in each block that is correlated and steep enough; the frame's value is their median."""
-    g = pixels.groupBy(*by, F.floor(F.col("row") / block).alias("brow"), F.floor(F.col("col") / block).alias("bcol"))
-    s = g.agg(F.corr("hgt", "pha").alias("r"), F.regr_slope("pha", "hgt").alias("slope"), (F.max("hgt") - F.min("hgt")).alias("relief"))
-    return s.filter((F.abs("r") > min_r) & (F.col("relief") >= min_relief))
+def height_correlation(pixels: DataFrame, by: list[str], block: int, min_r: float = 0.3, min_relief: float = 100.0, robust: bool = False) -> DataFrame:
+    """Slope of phase on height in each block that is correlated and steep enough, by least squares or by a fit that outliers don't draw; the frame's
+    value is their median."""
+    key = [*by, "brow", "bcol"]
+    rows = pixels.withColumns({"brow": F.floor(F.col("row") / block), "bcol": F.floor(F.col("col") / block)})
+    s = rows.groupBy(*key).agg(F.corr("hgt", "pha").alias("r"), F.regr_slope("pha", "hgt").alias("slope"), (F.max("hgt") - F.min("hgt")).alias("relief"))
+    s = s.filter((F.abs("r") > min_r) & (F.col("relief") >= min_relief))
+    if not robust:
+        return s
+    # only such blocks are fitted; the join's shuffle by block serves all rounds of the fit
+    fitted = huber_slope(rows.join(s.select(*key), key, "left_semi"), key, "hgt", "pha").select(*key, "slope")
+    return s.drop("slope").join(fitted, key)
 
 
 def correction_benefit(pixels: DataFrame, by: list[str], before: str, after: str) -> DataFrame:

@@ -262,12 +262,29 @@ def f23_remove_islands(spark, sf_dir):
     return R.remove_islands(g, ["frame"], "value", R.island_pixels(2_300)).select("row", "col", "value")
 
 
-@query("""WITH p AS (SELECT *, CAST(epoch AS DATE) AS day, mag / 100 AS hgt FROM @pixels), b AS (SELECT day, regr_slope(pha, hgt) AS slope FROM p GROUP BY day, "row" // 10, col // 10 HAVING abs(corr(hgt, pha)) > 0.3 AND max(hgt) - min(hgt) >= 100), m AS (SELECT day, median(slope) AS s FROM b GROUP BY 1),
+def _huber_sql(rows: str, key: str, rounds: int = 12) -> str:
+    """Text of (key, slope, intercept) of rows (key, x, y): a subquery for each round of weights."""
+    over = f"OVER (PARTITION BY {key})"
+    t = f"(SELECT {key}, mx, my, x - mx AS x, y - my AS y, 1e0 AS w FROM (SELECT {key}, x, y, avg(x) {over} AS mx, avg(y) {over} AS my FROM {rows}))"
+    for i in range(rounds):
+        t = f"(SELECT *, sum(w) {over} AS s, sum(w * x) {over} AS sx, sum(w * y) {over} AS sy, sum(w * x * x) {over} AS xx, sum(w * x * y) {over} AS xy FROM {t})"
+        t = f"(SELECT {key}, mx, my, x, y, s, sx, sy, CASE WHEN s * xx - sx * sx > 1e-12 * s * xx THEN (s * xy - sx * sy) / (s * xx - sx * sx) END AS slope FROM {t})"
+        t = f"(SELECT *, (sy - slope * sx) / s AS c FROM {t})"
+        if i + 1 < rounds:
+            t = f"(SELECT *, abs(y - c - slope * x) AS r FROM {t})"
+            t = f"(SELECT *, median(r) {over} / 0.6745 AS m FROM {t})"
+            t = f"(SELECT {key}, mx, my, x, y, least(1e0, 1.345 * CASE WHEN m > 0 THEN m ELSE 1e0 END / greatest(r, 1e-12)) AS w FROM {t})"
+    return f"(SELECT {key}, any_value(slope) AS slope, any_value(my + c - slope * mx) AS intercept FROM {t} GROUP BY {key})"
+
+
+@query(f"""WITH p AS (SELECT *, CAST(epoch AS DATE) AS day, mag / 100 AS hgt, "row" // 10 AS br, col // 10 AS bc FROM @pixels), u AS (SELECT day, br, bc, hgt AS x, pha AS y FROM p WHERE hgt > 250 AND coh > 0.03),
+    b AS (SELECT day, br, bc FROM u GROUP BY 1, 2, 3 HAVING abs(corr(x, y)) > 0.3 AND max(x) - min(x) >= 100), h AS {_huber_sql("u", "day, br, bc")},
+    m AS (SELECT day, median(slope) AS s FROM b JOIN h USING (day, br, bc) GROUP BY 1),
     q AS (SELECT day, s, stddev_pop(pha) AS before, stddev_pop(atan2(sin(pha - s * hgt), cos(pha - s * hgt))) AS after FROM p JOIN m USING (day) GROUP BY 1, 2)
     SELECT CAST(day AS VARCHAR) AS epoch, round(s, 6) AS slope, round(before, 5) AS std_before, round(after, 5) AS std_after, abs(s) >= 0.001 AND after < before AS kept FROM q""")
 def e24_height_correction(spark, sf_dir):
     p = _pix(spark, sf_dir).withColumn("hgt", F.col("mag") / 100)
-    h = R.height_correction(p, ["epoch"], 10).withColumn("epoch", F.col("epoch").cast("string"))
+    h = R.height_correction(p, ["epoch"], 10, min_height=250.0, min_coh=0.03, coh="coh").withColumn("epoch", F.col("epoch").cast("string"))
     return _r(_r(h, "slope"), "std_before", "std_after", digits=5)
 
 
@@ -312,6 +329,12 @@ def e25_surface_deramp(spark, sf_dir):
     return _r(L.surface_deramp(p, ["frame"], "v", 2, 40.0).select("frame", "row", "col", "deramped"), "deramped", digits=5)
 
 
+@query()
+def e25_cubic_deramp(spark, sf_dir):
+    p = _pix(spark, sf_dir).groupBy(F.year("epoch").cast("long").alias("frame"), "row", "col").agg(F.avg("pha").alias("v"))
+    return _r(L.surface_deramp(p, ["frame"], "v", 3, 40.0).select("frame", "row", "col", "deramped"), "deramped", digits=5)
+
+
 @query("""WITH g AS (SELECT "row", col, vel, cos(radians(inc)) AS u, -sin(radians(inc)) * cos(radians(heading)) AS e FROM @look), s AS (SELECT "row", col, sum(u * u) AS a, sum(u * e) AS b, sum(e * e) AS c, sum(u * vel) AS p, sum(e * vel) AS q, count(*) AS n FROM g GROUP BY 1, 2)
     SELECT "row", col, CASE WHEN n >= 3 THEN round((p * c - q * b) / (a * c - b * b), 5) END AS up, CASE WHEN n >= 3 THEN round((q * a - p * b) / (a * c - b * b), 5) END AS east, CASE WHEN n >= 3 THEN round(sqrt(c / (a * c - b * b)), 5) END AS up_std, CASE WHEN n >= 3 THEN round(sqrt(a / (a * c - b * b)), 5) END AS east_std, n FROM s""")
 def e26_up_east(spark, sf_dir):
@@ -373,10 +396,11 @@ def e33_electron_slope(spark, sf_dir):
     return _r(s.withColumn("epoch", F.col("epoch").cast("string")), "slope", "intercept")
 
 
-@query()
+@query(f"""WITH u AS (SELECT epoch, "row" // 10 AS block, mag / 1000 AS x, pha AS y FROM {_PX} p), h AS {_huber_sql("u", "epoch, block")}
+    SELECT CAST(epoch AS VARCHAR) AS epoch, CAST(block AS BIGINT) AS block, round(slope, 4) + 0.0 AS slope, round(intercept, 4) + 0.0 AS intercept FROM h""")
 def e24_huber_slope(spark, sf_dir):
     p = _pix(spark, sf_dir).select("epoch", F.floor(F.col("row") / 10).alias("block"), (F.col("mag") / 1000).alias("hgt"), "pha")
-    return _r(L.huber_slope(p, ["epoch", "block"], "hgt", "pha").withColumn("epoch", F.col("epoch").cast("string")), "slope", "intercept", digits=4)
+    return _r(L.huber_slope(p, ["epoch", "block"], "hgt", "pha").drop("n").withColumn("epoch", F.col("epoch").cast("string")), "slope", "intercept", digits=4)
 
 
 @query(f"""WITH t AS (SELECT * FROM (VALUES ('a', DATE '1995-03-10', DATE '1996-08-20'), ('b', DATE '1996-01-01', DATE '1998-12-31')) v(period, start, stop))
