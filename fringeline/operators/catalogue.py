@@ -46,8 +46,13 @@ def frame_files(frame_bursts: DataFrame, file_bursts: DataFrame, files: DataFram
 
 
 def acquired_bursts(frame_bursts: DataFrame, file_bursts: DataFrame, files: DataFrame) -> DataFrame:
-    """(polyid, acq_date, bid): bursts of a frame acquired on a date."""
-    return frame_bursts.join(file_bursts.select("fid", "bid"), "bid").join(files.select("fid", "acq_date"), "fid").select("polyid", "acq_date", "bid").distinct()
+    """(polyid, acq_date, bid): bursts of a frame acquired on a date. A burst's dates are made distinct before its frames multiply them."""
+    return frame_bursts.select("polyid", "bid").distinct().join(burst_dates(file_bursts, files), "bid").select("polyid", "acq_date", "bid")
+
+
+def burst_dates(file_bursts: DataFrame, files: DataFrame) -> DataFrame:
+    """(bid, acq_date), once each."""
+    return file_bursts.select("fid", "bid").join(files.select("fid", "acq_date"), "fid").select("bid", "acq_date").distinct()
 
 
 def files_near_midnight(files: DataFrame, reference: DataFrame, margin_minutes: int = 30) -> DataFrame:
@@ -69,12 +74,14 @@ def missing_bursts(frame_bursts: DataFrame, acquired: DataFrame) -> DataFrame:
     return dates.join(frame_bursts, "polyid").join(acquired, ["polyid", "acq_date", "bid"], "left_anti").select("polyid", "acq_date", "bid")
 
 
-def completeness(frame_bursts: DataFrame, bursts: DataFrame, acquired: DataFrame) -> DataFrame:
-    """Per frame and date: expected, acquired, missing, and whether a swath lacks a burst between present ones."""
+def completeness(frame_bursts: DataFrame, bursts: DataFrame, file_bursts: DataFrame, files: DataFrame) -> DataFrame:
+    """Per frame and date: expected, acquired, missing, and whether a swath lacks a burst between present ones. Frames' bursts are listed once each."""
     order = F.row_number().over(Window.partitionBy("polyid", "iw").orderBy("tanx", "bid"))
     ranked = frame_bursts.join(bursts.select("bid", "iw", "tanx"), "bid").withColumn("rank", order)
     # ranks run without gaps, so a hole shows as a present range wider than the number present
-    swath = acquired.join(ranked.select("polyid", "bid", "iw", "rank"), ["polyid", "bid"]).groupBy("polyid", "acq_date", "iw").agg(
+    # groups are a few rows: one shuffle by frame and date serves both sums, where partial ones would only cost
+    seen = ranked.select("polyid", "bid", "iw", "rank").join(burst_dates(file_bursts, files), "bid").repartition("polyid", "acq_date")
+    swath = seen.groupBy("polyid", "acq_date", "iw").agg(
         F.count("*").alias("acquired"), (F.max("rank") - F.min("rank") + 1 > F.count("*")).alias("hole")
     )
     total = swath.groupBy("polyid", "acq_date").agg(F.sum("acquired").alias("acquired"), F.bool_or("hole").alias("interior_missing"))

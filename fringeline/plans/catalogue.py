@@ -147,7 +147,7 @@ def d05_acquired_bursts(spark, sf_dir):
     SELECT polyid, CAST(acq_date AS VARCHAR) AS acq_date, CAST(sum(expected) AS BIGINT) AS expected, CAST(sum(acquired) AS BIGINT) AS acquired, CAST(sum(expected) - sum(acquired) AS BIGINT) AS missing, bool_or(hole) AS interior_missing FROM s GROUP BY 1, 2""")
 def d14_missing_bursts(spark, sf_dir):
     fb, lb, fi, b = _v(spark, sf_dir, "frame_bursts", "file_bursts", "files", "bursts")
-    return C.completeness(fb, b, C.acquired_bursts(fb, lb, fi)).select("polyid", _day(), "expected", "acquired", "missing", "interior_missing")
+    return C.completeness(fb, b, lb, fi).select("polyid", _day(), "expected", "acquired", "missing", "interior_missing")
 
 
 @query("""WITH k AS (SELECT DISTINCT bid FROM @frame_bursts WHERE bid % 3 <> 1) SELECT b.bid, CASE WHEN EXISTS (SELECT 1 FROM k WHERE k.bid = b.bid) THEN b.bid WHEN EXISTS (SELECT 1 FROM k WHERE k.bid = b.bid + 1) THEN b.bid + 1 ELSE b.bid - 1 END AS matched
