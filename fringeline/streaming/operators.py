@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fringeline.operators.spatial import quake_frames
 from fringeline.storage import shared_folder
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Epochs of a frame that a new one is paired with.
 LAST = 3
 #: Event time for which a frame's last epochs are kept: five years.
@@ -28,10 +31,19 @@ def replay(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataF
 
 
 def run_to_end(stream: DataFrame) -> DataFrame:
-    """Run an append stream over what is there, to Parquet in the shared folder, and read the result."""
+    """Run an append stream over what is there, to Parquet in the shared folder, and read the result. State is kept by RocksDB, which operators with
+    lists and timers ask for; the session's own choice of a store is set again once the query has started."""
     spark = stream.sparkSession
+    own = spark.conf.get(STORE, None)
+    spark.conf.set(STORE, ROCKS)
     base = f"{shared_folder(spark)}/streams/{uuid.uuid4().hex}"
-    query = stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    try:
+        query = stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    finally:
+        if own is None:
+            spark.conf.unset(STORE)
+        else:
+            spark.conf.set(STORE, own)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/out")
 
@@ -55,27 +67,45 @@ def coseismic_triggers(events: DataFrame, acquisitions: DataFrame, within: str,
     return e.join(a, (F.col("frame") == F.col("a_frame")) & later).select("frame", "id", "ts", "acq_ts")
 
 
-def _pair_up(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:
-        state.remove()
-        return
-    last = list(state.get[0]) if state.exists else []
-    new = sorted({d for b in batches for d in b["epoch"]})
-    rows = []
-    for day in new:
-        if last and day.isoformat() <= last[-1]:
-            continue  # late or repeated
-        rows += [(key[0], pd.Timestamp(d).date(), day) for d in last]
-        last = [*last, day.isoformat()][-LAST:]
-    state.update((last,))
-    state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs(), 0) + KEPT_MS)
-    yield pd.DataFrame(rows, columns=["frame", "epoch1", "epoch2"])
+class _LastEpochs(StatefulProcessor):
+    """A frame's last epochs as a list, and the event time at which they go."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getListState("last", "epoch string")
+        self.until = handle.getValueState("until", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last = [e for (e,) in self.last.get()]
+        out = []
+        for day in sorted({d for p in rows for d in p["epoch"]}):
+            if last and day.isoformat() <= last[-1]:
+                continue  # late or repeated
+            out += [(key[0], dt.date.fromisoformat(d), day) for d in last]
+            last = [*last, day.isoformat()][-LAST:]
+        self.last.put([(e,) for e in last])
+        # one timer a frame: it moves on with every batch that has the frame
+        if self.until.exists():
+            self.handle.deleteTimer(self.until.get()[0])
+        until = max(timerValues.getCurrentWatermarkInMs(), 0) + KEPT_MS
+        self.handle.registerTimer(until)
+        self.until.update((until,))
+        yield pd.DataFrame(out, columns=["frame", "epoch1", "epoch2"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        self.until.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def incremental_network(epochs: DataFrame, delay: str) -> DataFrame:
-    """epochs (frame, epoch, ts): each new epoch of a frame paired with the last three; the state is three dates a frame. Epochs that come
-    later than the watermark allows are left out, and a frame's state goes once it has seen none for KEPT_MS of event time."""
-    return epochs.withWatermark("ts", delay).groupBy("frame").applyInPandasWithState(_pair_up, "frame long, epoch1 date, epoch2 date", "last array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    """epochs (frame, epoch, ts): each new epoch of a frame paired with the last three; the state is three dates a frame, in the RocksDB store (see
+    run_to_end). Epochs that come later than the watermark allows are left out, and a frame's state goes, by an event-time timer, once it has seen none
+    for KEPT_MS of event time. (A time to live would count the wall clock, and isn't allowed beside event time.)"""
+    return epochs.withWatermark("ts", delay).groupBy("frame").transformWithStateInPandas(_LastEpochs(), "frame long, epoch1 date, epoch2 date", "Append", "EventTime")
 
 
 def acquisition_runs(acquisitions: DataFrame, gap: str, delay: str) -> DataFrame:
