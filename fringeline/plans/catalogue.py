@@ -163,10 +163,11 @@ def d15_unlinked_bursts(spark, sf_dir):
     return C.without_match(b, fb, ["bid"]).select("bid")
 
 
-@query("""SELECT fid FROM @files f WHERE EXISTS (SELECT 1 FROM @file_bursts b JOIN @frame_bursts g USING (bid) WHERE b.fid = f.fid AND g.polyid % 4 = 0) OR NOT EXISTS (SELECT 1 FROM @file_bursts b WHERE b.fid = f.fid)""")
+@query("""SELECT fid FROM @files f WHERE EXISTS (SELECT 1 FROM @file_bursts b JOIN @frame_bursts g USING (bid) JOIN @frames h USING (polyid) WHERE b.fid = f.fid AND h.polyid_name LIKE '___D%') OR NOT EXISTS (SELECT 1 FROM @file_bursts b WHERE b.fid = f.fid)""")
 def d16_related_files(spark, sf_dir):
-    fi, lb, fb = _v(spark, sf_dir, "files", "file_bursts", "frame_bursts")
-    return C.related_files(fi, lb, fb.filter("polyid % 4 = 0")).select("fid")
+    """Files that see a frame of a descending pass, or nothing known."""
+    fi, lb, fb, f = _v(spark, sf_dir, "files", "file_bursts", "frame_bursts", "frames")
+    return C.related_files(fi, lb, fb.join(f.filter("polyid_name like '___D%'"), "polyid", "left_semi")).select("fid")
 
 
 @query("SELECT fid, fid % 3 = 0 AS on_disk FROM @files")
@@ -278,11 +279,13 @@ def e22_one_per_track(spark, sf_dir):
     return first.join(b.groupBy("relorb").agg(F.count("*").alias("n")), "relorb")
 
 
-@query("""WITH s AS (SELECT series AS frame, acq_date AS epoch, sum(size % 7) AS size FROM @files GROUP BY 1, 2), r AS (SELECT series AS frame, sum(size % 7) AS ref FROM @files WHERE fid < 32 GROUP BY 1)
+@query("""WITH s AS (SELECT series AS frame, acq_date AS epoch, sum(size % 7) AS size FROM @files GROUP BY 1, 2), r AS (SELECT frame, arg_min(size, epoch) AS ref FROM s GROUP BY 1)
     SELECT frame, CAST(epoch AS VARCHAR) AS epoch, CAST(size AS BIGINT) AS size, size = ref AS complete FROM s JOIN r USING (frame)""")
 def e23_complete_epochs(spark, sf_dir):
+    """A frame's first epoch is its reference."""
     f = view(spark, sf_dir, "files").select(F.col("series").alias("frame"), F.col("acq_date").alias("epoch"), (F.col("size") % 7).alias("size"), "fid")
-    return C.complete_epochs(f, f.filter("fid < 32")).select("frame", F.col("epoch").cast("string").alias("epoch"), "size", "complete")
+    first = f.groupBy("frame").agg(F.min("epoch").alias("epoch"))
+    return C.complete_epochs(f, f.join(first, ["frame", "epoch"], "left_semi")).select("frame", F.col("epoch").cast("string").alias("epoch"), "size", "complete")
 
 
 @query("SELECT e.frame, CAST(min(epoch) AS VARCHAR) AS first, CAST(max(epoch) AS VARCHAR) AS last, count(DISTINCT epoch) AS epochs, coalesce(max(p.n), 0) AS pairs FROM @epochs e LEFT JOIN (SELECT frame, count(*) AS n FROM @pairs GROUP BY frame) p ON p.frame = e.frame GROUP BY e.frame")
@@ -306,10 +309,10 @@ def g02_sorted_lists(spark, sf_dir):
     return e.select("frame", F.array_join(F.transform("e", lambda d: d.cast("string")), ",").alias("epochs"))
 
 
-@query("SELECT fid FROM @files WHERE fid % 2 = 0 UNION SELECT fid FROM @file_bursts WHERE fid % 3 = 0")
+@query("SELECT fid FROM @files WHERE pol = 'VV' UNION SELECT fid FROM @file_bursts WHERE burst_no > 3")
 def g03_union(spark, sf_dir):
     f, b = _v(spark, sf_dir, "files", "file_bursts")
-    return f.filter("fid % 2 = 0").select("fid").union(b.filter("fid % 3 = 0").select("fid")).distinct()
+    return f.filter("pol = 'VV'").select("fid").union(b.filter("burst_no > 3").select("fid")).distinct()
 
 
 @query("(SELECT DISTINCT CAST(epoch AS VARCHAR) AS epoch FROM @epochs WHERE frame % 2 = 0 INTERSECT SELECT CAST(epoch AS VARCHAR) FROM @epochs WHERE frame % 2 = 1) EXCEPT SELECT CAST(epoch AS VARCHAR) FROM @epochs WHERE frame = 3")
@@ -319,10 +322,12 @@ def g04_intersect(spark, sf_dir):
     return both.join(e.filter("frame = 3").select("epoch").distinct(), "epoch", "left_anti")
 
 
-@query("SELECT polyid FROM @frames WHERE polyid % 7 = 0 UNION SELECT polyid FROM @frame_bursts WHERE bid % 50 = 0")
+@query("SELECT polyid FROM @frames WHERE polyid_name LIKE '___D%' UNION SELECT polyid FROM @frame_bursts JOIN @bursts USING (bid) WHERE iw = 3 GROUP BY polyid HAVING count(*) > 20")
 def g05_custom_frames(spark, sf_dir):
-    f, fb = _v(spark, sf_dir, "frames", "frame_bursts")
-    return f.filter("polyid % 7 = 0").select("polyid").union(fb.filter("bid % 50 = 0").select("polyid")).distinct()
+    """Frames of descending passes, and those found to have more than twenty bursts in the third swath."""
+    f, fb, b = _v(spark, sf_dir, "frames", "frame_bursts", "bursts")
+    found = fb.join(b.filter("iw = 3"), "bid").groupBy("polyid").count().filter("count > 20")
+    return f.filter("polyid_name like '___D%'").select("polyid").union(found.select("polyid")).distinct()
 
 
 @query("SELECT DISTINCT strftime(a.epoch1, '%Y%m%d') || '_' || strftime(a.epoch2, '%Y%m%d') AS pair FROM @pairs a JOIN @pairs b ON a.epoch1 = b.epoch1 AND a.epoch2 = b.epoch2 WHERE a.frame % 2 = 0 AND b.frame % 2 = 1 AND day(a.epoch1) <> 5")

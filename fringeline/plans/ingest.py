@@ -139,7 +139,7 @@ def a08_annotations(spark, sf_dir):
 @query("SELECT bid FROM @bursts WHERE lon BETWEEN -50 AND 50 AND lat BETWEEN 0 AND 40")
 def a10_clipped_pixels(spark, sf_dir):
     path = _folder(spark)
-    view(spark, sf_dir, "bursts").select("bid", "lon", "lat").write.parquet(path)
+    writers.clustered(view(spark, sf_dir, "bursts").select("bid", "lon", "lat"), path, "lon", "lat", 1.0, -180.0, -90.0)
     return readers.clipped_pixels(spark, path, -50, 50, 0, 40).select("bid")
 
 

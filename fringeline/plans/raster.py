@@ -31,6 +31,11 @@ _KERNEL = repr(sum(R.gauss(1.0, 2)) ** 2)
 _PX = "(SELECT \"row\", col, CAST(epoch AS DATE) AS epoch, nullif(coh, 0) AS coh, pha, mag FROM @pixels)"
 
 
+def _seven(c):
+    """Digits at which means of eight values of four digits don't end in a five."""
+    return (F.round(c, 7) + F.lit(0.0)).alias(c)
+
+
 def _r(df, *cols, digits=6):
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
 
@@ -62,11 +67,13 @@ def e08_stack_median(spark, sf_dir):
     return _r(_pix(spark, sf_dir).groupBy("row", "col").agg(F.median(R.valid("mag")).alias("median"), F.count(R.valid("mag")).alias("n")), "median")
 
 
-@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(max(mag), 4) AS hgt
+@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(avg(mag / 100), 7) AS hgt, max(CASE WHEN mag > 40000 THEN 1 ELSE 0 END) AS water
     FROM (SELECT *, CASE WHEN coh IS NOT NULL THEN mag * cos(pha) END AS re, CASE WHEN coh IS NOT NULL THEN mag * sin(pha) END AS im FROM {_PX} p) WHERE "row" // 3 < (SELECT (max("row") + 1) // 3 FROM @pixels) AND col < 24 GROUP BY 1, 2, 3""")
 def e09_multilook(spark, sf_dir):
-    m = R.multilook(_pix(spark, sf_dir), 3, None, 25, ["epoch"], also=(F.max("mag").alias("hgt"),))
-    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", "hgt"), "re", "im", "hgt", digits=4), "coh")
+    """With a cell's mean height and the largest value of a mask."""
+    p = _pix(spark, sf_dir).withColumns({"hgt": F.col("mag") / 100, "water": (F.col("mag") > 40_000).cast("int")})
+    m = R.multilook(p, 3, None, 25, ["epoch"], also=(F.avg("hgt").alias("hgt"), F.max("water").alias("water")))
+    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", _seven("hgt"), "water"), "re", "im", digits=4), "coh")
 
 
 @query("""WITH s AS (SELECT "row", col, avg(mag) AS mag, avg(pha) AS pha, min(coh) AS k FROM @pixels GROUP BY 1, 2), z AS (SELECT "row", col, mag * cos(pha) AS a, mag * sin(pha) AS b, mag / 2 * cos(pha + k) AS c, mag / 2 * sin(pha + k) AS d FROM s)
@@ -306,9 +313,9 @@ def e21_mosaic(spark, sf_dir):
     return _r(R.grow_mosaic(s, list(_YEARS)).withColumn("place", F.col("place").cast("long")), "value", digits=5)
 
 
-@query("""SELECT b.bid AS point, CAST(CAST(p.epoch AS DATE) AS VARCHAR) AS epoch, round(p.pha, 6) AS pha FROM @bursts b JOIN @pixels p ON p."row" = CAST(floor(b.bid / 50e0) AS BIGINT) AND p.col = b.bid % 25 AND b.iw = 1""")
+@query("""SELECT b.bid AS point, CAST(CAST(p.epoch AS DATE) AS VARCHAR) AS epoch, round(p.pha, 6) AS pha FROM @bursts b JOIN @pixels p ON p."row" = CAST(floor(b.bid / 50e0) AS BIGINT) AND p.col = b.bid % 25""")
 def d28_point_series(spark, sf_dir):
-    points = view(spark, sf_dir, "bursts").filter("iw = 1").select(F.col("bid").alias("point"), F.floor(F.col("bid") / 50).alias("row"), (F.col("bid") % 25).alias("col"))
+    points = view(spark, sf_dir, "bursts").select(F.col("bid").alias("point"), F.floor(F.col("bid") / 50).alias("row"), (F.col("bid") % 25).alias("col"))
     return _r(R.point_series(_pix(spark, sf_dir), points).select("point", F.col("epoch").cast("string").alias("epoch"), "pha"), "pha")
 
 
@@ -364,6 +371,16 @@ def e27_annual_velocity(spark, sf_dir):
     return _r(v.select("row", "col", "frame", F.col("year").cast("long").alias("year"), "vel", "n"), "vel", digits=4)
 
 
+@query(f"""WITH s AS (SELECT "row" % 4 AS frame, "row", col, epoch, pha FROM {_PX} x), y AS (SELECT year(epoch) AS yr FROM s GROUP BY 1 HAVING count(DISTINCT frame) = (SELECT count(DISTINCT frame) FROM s)),
+    b AS (SELECT *, unnest(list_distinct([year(epoch - 45), year(epoch), year(epoch + 45)])) AS yr FROM s)
+    SELECT "row", col, frame, CAST(yr AS BIGINT) AS "year", round(regr_slope(pha, (epoch - DATE '2000-01-01') / 365.25), 4) AS vel, count(pha) AS n FROM b WHERE yr IN (SELECT yr FROM y) GROUP BY 1, 2, 3, 4""")
+def e27_buffered_velocity(spark, sf_dir):
+    """A year's velocity from its own epochs and those of 45 days on both sides."""
+    p = _pix(spark, sf_dir).withColumn("frame", F.col("row") % 4)
+    v = L.annual_velocity(p, ["row", "col"], "frame", "pha", buffer_days=45)
+    return _r(v.select("row", "col", "frame", F.col("year").cast("long").alias("year"), "vel", "n"), "vel", digits=4)
+
+
 @query(f"""WITH p AS (SELECT "row", col, epoch, pha FROM {_PX} x), r AS (SELECT a."row", a.col, a.epoch AS e1, b.epoch AS e2 FROM p a JOIN p b ON b."row" = a."row" AND b.col = a.col AND b.epoch = CAST(a.epoch + INTERVAL 1 MONTH AS DATE)),
     e AS (SELECT "row", col, e1 AS epoch FROM r UNION SELECT "row", col, e2 FROM r), n AS (SELECT "row", col, count(*) AS pairs FROM r GROUP BY 1, 2), m AS (SELECT "row", col, count(*) AS epochs, min(epoch) AS first FROM e GROUP BY 1, 2)
     SELECT e."row", e.col, CAST(e.epoch AS VARCHAR) AS epoch, CASE WHEN epochs - 1 = pairs THEN round(p.pha - f.pha, 6) + 0.0 END AS value FROM e JOIN n ON n."row" = e."row" AND n.col = e.col JOIN m ON m."row" = e."row" AND m.col = e.col
