@@ -31,11 +31,6 @@ _KERNEL = repr(sum(R.gauss(1.0, 2)) ** 2)
 _PX = "(SELECT \"row\", col, CAST(epoch AS DATE) AS epoch, nullif(coh, 0) AS coh, pha, mag FROM @pixels)"
 
 
-def _seven(c):
-    """Digits at which means of eight values of four digits don't end in a five."""
-    return (F.round(c, 7) + F.lit(0.0)).alias(c)
-
-
 def _r(df, *cols, digits=6):
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in cols})
 
@@ -67,13 +62,13 @@ def e08_stack_median(spark, sf_dir):
     return _r(_pix(spark, sf_dir).groupBy("row", "col").agg(F.median(R.valid("mag")).alias("median"), F.count(R.valid("mag")).alias("n")), "median")
 
 
-@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(avg(mag / 100), 7) AS hgt, max(CASE WHEN mag > 40000 THEN 1 ELSE 0 END) AS water
+@query(f"""SELECT CAST(epoch AS VARCHAR) AS epoch, CAST("row" // 3 AS BIGINT) AS "row", CAST(col // 3 AS BIGINT) AS col, round(avg(re), 4) AS re, round(avg(im), 4) AS im, round(avg(CASE WHEN coh IS NOT NULL THEN coh END), 6) AS coh, count(re) AS n, count(re) < 7.2 AS masked, round(avg(CAST(floor(mag / 100) AS BIGINT)), 6) AS hgt, max(CASE WHEN mag > 40000 THEN 1 ELSE 0 END) AS water
     FROM (SELECT *, CASE WHEN coh IS NOT NULL THEN mag * cos(pha) END AS re, CASE WHEN coh IS NOT NULL THEN mag * sin(pha) END AS im FROM {_PX} p) WHERE "row" // 3 < (SELECT (max("row") + 1) // 3 FROM @pixels) AND col < 24 GROUP BY 1, 2, 3""")
 def e09_multilook(spark, sf_dir):
     """With a cell's mean height and the largest value of a mask."""
-    p = _pix(spark, sf_dir).withColumns({"hgt": F.col("mag") / 100, "water": (F.col("mag") > 40_000).cast("int")})
+    p = _pix(spark, sf_dir).withColumns({"hgt": F.floor(F.col("mag") / 100), "water": (F.col("mag") > 40_000).cast("int")})
     m = R.multilook(p, 3, None, 25, ["epoch"], also=(F.avg("hgt").alias("hgt"), F.max("water").alias("water")))
-    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", _seven("hgt"), "water"), "re", "im", digits=4), "coh")
+    return _r(_r(m.select(F.col("epoch").cast("string").alias("epoch"), "row", "col", "re", "im", "coh", "n", "masked", "hgt", "water"), "re", "im", digits=4), "coh", "hgt")
 
 
 @query("""WITH s AS (SELECT "row", col, avg(mag) AS mag, avg(pha) AS pha, min(coh) AS k FROM @pixels GROUP BY 1, 2), z AS (SELECT "row", col, mag * cos(pha) AS a, mag * sin(pha) AS b, mag / 2 * cos(pha + k) AS c, mag / 2 * sin(pha + k) AS d FROM s)
