@@ -21,6 +21,8 @@ Null texts are empty. Rows are told apart by doc_id and text; repeated rows shar
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +64,36 @@ def _valid(kind: str, value: Column) -> Column:
     return F.char_length(digits).between(10, 15)
 
 
+def _scan(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array of whole numbers from 0 on, by an associative ``op``.
+
+    An array that grows by one in each step is copied in each: long ones are therefore taken in stretches of the square root of their length, and
+    the stretches' totals are added on.
+    """
+    lists = "struct<at:int,out:array<int>>"
+
+    def plain(v: Column, start: Column) -> Column:
+        begin = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")).cast(lists)
+
+        def step(acc: Column, x: Column) -> Column:
+            now = op(acc["at"], x)
+            return F.struct(now.alias("at"), F.concat(acc["out"], F.array(now)).alias("out"))
+
+        return F.aggregate(v, begin, step)["out"]
+
+    def long(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        parts = F.transform(F.sequence(F.lit(1), F.size(v), width), lambda s: F.slice(v, s, width))
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), op))
+        # each stretch starts from the total before it
+        before = plain(totals, F.lit(0))
+        starts = F.concat(F.array(F.lit(0)), F.slice(before, F.lit(1), F.size(before) - 1))
+        return F.flatten(F.transform(F.arrays_zip(parts.alias("p"), starts.alias("s")), lambda z: plain(z["p"], z["s"])))
+
+    # as a variable, so that what makes the values is worked out once
+    return F.get(F.transform(F.array(values), lambda v: F.when(F.size(v) <= 64, plain(v, F.lit(0))).otherwise(long(v))), F.lit(0))
+
+
 def _kind_spans(kind: str, rank: int):
     """A function from a struct {v: matches, p: pieces between them} to the spans of a kind.
 
@@ -70,14 +102,9 @@ def _kind_spans(kind: str, rank: int):
     none = F.array().cast(_SPANS)
 
     def of(x: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            end = acc["at"] + F.char_length(F.get(x["p"], i)) + F.char_length(F.get(x["v"], i))
-            return F.struct(end.alias("at"), F.concat(acc["ends"], F.array(end)).alias("ends"))
-
         n = F.size(x["v"])
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends"))
-        ends = F.aggregate(F.sequence(F.lit(0), n - 1), empty, step)["ends"]
-        parts = F.arrays_zip(x["v"].alias("v"), ends.alias("e"))
+        lengths = F.zip_with(F.slice(x["p"], F.lit(1), n), x["v"], lambda p, v: F.char_length(p) + F.char_length(v))
+        parts = F.arrays_zip(x["v"].alias("v"), _scan(lengths, lambda a, b: a + b).alias("e"))
 
         def span(m: Column) -> Column:
             return F.struct((m["e"] - F.char_length(m["v"])).alias("start"), F.lit(rank).alias("rank"), m["e"].alias("end"), F.lit(kind).alias("kind"), m["v"].alias("value"))
@@ -260,12 +287,12 @@ def sanitised(docs: DataFrame) -> DataFrame:
         return F.when(b > a, F.substr(F.array_join(F.slice("made.grid", i + 1, j - i + 1), ""), a - i * PASSAGE_CHARS + 1, b - a)).otherwise(F.lit(""))
 
     # a span that overlaps an earlier one lies inside what is already replaced, or extends it
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,b:int,put:string>>").alias("parts"))
-    step = lambda s, c: F.struct(
-        F.greatest(s["at"], c["end"]).alias("at"),
-        F.when(c["start"] >= s["at"], F.concat(s["parts"], F.array(F.struct(s["at"].alias("a"), c["start"].alias("b"), c["put"].alias("put"))))).otherwise(s["parts"]).alias("parts"),
-    )
-    joined = joined.select("row", "made", F.when(F.col("made").isNotNull(), F.aggregate("made.cuts", start, step)).alias("cut"))
+    ends = F.transform("made.cuts", lambda c: c["end"])
+    joined = joined.select("row", "made", F.when(F.col("made").isNotNull(), _scan(ends, lambda a, b: F.greatest(a, b))).alias("ends"))
+    before = F.concat(F.array(F.lit(0)), F.slice("ends", F.lit(1), F.size("ends") - 1))
+    parts = F.filter(F.arrays_zip(F.col("made.cuts").alias("c"), before.alias("at")), lambda z: z["c"]["start"] >= z["at"])
+    parts = F.transform(parts, lambda z: F.struct(z["at"].alias("a"), z["c"]["start"].alias("b"), z["c"]["put"].alias("put")))
+    joined = joined.select("row", "made", F.when(F.col("made").isNotNull(), F.struct(parts.alias("parts"), F.element_at("ends", -1).alias("at"))).alias("cut"))
     text = F.concat(F.array_join(F.transform("cut.parts", lambda c: F.concat(between(c["a"], c["b"]), c["put"])), ""), between(F.col("cut.at"), F.char_length("row.text")))
     new = F.when(F.col("made").isNotNull(), text).otherwise(F.col("row.text"))
     return joined.select(*[new.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
