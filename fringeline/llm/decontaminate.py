@@ -112,7 +112,8 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _searches(window: int):
-    """Distinct sets of anchors of each item, with the windows that have them."""
+    """Distinct sets of anchors of each item, with the windows that have them. Of windows with the same words only the first is searched: the
+    others are found in the same places of documents, and hit the same words there."""
 
     def searched(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -120,9 +121,12 @@ def _searches(window: int):
             for item_id, item, words, counts in part.itertuples(index=False):
                 length = min(window, len(words))
                 found: dict[tuple, list[int]] = defaultdict(list)
+                seen: set[tuple] = set()
                 for s in range(len(words) - length + 1):
+                    said = tuple(words[s : s + length])
                     # a word that no document has rules its windows out
-                    if min(counts[s : s + length]) > 0:
+                    if min(counts[s : s + length]) > 0 and said not in seen:
+                        seen.add(said)
                         found[tuple(sorted(range(s, s + length), key=lambda i: (counts[i], i))[:ANCHORS])].append(s)
                 out += [(item_id, item, list(at), [words[a] for a in at], starts, length) for at, starts in found.items()]
             yield pd.DataFrame(out, columns=["item_id", "item", "anchors", "anchor_words", "starts", "length"])
@@ -183,6 +187,10 @@ def _intersected(block: pd.DataFrame) -> pd.DataFrame:
         for p, other, _ in rest:
             exact &= _has(other, near + p)
         owner = np.searchsorted(starts, near + pos, "right") - 1
+        # of places that aren't exact only a document's first is told
+        told = exact.copy()
+        told[np.unique(owner, return_index=True)[1]] = True
+        near, owner, exact = near[told], owner[told], exact[told]
         out.append(pd.DataFrame({"search": search, "ord": owner, "at": near - starts[owner], "delta": near, "exact": exact}))
     found = pd.concat(out) if out else pd.DataFrame({"search": [], "ord": [], "at": [], "delta": [], "exact": []})
     return found.assign(block=block["block"].iloc[0])[["block", "search", "ord", "at", "delta", "exact"]]
