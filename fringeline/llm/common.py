@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +33,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def joined_hash(items: Column) -> Column:
     """Lower-case hex SHA-256 of an array of strings, comma-joined."""
     return F.sha2(F.array_join(items, ",").cast("binary"), 256)
+
+
+def give_back() -> None:
+    """Hands freed memory of this Python worker back to the system. Workers outlive their tasks, and what one step has freed would stand beside
+    what the next one takes."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def giving_back(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``f`` of mapInArrow or mapInPandas, with give_back() behind its last batch."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    return wrapped

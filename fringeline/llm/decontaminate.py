@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fringeline.llm.common import ascii_words, joined_hash, kept, scratch, written
+from fringeline.llm.common import ascii_words, give_back, giving_back, joined_hash, kept, scratch, written
 
 WINDOW = 10
 ANCHORS = 3
@@ -43,6 +43,8 @@ GAP = 64
 BROADCAST_ROWS = 100_000
 #: Words of an item whose windows are verified together.
 PART_WORDS = 1_024
+#: Diagonals of a block that are verified together, of which each takes four bytes a word.
+PART_DIAGONALS = 4_096
 #: The index row under this word has the places where a block's documents begin.
 STARTS = b""
 
@@ -98,7 +100,7 @@ def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     schema = f"block long, word binary, n int, postings binary, ord int, doc_id {kind.simpleString()}, print long, n_words long"
     from pyspark.sql.pandas.types import to_arrow_type
 
-    return written(rows.mapInArrow(_indexer(block_bytes, to_arrow_type(kind)), schema))
+    return written(rows.mapInArrow(giving_back(_indexer(block_bytes, to_arrow_type(kind))), schema))
 
 
 def documents_of(index: DataFrame) -> DataFrame:
@@ -207,16 +209,23 @@ def _verified(_, postings: pd.DataFrame, windows: pd.DataFrame) -> pd.DataFrame:
     ok, part = np.zeros(len(windows), bool), first // PART_WORDS
     order = np.lexsort((part, item))
     for own in np.split(order, np.flatnonzero((np.diff(item[order]) != 0) | (np.diff(part[order]) != 0)) + 1) if len(order) else ():
+        base = int(part[own[0]]) * PART_WORDS
+        have = {p - base: places for p, places in lists[int(item[own[0]])].items()}
+        own = own[np.argsort(delta[own], kind="stable")]
         deltas, column = np.unique(delta[own], return_inverse=True)
-        have, base = lists[int(item[own[0]])], int(part[own[0]]) * PART_WORDS
-        begin, end = first[own] - base, first[own] - base + length[own]
-        # the words of this part of the item that stand on each diagonal, summed from its beginning
-        there = np.zeros((int(end.max()) + 1, len(deltas)), np.int32)
-        for p in range(len(there) - 1):
-            if base + p in have:
-                there[p + 1] = _has(have[base + p], deltas + base + p)
-        there = np.cumsum(there, axis=0)
-        ok[own] = there[end, column] - there[begin, column] == length[own]
+        for low in range(0, len(deltas), PART_DIAGONALS):
+            some, (a, b) = deltas[low : low + PART_DIAGONALS], np.searchsorted(column, (low, low + PART_DIAGONALS))
+            these, at = own[a:b], column[a:b] - low
+            begin = first[these] - base
+            end = begin + length[these]
+            # the words of this part of the item that stand on each diagonal, summed from its beginning
+            there = np.zeros((int(end.max()) + 1, len(some)), np.int32)
+            for p in range(len(there) - 1):
+                if p in have:
+                    there[p + 1] = _has(have[p], some + base + p)
+            np.cumsum(there, axis=0, out=there)
+            ok[these] = there[end, at] - there[begin, at] == length[these]
+    give_back()
     return windows.loc[ok, ["block", "ord", "item_id", "item", "win_start", "start", "length"]]
 
 

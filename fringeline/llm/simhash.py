@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fringeline.llm.common import kept, scratch, written
+from fringeline.llm.common import give_back, kept, scratch, written
 
 SHINGLE_WORDS = 4
 HASH_SEED = 42
@@ -294,14 +294,16 @@ def _set_key(s: np.ndarray) -> int:
 
 @F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("n_shingles", T.LongType())]))
 def banded_udf(text: pd.Series) -> pd.DataFrame:
-    sets = [shingle_set((t or "").encode()) for t in text]
-    return pd.DataFrame({"fp": [_set_key(s) for s in sets], "bands": [band_keys(s) for s in sets], "n_shingles": [len(s) for s in sets]})
+    found = [(_set_key(s), band_keys(s), len(s)) for s in map(shingle_set, ((t or "").encode() for t in text))]
+    give_back()
+    return pd.DataFrame(found, columns=["fp", "bands", "n_shingles"])
 
 
 @F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("shingles", T.BinaryType())]))
 def shingled_udf(text: pd.Series) -> pd.DataFrame:
-    sets = [shingle_set((t or "").encode()) for t in text]
-    return pd.DataFrame({"fp": [_set_key(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+    found = [(_set_key(s), s.tobytes()) for s in map(shingle_set, ((t or "").encode() for t in text))]
+    give_back()
+    return pd.DataFrame(found, columns=["fp", "shingles"])
 
 
 def _search_sets(fp: np.ndarray, sets: list[np.ndarray]) -> tuple[list[int], list[int]]:

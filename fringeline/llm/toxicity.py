@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fringeline.llm.common import ascii_words
+from fringeline.llm.common import ascii_words, give_back
 
 BUCKETS = 1 << 16
 DIM = 4
@@ -43,7 +43,8 @@ RATE = 0.05
 DECAY = 3e-5
 SEED = 11
 FOLDS = 5
-_KEPT_WORDS = 1_000_000
+#: Words whose sums a worker keeps; about 160 bytes each.
+_KEPT_WORDS = 200_000
 _SCALE = 20.0  # means over many words are small; this keeps the steps of Adam in range
 
 
@@ -224,7 +225,9 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, float]):
     def scored(text: pd.Series) -> pd.Series:
         if not made:
             made.append(Scorer(*sent.value))
-        return pd.Series([made[0].score((t or "").encode()) for t in text], dtype="float64")
+        found = pd.Series([made[0].score((t or "").encode()) for t in text], dtype="float64")
+        give_back()
+        return found
 
     return scored
 
