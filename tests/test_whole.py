@@ -39,3 +39,11 @@ def test_wide_holes_are_filled_by_the_nearest(spark):
     for r in out:
         want = min((((r.row - a) ** 2 + (r.col - b) ** 2, a, b), v) for (a, b), v in ok.items())[1]
         assert r.value == (want if r.frame == "f" else None)
+
+
+def test_islands_cross_the_middle_of_the_grid(spark, tmp_path):
+    """A bar over all 64 columns is one island; a pixel right of the middle belongs to the island left of it."""
+    rows = [(0, [0.5] * 64), (1, [-0.5] * 64), (2, [0.5 if c in (31, 32) else -0.5 for c in range(64)]), (3, [-0.5] * 64), (4, [0.5 if c in (30, 40) else -0.5 for c in range(64)])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {(r.row, r.col): (r.label_row, r.label_col, r.size) for r in plans.QUERIES["f23_islands"](spark, str(tmp_path)).collect()}
+    assert got == {(0, c): (0, 0, 64) for c in range(64)} | {(2, 31): (2, 31, 2), (2, 32): (2, 31, 2), (4, 30): (4, 30, 1), (4, 40): (4, 40, 1)}
