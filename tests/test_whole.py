@@ -47,3 +47,35 @@ def test_islands_cross_the_middle_of_the_grid(spark, tmp_path):
     spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     got = {(r.row, r.col): (r.label_row, r.label_col, r.size) for r in plans.QUERIES["f23_islands"](spark, str(tmp_path)).collect()}
     assert got == {(0, c): (0, 0, 64) for c in range(64)} | {(2, 31): (2, 31, 2), (2, 32): (2, 31, 2), (4, 30): (4, 30, 1), (4, 40): (4, 40, 1)}
+
+
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    """0.4703125 exactly, which sums of doubles reach in some orders only; thirds, whose digits end."""
+    values = [1.0, 0.3, 0.6, 0.6, 0.0, 0.275, 0.6, 0.65, 0.7, 1.0, 0.35, 0.1, 0.55, 0.0, 0.5, 0.3]
+    orders = [sorted(values), sorted(values, reverse=True), values, values[::-1], *[values[i:] + values[:i] for i in range(1, 16)]]
+    rows = [(k, v) for k, order in enumerate(orders) for v in order] + [(-1, v) for v in (1 / 3, 2 / 3, 2 / 3, 1 / 3)] + [(-2, None)]
+    df = spark.createDataFrame(rows, "k long, v double").coalesce(1)
+    got = dict(df.groupBy("k").agg(F.round(R.exact_mean("v"), 6)).collect())
+    assert got == {k: 0.470313 for k in range(len(orders))} | {-1: 0.5, -2: None}
+    assert len({r[1] for r in df.filter("k >= 0").groupBy("k").agg(F.round(F.avg("v"), 6)).collect()}) == 2
+
+
+def test_priority_fill_rounds_exact_means(spark):
+    """Against fractions of the items' own integers."""
+    import duckdb
+    from fractions import Fraction
+
+    rows = duckdb.sql("""SELECT l_partkey // 50, l_suppkey % 25, date_trunc('month', l_shipdate), sum(CAST(round(l_discount * 100) AS BIGINT)), sum(CAST(round(l_quantity) AS BIGINT)), count(*)
+        FROM '/root/testdata/sf0.01/lineitem.parquet' GROUP BY 1, 2, 3""").fetchall()
+    spring, autumn = {}, {}
+    for row, col, month, discount, quantity, n in rows:
+        spring.setdefault((row, col), []).extend([Fraction(int(discount), 10 * n)] if month.month < 4 else [])
+        autumn.setdefault((row, col), []).extend([Fraction(int(quantity), n)] if month.month > 8 else [])
+    want = {}
+    for k in spring:
+        if spring[k] or autumn[k]:
+            a, b = (sum(x) / len(x) if x else 0 for x in (spring[k], autumn[k]))
+            v = a or b
+            want[k] = float(Fraction((v * 10**6 + Fraction(1, 2)).__floor__(), 10**6)) if v else None
+    got = {(r.row, r.col): r.v for r in plans.QUERIES["d30_priority_fill"](spark, "/root/testdata/sf0.01").collect()}
+    assert got == want
