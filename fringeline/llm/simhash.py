@@ -14,8 +14,8 @@ variants meet in one bucket, and the whole fingerprints are verified there.
 * Links are joined to components by alternating large and small stars; every round is written to the shared folder.
 
 The pipeline's stage (``keep_one``) has a wider rule, a Jaccard similarity of 0.8 of five-word shingles, which lies about ten bits
-apart: no segment of a 64-bit fingerprint finds that. Its candidates share a band of MinHash values, and every link is verified
-on the two sets of shingles.
+apart. It takes the same steps on fingerprints of these shingles, with up to ``STAGE_BITS`` bits in a bucket, and every link is then verified
+on the two sets of shingles. What shares no variant, as pairs near 0.8 often don't, is brought together by bands of MinHash values besides.
 
 Null texts count as empty. A text without words has fingerprint 0, linked like any other. Rows with the
 same ``doc_id`` each get a result row; a null ``doc_id`` takes part in links and never names a component
@@ -24,7 +24,7 @@ that has another id.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,8 @@ _CHUNK = 1 << 16
 #: The pipeline's stage has a rule of its own: near copies share SIMILARITY of their sets of STAGE_WORDS-word shingles.
 STAGE_WORDS = 5
 SIMILARITY = 0.8
+#: Fingerprints of a bucket up to this distance are compared by their sets; of strangers that share a variant, once in 27,000 pairs.
+STAGE_BITS = 8
 #: Minima of BANDS * BAND_ROWS hash functions; at a similarity of 0.8 a pair shares no band's key once in 2,800 times.
 BANDS, BAND_ROWS = 20, 5
 #: Sets that are compared in one task, in number and in shingles; more are cut into chunks, all pairs of which are compared.
@@ -79,12 +81,16 @@ def fingerprint(text: bytes) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     last = max(0, len(words) - SHINGLE_WORDS)
     starts, ends = starts[: last + 1].tolist(), ends[min(SHINGLE_WORDS, len(words)) - 1 :].tolist()
-    counts, digest = np.zeros(64, np.int64), xxhash.xxh64_intdigest
-    for i in range(0, len(starts), _CHUNK):
-        h = np.array([digest(flat[a:b], HASH_SEED) for a, b in zip(starts[i : i + _CHUNK], ends[i : i + _CHUNK])], dtype="<u8")
+    digest = xxhash.xxh64_intdigest
+    return _majority((np.array([digest(flat[a:b], HASH_SEED) for a, b in zip(starts[i : i + _CHUNK], ends[i : i + _CHUNK])], dtype="<u8") for i in range(0, len(starts), _CHUNK)), len(starts))
+
+
+def _majority(hashes: Iterable[np.ndarray], n: int) -> int:
+    """The bits that are set in over half of ``n`` hashes."""
+    counts = np.zeros(64, np.int64)
+    for h in hashes:
         counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = counts * 2 > len(starts)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
 @F.pandas_udf(T.LongType())
@@ -108,7 +114,7 @@ def _first_shared(x: np.ndarray) -> np.ndarray:
     return out
 
 
-def _small_links(w: np.ndarray, fp: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _small_links(w: np.ndarray, fp: np.ndarray, run: np.ndarray, bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Links within runs of equal ``run``, each only in the first bucket that its two ends share."""
     left, right = [], []
     for d in range(1, SMALL_BUCKET):
@@ -118,7 +124,7 @@ def _small_links(w: np.ndarray, fp: np.ndarray, run: np.ndarray) -> tuple[np.nda
         if not len(same):
             break
         x = fp[same] ^ fp[same + d]
-        near = np.bitwise_count(x) <= MAX_BITS
+        near = np.bitwise_count(x) <= bits
         same, x = same[near], x[near]
         own = _first_shared(x) == w[same]
         left.append(fp[same[own]])
@@ -127,7 +133,7 @@ def _small_links(w: np.ndarray, fp: np.ndarray, run: np.ndarray) -> tuple[np.nda
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _search(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _search(fp: np.ndarray, bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Components of one bucket: an edge from every linked member to the smallest of its component.
 
     What has been reached leaves the set that is compared, so dense groups cost about one pass.
@@ -137,7 +143,7 @@ def _search(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root, rest = rest[0], rest[1:]
         queue = [root]
         while queue and len(rest):
-            near = np.bitwise_count(rest ^ queue.pop()) <= MAX_BITS
+            near = np.bitwise_count(rest ^ queue.pop()) <= bits
             if near.any():
                 found, rest = rest[near], rest[~near]
                 left.append(found)
@@ -147,7 +153,7 @@ def _search(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_links(batches: Iterator[pa.RecordBatch], bits: int = MAX_BITS) -> Iterator[pa.RecordBatch]:
     """Rows (w, key, tile, fp) sorted by bucket; only the bucket at a batch's end is held over."""
     held: list[tuple[np.ndarray, ...]] = []
 
@@ -158,8 +164,8 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         length = np.diff(np.concatenate((start, [len(w)])))
         run = np.repeat(np.arange(len(start)), length)
         small = np.repeat((length > 1) & (length <= SMALL_BUCKET), length)
-        found = [_small_links(w[small], fp[small], run[small])]
-        found += [_search(fp[a : a + n]) for a, n in zip(start[length > SMALL_BUCKET], length[length > SMALL_BUCKET])]
+        found = [_small_links(w[small], fp[small], run[small], bits)]
+        found += [_search(fp[a : a + n], bits) for a, n in zip(start[length > SMALL_BUCKET], length[length > SMALL_BUCKET])]
         a, b = (np.concatenate(x) for x in zip(*found))
         if len(a):
             yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b).view(np.int64)), pa.array(np.minimum(a, b).view(np.int64))], ["a", "b"])
@@ -194,8 +200,8 @@ def _tiles(heavy: DataFrame, bucket_rows: int) -> DataFrame:
     )
 
 
-def links(fingerprints: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints ``fp`` that connect all those within MAX_BITS."""
+def links(fingerprints: DataFrame, bucket_rows: int = BUCKET_ROWS, bits: int = MAX_BITS) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints ``fp`` that connect all those within MAX_BITS, and of those within ``bits``, if more, all that share a variant."""
     masks = F.array(*[F.lit(_signed(m)).cast("long") for m in _MASKS])
     variants = fingerprints.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("w")).select(
         F.col("w").cast("short").alias("w"), F.col("fp").bitwiseAND(F.get(masks, F.col("w"))).alias("key"), "fp"
@@ -217,7 +223,7 @@ def links(fingerprints: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     else:
         variants = variants.select("w", "key", F.lit(0).alias("tile"), "fp")
     found = variants.repartition("w", "key", "tile").sortWithinPartitions("w", "key", "tile")
-    return found.mapInArrow(_bucket_links, "a long, b long").distinct()
+    return found.mapInArrow(lambda batches: _bucket_links(batches, bits), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -288,15 +294,20 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(low.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64)
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """SimHash of a set of shingles' hashes; 0 for an empty one."""
+    return _majority((shingles[i : i + _CHUNK] for i in range(0, len(shingles), _CHUNK)), len(shingles))
+
+
 def _set_key(s: np.ndarray) -> int:
     return _signed(xxhash.xxh64_intdigest(s.tobytes(), HASH_SEED))
 
 
-@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("n_shingles", T.LongType())]))
+@F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("simhash", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("n_shingles", T.LongType())]))
 def banded_udf(text: pd.Series) -> pd.DataFrame:
-    found = [(_set_key(s), band_keys(s), len(s)) for s in map(shingle_set, ((t or "").encode() for t in text))]
+    found = [(_set_key(s), _signed(set_fingerprint(s)), band_keys(s), len(s)) for s in map(shingle_set, ((t or "").encode() for t in text))]
     give_back()
-    return pd.DataFrame(found, columns=["fp", "bands", "n_shingles"])
+    return pd.DataFrame(found, columns=["fp", "simhash", "bands", "n_shingles"])
 
 
 @F.pandas_udf(T.StructType([T.StructField("fp", T.LongType()), T.StructField("shingles", T.BinaryType())]))
@@ -349,14 +360,17 @@ def _set_links(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def similar_links(rows: DataFrame, sets_of: Callable[[DataFrame], DataFrame], tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges (a, b) that connect the sets ``fp`` of a similarity of SIMILARITY or more, among those that share a band's key. Written.
+    """Edges (a, b) that connect the sets ``fp`` of a similarity of SIMILARITY or more, among those that share a key. Written.
 
-    rows: (fp, bands, n_shingles). sets_of: gives (fp, shingles) for a table of wanted fp. Sets that keys connect are a
-    cluster, which is searched with removal, each set being read once. A cluster above ``tile_rows`` sets or TILE_SHINGLES shingles
-    is searched key by key instead, in tiles of chunks of that size, all pairs of which are compared.
+    rows: (fp, simhash, bands, n_shingles). Keys are a set's fingerprint, the fingerprints that deletion variants link it to, and its bands' keys.
+    sets_of: gives (fp, shingles) for a table of wanted fp. Sets that keys connect are a cluster, which is searched with removal, each set
+    being read once. A cluster above ``tile_rows`` sets or TILE_SHINGLES shingles is searched key by key instead, in tiles of chunks of that
+    size, all pairs of which are compared.
     """
-    bands = written(rows.groupBy("fp").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
-    index = bands.select("fp", F.explode("bands").alias("key"))
+    bands = written(rows.groupBy("fp").agg(*[F.first(c).alias(c) for c in ("simhash", "bands", "n_shingles")]))
+    near = written(links(bands.select(F.col("simhash").alias("fp")).distinct(), bits=STAGE_BITS))
+    linked = bands.select("fp", F.col("simhash").alias("a")).join(near, "a").select("fp", F.col("b").alias("key"))
+    index = bands.select("fp", F.explode(F.concat("bands", F.array("simhash"))).alias("key")).unionByName(linked)
     sizes = written(index.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least")).filter("n > 1"))
     shared = written(index.join(sizes, "key").select("key", "fp", "least"))
     clusters = components(shared.select(F.col("fp").alias("a"), F.col("least").alias("b")))

@@ -33,6 +33,49 @@ def test_near_copies_by_five_word_similarity(spark, tile_rows):
     assert {d for d, in df.select("doc_id").collect()} - {r.doc_id for r in simhash.keep_one(df).collect()} == found
 
 
+@pytest.mark.parametrize("tile_rows", [2_000, 1])
+def test_near_copies_by_deletion_variants(spark, tile_rows):
+    """Without any band, the stage finds all near copies whose fingerprints share a one-wildcard variant within its bits, and no other texts."""
+    import xxhash
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    rows, prints, sets = [], {}, {}
+    for i in range(120):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice((3, 60, 200)))]
+        for k in range(3):
+            rows.append((3 * i + k, " ".join(words)))
+            words[rng.randrange(len(words))] = f"edit{i % 7}"
+    for d, text in rows:
+        w = text.split()
+        sets[d] = {" ".join(w[j : j + 5]) for j in range(max(1, len(w) - 4))}
+        hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in sets[d]]
+        prints[d] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    masks = [((1 << n) - 1) << a for a, n in ((0, 22), (22, 21), (43, 21))]
+    want, similar = list(range(len(rows))), list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                similar = [similar[b] if g == similar[a] else g for g in similar]
+                x = prints[a] ^ prints[b]
+                if x.bit_count() <= 8 and any((x & m).bit_count() <= 1 for m in masks):
+                    want = [want[b] if g == want[a] else g for g in want]
+    assert len(set(want)) < len(rows) - 60
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    none = written(df.select("doc_id", simhash.banded_udf("text").alias("s")).select("doc_id", "s.*").withColumn("bands", F.expr("filter(bands, x -> false)")))
+    shingles = written(df.select(simhash.shingled_udf("text").alias("s")).select("s.*").dropDuplicates(["fp"]))
+    of = {}
+    for r in none.collect():
+        of.setdefault(r.fp, []).append(r.doc_id)
+    got = list(range(len(rows)))
+    same = [(d, ids[0]) for ids in of.values() for d in ids]
+    links = simhash.similar_links(none, lambda wanted: shingles.join(wanted, "fp", "left_semi"), tile_rows)
+    for a, b in same + [(of[r.a][0], of[r.b][0]) for r in links.collect()]:
+        got = [got[b] if g == got[a] else g for g in got]
+    # texts of a cluster are all compared, so more of the similar ones may come together
+    assert all(got[a] == got[want[a]] and similar[a] == similar[got[a]] for a in range(len(rows)))
+
+
 def test_license_occurrences_beside_a_better_one():
     text = "mozila public license mozilla public license mozilla publik licence and mozilla public license"
     found = [(m["start"], m["end"], m["edits"]) for m in license_scan.scan(text)[-1] if m["label"] == "mpl"]
