@@ -183,14 +183,13 @@ class Codec:
 
     def seams(self, text: bytes, cuts: list[int]) -> list[tuple[int, int, bytes]]:
         """(begin, end, ids) of the stretch around each cut, inner cuts only; cuts in one stretch have one."""
-        sure = np.concatenate(([0], np.flatnonzero(self.sure[np.frombuffer(text, np.uint8)]), [len(text)]))
-        sure = np.unique(sure)
+        places = np.flatnonzero(self.sure[np.frombuffer(text, np.uint8)])
+        sure = np.concatenate(([0], places[places > 0], [len(text)]))
         last, at = len(sure) - 1, np.array(cuts)
         spans = dict(zip((np.searchsorted(sure, at, "right") - 1).tolist(), np.searchsorted(sure, at, "left").tolist()))
-        begins = dict.fromkeys(np.searchsorted(sure, at, "right") - 1)
         out = []
-        for lo in map(int, begins):
-            hi, grown = spans[lo], 1
+        for lo, hi in spans.items():
+            grown = 1
             while True:
                 a, b = max(0, lo - grown), min(last, hi + grown)
                 lead, tail = self.ids(text[sure[a] : sure[lo]]), self.ids(text[sure[hi] : sure[b]])
@@ -216,13 +215,12 @@ class Codec:
                     i += 1
                 begin, end = ends[i - 1] if i else 0, ends[i]
                 chunk = text[begin:end]
-                skip, leave = (len(self.ids(t)) // self.dtype.itemsize for t in (text[begin:x], text[y:end]))
                 digest = digest_of(chunk)
                 if shared(digest):
+                    skip, leave = (len(self.ids(t)) // self.dtype.itemsize for t in (text[begin:x], text[y:end]))
                     yield digest, skip, leave, chunk
-                else:
-                    found = np.frombuffer(self.ids(chunk), self.dtype)
-                    yield found[skip : len(found) - leave].tobytes()
+                else:  # what lies between the seams is all that is asked for
+                    yield self.ids(text[x:y])
             yield between
             x = resume
 
@@ -402,8 +400,9 @@ def _made(docs: DataFrame, file: str, form: tuple) -> DataFrame:
 
     @F.pandas_udf("binary")
     def encoded_chunk(s: pd.Series) -> pd.Series:
-        of = codec(file)
-        return pd.Series([of.ids(bytes(c)) for c in s], dtype=object)
+        of, chunks = codec(file), [bytes(c) for c in s]
+        of.learn(chunks)
+        return pd.Series([of.ids(c) for c in chunks], dtype=object)
 
     chunks = told.filter("chunk is not null").groupBy("digest").agg(F.any_value("chunk").alias("chunk"))
     chunks = written(chunks.select("digest", encoded_chunk("chunk").alias("of_chunk")))

@@ -85,3 +85,15 @@ def test_full_filter_changes_nothing(spark, sf_dir, library, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     want = sorted((r.doc_id, *wanted(library, r.text)) for r in docs.select("doc_id", "text").collect())
     assert sorted(tuple(r) for r in chunk_codec.report(docs, FILE).collect()) == want
+
+
+def test_words_cut_by_chunks_are_not_encoded(monkeypatch):
+    """A text of which all has been learned is put together without the library, as its chunks' ends within words aren't asked for."""
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 12))) for _ in range(3_000))
+    of = chunk_codec.Codec(FILE)
+    want = of.library.encode(text, add_special_tokens=False).ids
+    of.learn([text.encode()])
+    assert len(chunk_codec.cut_places(text.encode())) > 20
+    monkeypatch.setattr(of, "_learn", lambda units: pytest.fail(f"encoded again: {units}"))
+    assert of.encode(text.encode()) == want
