@@ -182,10 +182,10 @@ def auxiliary_epochs(wanted: DataFrame, processed: DataFrame, max_days: int = 18
     return wanted.join(best, ["frame", "epoch"], "left")
 
 
-def latest_processing(files: DataFrame) -> DataFrame:
-    """files (date, name): of names equal but for their last nine characters, the first by name."""
+def latest_processing(files: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """files (date, name): of names equal but for their last nine characters, the first by name; names are held against others of the same ``by`` only."""
     prefix = F.expr("substring(name, 1, char_length(name) - 9)")
-    w = Window.partitionBy("date", prefix).orderBy("name")
+    w = Window.partitionBy(*by, "date", prefix).orderBy("name")
     return files.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
 
 

@@ -77,7 +77,7 @@ def f06_missed_clusters(spark, sf_dir):
 def f08_latest_processing(spark, sf_dir):
     e = _e(spark, sf_dir)
     name = F.concat(F.lit("S"), F.lpad(F.col("frame").cast("string"), 4, "0"), F.lpad((F.dayofyear("epoch") * 7919 % 1000).cast("string"), 9, "0"))
-    f = N.latest_processing(e.select("frame", F.col("epoch").alias("date"), name.alias("name")))
+    f = N.latest_processing(e.select("frame", F.col("epoch").alias("date"), name.alias("name")), by=("frame",))
     return f.select(F.col("date").cast("string").alias("first"), "frame", F.substring("name", 1, 5).alias("prefix"), "name")
 
 
