@@ -6,6 +6,10 @@ a frame's epochs.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
@@ -115,16 +119,50 @@ def shortest_coseismic(classified: DataFrame) -> DataFrame:
     return classified.filter("kind = 'co'").groupBy("frame", "id").agg(F.min_by(F.struct("epoch1", "epoch2"), F.struct(days, "epoch1")).alias("p")).select("frame", "id", "p.epoch1", "p.epoch2")
 
 
-def covering_files(scenes: DataFrame, files: DataFrame, bucket_days: int = 1) -> DataFrame:
-    """scenes (scene, sat, start, stop), files (file, sat, valid_from, valid_to): the file with the latest start that covers a scene.
+def covering_files(scenes: DataFrame, files: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """scenes (scene, sat, start, stop), files (file, sat, valid_from, valid_to): the file with the latest start that covers a scene (the largest in a
+    tie). Scenes end when they start, or later.
 
-    The equi key is satellite and day; a file is listed under every day it touches.
+    The keys are satellite and a short stretch of time. A scene is in the stretch in which it starts, a file in those in which it starts and ends. Of the
+    files that go on beyond a whole stretch and its scenes only the latest goes to it. A stretch is then gone through in order of time, so
+    no pair is made.
     """
-    size = 86_400 * bucket_days
-    day = lambda c: F.floor(F.unix_timestamp(c) / size)
-    f = files.withColumn("__d", F.explode(F.sequence(day("valid_from"), day("valid_to"))))
-    j = scenes.withColumn("__d", day("start")).join(f, ["sat", "__d"]).filter("valid_from <= start and valid_to >= stop")
-    best = j.groupBy("scene").agg(F.max_by("file", F.struct("valid_from", "file")).alias("file"))
+    stretch = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bucket_seconds)
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    s = scenes.select("scene", F.col("sat").alias("__sat"), micros("start").alias("__a"), micros("stop").alias("__z"), stretch("start").alias("__t"), stretch("stop").alias("__last"))
+    # one row: stretches that a scene goes on for
+    further = s.agg(F.greatest(F.max(F.col("__last") - F.col("__t")), F.lit(0)).alias("__k"))
+    f = files.filter("valid_from <= valid_to").select("file", F.col("sat").alias("__sat"), micros("valid_from").alias("__from"), micros("valid_to").alias("__to"), stretch("valid_from").alias("__b"), stretch("valid_to").alias("__e"))
+    f = f.crossJoin(F.broadcast(further))
+    ends = F.sequence(F.greatest(F.col("__b") + 1, F.col("__e") - F.col("__k")), F.col("__e"))
+    listed = f.withColumn("__t", F.explode(F.array_union(F.array("__b"), F.when(F.col("__e") > F.col("__b"), ends).otherwise(F.array().cast("array<bigint>")))))
+    beyond = f.groupBy("__sat", "__b", (F.col("__e") - F.col("__k")).alias("__e")).agg(F.max(F.struct("__from", "file", "__to")).alias("best")).filter("__e > __b + 1")
+    beyond = beyond.withColumn("__t", F.explode(F.sequence(F.col("__b") + 1, F.col("__e") - 1))).groupBy("__sat", "__t").agg(F.max("best").alias("best"))
+    listed = listed.select("__sat", "__t", "file", "__from", "__to").unionByName(beyond.select("__sat", "__t", "best.*"))
+
+    def latest(s: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        f, s = f.sort_values(["__from", "file"]), s.sort_values("__a")
+        begins, ends = f["__from"].tolist(), f["__to"].tolist()
+        # files so far that no later one outlasts, with their ends below zero, which rise
+        stack: list[int] = []
+        below: list[int] = []
+        hits, n = [], 0
+        for a, z in zip(s["__a"].tolist(), s["__z"].tolist()):
+            while n < len(begins) and begins[n] <= a:
+                while below and below[-1] >= -ends[n]:
+                    stack.pop(), below.pop()
+                stack.append(n), below.append(-ends[n])
+                n += 1
+            at = bisect_right(below, -z) - 1
+            hits.append(stack[at] if at >= 0 else -1)
+        found = np.array(hits, dtype=np.int64)
+        own = found >= 0
+        at = found[own]
+        return pd.DataFrame({"scene": s["scene"].to_numpy()[own], "file": f["file"].to_numpy()[at], "__from": f["__from"].to_numpy()[at]})
+
+    kinds = f"scene {scenes.schema['scene'].dataType.simpleString()}, file {files.schema['file'].dataType.simpleString()}, __from long"
+    near = s.filter("__a is not null and __z is not null").groupBy("__sat", "__t").cogroup(listed.groupBy("__sat", "__t")).applyInPandas(latest, kinds)
+    best = near.groupBy("scene").agg(F.max_by("file", F.struct("__from", "file")).alias("file"))
     return scenes.join(best, "scene", "left")
 
 
