@@ -2,6 +2,9 @@
 
 A range or nearest join would plan as a nested loop, so every operator here adds an equi key: boxes are exploded to the grid cells
 they touch, points have one cell, and the exact test follows the join. Boxes across the 180th meridian are not handled.
+
+Tables with cells are joined by sorted keys: their files are small, so that they would be broadcast through the driver, which they don't fit.
+Points at one place are tested once where a result depends on the place alone.
 """
 
 from __future__ import annotations
@@ -65,7 +68,7 @@ def boxes_overlap(left: DataFrame, right: DataFrame, size: float = 1.0) -> DataF
     A pair is kept only in the lowest cell that both boxes touch, so no distinct is needed.
     """
     r = _with_box_cells(right, size).withColumnsRenamed({c: f"r_{c}" for c in BOX})
-    joined = _with_box_cells(left, size).join(r, ["__x", "__y"])
+    joined = _with_box_cells(left, size).join(r.hint("merge"), ["__x", "__y"])
     hit = (F.col("lon2") >= F.col("r_lon1")) & (F.col("r_lon2") >= F.col("lon1")) & (F.col("lat2") >= F.col("r_lat1")) & (F.col("r_lat2") >= F.col("lat1"))
     first = (F.col("__x") == F.floor(F.greatest("lon1", "r_lon1") / size)) & (F.col("__y") == F.floor(F.greatest("lat1", "r_lat1") / size))
     return joined.filter(hit & first).drop("__x", "__y")
@@ -74,7 +77,7 @@ def boxes_overlap(left: DataFrame, right: DataFrame, size: float = 1.0) -> DataF
 def points_in_boxes(points: DataFrame, boxes: DataFrame, size: float = 1.0, shrink: float = 0.0) -> DataFrame:
     """Points (lon, lat) inside boxes shrunk on every side."""
     inside = F.col("lon").between(F.col("lon1") + shrink, F.col("lon2") - shrink) & F.col("lat").between(F.col("lat1") + shrink, F.col("lat2") - shrink)
-    return _with_point_cell(points, size).join(_with_box_cells(boxes, size), ["__x", "__y"]).filter(inside).drop("__x", "__y")
+    return _with_point_cell(points, size).join(_with_box_cells(boxes, size).hint("merge"), ["__x", "__y"]).filter(inside).drop("__x", "__y")
 
 
 def points_within(points: DataFrame, others: DataFrame, degrees: float) -> DataFrame:
@@ -84,7 +87,7 @@ def points_within(points: DataFrame, others: DataFrame, degrees: float) -> DataF
     around = lambda c: F.explode(F.sequence(F.floor(F.col(c) / size) - 1, F.floor(F.col(c) / size) + 1))
     o = o.withColumn("__x", around("r_lon")).withColumn("__y", around("r_lat"))
     near = (F.abs(F.col("lon") - F.col("r_lon")) <= degrees) & (F.abs(F.col("lat") - F.col("r_lat")) <= degrees)
-    return _with_point_cell(points, size).join(o, ["__x", "__y"]).filter(near).drop("__x", "__y")
+    return _with_point_cell(points, size).join(o.hint("merge"), ["__x", "__y"]).filter(near).drop("__x", "__y")
 
 
 def distance_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
@@ -116,10 +119,11 @@ def polygon_edges(vertices: DataFrame) -> DataFrame:
     return rows.filter("n > 3").select("poly", "x", "y", F.coalesce("x2", "x0").alias("x2"), F.coalesce("y2", "y0").alias("y2"))
 
 
-def _crossing(y: Column) -> tuple[Column, Column]:
-    """Whether an edge crosses the parallel of latitude y (its lower end belongs to it), and where."""
-    spans = (F.col("y") > y) != (F.col("y2") > y)
-    return spans, (F.col("x2") - F.col("x")) * (y - F.col("y")) / (F.col("y2") - F.col("y")) + F.col("x")
+def _crossing(y: Column, edge: Column | None = None) -> tuple[Column, Column]:
+    """Whether an edge, of the row or a struct, crosses the parallel of latitude y (its lower end belongs to it), and where; null for a level edge."""
+    x1, y1, x2, y2 = (F.col(c) if edge is None else edge[c] for c in ("x", "y", "x2", "y2"))
+    spans = (y1 > y) != (y2 > y)
+    return spans, (x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1
 
 
 def banded_edges(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -135,7 +139,7 @@ def banded_edges(vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
     bands = F.greatest(F.lit(1), F.least(n, F.floor(2 * n * height / F.nullif(way, F.lit(0.0))))).cast("int")
     boxes = edges.groupBy("poly").agg(F.min("x").alias("lon1"), F.max("x").alias("lon2"), F.min("y").alias("lat1"), F.max("y").alias("lat2"), F.coalesce(bands, F.lit(1)).alias("bands"))
     low, high = F.least("y", "y2"), F.greatest("y", "y2")
-    listed = edges.filter("y != y2").join(boxes.select("poly", "lat1", "lat2", "bands"), "poly")
+    listed = edges.filter("y != y2").join(boxes.select("poly", "lat1", "lat2", "bands").hint("merge"), "poly")
     return listed.select("poly", F.explode(F.sequence(band_of(low), band_of(high))).alias("band"), "x", "y", "x2", "y2"), boxes
 
 
@@ -145,12 +149,32 @@ def band_of(lat: Column) -> Column:
     return F.least(F.greatest(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("bands")), F.lit(0)), F.col("bands") - 1).cast("int")
 
 
-def points_in_polygons(points: DataFrame, vertices: DataFrame, key: str, size: float = 1.0) -> DataFrame:
-    """(key, poly) by ray casting: a point meets the polygons whose box it is in, and of each the edges of its own band of latitude."""
+def places_in_polygons(places: DataFrame, vertices: DataFrame, size: float = 1.0) -> DataFrame:
+    """places (lon, lat, ...) with the column ``poly``, a row for each polygon that they lie in, by ray casting: a place meets the polygons whose box it is
+    in, and of each the edges of its own band of latitude, which come as one row."""
     edges, boxes = banded_edges(vertices)
-    near = points_in_boxes(points.select(key, "lon", "lat"), boxes, size).select(key, "lon", "lat", "poly", band_of(F.col("lat")).alias("band"))
-    spans, x = _crossing(F.col("lat"))
-    return near.join(edges, ["poly", "band"]).groupBy(key, "poly").agg(F.count_if(spans & (F.col("lon") < x)).alias("n")).filter("n % 2 = 1").select(key, "poly")
+    banded = edges.groupBy("poly", "band").agg(F.collect_list(F.struct("x", "y", "x2", "y2")).alias("__edges"))
+    near = points_in_boxes(places, boxes, size).withColumn("band", band_of(F.col("lat"))).drop(*BOX, "bands")
+
+    def crossed(e: Column) -> Column:
+        spans, x = _crossing(F.col("lat"), e)
+        return spans & (F.col("lon") < x)
+
+    inside = near.join(banded.hint("merge"), ["poly", "band"]).filter(F.size(F.filter("__edges", crossed)) % 2 == 1)
+    return inside.select(*places.columns, "poly")
+
+
+def points_in_polygons(points: DataFrame, vertices: DataFrame, key: str, size: float = 1.0) -> DataFrame:
+    """(key, poly): a row for each polygon that a point lies in. Places are tested once, whatever number of points they have."""
+    points = points.select(key, "lon", "lat")
+    inside = places_in_polygons(points.select("lon", "lat").distinct(), vertices, size)
+    return points.join(inside.hint("merge"), ["lon", "lat"]).select(key, "poly")
+
+
+def polygon_counts(points: DataFrame, vertices: DataFrame, size: float = 1.0) -> DataFrame:
+    """(poly, n): number of points in each polygon that has any, from the number at each place."""
+    inside = places_in_polygons(points.groupBy("lon", "lat").agg(F.count("*").alias("n")), vertices, size)
+    return inside.groupBy("poly").agg(F.sum("n").alias("n"))
 
 
 def polygon_spans(vertices: DataFrame, lat0: float, step_lat: float, rows: int) -> DataFrame:
@@ -188,10 +212,15 @@ def masked_by_polygons(pixels: DataFrame, vertices: DataFrame, lon0: float, lat0
 
 
 def corners_in_polygons(rows: DataFrame, vertices: DataFrame, key: str, corners: int = 4, size: float = 1.0) -> DataFrame:
-    """(key, poly): polygons in which any of a row's corners lies."""
-    each = F.inline(F.array(*[F.struct(F.lit(i).alias("corner"), F.col(f"corner{i}_lon").alias("lon"), F.col(f"corner{i}_lat").alias("lat")) for i in range(1, corners + 1)]))
-    points = rows.select(key, each).filter("lon is not null and lat is not null").select(F.struct(key, "corner").alias("__c"), "lon", "lat")
-    return points_in_polygons(points, vertices, "__c", size).select(F.col(f"__c.{key}").alias(key), "poly").distinct()
+    """(key, poly): polygons in which any of a row's corners lies. Rows with the same corners are tested once, in the name of the least of them."""
+    each = F.array(*[F.struct(F.col(f"corner{i}_lon").alias("lon"), F.col(f"corner{i}_lat").alias("lat")) for i in range(1, corners + 1)])
+    known = F.filter(F.flatten(F.collect_list(each)), lambda c: c["lon"].isNotNull() & c["lat"].isNotNull())
+    # one row for each key, so that its polygons are distinct at the end
+    own = rows.groupBy(key).agg(F.array_sort(F.array_distinct(known)).alias("__c"))
+    names = own.groupBy("__c").agg(F.min(key).alias("__name"))
+    inside = points_in_polygons(names.select("__name", F.inline("__c")), vertices, "__name", size).distinct()
+    members = own.join(names.hint("merge"), "__c").select(key, "__name")
+    return members.join(inside.hint("merge"), "__name").select(key, "poly")
 
 
 def official_bursts(bursts: DataFrame, official: DataFrame, max_seconds: float = 1.5, max_degrees: float = 1.0) -> DataFrame:
@@ -233,10 +262,29 @@ def nearest_pixels(points: DataFrame, lon0: float, lat0: float, step_lon: float,
 
 
 def nearest_of_grid(points: DataFrame, grid: DataFrame, key: str, cell: str, degrees: float) -> DataFrame:
-    """(key, cell): the grid point nearest to each point, for grids without regular steps; null beyond ``degrees`` in either axis."""
-    near = points_within(points.select(key, "lon", "lat"), grid.select(cell, "lon", "lat"), degrees)
+    """(key, cell): the grid point nearest to each point, for grids without regular steps; null beyond ``degrees`` in either axis. Of grid points at one
+    place the least counts; each place is searched from once."""
+    points = points.select(key, "lon", "lat")
+    near = points_within(points.select("lon", "lat").distinct(), grid.groupBy("lon", "lat").agg(F.min(cell).alias(cell)), degrees)
     far = F.pow(F.col("lon") - F.col("r_lon"), 2) + F.pow(F.col("lat") - F.col("r_lat"), 2)
-    return points.select(key).join(near.groupBy(key).agg(F.min_by(cell, F.struct(far, cell)).alias(cell)), key, "left")
+    best = near.groupBy("lon", "lat").agg(F.min(F.struct(far.alias("__far"), cell)).alias("__best"))
+    own = points.join(best.hint("merge"), ["lon", "lat"]).groupBy(key).agg(F.min("__best").alias("__best"))
+    return points.select(key).join(own.hint("merge"), key, "left").select(key, F.col(f"__best.{cell}").alias(cell))
+
+
+def counted_within(points: DataFrame, others: DataFrame, key: str, other: str, degrees: float) -> DataFrame:
+    """(key, n, other): how many other points lie within ``degrees`` of a point (a square), and the least of them; points without any are left out.
+    Places are paired, with the number of points they have."""
+    places = others.groupBy("lon", "lat").agg(F.count("*").alias("n"), F.min(other).alias(other))
+    seen = points_within(points.select("lon", "lat").distinct(), places, degrees).groupBy("lon", "lat").agg(F.sum("n").alias("n"), F.min(other).alias(other))
+    return points.select(key, "lon", "lat").join(seen.hint("merge"), ["lon", "lat"]).groupBy(key).agg(F.sum("n").alias("n"), F.min(other).alias(other))
+
+
+def matched_points(points: DataFrame, others: DataFrame, key: str, other: str, near: float, wide: float) -> DataFrame:
+    """(key, other) of the points with exactly one other point within ``near`` degrees or, where none is, within ``wide``."""
+    first = counted_within(points, others, key, other, near)
+    rest = points.join(first.select(key).hint("merge"), key, "left_anti")
+    return first.unionByName(counted_within(rest, others, key, other, wide)).filter("n = 1").select(key, other)
 
 
 def adjacent_overlaps(bursts: DataFrame) -> DataFrame:

@@ -153,7 +153,7 @@ def d29_adjacent_overlap(spark, sf_dir):
 
 @query(f"SELECT f.polyid AS poly, count(*) AS pixels FROM @volcanoes v JOIN @frames f ON {_DIAMOND} GROUP BY f.polyid")
 def d31_polygon_mask(spark, sf_dir):
-    return S.points_in_polygons(view(spark, sf_dir, "volcanoes"), _diamonds(spark, sf_dir, 5.0, 4.0), "volc_id").groupBy("poly").agg(F.count("*").alias("pixels"))
+    return S.polygon_counts(view(spark, sf_dir, "volcanoes"), _diamonds(spark, sf_dir, 5.0, 4.0)).withColumnRenamed("n", "pixels")
 
 
 @query("""WITH c AS (SELECT polyid, lon, lat, unnest([5.0, 0.0, -5.0, 0.0]::DOUBLE[]) AS dx, unnest([0.0, 4.0, 0.0, -4.0]::DOUBLE[]) AS dy, unnest([0.0, -5.0, 0.0, 5.0]::DOUBLE[]) AS ex, unnest([4.0, 0.0, -4.0, 0.0]::DOUBLE[]) AS ey FROM @frames),
@@ -172,13 +172,8 @@ def d31_grid_mask(spark, sf_dir):
     WHERE q.id NOT IN (SELECT id FROM h)), a AS (SELECT * FROM h UNION ALL SELECT * FROM w) SELECT id, min(volc_id) AS volc_id FROM a GROUP BY id HAVING count(*) = 1""")
 def d34_match_points(spark, sf_dir):
     """Narrow search first; only points without a hit are searched widely; accepted with exactly one hit."""
-    from fringeline.operators.catalogue import unique_hits
-
     q, v = _v(spark, sf_dir, "quakes", "volcanoes")
-    q, v = q.select("id", "lon", "lat"), v.select("volc_id", "lon", "lat")
-    near = S.points_within(q, v, 1.0).select("id", "volc_id")
-    wide = S.points_within(q.join(near.select("id").distinct(), "id", "left_anti"), v, 8.0).select("id", "volc_id")
-    return unique_hits(q, near.unionByName(wide), "id")
+    return S.matched_points(q.select("id", "lon", "lat"), v.select("volc_id", "lon", "lat"), "id", "volc_id", 1.0, 8.0)
 
 
 @query(f"SELECT f.polyid, b.relorb, b.iw, count(*) AS n FROM @bursts b JOIN @frames f ON {_OVERLAP} GROUP BY 1, 2, 3")
