@@ -249,11 +249,18 @@ def quake_radius(magnitude: Column, depth: Column) -> Column:
     return F.when((tenth >= len(QUAKE_KM)) & (depth <= 250), F.lit(2500.0)).otherwise(small) * DEGREES_PER_KM
 
 
+def quake_frame_rows(quakes: DataFrame, frames: DataFrame, size: float = 4.0) -> DataFrame:
+    """Pairs of an earthquake and a frame whose box overlaps the area that it may have moved, with the other columns of both (but the earthquake's
+    place and size), so that the pairs, which are many, needn't be joined with either again."""
+    areas = quakes.withColumn("r", quake_radius(F.col("magnitude"), F.col("depth"))).filter("r is not null")
+    own = [c for c in quakes.columns if c not in ("lon", "lat", "magnitude", "depth")]
+    areas = areas.select(*own, (F.col("lon") - F.col("r")).alias("lon1"), (F.col("lon") + F.col("r")).alias("lon2"), (F.col("lat") - F.col("r")).alias("lat1"), (F.col("lat") + F.col("r")).alias("lat2"))
+    return boxes_overlap(areas, frames, size).drop(*BOX).withColumnsRenamed({f"r_{c}": c for c in BOX})
+
+
 def quake_frames(quakes: DataFrame, frames: DataFrame, size: float = 4.0) -> DataFrame:
     """(id, polyid): frames whose box overlaps the area that an earthquake may have moved."""
-    areas = quakes.withColumn("r", quake_radius(F.col("magnitude"), F.col("depth"))).filter("r is not null")
-    areas = areas.select("id", (F.col("lon") - F.col("r")).alias("lon1"), (F.col("lon") + F.col("r")).alias("lon2"), (F.col("lat") - F.col("r")).alias("lat1"), (F.col("lat") + F.col("r")).alias("lat2"))
-    return boxes_overlap(areas, frames.select("polyid", *BOX), size).select("id", "polyid")
+    return quake_frame_rows(quakes.select("id", "lon", "lat", "magnitude", "depth"), frames.select("polyid", *BOX), size).select("id", "polyid")
 
 
 def nearest_pixels(points: DataFrame, lon0: float, lat0: float, step_lon: float, step_lat: float) -> DataFrame:

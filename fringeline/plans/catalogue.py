@@ -197,11 +197,11 @@ def d19_register_products(spark, sf_dir):
 @query(f"""SELECT q.id, f.polyid, f.polyid_name, CAST(substr(f.polyid_name, 1, 3) AS BIGINT) AS track, CAST(CAST(substr(f.polyid_name, 1, 3) AS BIGINT) AS VARCHAR) || '/' || f.polyid_name AS link, CAST(CAST(q.ts AS DATE) + 6 AS VARCHAR) AS next_possible, round(f.lon1, 3) AS lon1, round(f.lat1, 3) AS lat1
     FROM (SELECT *, {QUAKE_RADIUS} AS r FROM @quakes) q JOIN @frames f ON q.lon + r >= f.lon1 AND f.lon2 >= q.lon - r AND q.lat + r >= f.lat1 AND f.lat2 >= q.lat - r""")
 def d20_event_report(spark, sf_dir):
-    from fringeline.operators.spatial import BOX, quake_frames
+    from fringeline.operators.spatial import BOX, quake_frame_rows
 
     q, f = _v(spark, sf_dir, "quakes", "frames")
-    links = C.insert_event_frames(_no_event_frames(spark), quake_frames(q, f).join(q.select("id", F.to_date("ts").alias("post_acq")), "id"))
-    r = C.event_report(q.select("id", "magnitude"), links, f, f.select("polyid", *BOX))
+    q = q.select("id", "lon", "lat", "magnitude", "depth", F.to_date("ts").alias("post_acq"))
+    r = C.event_report(quake_frame_rows(q, f.select("polyid", "polyid_name", *BOX)))
     return r.select("id", "polyid", "polyid_name", "track", "link", F.to_date("next_acq").cast("string").alias("next_possible"), F.round("lon1", 3).alias("lon1"), F.round("lat1", 3).alias("lat1"))
 
 
