@@ -223,6 +223,35 @@ def corners_in_polygons(rows: DataFrame, vertices: DataFrame, key: str, corners:
     return members.join(inside.hint("merge"), "__name").select(key, "poly")
 
 
+#: Bursts of a file that are held against each other; a larger file's are all taken to share frames.
+FILE_BURSTS = 64
+
+
+def area_files(bursts: DataFrame, frames: DataFrame, file_bursts: DataFrame) -> DataFrame:
+    """(polyid, fid), each once: the files with a burst (bid) whose box overlaps a frame's.
+
+    Only files with bursts so near each other that one frame may overlap two can have a frame twice. Their rows alone are made distinct; those of a
+    burst that is far from all others of its file are left as they come.
+    """
+    # as an id may occur twice, a frame reaches over all its boxes
+    whole = bounding_box(frames, ["polyid"]).agg(F.max(F.col("lon2") - F.col("lon1")).alias("fx"), F.max(F.col("lat2") - F.col("lat1")).alias("fy"))
+    own = bursts.agg(F.max(F.col("lon2") - F.col("lon1")).alias("bx"), F.max(F.col("lat2") - F.col("lat1")).alias("by"))
+    # one row; a little wider, as places are sent as floats
+    reach = whole.crossJoin(F.broadcast(own)).select((F.col("fx") + F.col("bx") + 1e-3).alias("__rx"), (F.col("fy") + F.col("by") + 1e-3).alias("__ry"))
+    lines = file_bursts.select("fid", "bid").join(bursts.select("bid", F.col("lon1").cast("float").alias("x"), F.col("lat1").cast("float").alias("y")).hint("merge"), "bid")
+    files = lines.groupBy("fid").agg(F.collect_list(F.struct("bid", "x", "y")).alias("__all")).crossJoin(F.broadcast(reach))
+
+    def crowded(one: Column) -> Column:
+        near = lambda other: (other["bid"] == one["bid"]) | ((F.abs(other["x"] - one["x"]) <= F.col("__rx")) & (F.abs(other["y"] - one["y"]) <= F.col("__ry")))
+        return F.struct(one["bid"].alias("bid"), ((F.size("__all") > FILE_BURSTS) | (F.size(F.filter("__all", near)) > 1)).alias("__near"))
+
+    lines = files.select("fid", F.inline(F.transform("__all", crowded)))
+    # both sides of the join below are dealt by burst
+    hits = boxes_overlap(bursts.select("bid", *BOX), frames.select("polyid", *BOX)).select("bid", "polyid").repartition("bid").distinct()
+    found = lines.join(hits.hint("merge"), "bid").select("polyid", "fid", "__near")
+    return found.filter("not __near").drop("__near").unionByName(found.filter("__near").drop("__near").distinct())
+
+
 def official_bursts(bursts: DataFrame, official: DataFrame, max_seconds: float = 1.5, max_degrees: float = 1.0) -> DataFrame:
     """(bid, id): the nearest official burst of the same swath, a track one off at most (175 is next to 1), and close in time and place."""
     cell = lambda c: F.floor(c / max_seconds)

@@ -80,9 +80,7 @@ def d28_nearest_irregular(spark, sf_dir):
 
 @query(f"SELECT DISTINCT f.polyid, l.fid FROM @bursts b JOIN @frames f ON {_OVERLAP} JOIN @file_bursts l ON l.bid = b.bid")
 def d07_area_files(spark, sf_dir):
-    b, f, lb = _v(spark, sf_dir, "bursts", "frames", "file_bursts")
-    hits = S.boxes_overlap(b.select("bid", *S.BOX), f.select("polyid", *S.BOX)).select("bid", "polyid")
-    return hits.join(lb, "bid").select("polyid", "fid").distinct()
+    return S.area_files(*_v(spark, sf_dir, "bursts", "frames", "file_bursts"))
 
 
 _DIAMOND = "abs(v.lon - f.lon) / 5 + abs(v.lat - f.lat) / 4 < 1"
